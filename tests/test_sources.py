@@ -1,0 +1,156 @@
+"""Database sources and sinks on embedded Derby (inside the Spark process), and source dispatch."""
+
+import uuid
+
+import pytest
+
+from tidemark.plans.ingest import run_ingest
+from tidemark.plans.lake import Lake
+from tidemark.plans.specs import parse_spec
+from tidemark.sinks.destinations import load
+from tidemark.sources.extract import extract, open_source
+from tidemark.sources.jdbc import jdbc_options, read_table
+
+ROWS = [(i, f"n{i}", float(i), f"2024-01-{i:02d}T00:00:00") for i in range(1, 21)]
+COLUMNS = "id int, name string, amount double, updated_at string"
+TEXT = "name varchar(40), updated_at varchar(40)"
+
+
+@pytest.fixture
+def database(spark):
+    url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
+    return {"url": url, "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def put(spark, database, rows, table="APP.ITEMS", columns=COLUMNS, mode="overwrite"):
+    writer = spark.createDataFrame(rows, columns).write.format("jdbc").options(**database)
+    writer.option("dbtable", table).option("createTableColumnTypes", TEXT).mode(mode).save()
+
+
+def source(database, **more):
+    return {
+        "type": "jdbc",
+        "dsn": database["url"],
+        "options": {"driver": database["driver"]},
+        "schema": "APP",
+        "table": "ITEMS",
+        **more,
+    }
+
+
+def test_full_and_incremental_scan(spark, database):
+    put(spark, database, ROWS)
+    assert extract(spark, source(database)).count() == 20
+    rows = extract(spark, source(database), "updated_at", "2024-01-15T00:00:00")
+    assert sorted(r[0] for r in rows.collect()) == list(range(15, 21))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(updated_at,2024-01-15T00:00:00)" in plan
+
+
+def test_partitioned_scan_reads_every_row_once(spark, database):
+    put(spark, database, ROWS)
+    df = read_table(spark, database, "APP.ITEMS", partition_column="ID", num_partitions=4)
+    assert df.rdd.getNumPartitions() == 4
+    assert sorted(r[0] for r in df.collect()) == list(range(1, 21))
+    narrow = read_table(spark, database, "APP.ITEMS", partition_column="ID", num_partitions=4, bounds=(5, 9))
+    assert sorted(r[0] for r in narrow.collect()) == list(range(1, 21))
+
+
+def test_partitioned_scan_of_an_empty_table(spark, database):
+    put(spark, database, ROWS)
+    put(spark, database, [], mode="overwrite")
+    assert read_table(spark, database, "APP.ITEMS", partition_column="ID").count() == 0
+
+
+def test_ingest_from_a_database(spark, database, tmp_path):
+    put(spark, database, ROWS)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    spec = parse_spec(
+        {
+            "kind": "ingest",
+            "name": "items",
+            "source": source(database, partition_column="id", num_partitions=3),
+            "extract": {"incremental_cursor": "UPDATED_AT", "lag_seconds": 86400},
+            "target": {"table": "items", "primary_key": "id", "buckets": 2},
+            "transforms": ["normalize_columns", "trim_strings", "add_ingested_at"],
+            "money_columns": ["amount"],
+            "quality": {"not_null": ["id"], "positive": ["amount"]},
+        }
+    )
+    assert run_ingest(lake, spec) == 20
+    changed = [(20, " new ", 99.5, "2024-02-01T00:00:00"), (21, "n21", 1.0, "2024-02-02T00:00:00")]
+    put(spark, database, [*ROWS[:19], *changed])
+    assert run_ingest(lake, spec) == 3  # row 19 is inside the lag window
+    rows = {r["id"]: r for r in lake.silver("items").read().collect()}
+    assert len(rows) == 21 and rows[20]["name"] == "new" and str(rows[20]["amount"]) == "99.50"
+
+
+def test_load_into_a_database(spark, database):
+    destination = {"type": "jdbc", "dsn": database["url"], "options": {"driver": database["driver"]}}
+    df = spark.createDataFrame(ROWS, COLUMNS)
+    load(df, destination, "APP.SOLD", "replace")
+    load(df.limit(2), destination, "APP.SOLD", "append")
+    back = spark.read.format("jdbc").options(**database).option("dbtable", "APP.SOLD").load()
+    assert back.count() == 22
+    load(df, destination, "APP.SOLD", "replace")
+    assert back.count() == 20
+    with pytest.raises(ValueError):
+        load(df, destination, "APP.SOLD", "merge", "id")
+    with pytest.raises(ValueError):
+        load(df, {"type": "bigquery"}, "t")
+    with pytest.raises(ValueError):
+        load(df, destination, "t", "upsert")
+
+
+def test_dispositions_on_a_filesystem(spark, tmp_path):
+    from tidemark.sinks.tables import Table
+
+    destination = {"path": str(tmp_path)}
+    df = spark.createDataFrame(ROWS, COLUMNS)
+    load(df, destination, "t", "replace", "id")
+    load(df, destination, "t", "merge", "id")
+    assert Table(spark, f"{tmp_path}/t").row_count() == 20
+    load(df, destination, "t", "append")
+    assert Table(spark, f"{tmp_path}/t").row_count() == 40
+    load(df, destination, "t", "replace", "id")
+    assert Table(spark, f"{tmp_path}/t").row_count() == 20
+
+
+def test_connection_strings():
+    assert jdbc_options("postgresql+psycopg2://u:p%40ss@db:5432/crm")["url"] == "jdbc:postgresql://db:5432/crm"
+    assert jdbc_options("postgresql+psycopg2://u:p%40ss@db:5432/crm")["password"] == "p@ss"
+    assert jdbc_options("mysql+pymysql://u:p@db:3306/sales?useSSL=true")["url"] == "jdbc:mysql://db:3306/sales?useSSL=true"
+    oracle = jdbc_options("oracle+oracledb://u:p@db:1521/?service_name=ORCLPDB1")
+    assert oracle["url"] == "jdbc:oracle:thin:@//db:1521/ORCLPDB1" and oracle["user"] == "u"
+    assert jdbc_options("sqlite:////data/x.db")["url"] == "jdbc:sqlite:/data/x.db"
+    assert jdbc_options("jdbc:derby:memory:x") == {"url": "jdbc:derby:memory:x"}
+    with pytest.raises(ValueError):
+        jdbc_options("mongodb://db")
+
+
+def test_dispatch_errors(spark, monkeypatch):
+    with pytest.raises(ValueError):
+        open_source(spark, {"type": "kafka"})
+    monkeypatch.delenv("NO_SUCH_DSN", raising=False)
+    with pytest.raises(RuntimeError, match="NO_SUCH_DSN"):
+        open_source(spark, {"type": "postgres", "dsn_env": "NO_SUCH_DSN", "table": "t"})
+    with pytest.raises(RuntimeError, match="NO_SUCH_PATH"):
+        open_source(spark, {"type": "csv", "path_env": "NO_SUCH_PATH"})
+
+
+def test_csv_types(spark, tmp_path, monkeypatch):
+    (tmp_path / "p.csv").write_text('sku,name,cost\nA,"27"" Monitor, black",12.50\nB,,\n')
+    monkeypatch.setenv("P_PATH", str(tmp_path / "p.csv"))
+    typed = open_source(spark, {"type": "csv", "path_env": "P_PATH", "columns": "sku string, name string, cost double"})
+    assert [tuple(r) for r in typed.collect()] == [("A", '27" Monitor, black', 12.5), ("B", None, None)]
+    guessed = open_source(spark, {"type": "csv", "path_env": "P_PATH"})
+    assert guessed.schema["cost"].dataType.simpleString() == "double"
+
+
+def test_csv_filter_reaches_the_scan(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("id,at\n1,2024-01-01\n2,2024-01-02\n3,\n")
+    rows = extract(spark, {"type": "csv", "path": f"{tmp_path}/c.csv", "columns": "id int, at string"}, "at", "2024-01-02")
+    assert [r["id"] for r in rows.collect()] == [2]
+    assert "PushedFilters: [IsNotNull(at), GreaterThanOrEqual(at,2024-01-02)]" in (
+        rows._jdf.queryExecution().executedPlan().toString()
+    )

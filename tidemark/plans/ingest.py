@@ -9,12 +9,10 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Mapping
 from contextlib import ExitStack
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.functions import transforms
 from tidemark.functions.scalars import MONEY, has_column
@@ -22,7 +20,6 @@ from tidemark.functions.transforms import cast_money, normalized_name
 from tidemark.operators.incremental import apply_lag, max_cursor
 from tidemark.operators.merge import apply_changes, one_row_per_key, soft_delete_flag, without_keys
 from tidemark.operators.quality import (
-    FAILED,
     Gate,
     QualityError,
     Report,
@@ -114,7 +111,7 @@ def run_ingest(lake: Lake, spec: Ingest) -> int:
     is, it is written straight below the table, gated there, and made live by publishing it;
     otherwise it lands in the shared scratch folder first.
     """
-    spark, table, load_id = lake.spark, lake.silver_of(spec), uuid.uuid4().hex
+    spark, table, load_id = lake.spark, lake.silver_of(spec), str(uuid.uuid4())
     watermark = None
     if spec.cursor:
         watermark = apply_lag(table.max_cursor(spec.cursor), spec.lag_seconds)
@@ -137,8 +134,7 @@ def run_ingest(lake: Lake, spec: Ingest) -> int:
         deleted = parts.dead.count() if parts.dead is not None else 0
         written = total - deleted - rejected
         if rejected:
-            marked = parts.rejects.withColumn("_load_id", F.lit(load_id))
-            marked.write.mode("append").parquet(lake.rejects_path(spec.table))
+            parts.rejects.write.parquet(f"{lake.rejects_path(spec.table)}/_load_id={load_id}")
         keyed = spec.write_mode == "merge"
         cursor = cursor_in(batch, spec.cursor)
         good = one_row_per_key(parts.good, spec.primary_key, cursor) if keyed and not parts.unique else parts.good

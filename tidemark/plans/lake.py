@@ -31,6 +31,7 @@ class Lake:
         return f"{self.root}/silver/{name}__rejects"
 
     def rejects(self, name: str) -> DataFrame:
+        """Rejected rows of all loads, with the rules they broke and the load that found them."""
         return self.spark.read.option("mergeSchema", True).parquet(self.rejects_path(name))
 
     def loads(self) -> LoadLog:

@@ -111,7 +111,7 @@ def run_incremental(lake: Lake, path: str) -> int:
         rows = fresh.count()
         if rows:
             table.merge(one_row_per_key(fresh, KEY, CURSOR))
-            lake.loads().record(uuid.uuid4().hex, TABLE, "loaded", rows, cursor=max_cursor(candidates, CURSOR))
+            lake.loads().record(str(uuid.uuid4()), TABLE, "loaded", rows, cursor=max_cursor(candidates, CURSOR))
         return count
 
 

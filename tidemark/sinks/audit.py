@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.sinks.files import Files
 
 SCHEMA = (
-    "load_id string, table_name string, status string, rows bigint, rejected bigint, "
+    "table_name string, status string, rows bigint, rejected bigint, "
     "deleted bigint, cursor_value string, inserted_at timestamp"
 )
 
@@ -24,14 +24,17 @@ class LoadLog:
     ) -> None:
         text = cursor.isoformat() if isinstance(cursor, (datetime, date)) else cursor
         text = None if text is None else str(text)
-        row = (load_id, table, status, rows, rejected, deleted, text, datetime.now(timezone.utc))
-        self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        row = (table, status, rows, rejected, deleted, text, datetime.now(timezone.utc))
+        df = self.spark.createDataFrame([row], SCHEMA).coalesce(1)
+        # A folder per load: loads that run side by side must not share one output folder.
+        df.write.parquet(f"{self.path}/load_id={load_id}")
 
     def read(self) -> DataFrame:
         """All loads in order of time. The folder is asked for, as there may have been none yet."""
+        schema = f"{SCHEMA}, load_id string"
         if not Files(self.spark).names(self.path):
-            return self.spark.createDataFrame([], SCHEMA)
-        return self.spark.read.schema(SCHEMA).parquet(self.path).orderBy("inserted_at", "load_id")
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path).orderBy("inserted_at", "load_id")
 
     def last_cursor(self, table: str, initial: str | None = None) -> str | None:
         """The cursor the latest finished load of a table reached, or the initial value."""

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.scalars import field_type
+
 # Scheme of a connection string -> JDBC subprotocol and driver class.
 DRIVERS = {
     "postgres": ("postgresql", "org.postgresql.Driver"),
@@ -20,6 +22,9 @@ DRIVERS = {
 
 FETCH_SIZE = 10_000
 
+# Parallel connections when a spec names none: what a database bears, not what the cluster could use.
+CONNECTIONS = 16
+
 
 def jdbc_options(dsn: str) -> dict[str, str]:
     """Reader options for a connection string such as ``mysql+pymysql://user:pw@host:3306/db``.
@@ -83,13 +88,13 @@ def read_table(
         partitionColumn=partition_column,
         lowerBound=str(bounds[0]),
         upperBound=str(bounds[1]),
-        numPartitions=str(num_partitions or 8 * spark.sparkContext.defaultParallelism),
+        numPartitions=str(num_partitions or CONNECTIONS),
     ).load()
 
 
 def key_bounds(table: DataFrame, column: str) -> tuple:
     """Lowest and highest value; Spark hands this aggregate to the database."""
     low, high = table.agg(F.min(column), F.max(column)).first()
-    if isinstance(table.schema[column].dataType, T.NumericType) and low is not None:
+    if isinstance(field_type(table, column), T.NumericType) and low is not None:
         return int(low), int(high) + 1
     return low, high
