@@ -15,7 +15,8 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "2",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(shared),

@@ -22,7 +22,7 @@ class Lake:
     def silver_of(self, spec: Ingest) -> Table:
         """The table of a spec, with the layout it gets when it is first written."""
         path = f"{self.root}/silver/{spec.table}"
-        return Table(self.spark, path, spec.primary_key, spec.buckets, spec.bucket_width)
+        return Table(self.spark, path, spec.primary_key, spec.buckets, spec.bucket_width, spec.cursor)
 
     def gold(self, name: str) -> Table:
         return Table(self.spark, f"{self.root}/gold/{name}")

@@ -91,7 +91,7 @@ def not_seen(candidates: DataFrame, table: Table, watermark) -> DataFrame:
 
 
 def orders_table(lake: Lake) -> Table:
-    return Table(lake.spark, f"{lake.root}/silver/{TABLE}", KEY)
+    return Table(lake.spark, f"{lake.root}/silver/{TABLE}", KEY, cursor=CURSOR)
 
 
 def run_incremental(lake: Lake, path: str) -> int:

@@ -9,6 +9,9 @@ would delete the files the same job still reads.
 Rows are grouped by a bucket of the primary key. An upsert reads and rewrites the buckets its keys
 fall into and carries all others over untouched. ``buckets`` hashes the key; ``width`` cuts whole
 number keys into ranges, which lets a load of recent keys touch the newest buckets only.
+
+The version file also holds the rows of every live bucket and the highest cursor in it, taken from
+the files just written. Size and high-water mark of a table are then known without a scan.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import has_column, literal
+from tidemark.functions.scalars import is_floating, literal
 from tidemark.functions.transforms import cast_money, normalized_name
 from tidemark.operators.incremental import max_cursor
 from tidemark.operators.merge import (
@@ -67,25 +70,45 @@ class Layout:
         return F.when(keyed, F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)))
 
 
+@dataclass(frozen=True)
+class Part:
+    """One live bucket of one folder. ``cursor`` names the column whose highest value is ``mark``."""
+
+    rows: int
+    cursor: str | None = None
+    mark: str | None = None
+
+
+Parts = Mapping[str, Part]
+
+
 @dataclass(frozen=True)
 class Version:
     number: int
     schema: T.StructType
     layout: Layout
-    live: Mapping[str, Mapping[str, int]]  # folder -> bucket -> rows
+    live: Mapping[str, Parts]  # folder -> bucket -> part
+
+    def parts(self) -> list[Part]:
+        return [part for parts in self.live.values() for part in parts.values()]
 
     def rows(self) -> int:
-        return sum(sum(buckets.values()) for buckets in self.live.values())
+        return sum(part.rows for part in self.parts())
+
+    def without(self, buckets: set[str]) -> dict[str, Parts]:
+        return {g: {b: p for b, p in parts.items() if b not in buckets} for g, parts in self.live.items()}
 
     def to_json(self) -> str:
         layout = {"key": list(self.layout.key), "buckets": self.layout.buckets, "width": self.layout.width}
-        return json.dumps({"schema": self.schema.jsonValue(), "layout": layout, "live": self.live})
+        live = {g: {b: [p.rows, p.cursor, p.mark] for b, p in parts.items()} for g, parts in self.live.items()}
+        return json.dumps({"schema": self.schema.jsonValue(), "layout": layout, "live": live})
 
     @classmethod
     def from_json(cls, number: int, text: str) -> Version:
         doc = json.loads(text)
         layout = Layout(tuple(doc["layout"]["key"]), doc["layout"]["buckets"], doc["layout"]["width"])
-        return cls(number, T.StructType.fromJson(doc["schema"]), layout, doc["live"])
+        live = {g: {b: Part(*p) for b, p in parts.items()} for g, parts in doc["live"].items()}
+        return cls(number, T.StructType.fromJson(doc["schema"]), layout, live)
 
 
 @dataclass(frozen=True)
@@ -94,11 +117,11 @@ class Staged:
 
     folder: str
     layout: Layout
-    buckets: Mapping[str, int]
+    parts: Parts
     df: DataFrame
 
     def rows(self) -> int:
-        return sum(self.buckets.values())
+        return sum(part.rows for part in self.parts.values())
 
 
 class Table:
@@ -109,8 +132,9 @@ class Table:
         key: str | list[str] | None = None,
         buckets: int | None = None,
         width: int | None = None,
+        cursor: str | None = None,
     ):
-        self.spark, self.path = spark, path.rstrip("/")
+        self.spark, self.path, self.cursor = spark, path.rstrip("/"), cursor
         names = tuple(key_list(key)) if key else ()
         if width and len(names) != 1:
             raise ValueError("bucket ranges need exactly one whole-number key column")
@@ -187,16 +211,23 @@ class Table:
         return version.rows() if version else 0
 
     def max_cursor(self, cursor: str):
-        """The high-water mark held in the table itself; reads that one column.
+        """The high-water mark held in the table itself, from the version file where it is noted,
+        else by reading that one column.
 
         The cursor may be named as the source spells it, before column names were normalised.
         """
         version = self.version()
-        if version is None:
+        stored = _stored_name(version.schema, cursor) if version else None
+        if stored is None:
+            return None
+        parts = version.parts()
+        if any(part.cursor != stored for part in parts):
+            return max_cursor(self._scan(version), stored)
+        marks = [(part.mark,) for part in parts if part.mark is not None]
+        if not marks:
             return None
-        rows = self._scan(version)
-        stored = next((c for c in (cursor, normalized_name(cursor)) if has_column(rows, c)), None)
-        return max_cursor(rows, stored) if stored else None
+        noted = self.spark.createDataFrame(marks, "mark string").coalesce(1)
+        return noted.agg(F.max(_from_text(F.col("mark"), version.schema[stored].dataType))).first()[0]
 
     # -- writing ---------------------------------------------------------------------------------
 
@@ -217,17 +248,26 @@ class Table:
             rows.write.partitionBy(BUCKET).parquet(folder)
         else:
             (df if settled is None else settled.unionByName(df)).write.parquet(folder)
-        written = self._read_counts(folder, layout)
-        folders = [self._folder(gen, b) for b in written]
-        return Staged(gen, layout, written, self._read_folders(folders, schema, layout))
-
-    def _read_counts(self, folder: str, layout: Layout) -> dict[str, int]:
-        if not layout.key:
-            rows = self.spark.read.schema(T.StructType()).parquet(folder).count()
-            return {"": rows}
-        buckets = self.spark.read.schema(T.StructType().add(BUCKET, T.LongType())).parquet(folder)
-        counts = buckets.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()
-        return {_bucket_name(r[BUCKET]): r["n"] for r in counts}
+        parts = self._measure(folder, layout, schema)
+        folders = [self._folder(gen, b) for b in parts]
+        return Staged(gen, layout, parts, self._read_folders(folders, schema, layout))
+
+    def _measure(self, folder: str, layout: Layout, schema: T.StructType) -> dict[str, Part]:
+        """Rows and highest cursor per bucket: reads no column but the cursor."""
+        cursor = _stored_name(schema, self.cursor) if self.cursor else None
+        wanted, mark = T.StructType(), F.lit(None).cast("string")
+        if cursor:
+            wanted = wanted.add(schema[cursor])
+            mark = _to_text(F.col(cursor), schema[cursor].dataType)
+        if layout.key:
+            wanted = wanted.add(BUCKET, T.LongType())
+        rows = self.spark.read.schema(wanted).parquet(folder)
+        counts = (rows.groupBy(BUCKET) if layout.key else rows.groupBy()).agg(
+            F.count(F.lit(1)).alias("rows"), mark.alias("mark")
+        )
+        return {
+            _bucket_name(r[BUCKET]) if layout.key else "": Part(r["rows"], cursor, r["mark"]) for r in counts.collect()
+        }
 
     def stage(self, df: DataFrame) -> Staged:
         """Write a batch where it can go live beside the present rows without being written again."""
@@ -242,7 +282,7 @@ class Table:
 
     def _publish(self, base: Version | None, schema: T.StructType, layout: Layout, live: Mapping) -> None:
         number = base.number + 1 if base else 1
-        version = Version(number, schema, layout, {g: b for g, b in live.items() if b})
+        version = Version(number, schema, layout, {g: parts for g, parts in live.items() if parts})
         if not self._files.create(self._version_file(number), version.to_json()):
             raise ConcurrentWrite(f"version {number} of {self.path} was published by another load")
 
@@ -250,7 +290,7 @@ class Table:
         """Replace all rows; the schema may change. The rows may come from this very table."""
         base = self.version()
         staged = df if isinstance(df, Staged) else self.stage_new(df)
-        self._publish(base, staged.df.schema, staged.layout, {staged.folder: dict(staged.buckets)})
+        self._publish(base, staged.df.schema, staged.layout, {staged.folder: staged.parts})
         return staged.rows()
 
     def append(self, df: DataFrame | Staged) -> int:
@@ -258,7 +298,7 @@ class Table:
         if base is None:
             return self.overwrite(df)
         staged = df if isinstance(df, Staged) else self.stage(df)
-        self._publish(base, base.schema, base.layout, {**base.live, staged.folder: dict(staged.buckets)})
+        self._publish(base, base.schema, base.layout, {**base.live, staged.folder: staged.parts})
         return staged.rows()
 
     def append_and_delete(self, batch: DataFrame, dead: DataFrame | None, key: str | list[str]) -> None:
@@ -322,9 +362,8 @@ class Table:
             staged = self._write(fresh, base.layout, settled=stay)
         else:
             staged = self._write(stay.unionByName(fresh), base.layout)
-        kept = {g: {b: n for b, n in buckets.items() if b not in touched} for g, buckets in base.live.items()}
-        added = {s.folder: dict(s.buckets) for s in (staged, beside) if s}
-        self._publish(base, base.schema, base.layout, {**kept, **added})
+        added = {s.folder: s.parts for s in (staged, beside) if s}
+        self._publish(base, base.schema, base.layout, {**base.without(touched), **added})
         log.info("%s: %d keys, %d buckets rewritten", self.path, key_rows, len(touched))
 
     def prune(self, keep: int = 2) -> int:
@@ -344,6 +383,26 @@ class Table:
         return len(stale)
 
 
+def _stored_name(schema: T.StructType, column: str) -> str | None:
+    """The table's spelling of a column: as it is, without regard to case, or normalised."""
+    names = {f.name.lower(): f.name for f in schema.fields}
+    return names.get(column.lower()) or names.get(normalized_name(column))
+
+
+def _to_text(column: Column, dtype: T.DataType) -> Column:
+    """The highest value as text that reads back to the same value in any time zone."""
+    if is_floating(dtype):
+        column = F.when(~F.isnan(column), column)
+    highest = F.max(column)
+    return (F.unix_micros(highest) if isinstance(dtype, T.TimestampType) else highest).cast("string")
+
+
+def _from_text(column: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_micros(column.cast("bigint"))
+    return column.cast(dtype)
+
+
 def _bucket_name(bucket: int | None) -> str:
     return NO_KEY if bucket is None else str(bucket)
 
