@@ -2,22 +2,28 @@
 
 from datetime import datetime
 
+import pytest
+
 from tidemark.streaming.files import once_per_key, run_available, stream_files
 
-SCHEMA = "id bigint, at timestamp, val string"
 
 
-def test_each_file_once_and_each_key_once(spark, tmp_path):
+@pytest.mark.parametrize("dtype", ["timestamp", "timestamp_ntz", "string"])
+def test_each_file_once_and_each_key_once(spark, tmp_path, dtype):
+    schema = f"id bigint, at {dtype}, val string"
     folder, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
 
     def put(rows):
-        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
 
     def run():
-        run_available(once_per_key(stream_files(spark, folder, SCHEMA), "id", "at", 86400), out, checkpoint)
-        return sorted(r["id"] for r in spark.read.schema(SCHEMA).parquet(out).collect())
+        run_available(once_per_key(stream_files(spark, folder, schema), "id", "at", 86400), out, checkpoint)
+        return sorted(r["id"] for r in spark.read.schema(schema).parquet(out).collect())
+
+    def day(d, h=0):
+        at = datetime(2024, 1, d, h)
+        return at.isoformat() if dtype == "string" else at
 
-    day = lambda d, h=0: datetime(2024, 1, d, h)
     put([(1, day(1), "a"), (2, day(1), "b"), (1, day(1), "again")])
     assert run() == [1, 2]
     assert run() == [1, 2]  # nothing new

@@ -15,12 +15,16 @@ from tidemark.functions.scalars import field_type, has_column, is_floating, lite
 TEXT_TIMESTAMP = "%Y-%m-%dT%H:%M:%S"
 
 
-def max_cursor_frame(df: DataFrame, cursor: str) -> DataFrame:
-    """The highest cursor as one row. NaN, which Spark ranks highest, is left out."""
+def highest_cursor(df: DataFrame, cursor: str) -> Column:
+    """The highest cursor as an aggregate. NaN, which Spark ranks highest, is left out."""
     column = F.col(cursor)
     if is_floating(field_type(df, cursor)):
         column = F.when(~F.isnan(column), column)
-    return df.agg(F.max(column).alias("max_cursor"))
+    return F.max(column)
+
+
+def max_cursor_frame(df: DataFrame, cursor: str) -> DataFrame:
+    return df.agg(highest_cursor(df, cursor).alias("max_cursor"))
 
 
 def max_cursor(df: DataFrame, cursor: str):

@@ -13,11 +13,12 @@ from contextlib import ExitStack
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.functions import transforms
 from tidemark.functions.scalars import MONEY, has_column
 from tidemark.functions.transforms import cast_money, normalized_name
-from tidemark.operators.incremental import apply_lag, max_cursor
+from tidemark.operators.incremental import apply_lag, highest_cursor
 from tidemark.operators.merge import apply_changes, one_row_per_key, soft_delete_flag, without_keys
 from tidemark.operators.quality import (
     Gate,
@@ -104,6 +105,13 @@ def cursor_in(df: DataFrame, cursor: str | None) -> str | None:
     return next((c for c in (cursor, normalized_name(cursor)) if has_column(df, c)), None)
 
 
+def batch_facts(batch: DataFrame, soft_delete_column: str | None, cursor: str | None) -> tuple:
+    """Rows, soft-deleted rows, and the highest cursor: one job over at most two columns."""
+    highest = highest_cursor(batch, cursor) if cursor else F.lit(None)
+    dead = F.count_if(soft_delete_flag(batch, soft_delete_column))
+    return tuple(batch.agg(F.count(F.lit(1)), dead, highest).first())
+
+
 def run_ingest(lake: Lake, spec: Ingest) -> int:
     """Run one ingest and return the number of rows that passed the gate.
 
@@ -122,27 +130,25 @@ def run_ingest(lake: Lake, spec: Ingest) -> int:
         staged = None
         if (fresh or spec.write_mode == "append") and money_is_exact(batch, spec.money_columns):
             staged = table.stage_new(batch) if fresh else table.stage(batch)
-            batch, total = staged.df, staged.rows()
+            batch = staged.df
         else:
             batch = stack.enter_context(landed(batch, spec.name))
-            total = batch.count()
+        cursor = cursor_in(batch, spec.cursor)
+        total, deleted, reached = batch_facts(batch, spec.soft_delete_column, cursor)
         if total == 0:
             log.info("[%s] no new rows", spec.name)
             return 0
         parts = gated(spec.name, batch, spec)
         rejected = parts.report.bad_count if parts.rejects is not None else 0
-        deleted = parts.dead.count() if parts.dead is not None else 0
         written = total - deleted - rejected
         if rejected:
             parts.rejects.write.parquet(f"{lake.rejects_path(spec.table)}/_load_id={load_id}")
         keyed = spec.write_mode == "merge"
-        cursor = cursor_in(batch, spec.cursor)
         good = one_row_per_key(parts.good, spec.primary_key, cursor) if keyed and not parts.unique else parts.good
         if staged is not None and not rejected and not deleted and good is parts.good:
             table.overwrite(staged) if fresh else table.append(staged)
         else:
             store(table, cast_money(good, spec.money_columns), parts.dead, spec, fresh, written, deleted)
-        reached = max_cursor(batch, cursor) if cursor else None
         lake.loads().record(load_id, spec.table, "loaded", written, rejected, deleted, reached)
         log.info("[%s] %d rows, %d rejected, %d deleted", spec.name, written, rejected, deleted)
         return written

@@ -8,10 +8,12 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidemark.sinks.files import Files
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings this library expects; a cluster's own settings win if given.
@@ -25,6 +27,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Keys inside the lag window are held on disk, not on the heap.
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         **conf,
     }
     for key, value in settings.items():
@@ -50,6 +54,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def one_row(spark: SparkSession, **columns: Column) -> DataFrame:
+    """A single row of expressions, which the optimizer evaluates while planning: no job runs."""
+    return spark.sql("SELECT 1 AS one").select(*(c.alias(n) for n, c in columns.items()))
+
+
 @contextmanager
 def landed(df: DataFrame, label: str = "batch") -> Iterator[DataFrame]:
     """Write a batch once and read it back for as long as the block lasts.

@@ -7,6 +7,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import one_row
 from tidemark.sinks.files import Files
 
 SCHEMA = (
@@ -24,8 +25,10 @@ class LoadLog:
     ) -> None:
         text = cursor.isoformat() if isinstance(cursor, (datetime, date)) else cursor
         text = None if text is None else str(text)
-        row = (table, status, rows, rejected, deleted, text, datetime.now(timezone.utc))
-        df = self.spark.createDataFrame([row], SCHEMA).coalesce(1)
+        now = datetime.now(timezone.utc).isoformat()
+        values = (table, status, rows, rejected, deleted, text, now)
+        columns = zip((c.split() for c in SCHEMA.split(", ")), values)
+        df = one_row(self.spark, **{name: F.lit(v).cast(dtype) for (name, dtype), v in columns})
         # A folder per load: loads that run side by side must not share one output folder.
         df.write.parquet(f"{self.path}/load_id={load_id}")
 

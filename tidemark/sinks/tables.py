@@ -38,7 +38,7 @@ from tidemark.operators.merge import (
     one_row_per_key,
     without_keys,
 )
-from tidemark.session import landed
+from tidemark.session import landed, one_row
 from tidemark.sinks.files import Files
 
 log = logging.getLogger(__name__)
@@ -198,8 +198,8 @@ class Table:
         values = {n: literal(v, version.schema[n].dataType) for n, v in key.items()}
         only = None
         if version.layout.key and set(version.layout.key) <= set(values):
-            probe = self.spark.range(1).select(*(v.alias(n) for n, v in values.items()))
-            only = {_bucket_name(probe.select(version.layout.column()).first()[0])}
+            probe = one_row(self.spark, **values).select(version.layout.column())
+            only = {_bucket_name(probe.first()[0])}
         rows = self._scan(version, only)
         for name, value in values.items():
             rows = rows.where(F.col(name) == value)
@@ -223,11 +223,8 @@ class Table:
         parts = version.parts()
         if any(part.cursor != stored for part in parts):
             return max_cursor(self._scan(version), stored)
-        marks = [(part.mark,) for part in parts if part.mark is not None]
-        if not marks:
-            return None
-        noted = self.spark.createDataFrame(marks, "mark string").coalesce(1)
-        return noted.agg(F.max(_from_text(F.col("mark"), version.schema[stored].dataType))).first()[0]
+        marks = [_from_text(F.lit(p.mark), version.schema[stored].dataType) for p in parts if p.mark is not None]
+        return one_row(self.spark, mark=F.array_max(F.array(*marks))).first()[0] if marks else None
 
     # -- writing ---------------------------------------------------------------------------------
 

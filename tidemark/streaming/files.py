@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.scalars import field_type
+
+EVENT_TIME = "_event_time"
+
 
 def stream_files(spark: SparkSession, folder: str, schema: T.StructType | str, file_format: str = "parquet", **options):
     """New files of a folder, each once."""
@@ -17,8 +22,11 @@ def once_per_key(stream: DataFrame, key: str, cursor: str, lag_seconds: int) ->
     The window bounds the state: a key is forgotten once the mark has passed it by the lag, and a
     row that comes later than that is not taken, like a row behind the window in a batch load.
     """
-    watched = stream.withWatermark(cursor, f"{max(lag_seconds, 0)} seconds")
-    return watched.dropDuplicatesWithinWatermark([key])
+    at = F.col(cursor)
+    if not isinstance(field_type(stream, cursor), T.TimestampType):
+        at = at.try_cast("timestamp")  # text, dates, and times without a zone
+    watched = stream.withColumn(EVENT_TIME, at).withWatermark(EVENT_TIME, f"{max(lag_seconds, 0)} seconds")
+    return watched.dropDuplicatesWithinWatermark([key]).drop(EVENT_TIME)
 
 
 def run_available(stream: DataFrame, out: str, checkpoint: str) -> None:

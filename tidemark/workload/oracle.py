@@ -40,13 +40,16 @@ TYPED_EVENTS = "SELECT * REPLACE (nullif(event_type, 'error') AS event_type) FRO
 # Surrounding whitespace as code points.
 SPACES = "' ' || chr(9) || chr(10) || chr(13) || chr(160) || chr(12288)"
 
+BI_REPORT = f"""
+    SELECT region, category, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS units,
+           CAST(sum(revenue) AS {TOTAL}) AS revenue, CAST(sum(gross_margin) AS {TOTAL}) AS gross_margin
+    FROM ({MART}) GROUP BY region, category
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "gold_mart": MART,
-    "bi_report": f"""
-        SELECT region, category, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS units,
-               CAST(sum(revenue) AS {TOTAL}) AS revenue, CAST(sum(gross_margin) AS {TOTAL}) AS gross_margin
-        FROM ({MART}) GROUP BY region, category
-    """,
+    "bi_report": BI_REPORT,
+    "exported_report": BI_REPORT,
     "summary_statistics": f"""
         SELECT count(*) AS order_count, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units_sold,
                CAST(sum(CAST(l_extendedprice AS {MONEY})) AS {TOTAL}) AS total_revenue,
@@ -98,6 +101,23 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL
         SELECT * FROM events WHERE ts <= {WATERMARK} AND event_id NOT IN (SELECT event_id FROM gone)
     """,
+    "table_merge": f"""
+        SELECT * FROM ({UPSERT})
+        WHERE event_id NOT IN (SELECT event_id FROM events WHERE event_type = 'error')
+    """,
+    "ingest_run": f"""
+        WITH first AS (SELECT * FROM events WHERE ts < {SPLIT} AND coalesce(value > 0, false)),
+             batch AS (SELECT * REPLACE (value + 1 AS value) FROM events
+                       WHERE ts >= (SELECT max(ts) FROM first) - INTERVAL 86400 SECOND),
+             dead AS (SELECT event_id FROM batch WHERE event_type = 'error'),
+             live AS (SELECT * FROM batch WHERE event_type <> 'error' AND coalesce(value > 0, false)),
+             gone AS (SELECT event_id FROM dead UNION ALL SELECT event_id FROM live),
+             stored AS (SELECT * FROM live
+                        UNION ALL
+                        SELECT * FROM first WHERE event_id NOT IN (SELECT event_id FROM gone))
+        SELECT event_id, ts, user_id, event_type, CAST(value AS {MONEY}) AS value FROM stored
+    """,
+    "stream_ingest": "SELECT * FROM events",
     "normalize_columns": """
         SELECT c_custkey AS cust_key, c_name AS name, c_nationkey AS nation_key, c_acctbal AS acct_bal,
                c_mktsegment AS mkt_segment FROM customer

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,13 @@ from tidemark.operators import incremental as inc
 from tidemark.operators import merge, quality, reports
 from tidemark.operators.orders_gate import orders_gate as gate_of_orders
 from tidemark.plans import ingest, mart, orders
+from tidemark.plans.lake import Lake
 from tidemark.plans.model import model_frame, query
 from tidemark.plans.specs import Ingest
+from tidemark.session import scratch_path
+from tidemark.sinks.exports import export_parquet
+from tidemark.sinks.tables import Table
+from tidemark.streaming.files import once_per_key, run_available, stream_files
 from tidemark.workload import roles
 from tidemark.workload.roles import events, table
 
@@ -268,6 +274,57 @@ def orders_gate(spark: SparkSession, folder: str) -> DataFrame:
     return gate_of_orders(roles.orders(spark, folder))
 
 
+# -- whole loads through files -------------------------------------------------------------------
+
+
+def table_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Overwrite, then upsert and delete as one version of a table on disk."""
+    target, batch = upsert_sides(spark, folder)
+    stored = Table(spark, scratch_path(spark, "merge"), "event_id", cursor="ts")
+    stored.overwrite(target)
+    dead = events(spark, folder).where(F.col("event_type") == "error")
+    stored.merge(batch, dead)
+    return stored.read()
+
+
+CSV_EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, is_deleted boolean"
+)
+CSV_TIME = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def ingest_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads from CSV: a first one, and one that starts from its high-water mark less the lag."""
+    error = F.col("event_type") == "error"
+    rows = events(spark, folder).drop("props")
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    sources = {
+        "first": rows.where(f"ts < {SPLIT}").withColumn("is_deleted", F.lit(False)),
+        "second": rows.withColumns({"value": F.col("value") + 1, "is_deleted": error}),
+    }
+    for name, df in sources.items():
+        path = scratch_path(spark, name)
+        df.write.options(header=True, **CSV_TIME).csv(path)
+        source = {"type": "csv", "path": path, "columns": CSV_EVENTS, "options": CSV_TIME}
+        spec = replace(EVENTS_SPEC, source=source, transforms=("trim_strings",), money_columns=("value",))
+        ingest.run_ingest(lake, spec)
+    return lake.silver("events").read().drop("is_deleted")
+
+
+def exported_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report read off the exported mart."""
+    path = export_parquet(gold_mart(spark, folder), scratch_path(spark, "mart"))
+    return reports.bi_report(spark.read.parquet(path))
+
+
+def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as a stream of files, once per key, into a folder."""
+    out = scratch_path(spark, "stream")
+    files = stream_files(spark, folder, roles.SCHEMAS["events"], pathGlobFilter="events.parquet")
+    run_available(once_per_key(files, "event_id", "ts", LAG), out, scratch_path(spark, "stream-state"))
+    return spark.read.schema(roles.SCHEMAS["events"]).parquet(out)
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
@@ -304,5 +361,9 @@ QUERIES: dict[str, Query] = {
         quarantine_rejects,
         gate_report,
         orders_gate,
+        table_merge,
+        ingest_run,
+        exported_report,
+        stream_ingest,
     )
 }
