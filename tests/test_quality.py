@@ -183,3 +183,30 @@ def test_repeated_ids_count_beyond_the_first(spark, orders):
 def test_revenue(orders):
     rows = typed_orders(orders).orderBy("order_id").collect()
     assert [r["revenue"] for r in rows] == [74.97, 89.5, 438.0]
+
+
+# -- hot keys -------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_one_value_in_a_third_of_the_rows(spark, monkeypatch, few):
+    """A value, and null, that each fill a third of the batch: by broadcast and by shuffle."""
+    if not few:
+        monkeypatch.setattr(quality, "BROADCAST_KEYS", 0)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hot = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None)
+        df = spark.range(30_000).select("id", hot.otherwise(F.col("id").cast("string")).alias("t"))
+        outcome = quality.inspect(df, {"unique": ["t"], "on_fail": "quarantine"}, "id")
+        assert outcome.report.failures == {"unique:t": 20_000}
+        assert outcome.repeats == {"t": 2}
+        flagged = outcome.flagged()
+        assert quality.bad_rows(flagged).count() == 20_000
+        assert quality.good_rows(flagged).where("id % 3 <> 2").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_repeated_keys_are_counted_before_the_shuffle(spark):
+    plan = quality.repeated_keys(spark.range(10), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan

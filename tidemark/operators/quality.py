@@ -142,11 +142,13 @@ def flag_rows(
     names = [F.when(check, F.lit(rule)) for rule, check in row_rules(df, rules).items()]
     flagged = df
     for i, column in enumerate(columns):
-        key, hit = f"_key{i}", f"_hit{i}"
+        own, key, hit = f"_own{i}", f"_key{i}", f"_hit{i}"
         repeats = repeated_keys(df, column).select(F.col("_key").alias(key), F.lit(True).alias(hit))
         if column in set(broadcastable):
             repeats = F.broadcast(repeats)
-        flagged = flagged.join(repeats, key_digest(df, column).eqNullSafe(F.col(key)), "left")
+        # The digest is computed once as a column: as a join key it would be computed twice.
+        flagged = flagged.withColumn(own, key_digest(df, column))
+        flagged = flagged.join(repeats, F.col(own).eqNullSafe(F.col(key)), "left")
         names.append(F.when(F.col(hit), F.lit(f"unique:{column}")))
     failed = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
     return flagged.select(*(F.col(f"`{c}`") for c in df.columns), failed.alias(FAILED))

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import transforms
 from tidemark.functions.scalars import MONEY, has_column
@@ -93,6 +94,21 @@ def cycle(target: DataFrame, batch: DataFrame, spec: Ingest) -> DataFrame:
     return apply_changes(target, good, dead, spec.primary_key)
 
 
+def cast_lossless_money(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Cast the amounts that arrive as whole numbers or narrow decimals: no rule can see a difference.
+
+    Floating amounts are cast after the gate, which must see NaN and amounts that round to zero.
+    """
+    wanted = {c.lower() for c in columns}
+
+    def fits(dtype: T.DataType) -> bool:
+        if isinstance(dtype, T.DecimalType):
+            return dtype.scale <= MONEY.scale and dtype.precision - dtype.scale <= MONEY.precision - MONEY.scale
+        return isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType))
+
+    return cast_money(df, [f.name for f in df.schema.fields if f.name.lower() in wanted and fits(f.dataType)])
+
+
 def money_is_exact(df: DataFrame, columns: tuple[str, ...]) -> bool:
     wanted = {c.lower() for c in columns}
     return all(f.dataType == MONEY for f in df.schema.fields if f.name.lower() in wanted)
@@ -124,6 +140,7 @@ def run_ingest(lake: Lake, spec: Ingest) -> int:
     if spec.cursor:
         watermark = apply_lag(table.max_cursor(spec.cursor), spec.lag_seconds)
     batch = transforms.apply(spec.transforms, extract(spark, spec.source, spec.cursor, watermark))
+    batch = cast_lossless_money(batch, spec.money_columns)
     replaces = spec.write_mode == "overwrite"
     fresh = replaces or not table.exists()
     with ExitStack() as stack:
