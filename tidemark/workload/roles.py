@@ -72,13 +72,12 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     """Lines as orders of one product each, with the names an orders batch has."""
-    lines, parts = table(spark, folder, "lineitem"), table(spark, folder, "part")
-    return lines.join(parts, lines.l_partkey == parts.p_partkey).select(
+    return table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_shipdate").alias("order_date"),
-        F.col("l_suppkey").cast("string").alias("customer_id"),
-        F.col("p_name").alias("product"),
-        F.col("p_brand").alias("category"),
+        F.col("l_suppkey").alias("customer_id"),
+        F.col("l_partkey").alias("product"),
+        F.col("l_linestatus").alias("category"),
         F.col("l_returnflag").alias("region"),
         F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("unit_price"),
