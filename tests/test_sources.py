@@ -43,6 +43,8 @@ def test_full_and_incremental_scan(spark, database):
     assert extract(spark, source(database)).count() == 20
     rows = extract(spark, source(database), "updated_at", "2024-01-15T00:00:00")
     assert sorted(r[0] for r in rows.collect()) == list(range(15, 21))
+    with pytest.raises(ValueError, match="no_such"):
+        extract(spark, source(database), "no_such", None)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(updated_at,2024-01-15T00:00:00)" in plan
 

@@ -1,5 +1,6 @@
 """Versioned tables: overwrite, append, upsert, delete, lookup, and what stays when a load fails."""
 
+import os
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -93,17 +94,42 @@ def test_upsert_does_not_shuffle_the_table(spark, table):
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
-def test_large_key_sets_are_not_broadcast(spark, table, monkeypatch):
+def test_large_key_sets_are_not_broadcast(spark, table, tmp_path, monkeypatch):
     from tidemark.operators import merge
     from tidemark.sinks import tables
 
     monkeypatch.setattr(merge, "BROADCAST_KEYS", 1)
     monkeypatch.setattr(tables, "BROADCAST_KEYS", 1)
-    write(table, frame(spark, [(i, "a", 1.0) for i in range(100)]), "merge", "id")
-    write(table, frame(spark, [(i, "b", 2.0) for i in range(50, 150)]), "merge", "id")
-    assert content(table) == sorted(
-        [(i, "a", 1.0) for i in range(50)] + [(i, "b", 2.0) for i in range(50, 150)], key=repr
-    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plans = []
+    write_rows = tables.Table._write
+
+    def keep_plan(self, df, layout, settled=None):
+        given = settled if df is None else df
+        plans.append(given._jdf.queryExecution().executedPlan().toString())
+        return write_rows(self, df, layout, settled)
+
+    monkeypatch.setattr(tables.Table, "_write", keep_plan)
+    try:
+        for t in (table, Table(spark, str(tmp_path / "ranges"), "id", width=40)):
+            write(t, frame(spark, [(i, "a", 1.0) for i in range(100)] + [(None, "n", 0.0)]), "merge", "id")
+            write(t, frame(spark, [(i, "b", 2.0) for i in range(50, 150)] + [(None, "m", 0.0)]), "merge", "id")
+            t.delete(frame(spark, [(i,) for i in range(10)], "id int"))
+            assert content(t) == sorted(
+                [(i, "a", 1.0) for i in range(10, 50)]
+                + [(i, "b", 2.0) for i in range(50, 150)]
+                + [(None, "m", 0.0), (None, "n", 0.0)],
+                key=repr,
+            )
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # By hash: one shuffle per side, into a task per bucket, so a bucket gets one file per side.
+    assert "ShuffledHashJoin" in plans[1] and "BroadcastHashJoin" not in plans[1]
+    newest = list(table.version().live)[-1]
+    folders = [d for d in os.listdir(f"{table.path}/data/_gen={newest}") if d.startswith("_bucket=")]
+    for folder in folders:
+        files = [f for f in os.listdir(f"{table.path}/data/_gen={newest}/{folder}") if f.endswith(".parquet")]
+        assert len(files) <= 2
 
 
 def test_delete_keys(spark, table):
@@ -227,6 +253,19 @@ def test_text_and_compound_keys(spark, tmp_path):
     assert [r["amount"] for r in table.lookup(id=1, val="b").collect()] == [5.0]
 
 
+def test_buckets_follow_the_size_of_the_first_load(spark, tmp_path, monkeypatch):
+    from tidemark.sinks import tables
+
+    small = Table(spark, str(tmp_path / "small"), "id")
+    small.overwrite(spark.range(10))
+    assert small.version().layout.buckets == tables.LEAST_BUCKETS
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 400)
+    large = Table(spark, str(tmp_path / "large"), "id")
+    large.overwrite(spark.range(1000))
+    assert large.version().layout.buckets == 20
+    assert large.lookup(id=77).count() == 1
+
+
 def test_prune_keeps_what_recent_versions_use(spark, table):
     for i in range(4):
         write(table, frame(spark, [(1, f"v{i}", 1.0), (100 + i, "x", 0.0)]), "merge", "id")

@@ -22,17 +22,22 @@ def key_list(key: Key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def without_keys(df: DataFrame, keys: DataFrame, key: Key, key_rows: int | None = None) -> DataFrame:
+def without_keys(
+    df: DataFrame, keys: DataFrame, key: Key, key_rows: int | None = None, tasks: int | None = None
+) -> DataFrame:
     """Rows of ``df`` whose key is not in ``keys``; a null key matches nothing and stays.
 
     Only the key columns of the right side take part. If its row count is known and small it is
     broadcast and ``df`` is not shuffled; otherwise Spark decides by its own size estimates, and
-    AQE splits a key that holds many rows of ``df``.
+    AQE splits a key that holds many rows of ``df``. With ``tasks`` both sides are shuffled into that
+    many tasks by the hash of the key, each of which looks its rows up in a table of its keys.
     """
     names = key_list(key)
     keys = keys.select(*names)
     if key_rows is not None and key_rows <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
+    elif tasks:
+        df, keys = df.repartition(tasks, *names), keys.repartition(tasks, *names).hint("shuffle_hash")
     return df.join(keys, names, "left_anti")
 
 
@@ -52,7 +57,12 @@ def upsert(target: DataFrame, batch: DataFrame, key: Key, key_rows: int | None =
 
 
 def change_parts(
-    target: DataFrame, batch: DataFrame, dead: DataFrame, key: Key, key_rows: int | None = None
+    target: DataFrame,
+    batch: DataFrame,
+    dead: DataFrame,
+    key: Key,
+    key_rows: int | None = None,
+    tasks: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Upsert ``batch`` and delete the keys of ``dead``: rows that stay, and rows that come in.
 
@@ -60,8 +70,8 @@ def change_parts(
     """
     names = key_list(key)
     gone = batch.select(*names).unionByName(dead.select(*names))
-    kept = without_keys(target, gone, key, key_rows)
-    return kept, conform(without_keys(batch, dead, key, key_rows), target.schema)
+    kept = without_keys(target, gone, key, key_rows, tasks)
+    return kept, conform(without_keys(batch, dead, key, key_rows, tasks), target.schema)
 
 
 def apply_changes(

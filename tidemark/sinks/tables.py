@@ -21,7 +21,8 @@ import logging
 import re
 import uuid
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +46,10 @@ log = logging.getLogger(__name__)
 
 GEN, BUCKET = "_gen", "_bucket"
 NO_KEY = "null"
-DEFAULT_BUCKETS = 16
+
+# Buckets when a spec names none: by the estimated size of the first load, within these bounds.
+BUCKET_BYTES = 4 << 30
+LEAST_BUCKETS, MOST_BUCKETS = 16, 8192
 
 
 class ConcurrentWrite(RuntimeError):
@@ -67,7 +71,8 @@ class Layout:
         keyed = F.lit(True)
         for name in self.key:
             keyed = keyed & F.col(name).isNotNull()
-        return F.when(keyed, F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)))
+        # The hash by which Spark itself distributes rows in a shuffle, see ``Table._replace``.
+        return F.when(keyed, F.pmod(F.hash(*self.key), F.lit(self.buckets)).cast("bigint"))
 
 
 @dataclass(frozen=True)
@@ -138,7 +143,7 @@ class Table:
         names = tuple(key_list(key)) if key else ()
         if width and len(names) != 1:
             raise ValueError("bucket ranges need exactly one whole-number key column")
-        self._wanted = Layout(names, None if width else (buckets or DEFAULT_BUCKETS), width) if names else Layout()
+        self._wanted = Layout(names, None if width else buckets, width) if names else Layout()
         self._files = Files(spark)
 
     # -- reading ---------------------------------------------------------------------------------
@@ -228,7 +233,7 @@ class Table:
 
     # -- writing ---------------------------------------------------------------------------------
 
-    def _write(self, df: DataFrame, layout: Layout, settled: DataFrame | None = None) -> Staged:
+    def _write(self, df: DataFrame | None, layout: Layout, settled: DataFrame | None = None) -> Staged:
         """Write a new folder, not live yet, and count what was written from the file footers.
 
         ``df`` is brought together by bucket: AQE lets small buckets share a task and splits a large
@@ -237,14 +242,15 @@ class Table:
         """
         gen = uuid.uuid4().hex
         folder = f"{self.path}/data/{GEN}={gen}"
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
+        given = [d for d in (settled, df) if d is not None]
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in given[0].schema.fields])
         if layout.key:
-            rows = df.withColumn(BUCKET, layout.column()).hint("rebalance", F.col(BUCKET))
-            if settled is not None:
-                rows = settled.withColumn(BUCKET, layout.column()).unionByName(rows)
-            rows.write.partitionBy(BUCKET).parquet(folder)
-        else:
-            (df if settled is None else settled.unionByName(df)).write.parquet(folder)
+            given = [d.withColumn(BUCKET, layout.column()) for d in given]
+            if df is not None:
+                given[-1] = given[-1].hint("rebalance", F.col(BUCKET))
+        rows = reduce(DataFrame.unionByName, given)
+        writer = rows.write.partitionBy(BUCKET) if layout.key else rows.write
+        writer.parquet(folder)
         parts = self._measure(folder, layout, schema)
         folders = [self._folder(gen, b) for b in parts]
         return Staged(gen, layout, parts, self._read_folders(folders, schema, layout))
@@ -275,7 +281,10 @@ class Table:
 
     def stage_new(self, df: DataFrame) -> Staged:
         """Write a batch where it can become the whole table; its schema may differ."""
-        return self._write(df, self._wanted)
+        layout = self._wanted
+        if layout.key and not layout.width and not layout.buckets:
+            layout = replace(layout, buckets=_bucket_count(df))
+        return self._write(df, layout)
 
     def _publish(self, base: Version | None, schema: T.StructType, layout: Layout, live: Mapping) -> None:
         number = base.number + 1 if base else 1
@@ -353,8 +362,16 @@ class Table:
             key_rows = keys.count()
             touched = {b for buckets in base.live.values() for b in buckets}
         affected = self._scan(base, touched)
-        stay, fresh = change_parts(affected, batch, dead, names, key_rows)
-        if key_rows <= BROADCAST_KEYS:
+        tasks = None
+        if key_rows > BROADCAST_KEYS and bucketed and base.layout.buckets:
+            # Buckets use the hash of a shuffle. With a multiple of their number as tasks, a task
+            # of the join holds rows of one bucket, and the write needs no second shuffle.
+            at_least = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            tasks = base.layout.buckets * -(-at_least // base.layout.buckets)
+        stay, fresh = change_parts(affected, batch, dead, names, key_rows, tasks)
+        if tasks:
+            staged = self._write(None, base.layout, settled=stay.unionByName(fresh))
+        elif key_rows <= BROADCAST_KEYS:
             # The table's rows were not shuffled: each task still holds one bucket or a few.
             staged = self._write(fresh, base.layout, settled=stay)
         else:
@@ -380,6 +397,14 @@ class Table:
         return len(stale)
 
 
+def _bucket_count(df: DataFrame) -> int:
+    """Buckets of a few GB by Spark's estimate of the input; unknown sizes get the least number."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:
+        return LEAST_BUCKETS
+    return min(max(-(-size // BUCKET_BYTES), LEAST_BUCKETS), MOST_BUCKETS)
+
+
 def _stored_name(schema: T.StructType, column: str) -> str | None:
     """The table's spelling of a column: as it is, without regard to case, or normalised."""
     names = {f.name.lower(): f.name for f in schema.fields}

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.functions.scalars import has_column
 from tidemark.operators.incremental import since
 from tidemark.sources.csv import read_csv
 from tidemark.sources.jdbc import jdbc_options, qualified, read_table
@@ -41,4 +42,7 @@ def open_source(spark: SparkSession, source: Mapping) -> DataFrame:
 
 def extract(spark: SparkSession, source: Mapping, cursor: str | None = None, watermark=None) -> DataFrame:
     """Candidate rows: all of the source, or those at or after the mark."""
-    return since(open_source(spark, source), cursor, watermark)
+    rows = open_source(spark, source)
+    if cursor and source["type"] in DATABASES and not has_column(rows, cursor):
+        raise ValueError(f"{source['table']} has no column {cursor!r} to read on from")
+    return since(rows, cursor, watermark)
