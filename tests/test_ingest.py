@@ -407,6 +407,10 @@ def test_four_incremental_runs(tmp_path, lake):
     assert [(r["quantity"], r["revenue"], r["updated_at"]) for r in row] == [(4, 358.0, "2024-02-01T11:00:00")]
     history = lake.loads().read().collect()
     assert [r["rows"] for r in history] == [3, 2, 1]  # the run without changes left no entry
+    stored = orders_load.orders_table(lake).read().orderBy("order_id").collect()
+    loads = [r["load_id"] for r in history]
+    assert [loads.index(r["_load_id"]) for r in stored] == [0, 2, 0, 1, 1]
+    assert len({r["_row_id"] for r in stored}) == 5
 
 
 def test_incremental_gate_stops_a_bad_batch(tmp_path, lake):

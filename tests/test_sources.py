@@ -145,6 +145,9 @@ def test_csv_types(spark, tmp_path, monkeypatch):
     monkeypatch.setenv("P_PATH", str(tmp_path / "p.csv"))
     typed = open_source(spark, {"type": "csv", "path_env": "P_PATH", "columns": "sku string, name string, cost double"})
     assert [tuple(r) for r in typed.collect()] == [("A", '27" Monitor, black', 12.5), ("B", None, None)]
+    swapped = open_source(spark, {"type": "csv", "path_env": "P_PATH", "columns": "name string, sku string, cost double"})
+    with pytest.raises(Exception, match="header"):
+        swapped.collect()
     guessed = open_source(spark, {"type": "csv", "path_env": "P_PATH"})
     assert guessed.schema["cost"].dataType.simpleString() == "double"
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import field_type, literal, round_cents
+from tidemark.functions.transforms import add_lineage
 from tidemark.operators import reports
 from tidemark.operators.incremental import max_cursor, since
 from tidemark.operators.merge import one_row_per_key, without_keys
@@ -64,7 +65,7 @@ def run_batch(spark: SparkSession, path: str, destination: Mapping, out: str, pr
     """Read, gate, replace the orders table at the destination, and export the reports."""
     with landed(load_raw_sales(spark, path), TABLE) as orders:
         passed_or_raise(check_orders(orders))
-        load(orders, destination, TABLE, "replace", KEY)
+        load(add_lineage(orders, str(uuid.uuid4())), destination, TABLE, "replace", KEY)
         return export_csv(all_reports(orders), out, prefix)
 
 
@@ -110,8 +111,9 @@ def run_incremental(lake: Lake, path: str) -> int:
         fresh = not_seen(candidates, table, watermark)
         rows = fresh.count()
         if rows:
-            table.merge(one_row_per_key(fresh, KEY, CURSOR))
-            lake.loads().record(str(uuid.uuid4()), TABLE, "loaded", rows, cursor=max_cursor(candidates, CURSOR))
+            load_id = str(uuid.uuid4())
+            table.merge(add_lineage(one_row_per_key(fresh, KEY, CURSOR), load_id))
+            lake.loads().record(load_id, TABLE, "loaded", rows, cursor=max_cursor(candidates, CURSOR))
         return count
 
 

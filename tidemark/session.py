@@ -26,6 +26,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Files of a size worth opening; AQE still keeps all cores busy on small data.
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
         "spark.sql.session.timeZone": "UTC",
         # Keys inside the lag window are held on disk, not on the heap.
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,

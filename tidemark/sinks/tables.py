@@ -196,7 +196,7 @@ class Table:
         return reader.parquet(*folders).select(*(F.col(f"`{f.name}`") for f in schema.fields))
 
     def lookup(self, **key) -> DataFrame:
-        """Rows with one key value: one bucket is opened, and Parquet statistics skip most of it."""
+        """Rows with one key value: one bucket is opened, whose files are sorted by key."""
         version = self.version()
         if version is None:
             raise FileNotFoundError(f"no table at {self.path}")
@@ -249,8 +249,11 @@ class Table:
             if df is not None:
                 given[-1] = given[-1].hint("rebalance", F.col(BUCKET))
         rows = reduce(DataFrame.unionByName, given)
-        writer = rows.write.partitionBy(BUCKET) if layout.key else rows.write
-        writer.parquet(folder)
+        if layout.key:
+            # The write sorts by bucket anyway; with the key as well, file statistics serve lookups.
+            rows.sortWithinPartitions(BUCKET, *layout.key).write.partitionBy(BUCKET).parquet(folder)
+        else:
+            rows.write.parquet(folder)
         parts = self._measure(folder, layout, schema)
         folders = [self._folder(gen, b) for b in parts]
         return Staged(gen, layout, parts, self._read_folders(folders, schema, layout))

@@ -22,7 +22,9 @@ def read_csv(
     Give a schema: without one the files are read an extra time to guess the types. Files stay
     splittable; quoted line breaks need the option ``multiLine``.
     """
-    reader = spark.read.option("header", True).option("escape", '"').options(**(options or {}))
+    # Without enforceSchema a header that does not name the declared columns is an error, where
+    # values would else be taken by position.
+    reader = spark.read.options(header=True, escape='"', enforceSchema=False).options(**(options or {}))
     if schema is None:
         log.warning("%s: no schema given, types are inferred by an extra pass", path)
         return reader.option("inferSchema", True).csv(path)
