@@ -266,6 +266,19 @@ def test_buckets_follow_the_size_of_the_first_load(spark, tmp_path, monkeypatch)
     assert large.lookup(id=77).count() == 1
 
 
+def test_a_first_load_writes_few_files_per_bucket(spark, tmp_path):
+    table = Table(spark, str(tmp_path / "t"), "id", buckets=8)
+    table.overwrite(spark.range(0, 20_000, 1, 16))
+    plan = table._spread(spark.range(1), table.version().layout)
+    assert plan == 16
+    (gen,) = table.version().live
+    folder = f"{table.path}/data/_gen={gen}"
+    for bucket in (d for d in os.listdir(folder) if d.startswith("_bucket=")):
+        assert len([f for f in os.listdir(f"{folder}/{bucket}") if f.endswith(".parquet")]) == 1
+    rows = [r["id"] for r in spark.read.parquet(f"{folder}/_bucket=3").collect()]
+    assert rows == sorted(rows)
+
+
 def test_prune_keeps_what_recent_versions_use(spark, table):
     for i in range(4):
         write(table, frame(spark, [(1, f"v{i}", 1.0), (100 + i, "x", 0.0)]), "merge", "id")

@@ -247,7 +247,7 @@ class Table:
         if layout.key:
             given = [d.withColumn(BUCKET, layout.column()) for d in given]
             if df is not None:
-                given[-1] = given[-1].hint("rebalance", F.col(BUCKET))
+                given[-1] = given[-1].hint("rebalance", self._spread(df, layout), F.col(BUCKET))
         rows = reduce(DataFrame.unionByName, given)
         if layout.key:
             # The write sorts by bucket anyway; with the key as well, file statistics serve lookups.
@@ -258,6 +258,15 @@ class Table:
         folders = [self._folder(gen, b) for b in parts]
         return Staged(gen, layout, parts, self._read_folders(folders, schema, layout))
 
+    def _spread(self, df: DataFrame, layout: Layout) -> int:
+        """Shuffle partitions that bring rows together by bucket.
+
+        Twice the buckets, so that few share a partition: when AQE splits a large partition, each
+        piece writes a file for every bucket in it. Small partitions are merged again.
+        """
+        usual = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return max(usual, 2 * (layout.buckets or _bucket_count(df)))
+
     def _measure(self, folder: str, layout: Layout, schema: T.StructType) -> dict[str, Part]:
         """Rows and highest cursor per bucket: reads no column but the cursor."""
         cursor = _stored_name(schema, self.cursor) if self.cursor else None
@@ -369,8 +378,8 @@ class Table:
         if key_rows > BROADCAST_KEYS and bucketed and base.layout.buckets:
             # Buckets use the hash of a shuffle. With a multiple of their number as tasks, a task
             # of the join holds rows of one bucket, and the write needs no second shuffle.
-            at_least = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            tasks = base.layout.buckets * -(-at_least // base.layout.buckets)
+            usual = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            tasks = base.layout.buckets * -(-usual // base.layout.buckets)
         stay, fresh = change_parts(affected, batch, dead, names, key_rows, tasks)
         if tasks:
             staged = self._write(None, base.layout, settled=stay.unionByName(fresh))
