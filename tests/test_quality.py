@@ -28,12 +28,12 @@ def test_mask_and_counts(spark):
     report = quality.inspect(spark.createDataFrame(rows, "id int, amount int"), rules, "id").report
     assert not report.passed
     assert (report.total, report.failures, report.bad_count) == (3, {"positive:amount": 1, "unique:id": 2}, 2)
-    assert report.summary() == "quality FAILED (2/3 bad rows): positive:amount=1, unique:id=2"
+    assert report.summary() == "2 of 3 rows break rules (positive:amount=1; unique:id=2)"
 
 
 def test_clean_batch(spark):
     report = quality.inspect(spark.createDataFrame([(1, 1)], "id int, amount int"), {"positive": ["amount"]}, "id").report
-    assert report.passed and report.bad_count == 0 and report.summary() == "quality OK (1 rows)"
+    assert report.passed and report.bad_count == 0 and report.summary() == "0 of 1 rows break rules"
 
 
 def test_missing_columns(spark):
@@ -145,6 +145,7 @@ def second(column, value):
 def test_clean_orders_pass(orders):
     report = check_orders(orders)
     assert report.passed and list(report.checks) == list(CHECKS) and not report.errors
+    assert report.summary() == "3 orders passed all checks"
 
 
 def test_missing_column_stops_the_checks(orders):
@@ -169,6 +170,7 @@ def test_each_check(orders, column, value, check):
     broken = orders.withColumn(column, second(column, value))
     report = check_orders(broken)
     assert failing(report) == {check} and len(report.errors) == 1
+    assert report.summary() == f"3 orders failed {check}: {report.errors[0]}"
     row = orders_gate(broken).first().asDict()
     assert {c for c in CHECKS if not row[c]} == {check}
 

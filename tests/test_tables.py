@@ -204,6 +204,9 @@ def test_two_writers_do_not_overwrite_each_other(spark, table):
     with pytest.raises(ConcurrentWrite):
         table._publish(base, base.schema, base.layout, base.live)
     assert table.row_count() == 2
+    with pytest.raises(ConcurrentWrite):
+        table.overwrite(frame(spark, [(3, "c", 1.0)]), create=True)
+    assert table.row_count() == 2
 
 
 def test_max_cursor_ignores_nan_and_missing_tables(spark, table):
@@ -283,6 +286,7 @@ def test_prune_keeps_what_recent_versions_use(spark, table):
     for i in range(4):
         write(table, frame(spark, [(1, f"v{i}", 1.0), (100 + i, "x", 0.0)]), "merge", "id")
     before = content(table)
-    assert table.prune(keep=1) > 0
+    assert table.prune(keep=4) == 0  # the first folders are young
+    assert table.prune(keep=1, min_age_hours=0) > 0
     assert content(table) == before
-    assert table.prune(keep=1) == 0
+    assert table.prune(keep=1, min_age_hours=0) == 0

@@ -22,6 +22,14 @@ CHECKS = (
     "order_date_parses",
 )
 
+# Error texts of the checks, in report order.
+MISSING = "Missing columns: {}"
+NULLS = "Null values found in: {}"
+DUPLICATES = "{} duplicate order_id value(s)"
+QUANTITY = "Non-positive quantity detected"
+PRICE = "Non-positive unit_price detected"
+DATES = "Unparseable order_date value(s)"
+
 
 @dataclass(frozen=True)
 class OrdersReport:
@@ -34,11 +42,9 @@ class OrdersReport:
         return all(self.checks.values())
 
     def summary(self) -> str:
-        lines = [f"Rows evaluated: {self.total_rows}"]
-        lines += [f"  [{'PASS' if ok else 'FAIL'}] {name}" for name, ok in self.checks.items()]
-        if self.errors:
-            lines += ["Errors:", *(f"    - {e}" for e in self.errors)]
-        return "\n".join(lines)
+        failed = [name for name, ok in self.checks.items() if not ok]
+        verdict = f"failed {', '.join(failed)}: {'; '.join(self.errors)}" if failed else "passed all checks"
+        return f"{self.total_rows} orders {verdict}"
 
 
 def missing_columns(df: DataFrame) -> list[str]:
@@ -89,15 +95,15 @@ def check_orders(df: DataFrame) -> OrdersReport:
     """Run the checks: one job, one row to the driver."""
     missing = missing_columns(df)
     if missing:
-        return OrdersReport(df.count(), {CHECKS[0]: False}, [f"Missing columns: {missing}"])
+        return OrdersReport(df.count(), {CHECKS[0]: False}, [MISSING.format(missing)])
     row = order_counts(df).first()
     with_nulls = [c for c in REQUIRED if row[f"null_{c}"]]
     found = {
-        CHECKS[1]: with_nulls and f"Null values found in: {with_nulls}",
-        CHECKS[2]: row["repeated_ids"] and f"{row['repeated_ids']} duplicate order_id value(s)",
-        CHECKS[3]: row["bad_quantity"] and "Non-positive quantity detected",
-        CHECKS[4]: row["bad_price"] and "Non-positive unit_price detected",
-        CHECKS[5]: row["bad_date"] and "Unparseable order_date value(s)",
+        CHECKS[1]: with_nulls and NULLS.format(with_nulls),
+        CHECKS[2]: row["repeated_ids"] and DUPLICATES.format(row["repeated_ids"]),
+        CHECKS[3]: row["bad_quantity"] and QUANTITY,
+        CHECKS[4]: row["bad_price"] and PRICE,
+        CHECKS[5]: row["bad_date"] and DATES,
     }
     checks = {CHECKS[0]: True, **{name: not problem for name, problem in found.items()}}
     return OrdersReport(row["total_rows"], checks, [p for p in found.values() if p])

@@ -58,10 +58,8 @@ class Report:
         return not self.failures
 
     def summary(self) -> str:
-        if self.passed:
-            return f"quality OK ({self.total} rows)"
-        broken = ", ".join(f"{rule}={n}" for rule, n in self.failures.items())
-        return f"quality FAILED ({self.bad_count}/{self.total} bad rows): {broken}"
+        counts = "; ".join(f"{rule}={n}" for rule, n in self.failures.items())
+        return f"{self.bad_count} of {self.total} rows break rules" + (f" ({counts})" if counts else "")
 
 
 def row_rules(df: DataFrame, rules: Rules) -> dict[str, Column]:

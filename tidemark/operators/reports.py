@@ -24,7 +24,7 @@ def exact_sum(df: DataFrame, column: str) -> Column:
     """
     if not is_floating(field_type(df, column)):
         return F.sum(F.col(column).cast(MONEY))
-    cents, billion = F.rint(F.col(column) * 100).cast("bigint"), F.lit(BILLION).cast("bigint")
+    cents, billion = F.rint(F.col(column).cast("double") * 100).cast("bigint"), F.lit(BILLION).cast("bigint")
     high, low = F.sum(F.call_function("div", cents, billion)), F.sum(cents % billion)
     whole = high.cast("decimal(19,0)") * F.lit(BILLION).cast("decimal(10,0)") + low.cast("decimal(19,0)")
     return whole * F.lit("0.01").cast("decimal(2,2)")

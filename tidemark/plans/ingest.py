@@ -163,7 +163,7 @@ def run_ingest(lake: Lake, spec: Ingest) -> int:
         keyed = spec.write_mode == "merge"
         good = one_row_per_key(parts.good, spec.primary_key, cursor) if keyed and not parts.unique else parts.good
         if staged is not None and not rejected and not deleted and good is parts.good:
-            table.overwrite(staged) if fresh else table.append(staged)
+            table.overwrite(staged, create=not replaces) if fresh else table.append(staged)
         else:
             store(table, cast_money(good, spec.money_columns), parts.dead, spec, fresh, written, deleted)
         lake.loads().record(load_id, spec.table, "loaded", written, rejected, deleted, reached)
@@ -178,7 +178,8 @@ def store(
     key = spec.primary_key
     if fresh:
         if written:
-            table.overwrite(without_keys(good, dead, key, deleted) if deleted else good)
+            rows = without_keys(good, dead, key, deleted) if deleted else good
+            table.overwrite(rows, create=spec.write_mode != "overwrite")
         elif deleted and table.exists():
             table.delete(dead, key)
     elif spec.write_mode == "append":

@@ -31,7 +31,7 @@ INCREMENTAL_SCHEMA = f"{ORDERS_SCHEMA.replace('order_date date', 'order_date str
 TABLE, KEY, CURSOR = "orders", "order_id", "updated_at"
 
 # Fixed value: the mark the first incremental load starts from.
-INITIAL_WATERMARK = "2000-01-01T00:00:00"
+FIRST_WATERMARK = "2000-01-01T00:00:00"
 
 
 def typed_orders(df: DataFrame) -> DataFrame:
@@ -118,7 +118,7 @@ def run_incremental(lake: Lake, path: str) -> int:
 
 
 def current_watermark(lake: Lake) -> str:
-    return lake.loads().last_cursor(TABLE, INITIAL_WATERMARK)
+    return lake.loads().last_cursor(TABLE, FIRST_WATERMARK)
 
 
 def order_snapshot(lake: Lake, order_id: int) -> DataFrame:

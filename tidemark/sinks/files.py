@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,9 +17,12 @@ class Files:
         p = self._path(path)
         return p.getFileSystem(self._conf), p
 
-    def names(self, folder: str) -> list[str]:
+    def names(self, folder: str, min_age_seconds: float = 0) -> list[str]:
+        """Entries of a folder, those not changed lately if an age is given; none if it is missing."""
         fs, p = self._open(folder)
-        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        newest = (time.time() - min_age_seconds) * 1000
+        found = fs.listStatus(p) if fs.exists(p) else []
+        return [s.getPath().getName() for s in found if not min_age_seconds or s.getModificationTime() <= newest]
 
     def read(self, path: str) -> str:
         fs, p = self._open(path)

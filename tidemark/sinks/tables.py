@@ -228,8 +228,9 @@ class Table:
         parts = version.parts()
         if any(part.cursor != stored for part in parts):
             return max_cursor(self._scan(version), stored)
-        marks = [_from_text(F.lit(p.mark), version.schema[stored].dataType) for p in parts if p.mark is not None]
-        return one_row(self.spark, mark=F.array_max(F.array(*marks))).first()[0] if marks else None
+        noted = F.from_json(F.lit(json.dumps([p.mark for p in parts])), "array<string>")
+        marks = F.transform(noted, lambda mark: _from_text(mark, version.schema[stored].dataType))
+        return one_row(self.spark, mark=F.array_max(marks)).first()[0]
 
     # -- writing ---------------------------------------------------------------------------------
 
@@ -304,9 +305,12 @@ class Table:
         if not self._files.create(self._version_file(number), version.to_json()):
             raise ConcurrentWrite(f"version {number} of {self.path} was published by another load")
 
-    def overwrite(self, df: DataFrame | Staged) -> int:
-        """Replace all rows; the schema may change. The rows may come from this very table."""
-        base = self.version()
+    def overwrite(self, df: DataFrame | Staged, create: bool = False) -> int:
+        """Replace all rows; the schema may change. The rows may come from this very table.
+
+        With ``create`` it is an error if the table came into being in the meantime.
+        """
+        base = None if create else self.version()
         staged = df if isinstance(df, Staged) else self.stage_new(df)
         self._publish(base, staged.df.schema, staged.layout, {staged.folder: staged.parts})
         return staged.rows()
@@ -340,7 +344,7 @@ class Table:
         if not names:
             raise ValueError("an upsert needs a primary key")
         if base is None:
-            self.overwrite(batch if dead is None else without_keys(batch, dead, names))
+            self.overwrite(batch if dead is None else without_keys(batch, dead, names), create=True)
             return
         batch = conform(batch, base.schema)
         dead = batch.select(*names).limit(0) if dead is None else _fit_keys(dead, names, base.schema)
@@ -363,7 +367,7 @@ class Table:
         dead: DataFrame,
         beside: Staged | None = None,
     ) -> None:
-        bucketed = bool(base.layout.key) and list(base.layout.key) == names
+        bucketed = [k.lower() for k in base.layout.key] == [n.lower() for n in names]
         keys = batch.select(*names).unionByName(dead)
         if bucketed:
             where = keys.groupBy(base.layout.column().alias(BUCKET)).agg(F.count(F.lit(1)).alias("n"))
@@ -392,10 +396,11 @@ class Table:
         self._publish(base, base.schema, base.layout, {**base.without(touched), **added})
         log.info("%s: %d keys, %d buckets rewritten", self.path, key_rows, len(touched))
 
-    def prune(self, keep: int = 2) -> int:
+    def prune(self, keep: int = 2, min_age_hours: float = 24) -> int:
         """Delete version files and folders that none of the newest ``keep`` versions uses.
 
-        Never done by a load: a reader may still be on an older version.
+        Never done by a load: a reader may still be on an older version. Young folders stay, as they
+        may belong to a load that is still running.
         """
         numbers = self._versions()
         used: set[str] = set()
@@ -403,7 +408,8 @@ class Table:
             used |= set(Version.from_json(number, self._files.read(self._version_file(number))).live)
         for number in numbers[:-keep]:
             self._files.remove(self._version_file(number))
-        stale = [n for n in self._files.names(f"{self.path}/data") if n.removeprefix(f"{GEN}=") not in used]
+        old = self._files.names(f"{self.path}/data", min_age_hours * 3600)
+        stale = [n for n in old if n.removeprefix(f"{GEN}=") not in used]
         for name in stale:
             self._files.remove(f"{self.path}/data/{name}")
         return len(stale)
