@@ -336,6 +336,18 @@ def test_specs_from_yaml(tmp_path):
         load_specs(tmp_path)
 
 
+def test_the_specs_in_the_readme_are_valid():
+    import re
+    from pathlib import Path
+
+    import yaml
+
+    text = (Path(__file__).parent.parent / "README.md").read_text()
+    found = [parse_spec(yaml.safe_load(block)) for block in re.findall(r"```yaml\n(.*?)```", text, re.S)]
+    assert [s.name for s in found] == ["invoices", "sales_by_day"]
+    assert found[0].quality.on_fail == "quarantine" and found[0].bucket_width == 1_000_000
+
+
 def test_incomplete_specs():
     with pytest.raises(KeyError, match="primary_key"):
         parse_spec({"kind": "ingest", "name": "a", "source": {}, "target": {"table": "a"}})

@@ -121,7 +121,10 @@ def test_dispositions_on_a_filesystem(spark, tmp_path):
 def test_connection_strings():
     assert jdbc_options("postgresql+psycopg2://u:p%40ss@db:5432/crm")["url"] == "jdbc:postgresql://db:5432/crm"
     assert jdbc_options("postgresql+psycopg2://u:p%40ss@db:5432/crm")["password"] == "p@ss"
-    assert jdbc_options("mysql+pymysql://u:p@db:3306/sales?useSSL=true")["url"] == "jdbc:mysql://db:3306/sales?useSSL=true"
+    assert jdbc_options("mysql+pymysql://u:p@db:3306/sales?useSSL=true")["url"] == (
+        "jdbc:mysql://db:3306/sales?useSSL=true&useCursorFetch=true"
+    )
+    assert jdbc_options("mysql://db/sales")["url"] == "jdbc:mysql://db/sales?useCursorFetch=true"
     oracle = jdbc_options("oracle+oracledb://u:p@db:1521/?service_name=ORCLPDB1")
     assert oracle["url"] == "jdbc:oracle:thin:@//db:1521/ORCLPDB1" and oracle["user"] == "u"
     assert jdbc_options("sqlite:////data/x.db")["url"] == "jdbc:sqlite:/data/x.db"

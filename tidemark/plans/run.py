@@ -20,12 +20,18 @@ def run_job(lake: Lake, specs: Specs, name: str) -> int:
 def run_all(lake: Lake, specs: Specs, parallel: int = 1) -> dict[str, int]:
     """All ingests, then all models, as models read silver tables only. Rows per job.
 
-    ``parallel`` ingests at a time share the cluster; each writes its own table.
+    ``parallel`` jobs at a time share the cluster, each in a scheduler pool of its own, so that with
+    ``spark.scheduler.mode=FAIR`` a long one does not hold up the others. Each writes its own table.
     """
     rows: dict[str, int] = {}
+
+    def run_in_pool(name: str) -> int:
+        lake.spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return run_job(lake, specs, name)
+
+    run = inheritable_thread_target(lake.spark)(run_in_pool)
     for group in (specs.ingests(), specs.models()):
         names = [s.name for s in group]
-        run = inheritable_thread_target(lake.spark)(lambda name: run_job(lake, specs, name))
         with ThreadPoolExecutor(max_workers=parallel) as pool:
             rows.update(zip(names, pool.map(run, names)))
     return rows

@@ -26,6 +26,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Loads that run side by side take turns.
+        "spark.scheduler.mode": "FAIR",
         # A dimension of this size, as Spark estimates it, is worth a copy per executor.
         "spark.sql.autoBroadcastJoinThreshold": "64m",
         # Files of a size worth opening; AQE still keeps all cores busy on small data.

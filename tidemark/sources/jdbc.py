@@ -48,6 +48,9 @@ def jdbc_options(dsn: str) -> dict[str, str]:
         service = parse_qs(query).get("service_name", [parts.path.lstrip("/")])[0]
         url = f"jdbc:{protocol}:@//{host}/{service}"
     else:
+        if scheme == "mysql" and "useCursorFetch" not in query:
+            # Without it the driver ignores the fetch size and holds a whole partition in memory.
+            query = "&".join(q for q in (query, "useCursorFetch=true") if q)
         url = f"jdbc:{protocol}://{host}{parts.path}" + (f"?{query}" if query else "")
     options = {"url": url, "driver": driver}
     if parts.username:
