@@ -2,12 +2,13 @@
 
 import csv
 import os
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import types as T
 
-from tidemark.operators.quality import QualityError
+from tidemark.operators.quality import QualityError, Rules
 from tidemark.operators.reports import bi_report
 from tidemark.plans import orders as orders_load
 from tidemark.plans.ingest import run_ingest
@@ -265,6 +266,19 @@ def test_repeated_keys_in_a_load_keep_the_newest(tmp_path, lake):
     assert [(r["id"], r["val"]) for r in lake.silver("events_cdc").read().collect()] == [(1, "new")]
 
 
+def test_repeated_keys_are_quarantined(tmp_path, lake):
+    rows = [(1, "a", 0, "2024-01-01T00:00:00"), (2, "b", 0, "2024-01-02T00:00:00"), (2, "c", 0, "2024-01-03T00:00:00")]
+    put(tmp_path / "events.csv", EVENTS, rows)
+    spec = replace(events_spec(tmp_path), quality=Rules(on_fail="quarantine"))
+    assert run_ingest(lake, spec) == 1 and ids(lake) == [1]
+    assert sorted((r["id"], r["val"]) for r in lake.rejects("events_cdc").collect()) == [(2, "b"), (2, "c")]
+    # Known keys that repeat in a later batch are rejected too, and the table keeps its rows.
+    put(tmp_path / "events.csv", EVENTS, [(1, "x", 0, "2024-02-01T00:00:00"), (1, "y", 0, "2024-02-01T00:00:00")])
+    assert run_ingest(lake, spec) == 0
+    assert [r["val"] for r in lake.silver("events_cdc").read().collect()] == ["a"]
+    assert lake.rejects("events_cdc").count() == 4
+
+
 def test_upper_case_cursor(tmp_path, lake):
     columns = "ENTRY_ID int, ACCOUNT string, DEPARTMENT string, AMOUNT double, `Last Modified` string"
     header = ["ENTRY_ID", "ACCOUNT", "DEPARTMENT", "AMOUNT", "Last Modified"]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Callable
 from contextlib import ExitStack
 from dataclasses import dataclass
 
@@ -39,6 +40,9 @@ from tidemark.sources.extract import extract
 log = logging.getLogger(__name__)
 
 
+Keep = Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class Split:
     """A gated batch: rows to upsert, rows whose keys are deleted, and rejects."""
@@ -58,8 +62,15 @@ def split_deletes(batch: DataFrame, column: str | None) -> tuple[DataFrame, Data
     return batch.where(~dead), batch.where(dead)
 
 
-def gate(name: str, live: DataFrame, rules: Rules | None, primary_key: str) -> Split:
-    """Apply the rules the way ``on_fail`` says; raise if that is abort and a rule was broken."""
+def as_it_is(df: DataFrame) -> DataFrame:
+    return df
+
+
+def gate(name: str, live: DataFrame, rules: Rules | None, primary_key: str, keep: Keep = as_it_is) -> Split:
+    """Apply the rules the way ``on_fail`` says; raise if that is abort and a rule was broken.
+
+    ``keep`` stores a frame that is costly to derive and is read several times.
+    """
     if rules is None:
         return Split(live, None, None, None, unique=False)
     outcome: Gate = inspect(live, rules, primary_key)
@@ -71,14 +82,14 @@ def gate(name: str, live: DataFrame, rules: Rules | None, primary_key: str) -> S
         raise QualityError(f"[{name}] {report.summary()}")
     if rules.on_fail == "warn":
         return Split(live, None, None, report, unique=not keyed)
-    flagged = outcome.flagged()
+    flagged = keep(outcome.flagged()) if outcome.repeats else outcome.flagged()
     return Split(good_rows(flagged), None, bad_rows(flagged), report, unique=True)
 
 
-def gated(name: str, batch: DataFrame, spec: Ingest) -> Split:
+def gated(name: str, batch: DataFrame, spec: Ingest, keep: Keep = as_it_is) -> Split:
     """Split a transformed batch that reads the same each time."""
     live, dead = split_deletes(batch, spec.soft_delete_column)
-    checked = gate(name, live, spec.quality, spec.primary_key)
+    checked = gate(name, live, spec.quality, spec.primary_key, keep)
     return Split(checked.good, dead, checked.rejects, checked.report, checked.unique)
 
 
@@ -155,13 +166,17 @@ def run_ingest(lake: Lake, spec: Ingest) -> int:
         if total == 0:
             log.info("[%s] no new rows", spec.name)
             return 0
-        parts = gated(spec.name, batch, spec)
+        parts = gated(spec.name, batch, spec, lambda df: stack.enter_context(landed(df, spec.name)))
         rejected = parts.report.bad_count if parts.rejects is not None else 0
         written = total - deleted - rejected
         if rejected:
             parts.rejects.write.parquet(f"{lake.rejects_path(spec.table)}/_load_id={load_id}")
         keyed = spec.write_mode == "merge"
-        good = one_row_per_key(parts.good, spec.primary_key, cursor) if keyed and not parts.unique else parts.good
+        good = parts.good
+        if keyed and not parts.unique:
+            good = one_row_per_key(parts.good, spec.primary_key, cursor)
+            if good is not parts.good:
+                good = stack.enter_context(landed(good, spec.name))
         if staged is not None and not rejected and not deleted and good is parts.good:
             table.overwrite(staged, create=not replaces) if fresh else table.append(staged)
         else:

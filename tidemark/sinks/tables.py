@@ -21,6 +21,7 @@ import logging
 import re
 import uuid
 from collections.abc import Iterable, Mapping
+from contextlib import ExitStack
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -481,7 +482,11 @@ def write(
     if mode == "merge":
         if not primary_key:
             raise ValueError("merge needs a primary key")
-        with landed(df) as batch:
-            table.merge(one_row_per_key(batch, primary_key, cursor), key=primary_key)
+        with ExitStack() as stack:
+            batch = stack.enter_context(landed(df))
+            newest = one_row_per_key(batch, primary_key, cursor)
+            if newest is not batch:
+                newest = stack.enter_context(landed(newest))
+            table.merge(newest, key=primary_key)
             return batch.count()
     raise ValueError(f"unknown write mode {mode!r}; use one of {', '.join(MODES)}")
