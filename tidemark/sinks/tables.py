@@ -50,7 +50,7 @@ NO_KEY = "null"
 
 # Buckets when a spec names none: by the estimated size of the first load, within these bounds.
 BUCKET_BYTES = 4 << 30
-LEAST_BUCKETS, MOST_BUCKETS = 16, 8192
+LEAST_BUCKETS, MOST_BUCKETS = 8, 8192
 
 
 class ConcurrentWrite(RuntimeError):
