@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +19,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 20_000
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver has it, if they don't have it installed."""
+    environment, here = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if here not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, here]))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    on_workers(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -88,15 +99,3 @@ def to_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
         for field, value in ((f, columns[f.name]) for f in schema)
     ]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-
-def with_column(df: DataFrame, name: str, kind: str, inputs: list[Column], function: Callable) -> DataFrame:
-    """Add a column computed from others in Arrow batches; rows and their other columns stay as they are."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
-    def run(*series: pd.Series) -> pd.Series:
-        return pd.Series(function(*series))
-
-    run.__annotations__ = {"series": pd.Series, "return": pd.Series}
-    return df.withColumn(name, pandas_udf(run, kind)(*inputs))
