@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, cuckoo_dedup, langid, mixing, quality, simhash, warc
+from tidemark.llm import bpe, cuckoo_dedup, improbable, langid, mixing, quality, simhash, warc
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op4_mixing": mixing.op4_mixing,
     "op5_warc": warc.op5_warc,
     "op6_cuckoo_dedup": cuckoo_dedup.op6_cuckoo_dedup,
+    "op7_improbable": improbable.op7_improbable,
     "op8_simhash": simhash.op8_simhash,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_language_id": langid.op10_language_id,
