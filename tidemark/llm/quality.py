@@ -29,7 +29,7 @@ SAMPLE_ROWS = 20_000
 THRESHOLD = 0.3
 HIDDEN, EPOCHS, RATE, DECAY = 24, 60, 3e-3, 1e-4
 #: Words that a worker remembers the row of, and words handled at once. Results don't depend on them.
-REMEMBERED, AT_ONCE = 1_000_000, 200_000
+REMEMBERED, SUMMED_AT_ONCE, POOLED_AT_ONCE = 1_000_000, 1_000_000, 100_000
 FEATURES = 3 * DIM + 5
 SUMS = "part long, sums binary"
 
@@ -71,7 +71,7 @@ def sum_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     gap = np.full(REACH, ROWS, dtype=np.int32)
     seen = False
     for batch in batches:
-        for texts in in_runs(batch.column(0).to_pylist()):
+        for texts in in_runs(batch.column(0).to_pylist(), SUMMED_AT_ONCE):
             pieces = [gap]
             for rows in texts:
                 pieces += (rows, gap)
@@ -88,13 +88,13 @@ def sum_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield to_batch({"part": range(PARTS), "sums": [pack(p.tobytes()) for p in parts]}, arrow_schema(SUMS))
 
 
-def in_runs(texts: list[str | None]) -> Iterator[list[np.ndarray]]:
+def in_runs(texts: list[str | None], words: int) -> Iterator[list[np.ndarray]]:
     """Texts as rows of the table, a few at a time."""
     run, held = [], 0
     for text in texts:
         run.append(rows_of(text))
         held += len(run[-1])
-        if held >= AT_ONCE:
+        if held >= words:
             yield run
             run, held = [], 0
     if run:
@@ -137,7 +137,7 @@ class Pooler:
         np.put_along_axis(self.index, places, signs.astype(np.float32), axis=1)
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
-        runs = [self._pool(run) for run in in_runs(texts)]
+        runs = [self._pool(run) for run in in_runs(texts, POOLED_AT_ONCE)]
         return np.vstack(runs) if runs else np.zeros((0, FEATURES), dtype=np.float32)
 
     def _pool(self, run: list[np.ndarray]) -> np.ndarray:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, cuckoo_dedup, improbable, langid, mixing, quality, simhash, urls, warc
+from tidemark.llm import bpe, cuckoo_dedup, html, improbable, langid, mixing, quality, simhash, urls, warc
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
+    "op2_html_extraction": html.op2_html_extraction,
     "op3_url_filter": urls.op3_url_filter,
     "op4_mixing": mixing.op4_mixing,
     "op5_warc": warc.op5_warc,
