@@ -35,7 +35,7 @@ def equal_pairs(data: np.ndarray) -> np.ndarray:
     """For each window, the number of its pairs of equal bytes."""
     n = len(data) - WINDOW + 1
     if n <= 0:
-        return np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.int16)
     ahead, behind = np.zeros(len(data), dtype=np.uint8), np.zeros(len(data), dtype=np.uint8)
     for lag in range(1, WINDOW):
         same = (data[lag:] == data[:-lag]).view(np.uint8)
@@ -44,13 +44,17 @@ def equal_pairs(data: np.ndarray) -> np.ndarray:
     first = data[:WINDOW]
     start = int((first[:, None] == first[None, :]).sum() - WINDOW) // 2
     # A step drops the pairs of the byte that leaves and adds those of the byte that enters.
-    change = behind[WINDOW:].astype(np.int64) - ahead[: n - 1]
-    return np.concatenate(([start], start + np.cumsum(change)))
+    change = behind[WINDOW:].astype(np.int16) - ahead[: n - 1]
+    out = np.empty(n, dtype=np.int16)
+    out[0] = start
+    np.cumsum(change, dtype=np.int16, out=out[1:])
+    out[1:] += np.int16(start)
+    return out
 
 
-def measured(texts: list[bytes]) -> list[np.ndarray]:
-    """``equal_pairs`` of each text, many texts at a time."""
-    out, at = [], 0
+def measured(texts: list[bytes]) -> Iterator[np.ndarray]:
+    """``equal_pairs`` of each text, measured for many texts at a time."""
+    at = 0
     while at < len(texts):
         stop, held = at, 0
         while stop < len(texts) and (stop == at or held < AT_ONCE):
@@ -59,10 +63,9 @@ def measured(texts: list[bytes]) -> list[np.ndarray]:
         pairs = equal_pairs(np.frombuffer(b"".join(texts[at:stop]), dtype=np.uint8))
         start = 0
         for text in texts[at:stop]:
-            out.append(pairs[start : max(start, start + len(text) - WINDOW + 1)])
+            yield pairs[start : max(start, start + len(text) - WINDOW + 1)]
             start += len(text)
         at = stop
-    return out
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
@@ -82,7 +85,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
     counts = np.zeros(PAIRS, dtype=object)  # PAIRS rows at most
     for row in rows:
         counts[row["pairs"]] = row["n"]
-    ranks = np.empty(PAIRS, dtype=np.int64)
+    ranks = np.empty(PAIRS, dtype=np.int16)
     ranks[sorted(range(PAIRS), key=lambda p: (counts[p], p))] = np.arange(PAIRS)
     return ranks
 
@@ -95,7 +98,7 @@ def features(ranks: np.ndarray) -> np.ndarray:
     n = len(ranks)
     if not n:
         return np.zeros(0, dtype=np.int64)
-    keys = ranks << 40 | np.arange(n)
+    keys = ranks.astype(np.int64) << 40 | np.arange(n)
     width = 1
     while width * 2 <= min(NEIGHBOURS, n):
         keys = np.minimum(keys[:-width], keys[width:])
