@@ -15,8 +15,8 @@ from tidemark.session import scratch_root
 #: ASCII white space: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows of a table that may be copied to every executor; more are joined by a shuffle.
-BROADCAST_ROWS = 20_000
+#: Rows of a table that may be copied to every executor, and bytes of their texts; more are joined by a shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 20_000, 16 << 20
 
 
 def on_workers(spark: SparkSession) -> None:
@@ -44,8 +44,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a table for broadcast if a count shows that it has few rows; its rows must be narrow."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """Mark a table for broadcast if a count shows that its rows are few and its texts short.
+
+    The table should be written already, as it is read for the count.
+    """
+    texts = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    found = df.agg(F.count("*"), *texts).first()
+    return F.broadcast(df) if found[0] <= rows and sum(found[1:]) <= BROADCAST_BYTES else df
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

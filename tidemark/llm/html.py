@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_batch, cut, table, text_of
+from tidemark.llm.common import by_batch, cut, small, table, text_of
 from tidemark.llm.urls import host_and_path
 
 #: A token of the template is on at least this share of the host's pages; text only from so many pages on.
@@ -326,7 +326,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     """
     host, _ = host_and_path(F.col("url"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), text_of("html").alias("html"))
-    rows = rows.join(templates(rows), "host", "left")
+    rows = rows.join(small(templates(rows)), "host", "left")
     known: dict[str, dict] = {}
 
     def run(batch: pa.RecordBatch) -> dict:
