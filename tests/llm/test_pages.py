@@ -1,0 +1,151 @@
+"""HTML, URLs and archives."""
+
+import hashlib
+import html
+import re
+
+import pytest
+import zstandard
+
+from tidemark.llm import urls, warc
+from tidemark.llm.html import deduce, extracted, main_text, op2_html_extraction
+
+NO_TEMPLATE = {"articles": [], "menus": [], "fixed": []}
+
+
+def test_main_text_query_by_hand(spark, sf):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    for row in op2_html_extraction(spark, sf).collect():
+        article = re.search(r"<article>(.*?)(</article>|$)", pages[row.page_id], re.S)[1]
+        plain = re.sub(r"<[^>]*>", "", re.sub(r"</?(?:h1|p|br)>", " ", article))
+        assert row.text == " ".join(html.unescape(plain).split())
+        assert row.n_chars == len(row.text)
+
+
+@pytest.mark.parametrize(
+    ("source", "expected"),
+    [
+        ("", ""),
+        ("just text", "just text"),
+        ("<p>Hello <b>wor</b>ld &lt;3 &nbsp; x<p>two", "Hello world <3 x two"),
+        ("<article>a<script>var t='</p>'</script>b<style>p{}</style><!-- c --></article>", "a b"),
+        ("<article><p>x</p><aside>no</aside><form>no</form><div class='cookie-notice'>no</div></article>", "x"),
+        ("<header>no</header><main><p>yes</main><footer>no</footer>", "yes"),
+        ("<div id=comments><article>no</article></div><div class=post>yes</div>", "yes"),
+        ("<article><ul><li>a<li>b</ul>c < d & e</article>", "a b c < d & e"),
+        ("<article><a href='x>y'>link</a> <a title=\"q\"", "link"),
+        ("<article><p>cut off <b", "cut off"),
+        ("<div>no</div><article></article>", ""),
+    ],
+)
+def test_main_text(source, expected):
+    assert main_text(source, NO_TEMPLATE) == expected
+
+
+def test_very_odd_markup_is_quick():
+    for source in ("<" * 100_000, "<a b='" * 20_000, "<div>" * 50_000 + "x", "&" * 100_000, "<!--" * 20_000):
+        main_text(source, NO_TEMPLATE)
+
+
+def test_template_from_classes(spark):
+    """Without an article, fixed texts and link lists of a host go; what varies stays."""
+    links = "".join(f"<li><a href='/{i}'>Section {i}</a></li>" for i in range(5))
+    rows = [(i, "http://h.com/", f"<html><body><ul>{links}</ul><div>Welcome to the site</div><div><p>Story {i} is here</p></div></body></html>") for i in range(6)]
+    found = {r.page_id: r.text for r in extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: f"Story {i} is here" for i in range(6)}
+
+
+def test_classes_nest_from_the_root():
+    def tag(path, vector, pages=4):
+        return {"token": path, "kind": 0, "pages": pages, "total": pages, "vector": vector, "chars": 0, "linked": 0, "links": 0}
+
+    found = deduce(4, True, [tag("html", 1), tag("html/body", 1), tag("html/body/article", 2, 3), tag("x/article", 3, 3)])
+    assert found["articles"] == ["html/body/article"]
+
+
+def test_url_parts_and_rules(spark, sf):
+    def expected(url):
+        if url is None or "://" not in url:
+            return "", "", None, None
+        rest = url.split("://", 1)[1]
+        host = re.split(r"[/?#]", rest)[0]
+        path = re.split(r"[?#]", rest[len(host) :])[0]
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+        fits = [(len(h + p), h + p, v) for v, h, p in urls.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return (host, path, *(max(fits)[1:] if fits else (None, None)))
+
+    pages = {r.page_id: r.url for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    for row in urls.op3_url_filter(spark, sf).collect():
+        host, path, rule, verdict = expected(pages[row.page_id])
+        assert (row.host, row.path, row.rule) == (host, path, rule)
+        assert row.verdict == (verdict or ("block" if row.score > 0 else "allow"))
+    odd = ["HTTP://ÄB.Example.NET/en/x?y", "a://b://c/d", "http://net", "http://net/", "http://x.net?/en/", "://", None, "x", "http://myexample.com/de/"]
+    table = spark.createDataFrame(list(enumerate(odd)), "page_id long, url string").selectExpr("*", "'' html")
+    for row in urls.judged(table).collect():
+        assert (row.host, row.path, row.rule) == expected(odd[row.page_id])[:3]
+
+
+def test_segmentation():
+    counts = {"free": 50, "casino": 9, "win": 30, "freec": 1}
+    assert urls.split_name("freecasinowin", counts, 1000) == ["free", "casino", "win"]
+    assert urls.split_name("zzz", counts, 1000) == ["zzz"]
+    assert urls.split_name("x" * 100, counts, 1000) == ["x" * 100]
+
+
+def test_seed_hosts_and_their_company_are_blocked(spark):
+    hosts = ["casinowinner.example.com"] * 5 + ["bonus-casino.com"] * 5 + ["garden-news.com", "city-news.com", "news.org"] * 20 + ["bonus-winner.com"]
+    rows = [(i, f"http://{h}/a/{i}", "<title>news winner garden city</title>") for i, h in enumerate(hosts)]
+    found = urls.judged(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    blocked = {r.host for r in found if r.verdict == "block"}
+    assert blocked == {"casinowinner.example.com", "bonus-casino.com", "bonus-winner.com"}
+
+
+RECORD = (7, "http://x/\r\nEvil: 1", "response", None, hashlib.sha1(b"pay\r\n\r\nload").hexdigest(), b"pay\r\n\r\nload")
+
+
+def test_archive_round_trip():
+    records = [warc.record_bytes(*RECORD), warc.record_bytes(None, None, "revisit", 7, RECORD[4], RECORD[5])]
+    archive = warc.archive_bytes(records)
+    assert list(warc.frames(archive)) == records
+    first, second = map(warc.parse_record, records)
+    assert first == (7, "http://x/%0D%0AEvil: 1", "response", None, 11, RECORD[4], RECORD[5])
+    assert second == (None, None, "revisit", 7, 11, RECORD[4], None)
+    assert archive[:4] == (0x184D2A5D).to_bytes(4, "little")
+
+
+def test_archive_files(spark, tmp_path):
+    with open(tmp_path / "a.warc.zst", "wb") as out:
+        out.write(warc.archive_bytes([warc.record_bytes(*RECORD)] * 3))
+    (tmp_path / "b.warc.zst").write_bytes(zstandard.ZstdCompressor().compress(warc.record_bytes(*RECORD)))
+    rows = warc.read_archive_files(spark, str(tmp_path)).collect()
+    assert [(r.page_id, bytes(r.payload)) for r in rows] == [(7, RECORD[5])] * 4
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda r: r.replace(b"WARC/1.1", b"WARC/9.9"),
+        lambda r: r.replace(b"pay", b"pax"),
+        lambda r: r[:-1],
+        lambda r: re.sub(rb"\r\nContent-Length: (\d+)\r\n", b"\r\nContent-Length: 5\r\n", r, count=1),
+        lambda r: r.replace(b"WARC-Date", b"X-Date"),
+        lambda r: r.replace(b"WARC-Type: response", b"WARC-Type: unknown"),
+        lambda r: r.replace(b"sha1:", b"md5:"),
+    ],
+)
+def test_bad_records_are_refused(change):
+    with pytest.raises(warc.BadArchive):
+        warc.parse_record(change(warc.record_bytes(*RECORD)))
+
+
+def test_cut_archives_are_refused():
+    archive = warc.archive_bytes([warc.record_bytes(*RECORD)] * 2)
+    for size in (2, 20, len(archive) - 1):
+        with pytest.raises(warc.BadArchive):
+            list(warc.frames(archive[:size]))
+
+
+def test_revisits_of_odd_pages(spark, folder):
+    rows = {(r.page_id, r.record_type, r.refers_to, r.payload_bytes > 1000) for r in warc.op5_warc(spark, folder).collect()}
+    assert {(1, "revisit", 2, True), (2, "response", None, True), (None, "revisit", 2, True)} <= rows
+    assert (7, "response", None, True) in rows

@@ -256,7 +256,7 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
         ids = encoder(path).encode(batch.column("text").to_pylist())
         return {"doc_id": batch.column("doc_id"), "ids": ids, "decoded": [encoder(path).decode(i) for i in ids]}
 
-    return by_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text")), run, "doc_id long, ids binary, decoded binary")
+    return by_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text")), run, "doc_id long, ids binary, decoded binary", rows=10_000)
 
 
 def digests(docs: DataFrame) -> DataFrame:

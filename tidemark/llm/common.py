@@ -75,15 +75,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))
 
 
-def by_batch(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dict] | dict | None], schema: str) -> DataFrame:
-    """Apply a function from a batch of rows to columns by name."""
+def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, so that few texts are held as Python objects at once."""
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
+def by_batch(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str, rows: int = 1000) -> DataFrame:
+    """Apply a function from a batch of at most so many rows to columns by name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                made = function(batch)
-                for columns in [made] if isinstance(made, dict) else made or ():
-                    yield to_batch(columns, arrow)
+            for part in slices(batch, rows):
+                yield to_batch(function(part), arrow)
 
     arrow = arrow_schema(schema)
     return df.mapInArrow(run, schema)

@@ -91,6 +91,8 @@ class Text:
 class Page:
     tags: dict[str, int] = field(default_factory=dict)
     texts: list[Text] = field(default_factory=list)
+    #: Whether it has an article, be it empty.
+    article: bool = False
 
 
 def element(parent: Node | None, tag: str, attributes: str) -> Node:
@@ -155,6 +157,7 @@ def read(source: str) -> Page:
             continue
         node = element(stack[-1] if stack else None, tag, m[4])
         page.tags[node.path] = page.tags.get(node.path, 0) + 1
+        page.article |= node.article and not node.dropped
         if tag not in VOID and not m[4].endswith("/"):
             stack.append(node)
     if at < len(source):
@@ -292,7 +295,7 @@ def slots(page: Page, template: dict) -> Iterator[Text]:
     kept = [bool(articles) and f"{t.path}/".startswith(articles) and not t.dropped for t in page.texts]
     if not any(kept):  # not a page of the template
         kept = [t.article and not t.dropped for t in page.texts]
-    if not any(kept) and not any(t.article for t in page.texts):
+    if not any(kept) and not page.article:
         menus, fixed = tuple(f"{p}/" for p in template["menus"]), set(template["fixed"])
         kept = [
             not (t.dropped or menus and f"{t.path}/".startswith(menus) or fixed and text_key(t) in fixed) for t in page.texts

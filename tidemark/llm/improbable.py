@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_schema, by_batch, cut, table, text_of, to_batch
+from tidemark.llm.common import arrow_schema, by_batch, cut, slices, table, text_of, to_batch
 
 #: Bytes of a window; neighbours it is compared with; how often of these it must be the rarest.
 WINDOW, NEIGHBOURS, POPULAR = 32, 64, 16
@@ -258,7 +258,7 @@ def follow(batches: Iterator[pa.RecordBatch], maker: Fingerprinter) -> Iterator[
     """From rows in the order of (span, at_end, doc_id): every row but the last of a span, with the next."""
     schema, held, span = arrow_schema(OUT), [], None
     size = 0
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         for at, doc_id, text in zip(*(batch.column(n).to_pylist() for n in ("span", "doc_id", "text"))):
             if at != span:
                 if len(held) > 1:

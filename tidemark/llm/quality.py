@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_schema, by_batch, cut, fresh, held_out, on_workers, table, text_of, to_batch
+from tidemark.llm.common import arrow_schema, by_batch, cut, fresh, held_out, on_workers, slices, table, text_of, to_batch
 
 #: Rows of the word table, length of a vector, entries other than zero of an index vector, words on either side.
 ROWS, DIM, NONZERO, REACH = 1 << 15, 32, 4, 2
@@ -70,7 +70,7 @@ def sum_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros((ROWS + 1) * DIM)
     gap = np.full(REACH, ROWS, dtype=np.int32)
     seen = False
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, 2000)):
         for texts in in_runs(batch.column(0).to_pylist(), SUMMED_AT_ONCE):
             pieces = [gap]
             for rows in texts:

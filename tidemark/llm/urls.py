@@ -1,7 +1,7 @@
 """URL filter: rules by host and path, else a naive Bayes score of the words a host is made of.
 
 Names in hosts are split into words by the cheapest path through a unigram model. The model's counts are
-of the words in the table's own urls and page titles. Urls whose host contains a seed word are the
+of the words in the table's own paths, hyphenated labels and page titles. Urls whose host contains a seed word are the
 block class that naive Bayes learns from; it then also blocks by the words that keep them company.
 """
 
@@ -58,12 +58,16 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def word_counts(urls: DataFrame, titles: DataFrame) -> DataFrame:
-    """(word, n) over the names in hosts, the words of paths and the titles."""
+    """(word, n) over the words of paths and titles, and the parts of host labels that have hyphens.
+
+    Other labels may be several words in one, so they are no evidence for words.
+    """
 
     def words(text: Column) -> Column:
         return F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("word")
 
-    found = urls.select(words(F.concat_ws("/", "host", "path"))).unionAll(titles.select(words(F.col("title"))))
+    parted = F.array_join(F.filter(F.split("host", r"\."), lambda label: label.contains("-")), "/")
+    found = urls.select(words(F.concat_ws("/", parted, "path"))).unionAll(titles.select(words(F.col("title"))))
     return found.where(F.length("word").between(1, WORD_LETTERS)).groupBy("word").agg(F.count("*").alias("n"))
 
 

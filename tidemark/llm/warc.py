@@ -84,7 +84,7 @@ def write_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     schema, waiting, held = arrow_schema(ARCHIVE), [], 0
     for batch in batches:
         columns = (batch.column(n) for n in ("page_id", "url", "record_type", "refers_to", "payload_digest", "html"))
-        for values in zip(*columns):
+        for values in zip(*columns):  # scalars, turned to Python one row at a time
             page_id, url, kind, refers_to, digest, html = (v.as_py() for v in values)
             waiting.append(record_bytes(page_id, url, kind, refers_to, digest, html.encode()))
             held += len(waiting[-1])
