@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import by_batch, table, text_of
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Pieces whose ids a worker remembers; more clear its memory. Only speed depends on it.
-REMEMBERED = 600_000
+#: Pieces whose ids a task remembers; more clear its memory. Only speed depends on it.
+REMEMBERED = 400_000
 #: Characters of the texts whose new pieces are merged together.
-TOGETHER = 16_000_000
+TOGETHER = 4_000_000
 #: Bits of a token's number in a pair's key.
 SHIFT = 20
 
@@ -107,12 +107,12 @@ class Vocabulary:
         for key, rank in pairs.items():
             for token in (key >> SHIFT, key & (1 << SHIFT) - 1):
                 self.early[token] |= rank < token
-        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.packed = {token: rank.to_bytes(4, "little") for token, rank in self.ranks.items()}
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of tokens; -1 where they don't merge or one is no token."""
-        keys = left << SHIFT | right
+        keys = left.astype(np.int64) << SHIFT | right
         at = np.searchsorted(self.keys, keys)
         at[at == len(self.keys)] = 0
         return np.where((self.keys[at] == keys) & (left >= 0) & (right >= 0), self.key_ranks[at], -1)
@@ -125,9 +125,9 @@ class Vocabulary:
         ends = np.cumsum(sizes + 1) - 1
         ids = self.single[data]
         ids[ends] = -1
-        after, before = np.arange(1, len(ids) + 1), np.arange(-1, len(ids) - 1)
+        after, before = np.arange(1, len(ids) + 1, dtype=np.int32), np.arange(-1, len(ids) - 1, dtype=np.int32)
         # The rank of the pair that starts at a position; where it isn't a bucket's, the entry is stale.
-        rank_at = np.full(len(ids), -1, dtype=np.int64)
+        rank_at = np.full(len(ids), -1, dtype=np.int32)
         rank_at[:-1] = self.pair_ranks(ids[:-1], ids[1:])
         queue = RankQueue(self.size)
         found = np.flatnonzero(rank_at >= 0)
@@ -234,14 +234,14 @@ class Encoder:
         return b"".join([tokens[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_VOCABULARIES: dict[str, Vocabulary] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(Vocabulary(path))
-    return _ENCODERS[path]
+def vocabulary(path: str) -> Vocabulary:
+    """The worker's vocabulary of a file."""
+    if path not in _VOCABULARIES:
+        _VOCABULARIES[path] = Vocabulary(path)
+    return _VOCABULARIES[path]
 
 
 def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -252,11 +252,15 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     """
     path = path or public_tokenizers.path(VOCABULARY)
 
+    coders: list[Encoder] = []
+
     def run(batch: pa.RecordBatch) -> dict:
-        ids = encoder(path).encode(batch.column("text").to_pylist())
-        return {"doc_id": batch.column("doc_id"), "ids": ids, "decoded": [encoder(path).decode(i) for i in ids]}
+        if not coders:  # once per task
+            coders.append(Encoder(vocabulary(path)))
+        ids = coders[0].encode(batch.column("text").to_pylist())
+        return {"doc_id": batch.column("doc_id"), "ids": ids, "decoded": [coders[0].decode(i) for i in ids]}
 
-    return by_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text")), run, "doc_id long, ids binary, decoded binary", rows=10_000)
+    return by_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text")), run, "doc_id long, ids binary, decoded binary", rows=2000)
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -17,10 +17,18 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a table that may be copied to every executor, and bytes of their texts; more are joined by a shuffle.
 BROADCAST_ROWS, BROADCAST_BYTES = 20_000, 16 << 20
+#: The setting, and Spark's default for it.
+BATCH_BYTES, DEFAULT_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def on_workers(spark: SparkSession) -> None:
-    """Let Python workers import this library from where the driver has it, if they don't have it installed."""
+    """Prepare a session for work in Python workers.
+
+    They import this library from where the driver has it, if they don't have it installed. Batches are
+    bounded by bytes, as texts may be long, unless the session has a bound of its own.
+    """
+    if spark.conf.get(BATCH_BYTES) == DEFAULT_BATCH_BYTES:
+        spark.conf.set(BATCH_BYTES, "4m")
     environment, here = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if here not in paths:
@@ -87,6 +95,7 @@ def by_batch(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema:
         for batch in batches:
             for part in slices(batch, rows):
                 yield to_batch(function(part), arrow)
+        pa.default_memory_pool().release_unused()
 
     arrow = arrow_schema(schema)
     return df.mapInArrow(run, schema)

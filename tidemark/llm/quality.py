@@ -28,8 +28,8 @@ PARTS = 64
 SAMPLE_ROWS = 20_000
 THRESHOLD = 0.3
 HIDDEN, EPOCHS, RATE, DECAY = 24, 60, 3e-3, 1e-4
-#: Words that a worker remembers the row of, and words handled at once. Results don't depend on them.
-REMEMBERED, SUMMED_AT_ONCE, POOLED_AT_ONCE = 1_000_000, 1_000_000, 100_000
+#: Words that a task remembers the row of, and words handled at once. Results don't depend on them.
+REMEMBERED, SUMMED_AT_ONCE, POOLED_AT_ONCE = 300_000, 1_000_000, 100_000
 FEATURES = 3 * DIM + 5
 SUMS = "part long, sums binary"
 
@@ -44,12 +44,9 @@ class Rows(dict):
         return row
 
 
-_rows = Rows()
-
-
-def rows_of(text: str | None) -> np.ndarray:
-    words = (text or "").split()
-    return np.fromiter(map(_rows.__getitem__, words), dtype=np.int32, count=len(words))
+    def of(self, text: str | None) -> np.ndarray:
+        words = (text or "").split()
+        return np.fromiter(map(self.__getitem__, words), dtype=np.int32, count=len(words))
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -69,9 +66,9 @@ def sum_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     places, signs = index_vectors()
     total = np.zeros((ROWS + 1) * DIM)
     gap = np.full(REACH, ROWS, dtype=np.int32)
-    seen = False
+    seen, known = False, Rows()
     for batch in (part for whole in batches for part in slices(whole, 2000)):
-        for texts in in_runs(batch.column(0).to_pylist(), SUMMED_AT_ONCE):
+        for texts in in_runs(batch.column(0).to_pylist(), known, SUMMED_AT_ONCE):
             pieces = [gap]
             for rows in texts:
                 pieces += (rows, gap)
@@ -88,11 +85,11 @@ def sum_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield to_batch({"part": range(PARTS), "sums": [pack(p.tobytes()) for p in parts]}, arrow_schema(SUMS))
 
 
-def in_runs(texts: list[str | None], words: int) -> Iterator[list[np.ndarray]]:
+def in_runs(texts: list[str | None], rows: Rows, words: int) -> Iterator[list[np.ndarray]]:
     """Texts as rows of the table, a few at a time."""
     run, held = [], 0
     for text in texts:
-        run.append(rows_of(text))
+        run.append(rows.of(text))
         held += len(run[-1])
         if held >= words:
             yield run
@@ -132,12 +129,12 @@ class Pooler:
 
     def __init__(self, vectors: np.ndarray):
         places, signs = index_vectors()
-        self.vectors = vectors
+        self.vectors, self.known = vectors, Rows()
         self.index = np.zeros((ROWS + 1, DIM), dtype=np.float32)
         np.put_along_axis(self.index, places, signs.astype(np.float32), axis=1)
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
-        runs = [self._pool(run) for run in in_runs(texts, POOLED_AT_ONCE)]
+        runs = [self._pool(run) for run in in_runs(texts, self.known, POOLED_AT_ONCE)]
         return np.vstack(runs) if runs else np.zeros((0, FEATURES), dtype=np.float32)
 
     def _pool(self, run: list[np.ndarray]) -> np.ndarray:
