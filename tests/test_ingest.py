@@ -16,7 +16,7 @@ from tidemark.plans.lake import Lake
 from tidemark.plans.mart import SALES_MART, SALES_MART_SQL
 from tidemark.plans.model import query
 from tidemark.plans.run import run_all, run_job
-from tidemark.plans.specs import Specs, load_specs, parse_spec
+from tidemark.plans.specs import Ingest, Specs, load_specs, parse_spec
 from tidemark.sinks.exports import export_parquet
 from tidemark.sinks.tables import ConcurrentWrite
 
@@ -387,7 +387,7 @@ def test_queries_can_only_read(spark, tmp_path):
     for sql in ("DROP VIEW t", f"INSERT OVERWRITE DIRECTORY '{tmp_path}/x' USING parquet SELECT * FROM t"):
         with pytest.raises(Exception, match="PARSE|Syntax"):
             query(spark, sql)
-    assert query(spark, "SELECT count(*) AS n FROM t;").first()["n"] == 3
+    assert query(spark, "SELECT count(*) AS n FROM t;", views).first()["n"] == 3
 
 
 # -- the orders loads -----------------------------------------------------------------------------
@@ -471,3 +471,29 @@ def test_mart_sql_is_a_plain_query(spark):
         "products": spark.createDataFrame(PRODUCTS, PRODUCT_COLUMNS),
     }
     assert query(spark, SALES_MART_SQL, inputs).count() == 5
+
+
+@pytest.mark.parametrize("on_fail", ["abort", "quarantine", None])
+def test_amounts_and_lines_that_cannot_be_stored(spark, tmp_path, on_fail):
+    (tmp_path / "m.csv").write_text("id,amount\n1,2.50\n2,1e17\n3\n4,7.25\n")
+    source = {"type": "csv", "path": f"{tmp_path}/m.csv", "columns": "id int, amount double"}
+    rules = Rules(on_fail=on_fail) if on_fail else None
+    job = Ingest(name="m", source=source, table="m", primary_key="id", money_columns=("amount",), quality=rules)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    if on_fail != "quarantine":
+        with pytest.raises(QualityError, match="money"):
+            run_ingest(lake, job)
+        assert not lake.silver("m").exists()
+        return
+    assert run_ingest(lake, job) == 2
+    assert sorted(r["id"] for r in lake.silver("m").read().collect()) == [1, 4]
+    rejects = {r["id"]: r["_failed"] for r in spark.read.parquet(lake.rejects_path("m")).collect()}
+    assert rejects == {2: ["money:amount"], 3: ["malformed"]}
+
+
+def test_named_frames_hold_for_one_query(spark):
+    one, two = spark.range(1), spark.range(2)
+    first, second = query(spark, "SELECT * FROM t", {"t": one}), query(spark, "WITH s AS (SELECT * FROM t) SELECT * FROM s", {"t": two})
+    assert (first.count(), second.count()) == (1, 2)
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        query(spark, "SELECT * FROM t")

@@ -30,3 +30,11 @@ def test_order_and_ties(spark):
     assert [r["category"] for r in reports.top_rows(df, "revenue", 2, "category").collect()] == ["c", "a"]
     plan = reports.top_rows(df, "revenue", 2, "category")._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_sum_before_rounding(spark):
+    df = spark.createDataFrame([("a", 0.004)] * 1000 + [("a", float("nan")), ("a", None), ("a", float("inf"))], "region string, revenue double")
+    row = reports.revenue_by_region(df).first()
+    assert (row["orders"], row["revenue"]) == (1003, Decimal("4.00"))
+    row = reports.summary_statistics(df.selectExpr("1 AS customer_id", "1 AS quantity", "revenue")).first()
+    assert (row["total_revenue"], row["avg_order_value"]) == (Decimal("4.00"), Decimal("0.00"))

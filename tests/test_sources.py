@@ -162,3 +162,23 @@ def test_csv_filter_reaches_the_scan(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(at), GreaterThanOrEqual(at,2024-01-02)]" in (
         rows._jdf.queryExecution().executedPlan().toString()
     )
+
+
+BROKEN = 'id,name,price\n1,"line one\nline two",2.5\n2,b,c,9.5\nx,d,1\n4,e\n5,ok,1.25\n'
+
+
+def test_csv_loses_nothing_in_silence(spark, tmp_path):
+    (tmp_path / "c.csv").write_text(BROKEN)
+    source = {"type": "csv", "path": f"{tmp_path}/c.csv", "columns": "id int, name string, price double"}
+    with pytest.raises(Exception, match="(?i)malformed"):
+        open_source(spark, source).collect()
+    rows = extract(spark, source, mark_malformed=True).collect()
+    assert sorted((r["id"], r["name"], r["price"]) for r in rows if r["_malformed"] is None) == [(1, "line one\nline two", 2.5), (5, "ok", 1.25)]
+    assert sorted(r["_malformed"].strip() for r in rows if r["_malformed"]) == ["2,b,c,9.5", "4,e", "x,d,1"]
+
+
+def test_csv_malformed_lines_pass_the_high_water_mark(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("id,at\n1,2024-01-01\n2,2024-01-02\nbad\n")
+    source = {"type": "csv", "path": f"{tmp_path}/c.csv", "columns": "id int, at string"}
+    rows = extract(spark, source, "at", "2024-01-02", mark_malformed=True).collect()
+    assert sorted((r["id"] or 0, r["_malformed"] is None) for r in rows) in ([(0, False), (2, True)],)

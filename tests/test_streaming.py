@@ -1,33 +1,39 @@
-"""Files ingested as a stream, in several runs over one checkpoint."""
+"""Files streamed into a table, in several runs over one checkpoint."""
 
 from datetime import datetime
 
 import pytest
 
-from tidemark.streaming.files import once_per_key, run_available, stream_files
-
+from tidemark.sinks.tables import Table
+from tidemark.streaming.files import into_table, run_available, stream_files
 
 
 @pytest.mark.parametrize("dtype", ["timestamp", "timestamp_ntz", "string"])
-def test_each_file_once_and_each_key_once(spark, tmp_path, dtype):
+def test_each_file_once_and_the_newest_row_of_a_key(spark, tmp_path, dtype):
     schema = f"id bigint, at {dtype}, val string"
-    folder, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    folder, rejects, checkpoint = (str(tmp_path / n) for n in ("in", "rejects", "checkpoint"))
+    table = Table(spark, str(tmp_path / "table"), "id", cursor="at")
 
     def put(rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
 
     def run():
-        run_available(once_per_key(stream_files(spark, folder, schema), "id", "at", 86400), out, checkpoint)
-        return sorted(r["id"] for r in spark.read.schema(schema).parquet(out).collect())
+        run_available(into_table(stream_files(spark, folder, schema), table, "id", "at", 86400, rejects), checkpoint)
+        return {r["id"]: r["val"] for r in table.read().collect()}
+
+    def late():
+        return sorted(r["id"] for r in spark.read.parquet(rejects).collect())
 
     def day(d, h=0):
         at = datetime(2024, 1, d, h)
         return at.isoformat() if dtype == "string" else at
 
-    put([(1, day(1), "a"), (2, day(1), "b"), (1, day(1), "again")])
-    assert run() == [1, 2]
-    assert run() == [1, 2]  # nothing new
-    put([(2, day(1, 5), "repeat"), (3, day(4), "c")])
-    assert run() == [1, 2, 3]
-    put([(4, day(1), "behind the window"), (5, day(3, 12), "late, inside it")])
-    assert run() == [1, 2, 3, 5]
+    put([(1, day(1), "a"), (2, day(1), "b"), (1, day(1, 1), "newer")])
+    assert run() == {1: "newer", 2: "b"}
+    assert run() == {1: "newer", 2: "b"}  # nothing new
+    put([(2, day(1, 6), "update inside the window"), (3, day(4), "c")])
+    assert run() == {1: "newer", 2: "update inside the window", 3: "c"}
+    assert late() == []
+    put([(4, day(1), "behind the window"), (5, day(3, 12), "late, inside it"), (6, None, "no time")])
+    assert run() == {1: "newer", 2: "update inside the window", 3: "c", 5: "late, inside it"}
+    assert late() == [4, 6]

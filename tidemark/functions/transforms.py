@@ -100,10 +100,11 @@ def mask_pii(df: DataFrame, column: str = "email", pattern: str = "@.*") -> Data
 def cast_money(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Store the named amounts as exact ``decimal(18,2)``; names the table lacks are ignored.
 
-    A column keeps the spelling it has in the table.
+    A column keeps the spelling it has in the table. An amount that doesn't fit becomes null; the gate
+    counts it before, as the rule ``money``.
     """
     wanted = {c.lower() for c in columns}
-    return df.withColumns({c: F.col(f"`{c}`").cast(MONEY) for c in df.columns if c.lower() in wanted})
+    return df.withColumns({c: F.col(f"`{c}`").try_cast(MONEY) for c in df.columns if c.lower() in wanted})
 
 
 def add_lineage(df: DataFrame, load_id: str) -> DataFrame:

@@ -13,7 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import field_type, has_column, is_missing, is_positive, key_digest
+from tidemark.functions.scalars import MONEY, field_type, has_column, is_missing, is_positive, key_digest
+from tidemark.sources.csv import MALFORMED
 
 FAILED = "_failed"
 
@@ -34,6 +35,8 @@ class Rules:
     unique: tuple[str, ...] = ()
     positive: tuple[str, ...] = ()
     on_fail: str = "abort"
+    #: Amounts that have to fit the type that money is stored in.
+    money: tuple[str, ...] = ()
 
     def __post_init__(self):
         if self.on_fail not in ON_FAIL:
@@ -76,6 +79,18 @@ def row_rules(df: DataFrame, rules: Rules) -> dict[str, Column]:
     for name in rules.positive:
         if has_column(df, name):
             checks[f"positive:{name}"] = ~is_positive(F.col(name), field_type(df, name))
+    return {**checks, **unstorable(df, rules.money)}
+
+
+def unstorable(df: DataFrame, money: Iterable[str]) -> dict[str, Column]:
+    """Rules that always hold: lines that could be read, and amounts that fit the type of money."""
+    checks = {}
+    if has_column(df, MALFORMED):
+        checks["malformed"] = F.col(MALFORMED).isNotNull()
+    for name in money:
+        if has_column(df, name) and field_type(df, name) != MONEY:
+            value = F.col(name)
+            checks[f"money:{name}"] = ~is_missing(value, field_type(df, name)) & value.try_cast(MONEY).isNull()
     return checks
 
 
@@ -161,18 +176,6 @@ def bad_rows(flagged: DataFrame) -> DataFrame:
     return flagged.where(F.size(FAILED) > 0)
 
 
-def report_frame(df: DataFrame, rules: Mapping | Rules, primary_key: str | None = None) -> DataFrame:
-    """The report as one row: total, one count per rule, and rows that break any rule."""
-    rules = Rules.of(rules)
-    flagged = flag_rows(df, rules, primary_key)
-    names = [*row_rules(df, rules), *(f"unique:{c}" for c in unique_columns(df, rules, primary_key))]
-    return flagged.agg(
-        F.count(F.lit(1)).alias("total"),
-        *(F.count_if(F.array_contains(FAILED, n)).alias(n.replace(":", "_")) for n in names),
-        F.count_if(F.size(FAILED) > 0).alias("bad_count"),
-    )
-
-
 @dataclass(frozen=True)
 class Gate:
     """Outcome of one inspection: the counts, and how to tell the bad rows when they are needed."""
@@ -211,3 +214,14 @@ def inspect(batch: DataFrame, rules: Mapping | Rules, primary_key: str | None =
     else:
         bad = next(iter(failures.values()))
     return Gate(Report(total, failures, bad), batch, rules, repeats)
+
+
+def report_frame(df: DataFrame, rules: Mapping | Rules, primary_key: str | None = None) -> DataFrame:
+    """The report of an inspection as one row: total, one count per rule, and rows that break any rule."""
+    rules = Rules.of(rules)
+    report = inspect(df, rules, primary_key).report
+    names = [*row_rules(df, rules), *(f"unique:{c}" for c in unique_columns(df, rules, primary_key))]
+    counts = {n.replace(":", "_"): report.failures.get(n, 0) for n in names}
+    row = {"total": report.total, **counts, "bad_count": report.bad_count}
+    schema = ", ".join(f"`{name}` bigint" for name in row)
+    return df.sparkSession.createDataFrame([tuple(row.values())], schema)

@@ -11,7 +11,7 @@ import logging
 import uuid
 from collections.abc import Callable
 from contextlib import ExitStack
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +30,13 @@ from tidemark.operators.quality import (
     bad_rows,
     good_rows,
     inspect,
+    unstorable,
 )
 from tidemark.plans.lake import Lake
 from tidemark.plans.specs import Ingest
 from tidemark.session import landed
 from tidemark.sinks.tables import Table
+from tidemark.sources.csv import MALFORMED
 from tidemark.sources.extract import extract
 
 log = logging.getLogger(__name__)
@@ -59,6 +61,8 @@ def split_deletes(batch: DataFrame, column: str | None) -> tuple[DataFrame, Data
     if not column or not has_column(batch, column):
         return batch, None
     dead = soft_delete_flag(batch, column)
+    if has_column(batch, MALFORMED):  # a line that could not be read deletes nothing
+        dead = dead & F.col(MALFORMED).isNull()
     return batch.where(~dead), batch.where(dead)
 
 
@@ -66,13 +70,27 @@ def as_it_is(df: DataFrame) -> DataFrame:
     return df
 
 
-def gate(name: str, live: DataFrame, rules: Rules | None, primary_key: str, keep: Keep = as_it_is) -> Split:
+def gate(
+    name: str,
+    live: DataFrame,
+    rules: Rules | None,
+    primary_key: str,
+    keep: Keep = as_it_is,
+    money: tuple[str, ...] = (),
+) -> Split:
     """Apply the rules the way ``on_fail`` says; raise if that is abort and a rule was broken.
 
-    ``keep`` stores a frame that is costly to derive and is read several times.
+    ``keep`` stores a frame that is costly to derive and is read several times. Rows that could not be
+    stored (malformed lines, amounts too large) break a rule as well; without rules they raise.
     """
     if rules is None:
+        checks = unstorable(live, money)
+        if checks:
+            counts = live.agg(*(F.count_if(check).alias(rule) for rule, check in checks.items())).first().asDict()
+            if any(counts.values()):
+                raise QualityError(f"[{name}] rows that cannot be stored: {counts}")
         return Split(live, None, None, None, unique=False)
+    rules = replace(rules, money=tuple(money))
     outcome: Gate = inspect(live, rules, primary_key)
     report, keyed = outcome.report, primary_key in outcome.repeats
     if report.passed:
@@ -89,8 +107,9 @@ def gate(name: str, live: DataFrame, rules: Rules | None, primary_key: str, keep
 def gated(name: str, batch: DataFrame, spec: Ingest, keep: Keep = as_it_is) -> Split:
     """Split a transformed batch that reads the same each time."""
     live, dead = split_deletes(batch, spec.soft_delete_column)
-    checked = gate(name, live, spec.quality, spec.primary_key, keep)
-    return Split(checked.good, dead, checked.rejects, checked.report, checked.unique)
+    checked = gate(name, live, spec.quality, spec.primary_key, keep, spec.money_columns)
+    dead = None if dead is None else dead.drop(MALFORMED)
+    return Split(checked.good.drop(MALFORMED), dead, checked.rejects, checked.report, checked.unique)
 
 
 def cycle(target: DataFrame, batch: DataFrame, spec: Ingest) -> DataFrame:
@@ -150,13 +169,14 @@ def run_ingest(lake: Lake, spec: Ingest) -> int:
     watermark = None
     if spec.cursor:
         watermark = apply_lag(table.max_cursor(spec.cursor), spec.lag_seconds)
-    batch = transforms.apply(spec.transforms, extract(spark, spec.source, spec.cursor, watermark))
+    batch = transforms.apply(spec.transforms, extract(spark, spec.source, spec.cursor, watermark, mark_malformed=True))
     batch = cast_lossless_money(batch, spec.money_columns)
     replaces = spec.write_mode == "overwrite"
     fresh = replaces or not table.exists()
     with ExitStack() as stack:
         staged = None
-        if (fresh or spec.write_mode == "append") and money_is_exact(batch, spec.money_columns):
+        as_read = money_is_exact(batch, spec.money_columns) and not has_column(batch, MALFORMED)
+        if (fresh or spec.write_mode == "append") and as_read:
             staged = table.stage_new(batch) if fresh else table.stage(batch)
             batch = staged.df
         else:
@@ -169,8 +189,6 @@ def run_ingest(lake: Lake, spec: Ingest) -> int:
         parts = gated(spec.name, batch, spec, lambda df: stack.enter_context(landed(df, spec.name)))
         rejected = parts.report.bad_count if parts.rejects is not None else 0
         written = total - deleted - rejected
-        if rejected:
-            parts.rejects.write.parquet(f"{lake.rejects_path(spec.table)}/_load_id={load_id}")
         keyed = spec.write_mode == "merge"
         good = parts.good
         if keyed and not parts.unique:
@@ -181,6 +199,8 @@ def run_ingest(lake: Lake, spec: Ingest) -> int:
             table.overwrite(staged, create=not replaces) if fresh else table.append(staged)
         else:
             store(table, cast_money(good, spec.money_columns), parts.dead, spec, fresh, written, deleted)
+        if rejected:  # after the version: a load that lost a race leaves no rejects behind
+            parts.rejects.write.parquet(f"{lake.rejects_path(spec.table)}/_load_id={load_id}")
         lake.loads().record(load_id, spec.table, "loaded", written, rejected, deleted, reached)
         log.info("[%s] %d rows, %d rejected, %d deleted", spec.name, written, rejected, deleted)
         return written

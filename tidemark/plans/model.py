@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +18,19 @@ log = logging.getLogger(__name__)
 def query(spark: SparkSession, sql: str, inputs: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Run a query over named frames. As a subquery it can only read: a statement that would write
     or define anything is a syntax error there.
+
+    The names hold for this call only: the frames are views under names of their own, which are gone
+    once the query is analysed, so queries that run side by side don't see each other's.
     """
-    for name, df in (inputs or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n)")
+    views = {name: f"_{uuid.uuid4().hex}" for name in inputs or {}}
+    try:
+        for name, view in views.items():
+            inputs[name].createTempView(view)
+        named = ", ".join(f"`{name}` AS (SELECT * FROM {view})" for name, view in views.items())
+        return spark.sql(f"{'WITH ' if views else ''}{named} SELECT * FROM (\n{sql.strip().rstrip(';')}\n)")
+    finally:
+        for view in views.values():
+            spark.catalog.dropTempView(view)
 
 
 def model_frame(spark: SparkSession, spec: Model, inputs: Mapping[str, DataFrame]) -> DataFrame:

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.sinks.files import Files
 
@@ -65,6 +66,21 @@ def one_row(spark: SparkSession, **columns: Column) -> DataFrame:
     return spark.sql("SELECT 1 AS one").select(*(c.alias(n) for n, c in columns.items()))
 
 
+def broadcast_if_small(df: DataFrame, most_bytes: int = 32 << 20) -> DataFrame:
+    """Mark a frame for broadcast if its rows, as counted, are few enough.
+
+    Spark multiplies the sizes of the sides where it estimates a join, so a small result of joins looks
+    huge and the other side of a further join is shuffled for nothing.
+    """
+    fixed = 16 + 8 * len(df.columns)
+    texts = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    nested = any(kind.startswith(("array", "map", "struct", "variant")) for _, kind in df.dtypes)
+    if nested:
+        return df
+    rows, *sizes = df.agg(F.count(F.lit(1)), *texts).first()
+    return F.broadcast(df) if rows * fixed + sum(sizes) <= most_bytes else df
+
+
 @contextmanager
 def landed(df: DataFrame, label: str = "batch") -> Iterator[DataFrame]:
     """Write a batch once and read it back for as long as the block lasts.

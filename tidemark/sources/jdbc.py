@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from urllib.parse import parse_qs, unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,19 +72,22 @@ def read_table(
     partition_column: str | None = None,
     num_partitions: int | None = None,
     bounds: tuple | None = None,
+    narrow: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """A lazy scan of a table; filters and column choices made on it run in the database.
 
     With a partition column the table is read by ``num_partitions`` connections, each taking one
     range. The ranges only divide the work: rows outside the bounds and nulls are read too. Bounds
-    not given are asked from the database, one row.
+    not given are asked from the database, one row. ``narrow`` is the filter that will be put on the
+    rows: the ranges then divide what it leaves, not the whole table.
     """
     reader = spark.read.format("jdbc").options(**{"fetchsize": str(FETCH_SIZE), **options})
     whole = reader.option("dbtable", table)
     if not partition_column:
         return whole.load()
     if bounds is None:
-        bounds = key_bounds(whole.load(), partition_column)
+        rows = whole.load()
+        bounds = key_bounds(narrow(rows) if narrow else rows, partition_column)
     if bounds[0] is None:
         return whole.load()
     return whole.options(

@@ -1,14 +1,17 @@
-"""Incremental ingest of files as a stream: Spark's checkpoint keeps the position."""
+"""Incremental ingest of files as a stream into a table: Spark's checkpoint keeps the position."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
-from tidemark.functions.scalars import field_type
-
-EVENT_TIME = "_event_time"
+from tidemark.functions.scalars import field_type, literal
+from tidemark.operators.incremental import apply_lag, since
+from tidemark.operators.merge import one_row_per_key
+from tidemark.session import landed
+from tidemark.sinks.tables import Table
 
 
 def stream_files(spark: SparkSession, folder: str, schema: T.StructType | str, file_format: str = "parquet", **options):
@@ -16,20 +19,33 @@ def stream_files(spark: SparkSession, folder: str, schema: T.StructType | str, f
     return spark.readStream.format(file_format).schema(schema).options(**options).load(folder)
 
 
-def once_per_key(stream: DataFrame, key: str, cursor: str, lag_seconds: int) -> DataFrame:
-    """Drop repeats of a key within the lag window.
+def behind(rows: DataFrame, cursor: str, mark) -> DataFrame:
+    """Rows before the mark, and rows without a cursor: what ``since`` leaves out."""
+    at_or_after = F.col(cursor) >= literal(mark, field_type(rows, cursor))
+    return rows.where(~F.coalesce(at_or_after, F.lit(False)))
+
+
+def into_table(
+    stream: DataFrame, table: Table, key: str | list[str], cursor: str, lag_seconds: int, rejects: str
+) -> DataStreamWriter:
+    """Upsert every micro-batch by key: of a key's rows in a batch the newest counts.
 
-    The window bounds the state: a key is forgotten once the mark has passed it by the lag, and a
-    row that comes later than that is not taken, like a row behind the window in a batch load.
+    Rows behind the table's high-water mark by more than the lag go to ``rejects``, one folder per batch.
+    A batch that is run again after a crash is merged again, with the same result.
     """
-    at = F.col(cursor)
-    if not isinstance(field_type(stream, cursor), T.TimestampType):
-        at = at.try_cast("timestamp")  # text, dates, and times without a zone
-    watched = stream.withColumn(EVENT_TIME, at).withWatermark(EVENT_TIME, f"{max(lag_seconds, 0)} seconds")
-    return watched.dropDuplicatesWithinWatermark([key]).drop(EVENT_TIME)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        with landed(batch, "drop") as rows:
+            mark = apply_lag(table.max_cursor(cursor), lag_seconds)
+            if mark is not None:
+                behind(rows, cursor, mark).write.mode("overwrite").parquet(f"{rejects}/_batch_id={batch_id}")
+            with landed(one_row_per_key(since(rows, cursor, mark), key, cursor), "newest") as newest:
+                if newest.limit(1).count():
+                    table.merge(newest, key=key)
+
+    return stream.writeStream.foreachBatch(land)
 
 
-def run_available(stream: DataFrame, out: str, checkpoint: str) -> None:
+def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
     """Process all files there are now, then stop; the next run goes on from there."""
-    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-    writer.trigger(availableNow=True).start(out).awaitTermination()
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

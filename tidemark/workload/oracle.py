@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 MONEY, TOTAL = "DECIMAL(18,2)", "DECIMAL(28,2)"
+NET_PRICE = "l_extendedprice * (1 - l_discount)"
 SPLIT, EARLIER = "TIMESTAMP '2024-01-20'", "TIMESTAMP '2024-01-15'"
 
 CUSTOMERS = """
@@ -52,19 +53,18 @@ ORACLE_SQL: dict[str, str] = {
     "exported_report": BI_REPORT,
     "summary_statistics": f"""
         SELECT count(*) AS order_count, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units_sold,
-               CAST(sum(CAST(l_extendedprice AS {MONEY})) AS {TOTAL}) AS total_revenue,
-               CAST(round(CAST(sum(CAST(l_extendedprice AS {MONEY})) AS DOUBLE) / count(*), 2) AS {MONEY})
-                   AS avg_order_value,
+               CAST(round(sum({NET_PRICE}), 2) AS {TOTAL}) AS total_revenue,
+               CAST(round(avg({NET_PRICE}), 2) AS {MONEY}) AS avg_order_value,
                count(DISTINCT l_partkey) AS unique_customers
         FROM lineitem
     """,
     "revenue_by_category": f"""
         SELECT p_brand AS category, count(*) AS orders,
-               CAST(sum(CAST(l_extendedprice AS {MONEY})) AS {TOTAL}) AS revenue
+               CAST(round(sum({NET_PRICE}), 2) AS {TOTAL}) AS revenue
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand
     """,
     "revenue_by_region": f"""
-        SELECT region, count(*) AS orders, CAST(sum(CAST(o_totalprice AS {MONEY})) AS {TOTAL}) AS revenue
+        SELECT region, count(*) AS orders, CAST(round(sum(o_totalprice * 0.907::DOUBLE), 2) AS {TOTAL}) AS revenue
         FROM orders JOIN ({CUSTOMERS}) ON o_custkey = customer_id GROUP BY region
     """,
     "top_orders": """
@@ -77,15 +77,15 @@ ORACLE_SQL: dict[str, str] = {
     "watermark_lag": f"SELECT * FROM events WHERE ts >= {LAGGED}",
     "late_rows": f"SELECT * FROM events WHERE ts >= {LAGGED} AND ts < {WATERMARK}",
     "incremental_orders": """
-        SELECT o_orderkey AS order_id, strftime(o_orderdate, '%Y-%m-%d') AS order_date,
-               CAST(1 AS BIGINT) AS quantity, o_totalprice AS unit_price, o_orderdate AS updated_at,
-               round_even(o_totalprice * 100, 0) / 100 AS revenue
-        FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'
+        SELECT l_orderkey AS order_id, strftime(l_shipdate, '%Y-%m-%d') AS order_date,
+               CAST(l_quantity AS BIGINT) AS quantity, l_extendedprice AS unit_price, l_shipdate AS updated_at,
+               round_even(CAST(l_quantity AS BIGINT) * l_extendedprice * 100, 0) / 100 AS revenue
+        FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01'
     """,
     "upsert": UPSERT,
     "upsert_idempotent": UPSERT,
     "latest_by_key": """
-        SELECT event_id, ts, user_id, event_type, value FROM events
+        SELECT * FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
     """,
     "soft_delete": """
@@ -117,14 +117,21 @@ ORACLE_SQL: dict[str, str] = {
                         SELECT * FROM first WHERE event_id NOT IN (SELECT event_id FROM gone))
         SELECT event_id, ts, user_id, event_type, CAST(value AS {MONEY}) AS value FROM stored
     """,
-    "stream_ingest": "SELECT * FROM events",
+    "stream_ingest": UPSERT,
+    "table_append": "SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id = 42",
+    "table_facts": "SELECT count(*) AS row_count, max(ts) AS max_cursor FROM events",
+    "csv_with_bad_lines": """
+        SELECT doc_id, text, source, '' AS failed FROM documents
+        UNION ALL
+        SELECT -1 - doc_id, 'cut off', NULL, 'malformed' FROM documents WHERE doc_id % 7 = 0
+    """,
     "normalize_columns": """
         SELECT c_custkey AS cust_key, c_name AS name, c_nationkey AS nation_key, c_acctbal AS acct_bal,
                c_mktsegment AS mkt_segment FROM customer
     """,
     "trim_strings": f"""
-        SELECT doc_id, trim(' ' || chr(9) || chr(10) || text || chr(13) || chr(10) || '  ', {SPACES}) AS text,
-               trim(chr(160) || lang || chr(12288) || chr(9), {SPACES}) AS lang
+        SELECT * REPLACE (trim(' ' || chr(9) || chr(10) || text || chr(13) || chr(10) || '  ', {SPACES}) AS text,
+                          trim(chr(160) || lang || chr(12288) || chr(9), {SPACES}) AS lang, trim(source, {SPACES}) AS source)
         FROM documents
     """,
     "add_ingested_at": "SELECT *, '2024-02-01T00:00:00+00:00' AS _ingested_at FROM customer",
@@ -141,7 +148,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM lineitem
     """,
     "cast_money": f"SELECT * REPLACE (CAST(s_acctbal AS {MONEY}) AS s_acctbal) FROM supplier",
-    "mask_pii": "SELECT doc_id, regexp_replace(text, '@[A-Za-z0-9.-]+', '@***', 'g') AS text FROM documents",
+    "mask_pii": "SELECT * REPLACE (regexp_replace(text, '@[A-Za-z0-9.-]+', '@***', 'g') AS text) FROM documents",
     "add_lineage": f"""
         SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS {MONEY}) AS c_acctbal, c_mktsegment,
                'load-1' AS _load_id,

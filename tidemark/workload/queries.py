@@ -17,16 +17,19 @@ from tidemark.plans import ingest, mart, orders
 from tidemark.plans.lake import Lake
 from tidemark.plans.model import model_frame, query
 from tidemark.plans.specs import Ingest
-from tidemark.session import scratch_path
+from tidemark.session import broadcast_if_small, scratch_path
 from tidemark.sinks.exports import export_parquet
 from tidemark.sinks.tables import Table
-from tidemark.streaming.files import once_per_key, run_available, stream_files
+from tidemark.streaming.files import into_table, run_available, stream_files
 from tidemark.workload import roles
 from tidemark.workload.roles import events, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 LAG = 86_400
+MARK = datetime(1997, 1, 1)
+# An amount with more decimals than cents.
+NET_PRICE = "l_extendedprice * (1 - l_discount) AS revenue"
 SPLIT, EARLIER = "timestamp_ntz'2024-01-20'", "timestamp_ntz'2024-01-15'"
 
 
@@ -36,7 +39,7 @@ SPLIT, EARLIER = "timestamp_ntz'2024-01-20'", "timestamp_ntz'2024-01-15'"
 def gold_mart(spark: SparkSession, folder: str) -> DataFrame:
     inputs = {
         "transactions": roles.transactions(spark, folder),
-        "customers": roles.customers(spark, folder),
+        "customers": broadcast_if_small(roles.customers(spark, folder)),
         "products": roles.products(spark, folder),
     }
     return model_frame(spark, mart.SALES_MART, inputs)
@@ -49,7 +52,7 @@ def bi_report(spark: SparkSession, folder: str) -> DataFrame:
 def summary_statistics(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "lineitem").select(
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("l_extendedprice").alias("revenue"),
+        F.expr(NET_PRICE),
         F.col("l_partkey").alias("customer_id"),
     )
     return reports.summary_statistics(rows)
@@ -57,16 +60,16 @@ def summary_statistics(spark: SparkSession, folder: str) -> DataFrame:
 
 def revenue_by_category(spark: SparkSession, folder: str) -> DataFrame:
     sold = table(spark, folder, "lineitem").select(
-        F.col("l_partkey").alias("product_sku"), F.col("l_extendedprice").alias("revenue")
+        F.col("l_partkey").alias("product_sku"), F.expr(NET_PRICE)
     )
     return reports.revenue_by_category(sold.join(roles.products(spark, folder), "product_sku"))
 
 
 def revenue_by_region(spark: SparkSession, folder: str) -> DataFrame:
     sold = table(spark, folder, "orders").select(
-        F.col("o_custkey").alias("customer_id"), F.col("o_totalprice").alias("revenue")
+        F.col("o_custkey").alias("customer_id"), (F.col("o_totalprice") * 0.907).alias("revenue")
     )
-    return reports.revenue_by_region(sold.join(roles.customers(spark, folder), "customer_id"))
+    return reports.revenue_by_region(sold.join(broadcast_if_small(roles.customers(spark, folder)), "customer_id"))
 
 
 def top_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,14 +106,14 @@ def late_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def incremental_orders(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_orderdate").alias("order_date"),
-        F.lit(1).alias("quantity"),
-        F.col("o_totalprice").alias("unit_price"),
-        F.col("o_orderdate").alias("updated_at"),
+    rows = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_shipdate").alias("order_date"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").alias("unit_price"),
+        F.col("l_shipdate").alias("updated_at"),
     )
-    return orders.incremental_orders(rows, datetime(2000, 1, 1))
+    return orders.incremental_orders(rows, MARK)
 
 
 # -- upsert and delete ---------------------------------------------------------------------------
@@ -133,7 +136,7 @@ def upsert_idempotent(spark: SparkSession, folder: str) -> DataFrame:
 
 def latest_by_key(spark: SparkSession, folder: str) -> DataFrame:
     """The newest event of every user: a batch with repeated keys made fit for an upsert."""
-    return merge.latest_by_key(events(spark, folder).drop("props"), "user_id", "ts")
+    return merge.latest_by_key(events(spark, folder), "user_id", "ts")
 
 
 def soft_delete(spark: SparkSession, folder: str) -> DataFrame:
@@ -176,7 +179,7 @@ def normalize_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trim_strings(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    rows = table(spark, folder, "documents")
     padded = rows.withColumns(
         {
             "text": F.concat(F.lit(" \t\n"), F.col("text"), F.lit("\r\n  ")),
@@ -218,7 +221,7 @@ def cast_money(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mask_pii(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "documents").select("doc_id", "text")
+    rows = table(spark, folder, "documents")
     return tr.mask_pii(rows, "text", "@[A-Za-z0-9.-]+")
 
 
@@ -317,11 +320,51 @@ def exported_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as a stream of files, once per key, into a folder."""
-    out = scratch_path(spark, "stream")
-    files = stream_files(spark, folder, roles.SCHEMAS["events"], pathGlobFilter="events.parquet")
-    run_available(once_per_key(files, "event_id", "ts", LAG), out, scratch_path(spark, "stream-state"))
-    return spark.read.schema(roles.SCHEMAS["events"]).parquet(out)
+    """Two drops of files as a stream into a table; the second updates keys inside the lag window."""
+    drops, home = scratch_path(spark, "drops"), scratch_path(spark, "stream")
+    target, changed = upsert_sides(spark, folder)
+    stored = Table(spark, f"{home}/table", "event_id", cursor="ts")
+    for drop in (target, changed):
+        drop.write.mode("append").parquet(drops)
+        files = stream_files(spark, drops, roles.SCHEMAS["events"])
+        run_available(into_table(files, stored, "event_id", "ts", 7 * LAG, f"{home}/rejects"), f"{home}/state")
+    return stored.read()
+
+
+def table_append(spark: SparkSession, folder: str) -> DataFrame:
+    """A table that is appended to, with a lookup by key in the end."""
+    rows = events(spark, folder)
+    stored = Table(spark, scratch_path(spark, "append"), "event_id", cursor="ts")
+    stored.overwrite(rows.where(f"ts < {EARLIER}"))
+    stored.append(rows.where(f"ts >= {EARLIER}"))
+    stored.append(stored.lookup(event_id=42))
+    return stored.read()
+
+
+def table_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and high-water mark as a stored table notes them."""
+    stored = Table(spark, scratch_path(spark, "facts"), "event_id", cursor="ts")
+    stored.overwrite(events(spark, folder))
+    facts = [(stored.row_count(), stored.max_cursor("ts"))]
+    return spark.createDataFrame(facts, "row_count bigint, max_cursor timestamp_ntz")
+
+
+def csv_with_bad_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with line breaks through CSV, with lines that lack a field: good rows, and rejects by their rules."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    path, lake = scratch_path(spark, "texts"), Lake(spark, scratch_path(spark, "lake"))
+    docs.write.options(header=True, escape='"', quoteAll=True).csv(path)
+    short = docs.where("doc_id % 7 = 0").select((-1 - F.col("doc_id")).alias("doc_id"), F.lit("cut off").alias("text"))
+    lines = short.select(F.concat_ws(",", "doc_id", "text").alias("value"))
+    lines = spark.sql("SELECT 0 AS at, 'doc_id,text,source' AS value").unionByName(lines.select(F.lit(1).alias("at"), "value"))
+    lines.coalesce(1).sortWithinPartitions("at").select("value").write.mode("append").text(path)
+    source = {"type": "csv", "path": path, "columns": "doc_id bigint, text string, source string"}
+    rules = quality.Rules(on_fail="quarantine")
+    ingest.run_ingest(lake, Ingest(name="texts", source=source, table="texts", primary_key="doc_id", quality=rules))
+    good = lake.silver("texts").read().withColumn("failed", F.lit(""))
+    rejects = spark.read.parquet(lake.rejects_path("texts"))
+    rejects = rejects.select("doc_id", "text", "source", F.array_join(quality.FAILED, ",").alias("failed"))
+    return good.unionByName(rejects)
 
 
 QUERIES: dict[str, Query] = {
@@ -364,5 +407,8 @@ QUERIES: dict[str, Query] = {
         ingest_run,
         exported_report,
         stream_ingest,
+        table_append,
+        table_facts,
+        csv_with_bad_lines,
     )
 }
