@@ -10,8 +10,8 @@ from tidemark.functions.scalars import field_type, has_column, is_flagged
 
 Key = str | list[str] | tuple[str, ...]
 
-# Key sets up to this many rows are broadcast; counted before, never assumed.
-BROADCAST_KEYS = 2_000_000
+# Key sets up to this many rows, and bytes, are broadcast; counted before, never assumed.
+BROADCAST_KEYS, BROADCAST_BYTES = 2_000_000, 64 << 20
 
 
 class DuplicateKeys(ValueError):
@@ -22,6 +22,16 @@ def key_list(key: Key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def key_bytes(keys: DataFrame) -> Column:
+    """Bytes of all keys: what their texts hold, and a word for every other column."""
+    texts = (T.StringType, T.BinaryType)
+    sizes = [
+        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) if isinstance(f.dataType, texts) else F.lit(8)
+        for f in keys.schema.fields
+    ]
+    return F.sum(sum(sizes[1:], sizes[0]).cast("bigint"))
+
+
 def without_keys(
     df: DataFrame, keys: DataFrame, key: Key, key_rows: int | None = None, tasks: int | None = None
 ) -> DataFrame:
@@ -30,14 +40,19 @@ def without_keys(
     Only the key columns of the right side take part. If its row count is known and small it is
     broadcast and ``df`` is not shuffled; otherwise Spark decides by its own size estimates, and
     AQE splits a key that holds many rows of ``df``. With ``tasks`` both sides are shuffled into that
-    many tasks by the hash of the key, each of which looks its rows up in a table of its keys.
+    many tasks by the hash of the key, each of which looks its rows up in a table of its keys; rows
+    without a key are not shuffled.
     """
     names = key_list(key)
     keys = keys.select(*names)
     if key_rows is not None and key_rows <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
     elif tasks:
-        df, keys = df.repartition(tasks, *names), keys.repartition(tasks, *names).hint("shuffle_hash")
+        keyed = F.lit(True)
+        for name in names:
+            keyed = keyed & F.col(name).isNotNull()
+        some, keys = df.where(keyed).repartition(tasks, *names), keys.dropna(subset=names).repartition(tasks, *names)
+        return some.join(keys.hint("shuffle_hash"), names, "left_anti").unionByName(df.where(~keyed))
     return df.join(keys, names, "left_anti")
 
 

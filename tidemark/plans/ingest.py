@@ -178,6 +178,7 @@ def run_ingest(lake: Lake, spec: Ingest) -> int:
         as_read = money_is_exact(batch, spec.money_columns) and not has_column(batch, MALFORMED)
         if (fresh or spec.write_mode == "append") and as_read:
             staged = table.stage_new(batch) if fresh else table.stage(batch)
+            stack.callback(table.discard, staged)  # unless it was published
             batch = staged.df
         else:
             batch = stack.enter_context(landed(batch, spec.name))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import logging
 import os
 import tempfile
 import uuid
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tidemark.sinks.files import Files
 
+log = logging.getLogger(__name__)
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -56,9 +60,26 @@ def scratch_root(spark: SparkSession) -> str:
     return os.path.join(tempfile.gettempdir(), f"tidemark-{spark.sparkContext.applicationId}")
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; it does not exist yet."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; it does not exist yet, and is removed when the process ends."""
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(remove_scratch)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def remove_scratch() -> None:
+    """Remove the scratch folders of this process: results that are still read from them are gone then."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        try:
+            Files(spark).remove(path)
+        except Exception as error:  # the session may be gone
+            log.debug("%s is left: %s", path, error)
 
 
 def one_row(spark: SparkSession, **columns: Column) -> DataFrame:

@@ -33,9 +33,11 @@ from tidemark.functions.scalars import is_floating, literal
 from tidemark.functions.transforms import cast_money, normalized_name
 from tidemark.operators.incremental import max_cursor
 from tidemark.operators.merge import (
+    BROADCAST_BYTES,
     BROADCAST_KEYS,
     change_parts,
     conform,
+    key_bytes,
     key_list,
     one_row_per_key,
     without_keys,
@@ -48,7 +50,7 @@ log = logging.getLogger(__name__)
 GEN, BUCKET = "_gen", "_bucket"
 NO_KEY = "null"
 
-# Buckets when a spec names none: by the estimated size of the first load, within these bounds.
+# Buckets when a spec names none: by the bytes of the first load, within these bounds.
 BUCKET_BYTES = 4 << 30
 LEAST_BUCKETS, MOST_BUCKETS = 8, 8192
 
@@ -267,7 +269,7 @@ class Table:
         piece writes a file for every bucket in it. Small partitions are merged again.
         """
         usual = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return max(usual, 2 * (layout.buckets or _bucket_count(df)))
+        return max(usual, 2 * (layout.buckets or _bucket_count(_scanned_bytes(df) or 0)))
 
     def _measure(self, folder: str, layout: Layout, schema: T.StructType) -> dict[str, Part]:
         """Rows and highest cursor per bucket: reads no column but the cursor."""
@@ -294,11 +296,25 @@ class Table:
         return self._write(conform(df, version.schema), version.layout)
 
     def stage_new(self, df: DataFrame) -> Staged:
-        """Write a batch where it can become the whole table; its schema may differ."""
+        """Write a batch where it can become the whole table; its schema may differ.
+
+        Where the number of buckets isn't given it follows from the bytes of files: of those the batch
+        is read from, else of the batch itself, which is landed for that.
+        """
         layout = self._wanted
-        if layout.key and not layout.width and not layout.buckets:
-            layout = replace(layout, buckets=_bucket_count(df))
-        return self._write(df, layout)
+        if not layout.key or layout.width or layout.buckets:
+            return self._write(df, layout)
+        size = _scanned_bytes(df)
+        if size is not None:
+            return self._write(df, replace(layout, buckets=_bucket_count(size)))
+        with landed(df, "sized") as rows:
+            return self._write(rows, replace(layout, buckets=_bucket_count(_scanned_bytes(rows) or 0)))
+
+    def discard(self, staged: Staged) -> None:
+        """Remove what was staged and has not been published."""
+        version = self.version()
+        if version is None or staged.folder not in version.live:
+            self._files.remove(f"{self.path}/data/{GEN}={staged.folder}")
 
     def _publish(self, base: Version | None, schema: T.StructType, layout: Layout, live: Mapping) -> None:
         number = base.number + 1 if base else 1
@@ -371,24 +387,26 @@ class Table:
         bucketed = [k.lower() for k in base.layout.key] == [n.lower() for n in names]
         keys = batch.select(*names).unionByName(dead)
         if bucketed:
-            where = keys.groupBy(base.layout.column().alias(BUCKET)).agg(F.count(F.lit(1)).alias("n"))
-            counts = {_bucket_name(r[BUCKET]): r["n"] for r in where.collect()}
+            where = keys.groupBy(base.layout.column().alias(BUCKET)).agg(
+                F.count(F.lit(1)).alias("n"), key_bytes(keys).alias("bytes")
+            )
+            counts = {_bucket_name(r[BUCKET]): (r["n"], r["bytes"]) for r in where.collect()}
             touched = set(counts) - {NO_KEY}
-            key_rows = sum(counts.values())
+            key_rows, size = (sum(c[i] for c in counts.values()) for i in (0, 1))
         else:
-            key_rows = keys.count()
+            key_rows, size = keys.agg(F.count(F.lit(1)), F.coalesce(key_bytes(keys), F.lit(0))).first()
             touched = {b for buckets in base.live.values() for b in buckets}
         affected = self._scan(base, touched)
-        tasks = None
-        if key_rows > BROADCAST_KEYS and bucketed and base.layout.buckets:
+        few, tasks = key_rows <= BROADCAST_KEYS and size <= BROADCAST_BYTES, None
+        if not few and bucketed and base.layout.buckets:
             # Buckets use the hash of a shuffle. With a multiple of their number as tasks, a task
             # of the join holds rows of one bucket, and the write needs no second shuffle.
             usual = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             tasks = base.layout.buckets * -(-usual // base.layout.buckets)
-        stay, fresh = change_parts(affected, batch, dead, names, key_rows, tasks)
+        stay, fresh = change_parts(affected, batch, dead, names, key_rows if few else None, tasks)
         if tasks:
             staged = self._write(None, base.layout, settled=stay.unionByName(fresh))
-        elif key_rows <= BROADCAST_KEYS:
+        elif few:
             # The table's rows were not shuffled: each task still holds one bucket or a few.
             staged = self._write(fresh, base.layout, settled=stay)
         else:
@@ -416,11 +434,16 @@ class Table:
         return len(stale)
 
 
-def _bucket_count(df: DataFrame) -> int:
-    """Buckets of a few GB by Spark's estimate of the input; unknown sizes get the least number."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= 1 << 60:
-        return LEAST_BUCKETS
+def _scanned_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files a frame is read from; None if it is anything else than one scan of files."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    if leaves.size() != 1 or not df.inputFiles():
+        return None
+    return int(str(leaves.apply(0).stats().sizeInBytes()))
+
+
+def _bucket_count(size: int) -> int:
+    """Buckets of a few GB."""
     return min(max(-(-size // BUCKET_BYTES), LEAST_BUCKETS), MOST_BUCKETS)
 
 
