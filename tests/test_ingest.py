@@ -20,6 +20,7 @@ from tidemark.plans.specs import Ingest, Specs, load_specs, parse_spec
 from tidemark.sinks.exports import export_parquet
 from tidemark.sinks.tables import ConcurrentWrite
 
+# The rows and jobs that the expected results belong to (FIXTURES.md).
 CUSTOMERS = [
     (1, "Acme Corp", "North", "2023-06-01", "2024-01-01T00:00:00"),
     (2, "Globex", "West", "2023-08-14", "2024-01-01T00:00:00"),

@@ -97,13 +97,33 @@ def test_load_into_a_database(spark, database):
     load(df, destination, "APP.SOLD", "replace")
     assert back.count() == 20
     with pytest.raises(ValueError):
-        load(df, destination, "APP.SOLD", "merge", "id")
+        load(df, destination, "APP.SOLD", "merge")  # without a key
     with pytest.raises(ValueError):
         load(df, {"type": "bigquery"}, "t")
     with pytest.raises(ValueError):
         load(df, destination, "t", "upsert")
 
 
+def test_merge_into_a_database(spark, database):
+    destination = {"type": "jdbc", "dsn": database["url"], "options": {"driver": database["driver"]}}
+
+    def stored(table="APP.ITEMS"):
+        rows = spark.read.format("jdbc").options(**database).option("dbtable", table).load().collect()
+        return sorted(tuple(r) for r in rows)
+
+    frame = lambda rows: spark.createDataFrame(rows, "id int, name string, at string")
+    load(frame([(1, "a", "1"), (2, "b", "1")]), destination, "APP.ITEMS", "merge", "id", "at")  # creates it
+    assert stored() == [(1, "a", "1"), (2, "b", "1")]
+    batch = frame([(2, "older", "2"), (2, "newer", "3"), (3, None, "3")])
+    for _ in range(2):  # again changes nothing
+        load(batch, destination, "APP.ITEMS", "merge", "id", "at")
+        assert stored() == [(1, "a", "1"), (2, "newer", "3"), (3, None, "3")]
+    load(frame([]), destination, "APP.ITEMS", "merge", "id", "at")
+    assert len(stored()) == 3
+    names = stored("(SELECT TABLENAME FROM SYS.SYSTABLES WHERE TABLENAME LIKE 'ITEMS%') names")
+    assert names == [("ITEMS",)]  # no staging table is left
+
+
 def test_dispositions_on_a_filesystem(spark, tmp_path):
     from tidemark.sinks.tables import Table
 
