@@ -6,7 +6,8 @@ Whole epochs over a source precede the part that is drawn by key.
 
 The order within a source is never made in one task: keys are cut into buckets of about a thousand
 rows, and running sums are built of rows within a bucket, of buckets within a run of buckets, and of
-those runs within the source.
+those runs within the source. Buckets are equal steps of the key's logarithm: a weight only shifts that
+logarithm, and its density is nowhere above 1/e, so no mix of weights can fill one bucket.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ WEIGHTS = (3, 1, 2)
 #: Share of all words that the mix has, and how often a document may occur in it.
 TOTAL, MOST_EPOCHS = 1.5, 2
 ROWS_PER_BUCKET, BUCKETS_PER_RUN = 1000, 1000
+#: Highest density of the logarithm of an exponential variable, 1/e.
+DENSITY = 0.368
 
 
 def size_of(text: Column) -> Column:
@@ -41,6 +44,11 @@ def sampling_key(doc_id: Column, weight: Column) -> Column:
     return -F.log((drawn + 0.5) / float(2**48)) / weight
 
 
+def key_bucket(key: Column, n_buckets: Column) -> Column:
+    """Buckets in the order of the keys, each with about one of ``n_buckets`` shares of the rows at most."""
+    return F.floor(F.log(key) * n_buckets * DENSITY)
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = TOTAL) -> DataFrame:
     """Add ``target`` to one row per source (source, source_size).
 
@@ -103,12 +111,11 @@ def mix(rows: DataFrame) -> DataFrame:
     keyed = rows.join(small(per_source), F.col("source").eqNullSafe(F.col("mixed"))).withColumn(
         "key", sampling_key(F.col("doc_id"), F.col("weight"))
     )
-    spread = F.least(F.floor((1 - F.exp(-F.col("key"))) * F.col("n_buckets")), F.col("n_buckets") - 1)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     budget = F.col("target") - F.col("epochs") * F.col("source_size")
     drawn = (budget > 0) & (F.col("before") * 2 + F.col("size") <= budget * 2)
     return (
-        running_sum(keyed.withColumn("bucket", spread))
+        running_sum(keyed.withColumn("bucket", key_bucket(F.col("key"), F.col("n_buckets"))))
         .withColumn("epochs", epochs)
         .withColumn("copies", F.col("epochs") + drawn.cast("long"))
     )
