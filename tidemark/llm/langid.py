@@ -39,8 +39,8 @@ def normal(text: str | None) -> str:
 def training_text(docs: DataFrame) -> dict[str, bytes]:
     """A dictionary's bytes for each language, from a bounded sample of the rows that may be learned from.
 
-    Rows are drawn by the hash of their text: the same rows whatever the partitioning. The share drawn
-    of each language follows from its number of rows.
+    Texts are drawn by their hash: the same texts whatever the partitioning. The share drawn of each
+    language follows from its number of rows. However many copies a text has, it is gathered once.
     """
     rows = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     rows = rows.select("lang", "text", F.xxhash64(text_of("text")).alias("drawn"))
@@ -50,7 +50,7 @@ def training_text(docs: DataFrame) -> dict[str, bytes]:
     share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, 2 * SAMPLE_ROWS / r["count"]))))
     low = (F.col("drawn").cast("double") / 2.0**64 + 0.5) <= share[F.col("lang")]
     middle = F.substring(F.col("text"), F.greatest(F.lit(1), F.length("text") / 2 - SAMPLE_CHARS / 2).cast("int"), F.lit(SAMPLE_CHARS))
-    sample = rows.where(low).select("lang", "drawn", middle.alias("text")).collect()
+    sample = rows.where(low).groupBy("lang", "drawn").agg(F.min(middle).alias("text")).collect()
     texts: dict[str, list[str]] = {r["lang"]: [] for r in counts}
     for lang, _, text in sorted(sample, key=lambda r: (r[0], r[1], r[2] or "")):
         if len(texts[lang]) < SAMPLE_ROWS and (text := normal(text)):
