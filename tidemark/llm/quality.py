@@ -262,7 +262,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         return {"doc_id": batch.column("doc_id"), "quality": batch.column("quality"), "x": [r.tobytes() for r in pooled]}
 
     rows = labelled(docs, labels).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("quality").cast("int").alias("quality"))
-    found = sorted(by_batch(rows, run, "doc_id long, quality int, x binary").collect(), key=lambda r: (r["doc_id"], r["x"]))
+    # A row that is repeated teaches once: a single id may have any number of them.
+    pooled = by_batch(rows, run, "doc_id long, quality int, x binary").distinct()
+    found = sorted(pooled.collect(), key=lambda r: (r["doc_id"], r["x"]))
     x = np.frombuffer(b"".join(r["x"] for r in found), dtype=np.float32).reshape(-1, FEATURES)
     return Model(vectors, fit(x, np.array([r["quality"] for r in found])))
 
@@ -289,7 +291,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     ``labels`` has doc_id and quality; a label that is null, or without an id, teaches nothing, of
     repeated labels the largest counts. Without labels every score is one half. Rows repeated are
-    repeated; an empty table gives no rows; further columns are ignored.
+    repeated and teach once; an empty table gives no rows; further columns are ignored.
     """
     found = docs.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), score_column(docs.sparkSession, train(docs, labels), F.col("text")).alias("score")
