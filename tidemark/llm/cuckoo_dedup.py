@@ -8,6 +8,7 @@ entries are shuffled by digest and folded once more. What is shuffled is a diges
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,8 @@ from tidemark.llm.common import SPACE, arrow_schema, cut, fresh, table, text_of,
 SLOTS = 4
 #: Moves of one insertion before the filter counts as full.
 MOST_MOVES = 200
+#: Digests of one index. A task of the scan hands on what it has by then; of the second fold there are enough tasks.
+MOST_ENTRIES = 500_000
 ENTRY = "digest string, n long, keep_id long, group_size long, ties long"
 
 
@@ -119,11 +122,19 @@ def fold(index: CuckooIndex, digest: str, n: int, doc_id: int | None, count: int
         entry[1] = (best_n, best_id, seen + count, best_ties + ties * (new == old))
 
 
-def fold_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def fold_batches(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """One entry per digest; with ``most`` a digest may leave more than once, as the index starts anew when it holds so many."""
     index, schema = CuckooIndex(), arrow_schema(ENTRY)
     for batch in batches:
         for row in zip(*(batch.column(f.name).to_pylist() for f in schema)):
             fold(index, *row)
+        if most and index.size >= most:
+            yield from entries(index, schema)
+            index = CuckooIndex()
+    yield from entries(index, schema)
+
+
+def entries(index: CuckooIndex, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     rows: list[tuple] = []
     for digest, value in index:
         rows.append((digest, *value))
@@ -152,7 +163,11 @@ def duplicate_groups(rows: DataFrame) -> DataFrame:
         F.lit(1).cast("long").alias("group_size"),
         F.lit(1).cast("long").alias("ties"),
     )
-    return start.mapInArrow(fold_batches, ENTRY).repartition("digest").mapInArrow(fold_batches, ENTRY)
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = rows.count() // MOST_ENTRIES + 1
+    parts = start.mapInArrow(partial(fold_batches, most=MOST_ENTRIES), ENTRY)
+    parts = parts.repartition(tasks, "digest") if tasks > usual else parts.repartition("digest")
+    return parts.mapInArrow(fold_batches, ENTRY)
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
