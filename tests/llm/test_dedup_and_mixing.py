@@ -43,6 +43,22 @@ def test_one_hot_group_leaves_each_task_as_one_entry(spark):
     assert {(r.keep_id, r.group_size, r.kept, r["count"]) for r in found} == {(0, 20_000, True, 1), (0, 20_000, False, 19_999)}
 
 
+def test_an_index_that_starts_anew_loses_no_row(spark, monkeypatch):
+    monkeypatch.setattr(cuckoo_dedup, "MOST_ENTRIES", 50)
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('text ', id % 700) AS text").repartition(3)
+    found = cuckoo_dedup.exact_groups(docs).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in found} == {(i, i % 700, 6 if i % 700 < 500 else 5) for i in range(4000)}
+    assert sum(r.kept for r in found) == 700
+
+
+def test_no_weights_fill_one_bucket(spark):
+    weight = "CASE WHEN id % 3 = 0 THEN 0.001D WHEN id % 3 = 1 THEN 0.5D ELSE 1D END"
+    keys = spark.range(300_000).select("id", mixing.F.expr(weight).alias("w"))
+    key = mixing.sampling_key(mixing.F.col("id"), mixing.F.col("w"))
+    largest = keys.groupBy(mixing.key_bucket(key, mixing.F.lit(300))).count().agg({"count": "max"}).first()[0]
+    assert largest < 1.3 * mixing.ROWS_PER_BUCKET
+
+
 def test_targets_equal_filling_step_by_step(spark):
     sizes = {"a": 100, "b": 100, "c": 10, "d": 500, None: 40}
     weights = dict(zip(sizes, (3, 1, 2, 3, 1)))

@@ -60,6 +60,27 @@ def test_language_unknown_and_narrow(spark):
     assert {r.doc_id: r.lang_pred for r in langid.predictions(docs, {}).collect()} == dict.fromkeys(range(1, 5), "und")
 
 
+def test_language_sample_gathers_a_copied_text_once(spark):
+    copies = spark.range(5000).selectExpr("id AS doc_id", "'und die der das nicht' AS text", "'de' AS lang")
+    others = spark.range(5000, 5300).selectExpr("id AS doc_id", "concat('the and of ', chr(97 + id % 26), id) AS text", "'en' AS lang")
+    found = langid.training_text(copies.unionByName(others))
+    assert found.get("de", b"") in (b"", b"und die der das nicht")
+    assert len(found["en"]) > 200
+
+
+def test_quality_rows_repeated_teach_once(spark, sf):
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    found = quality.train(docs, labels).network
+    vectors = quality.word_vectors(docs)
+    original = quality.word_vectors
+    quality.word_vectors = lambda _: vectors  # the vectors count every row
+    try:
+        again = quality.train(docs.unionByName(docs), labels).network
+    finally:
+        quality.word_vectors = original
+    assert np.array_equal(found.w1, again.w1) and found.b2 == again.b2
+
+
 @pytest.fixture(scope="module")
 def encoder():
     return bpe.Encoder(bpe.Vocabulary(public_tokenizers.path(bpe.VOCABULARY)))
