@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidemark.operators.merge import DuplicateKeys
 from tidemark.session import landed
 from tidemark.sinks import tables
-from tidemark.sinks.tables import ConcurrentWrite, Table, write
+from tidemark.sinks.tables import ConcurrentWrite, Table, TooManyBuckets, write
 
 
 def frame(spark, rows, schema="id bigint, val string, amount double"):
@@ -331,3 +331,31 @@ def test_what_was_staged_and_not_published_can_be_removed(spark, tmp_path):
     table.overwrite(kept)
     table.discard(kept)
     assert table.row_count() == 5
+
+
+def test_many_appends_are_compacted(spark, tmp_path):
+    table = Table(spark, str(tmp_path / "t"), "id", buckets=4, cursor="id")
+    for i in range(6):
+        table.append(spark.range(i * 10, i * 10 + 10))
+    assert len(table.version().live) == 6
+    assert len(table.read().inputFiles()) >= 6
+    assert table.version().whole == set(table.version().live)
+    assert table.compact(most=6) == 0
+    assert table.compact(most=4) == 5
+    assert len(table.version().live) == 2
+    assert sorted(r.id for r in table.read().collect()) == list(range(60))
+    assert (table.row_count(), table.max_cursor("id")) == (60, 59)
+    table.delete(spark.range(1))
+    assert len(table.version().whole) < len(table.version().live)
+    assert sorted(r.id for r in table.read().collect()) == list(range(1, 60))
+
+
+def test_ranges_too_narrow_are_refused(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.sinks.tables.MOST_BUCKETS", 20)
+    table = Table(spark, str(tmp_path / "t"), "id", width=10)
+    table.overwrite(spark.range(200))
+    with pytest.raises(TooManyBuckets):
+        table.merge(spark.range(1000))
+    with pytest.raises(TooManyBuckets):
+        table.overwrite(spark.range(1000))
+    assert table.row_count() == 200

@@ -1,4 +1,4 @@
-"""The few file-system calls that publishing a table needs, for any Hadoop file system."""
+"""The few file-system calls that publishing a table needs."""
 
 from __future__ import annotations
 
@@ -8,6 +8,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: Where a rename is one step that only one of two writers can do. On object stores it is a copy.
+ATOMIC_RENAME = {"file", "hdfs", "viewfs", "abfs", "abfss"}
+
+
+class UnsafeFileSystem(ValueError):
+    """Two loads could both publish the same version there."""
+
+
 class Files:
     def __init__(self, spark: SparkSession):
         self._path = spark._jvm.org.apache.hadoop.fs.Path
@@ -35,6 +43,8 @@ class Files:
     def create(self, path: str, text: str) -> bool:
         """Publish a file under a name that is free, whole or not at all; False if it is taken."""
         fs, p = self._open(path)
+        if (scheme := fs.getUri().getScheme()) not in ATOMIC_RENAME:
+            raise UnsafeFileSystem(f"{path}: tables need a file system with atomic renames, which {scheme} has not")
         draft = self._path(f"{p.getParent().toString()}/.{p.getName()}.{uuid.uuid4().hex}")
         out = fs.create(draft, True)
         out.write(text.encode())

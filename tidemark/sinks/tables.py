@@ -59,6 +59,10 @@ class ConcurrentWrite(RuntimeError):
     """Another load published a version first; nothing was changed, run the load again."""
 
 
+class TooManyBuckets(ValueError):
+    """The ranges of the key are too narrow for its span; nothing was changed, choose a larger width."""
+
+
 @dataclass(frozen=True)
 class Layout:
     """How rows are grouped: by ``buckets`` hashes or ``width`` ranges of the key, or not at all."""
@@ -96,6 +100,7 @@ class Version:
     schema: T.StructType
     layout: Layout
     live: Mapping[str, Parts]  # folder -> bucket -> part
+    whole: frozenset[str] = frozenset()  # folders all of whose buckets are live
 
     def parts(self) -> list[Part]:
         return [part for parts in self.live.values() for part in parts.values()]
@@ -109,14 +114,15 @@ class Version:
     def to_json(self) -> str:
         layout = {"key": list(self.layout.key), "buckets": self.layout.buckets, "width": self.layout.width}
         live = {g: {b: [p.rows, p.cursor, p.mark] for b, p in parts.items()} for g, parts in self.live.items()}
-        return json.dumps({"schema": self.schema.jsonValue(), "layout": layout, "live": live})
+        whole = sorted(self.whole)
+        return json.dumps({"schema": self.schema.jsonValue(), "layout": layout, "live": live, "whole": whole})
 
     @classmethod
     def from_json(cls, number: int, text: str) -> Version:
         doc = json.loads(text)
         layout = Layout(tuple(doc["layout"]["key"]), doc["layout"]["buckets"], doc["layout"]["width"])
         live = {g: {b: Part(*p) for b, p in parts.items()} for g, parts in doc["live"].items()}
-        return cls(number, T.StructType.fromJson(doc["schema"]), layout, live)
+        return cls(number, T.StructType.fromJson(doc["schema"]), layout, live, frozenset(doc.get("whole", ())))
 
 
 @dataclass(frozen=True)
@@ -174,13 +180,17 @@ class Table:
         return self._scan(version)
 
     def _scan(self, version: Version, only: set[str] | None = None) -> DataFrame:
-        """The live rows, or those of some buckets, read with the known schema: no inference."""
-        folders = [
-            self._folder(gen, bucket)
-            for gen, buckets in version.live.items()
-            for bucket in buckets
-            if only is None or bucket in only
-        ]
+        """The live rows, or those of some buckets, read with the known schema: no inference.
+
+        A folder that is live as a whole is one path, however many buckets it has.
+        """
+        folders = []
+        for gen, buckets in version.live.items():
+            wanted = [b for b in buckets if only is None or b in only]
+            if gen in version.whole and len(wanted) == len(buckets):
+                folders.append(self._folder(gen, ""))
+            else:
+                folders += [self._folder(gen, b) for b in wanted]
         return self._read_folders(folders, version.schema, version.layout)
 
     def _folder(self, gen: str, bucket: str) -> str:
@@ -258,7 +268,11 @@ class Table:
             rows.sortWithinPartitions(BUCKET, *layout.key).write.partitionBy(BUCKET).parquet(folder)
         else:
             rows.write.parquet(folder)
-        parts = self._measure(folder, layout, schema)
+        try:
+            parts = self._measure(folder, layout, schema)
+        except TooManyBuckets:
+            self._files.remove(folder)
+            raise
         folders = [self._folder(gen, b) for b in parts]
         return Staged(gen, layout, parts, self._read_folders(folders, schema, layout))
 
@@ -285,7 +299,8 @@ class Table:
             F.count(F.lit(1)).alias("rows"), mark.alias("mark")
         )
         return {
-            _bucket_name(r[BUCKET]) if layout.key else "": Part(r["rows"], cursor, r["mark"]) for r in counts.collect()
+            _bucket_name(r[BUCKET]) if layout.key else "": Part(r["rows"], cursor, r["mark"])
+            for r in _per_bucket(counts)
         }
 
     def stage(self, df: DataFrame) -> Staged:
@@ -318,7 +333,10 @@ class Table:
 
     def _publish(self, base: Version | None, schema: T.StructType, layout: Layout, live: Mapping) -> None:
         number = base.number + 1 if base else 1
-        version = Version(number, schema, layout, {g: parts for g, parts in live.items() if parts})
+        live = {g: parts for g, parts in live.items() if parts}
+        old = base.live if base else {}
+        whole = frozenset(g for g in live if g not in old or g in base.whole and set(live[g]) == set(old[g]))
+        version = Version(number, schema, layout, live, whole)
         if not self._files.create(self._version_file(number), version.to_json()):
             raise ConcurrentWrite(f"version {number} of {self.path} was published by another load")
 
@@ -390,7 +408,7 @@ class Table:
             where = keys.groupBy(base.layout.column().alias(BUCKET)).agg(
                 F.count(F.lit(1)).alias("n"), key_bytes(keys).alias("bytes")
             )
-            counts = {_bucket_name(r[BUCKET]): (r["n"], r["bytes"]) for r in where.collect()}
+            counts = {_bucket_name(r[BUCKET]): (r["n"], r["bytes"]) for r in _per_bucket(where)}
             touched = set(counts) - {NO_KEY}
             key_rows, size = (sum(c[i] for c in counts.values()) for i in (0, 1))
         else:
@@ -415,6 +433,21 @@ class Table:
         self._publish(base, base.schema, base.layout, {**base.without(touched), **added})
         log.info("%s: %d keys, %d buckets rewritten", self.path, key_rows, len(touched))
 
+    def compact(self, most: int = 100) -> int:
+        """Bring a table of more than ``most`` folders, as many appends leave it, down to half of that.
+
+        The folders with the fewest rows are written as one; returns how many these were.
+        """
+        base = self.version()
+        if base is None or len(base.live) <= most:
+            return 0
+        by_rows = sorted(base.live, key=lambda g: sum(p.rows for p in base.live[g].values()))
+        small = set(by_rows[: len(by_rows) - most // 2 + 1])
+        staged = self._write(self._scan(replace(base, live={g: base.live[g] for g in small})), base.layout)
+        kept = {g: parts for g, parts in base.live.items() if g not in small}
+        self._publish(base, base.schema, base.layout, {**kept, staged.folder: staged.parts})
+        return len(small)
+
     def prune(self, keep: int = 2, min_age_hours: float = 24) -> int:
         """Delete version files and folders that none of the newest ``keep`` versions uses.
 
@@ -447,6 +480,14 @@ def _bucket_count(size: int) -> int:
     return min(max(-(-size // BUCKET_BYTES), LEAST_BUCKETS), MOST_BUCKETS)
 
 
+def _per_bucket(counts: DataFrame) -> list:
+    """One row per bucket. Hashes are bounded by their number; ranges follow from the keys and are bounded here."""
+    rows = counts.limit(MOST_BUCKETS + 2).collect()
+    if len(rows) > MOST_BUCKETS + 1:
+        raise TooManyBuckets(f"rows fall into more than {MOST_BUCKETS} buckets")
+    return rows
+
+
 def _stored_name(schema: T.StructType, column: str) -> str | None:
     """The table's spelling of a column: as it is, without regard to case, or normalised."""
     names = {f.name.lower(): f.name for f in schema.fields}
