@@ -51,6 +51,22 @@ ORACLE_SQL: dict[str, str] = {
     "gold_mart": MART,
     "bi_report": BI_REPORT,
     "exported_report": BI_REPORT,
+    "csv_report": BI_REPORT,
+    "run_all_jobs": f"""
+        SELECT region, count(*) AS orders, CAST(sum(CAST(o_totalprice AS {MONEY})) AS {MONEY}) AS revenue
+        FROM orders JOIN ({CUSTOMERS}) ON o_custkey = customer_id GROUP BY region
+    """,
+    "load_history": f"""
+        WITH first AS (SELECT *, coalesce(value > 0, false) AS good FROM events WHERE ts < {SPLIT}),
+             batch AS (SELECT *, coalesce(value + 1 > 0, false) AS good, event_type = 'error' AS dead FROM events
+                       WHERE ts >= (SELECT max(ts) FROM first WHERE good) - INTERVAL 86400 SECOND)
+        SELECT 'events' AS table_name, 'loaded' AS status, count(*) FILTER (good) AS rows,
+               count(*) FILTER (NOT good) AS rejected, CAST(0 AS BIGINT) AS deleted,
+               max(ts) AS cursor_value FROM first
+        UNION ALL
+        SELECT 'events', 'loaded', count(*) FILTER (NOT dead AND good), count(*) FILTER (NOT dead AND NOT good),
+               count(*) FILTER (dead), max(ts) FROM batch
+    """,
     "summary_statistics": f"""
         SELECT count(*) AS order_count, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units_sold,
                CAST(round(sum({NET_PRICE}), 2) AS {TOTAL}) AS total_revenue,
@@ -115,7 +131,7 @@ ORACLE_SQL: dict[str, str] = {
              stored AS (SELECT * FROM live
                         UNION ALL
                         SELECT * FROM first WHERE event_id NOT IN (SELECT event_id FROM gone))
-        SELECT event_id, ts, user_id, event_type, CAST(value AS {MONEY}) AS value FROM stored
+        SELECT event_id, ts, user_id, event_type, CAST(value AS {MONEY}) AS value, props FROM stored
     """,
     "stream_ingest": UPSERT,
     "table_append": "SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id = 42",
@@ -157,6 +173,8 @@ ORACLE_SQL: dict[str, str] = {
         FROM customer
     """,
     "quality_not_null": f"SELECT * FROM ({TYPED_EVENTS}) WHERE event_type IS NULL",
+    "quality_missing_column": "SELECT * FROM customer",
+    "gate_warns": "SELECT * FROM customer",
     "quality_unique": "SELECT * FROM documents QUALIFY count(*) OVER (PARTITION BY text) > 1",
     "quality_positive": "SELECT * FROM customer WHERE NOT coalesce(c_acctbal > 0, false)",
     "quarantine_good": "SELECT * FROM customer WHERE c_name IS NOT NULL AND c_acctbal > 0",

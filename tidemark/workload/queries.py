@@ -16,9 +16,10 @@ from tidemark.operators.orders_gate import orders_gate as gate_of_orders
 from tidemark.plans import ingest, mart, orders
 from tidemark.plans.lake import Lake
 from tidemark.plans.model import model_frame, query
-from tidemark.plans.specs import Ingest
+from tidemark.plans.run import run_all
+from tidemark.plans.specs import Ingest, Model, Specs
 from tidemark.session import broadcast_if_small, scratch_path
-from tidemark.sinks.exports import export_parquet
+from tidemark.sinks.exports import export_csv, export_parquet
 from tidemark.sinks.tables import Table
 from tidemark.streaming.files import into_table, run_available, stream_files
 from tidemark.workload import roles
@@ -246,6 +247,11 @@ def quality_not_null(spark: SparkSession, folder: str) -> DataFrame:
     return bad(typed_events(spark, folder), {"not_null": ["event_type"]})
 
 
+def quality_missing_column(spark: SparkSession, folder: str) -> DataFrame:
+    """A column that isn't there is missing in every row."""
+    return bad(table(spark, folder, "customer"), {"not_null": ["no_such_column", "c_name"]})
+
+
 def quality_unique(spark: SparkSession, folder: str) -> DataFrame:
     gate = quality.inspect(table(spark, folder, "documents"), {"unique": ["text"], "on_fail": "quarantine"}, "doc_id")
     return quality.bad_rows(gate.flagged()).drop(quality.FAILED)
@@ -262,6 +268,12 @@ def quarantine_good(spark: SparkSession, folder: str) -> DataFrame:
     return ingest.gate("customer", table(spark, folder, "customer"), BALANCE_RULES, "c_custkey").good
 
 
+def gate_warns(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules that only warn let every row pass."""
+    rules = replace(BALANCE_RULES, on_fail="warn")
+    return ingest.gate("customer", table(spark, folder, "customer"), rules, "c_custkey").good
+
+
 def quarantine_rejects(spark: SparkSession, folder: str) -> DataFrame:
     rejects = ingest.gate("customer", table(spark, folder, "customer"), BALANCE_RULES, "c_custkey").rejects
     return rejects.withColumn(quality.FAILED, F.array_join(quality.FAILED, ","))
@@ -290,27 +302,31 @@ def table_merge(spark: SparkSession, folder: str) -> DataFrame:
 
 
 CSV_EVENTS = (
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, is_deleted boolean"
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string, is_deleted boolean"
 )
-CSV_TIME = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+CSV_FORMAT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "escape": '"'}
 
 
 def ingest_run(spark: SparkSession, folder: str) -> DataFrame:
     """Two loads from CSV: a first one, and one that starts from its high-water mark less the lag."""
-    error = F.col("event_type") == "error"
-    rows = events(spark, folder).drop("props")
     lake = Lake(spark, scratch_path(spark, "lake"))
+    load_events(spark, folder, lake)
+    return lake.silver("events").read().drop("is_deleted")
+
+
+def load_events(spark: SparkSession, folder: str, lake: Lake) -> None:
+    error = F.col("event_type") == "error"
+    rows = events(spark, folder)
     sources = {
         "first": rows.where(f"ts < {SPLIT}").withColumn("is_deleted", F.lit(False)),
         "second": rows.withColumns({"value": F.col("value") + 1, "is_deleted": error}),
     }
     for name, df in sources.items():
         path = scratch_path(spark, name)
-        df.write.options(header=True, **CSV_TIME).csv(path)
-        source = {"type": "csv", "path": path, "columns": CSV_EVENTS, "options": CSV_TIME}
+        df.write.options(header=True, **CSV_FORMAT).csv(path)
+        source = {"type": "csv", "path": path, "columns": CSV_EVENTS, "options": CSV_FORMAT}
         spec = replace(EVENTS_SPEC, source=source, transforms=("trim_strings",), money_columns=("value",))
         ingest.run_ingest(lake, spec)
-    return lake.silver("events").read().drop("is_deleted")
 
 
 def exported_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -319,6 +335,56 @@ def exported_report(spark: SparkSession, folder: str) -> DataFrame:
     return reports.bi_report(spark.read.parquet(path))
 
 
+def csv_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report read off its CSV file."""
+    report = bi_report(spark, folder)
+    path = export_csv({"by_region_and_category": report}, scratch_path(spark, "reports"))[0]
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
+def history(lake: Lake) -> DataFrame:
+    reached = F.col("cursor_value").cast("timestamp_ntz").alias("cursor_value")  # kept as ISO text
+    return lake.loads().read().select("table_name", "status", "rows", "rejected", "deleted", reached)
+
+
+def load_history(spark: SparkSession, folder: str) -> DataFrame:
+    """What the log says of two loads, the second of which starts from the mark of the first."""
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    load_events(spark, folder, lake)
+    return history(lake)
+
+
+REGION_SALES = Model(
+    name="region_sales",
+    inputs=("orders", "customers"),
+    sql="""
+        SELECT region, count(*) AS orders, sum(amount) AS revenue
+        FROM orders JOIN customers ON orders.customer_id = customers.customer_id GROUP BY region
+    """,
+    table="region_sales",
+    money_columns=("revenue",),
+)
+
+
+def run_all_jobs(spark: SparkSession, folder: str) -> DataFrame:
+    """Two ingests side by side, then a model over both; the gold table."""
+    lake, specs = Lake(spark, scratch_path(spark, "lake")), Specs()
+    sources = {
+        "orders": table(spark, folder, "orders").selectExpr("o_orderkey AS order_id", "o_custkey AS customer_id", "o_totalprice AS amount"),
+        "customers": roles.customers(spark, folder),
+    }
+    for name, df in sources.items():
+        path = scratch_path(spark, name)
+        df.write.option("header", True).csv(path)
+        columns = ", ".join(f"{c} {kind}" for c, kind in df.dtypes)
+        money = ("amount",) if "amount" in df.columns else ()
+        source = {"type": "csv", "path": path, "columns": columns}
+        specs.add(Ingest(name=name, source=source, table=name, primary_key=df.columns[0], money_columns=money))
+    specs.add(REGION_SALES)
+    run_all(lake, specs, parallel=2)
+    return lake.gold("region_sales").read()
+
+
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Two drops of files as a stream into a table; the second updates keys inside the lag window."""
     drops, home = scratch_path(spark, "drops"), scratch_path(spark, "stream")
@@ -397,8 +463,10 @@ QUERIES: dict[str, Query] = {
         mask_pii,
         add_lineage,
         quality_not_null,
+        quality_missing_column,
         quality_unique,
         quality_positive,
+        gate_warns,
         quarantine_good,
         quarantine_rejects,
         gate_report,
@@ -406,6 +474,9 @@ QUERIES: dict[str, Query] = {
         table_merge,
         ingest_run,
         exported_report,
+        csv_report,
+        load_history,
+        run_all_jobs,
         stream_ingest,
         table_append,
         table_facts,
