@@ -68,6 +68,20 @@ def test_language_sample_gathers_a_copied_text_once(spark):
     assert len(found["en"]) > 200
 
 
+def test_language_share_is_of_distinct_texts_with_letters(spark):
+    word = "translate(cast({} AS string), '0123456789', 'abcdefghij')"
+    copies = spark.range(40_000).selectExpr("id AS doc_id", f"concat('der die das ', {word.format('id % 20')}) AS text", "'de' AS lang")
+    blank = spark.range(40_000, 60_000).selectExpr("id AS doc_id", "concat('', id) AS text", "'fr' AS lang")
+    few = spark.range(60_000, 60_050).selectExpr("id AS doc_id", f"concat('le la les ', {word.format('id')}) AS text", "'fr' AS lang")
+    far = spark.range(70_000, 70_020).selectExpr("id AS doc_id", "concat('el la los', repeat(' ', 9000)) AS text", "'es' AS lang")
+    docs = copies.unionByName(blank).unionByName(few).unionByName(far)
+    found = langid.training_text(docs)
+    assert found["de"].count(b"der die das") == 20
+    learned = few.where(~langid.held_out(few.doc_id)).count()
+    assert found["fr"].count(b"le la les") == learned
+    assert found["es"] == b"el la los"
+
+
 def test_quality_rows_repeated_teach_once(spark, sf):
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
     found = quality.train(docs, labels).network

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import by_batch, held_out, table, text_of
 
-#: Rows per language that a dictionary is made of, characters of each, and bytes of the dictionary: the
-#: bounded sample that is learned from.
+#: Texts per language that a dictionary is made of, characters of each at most, and bytes of the dictionary:
+#: the bounded sample that is learned from. Each text gets an equal part of the bytes.
 SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 2000, 256 << 10
 BLOCK_BYTES = 4096
 LEVEL = 3
@@ -28,6 +28,9 @@ MARGIN = 0.01
 SHARPNESS = 40.0
 UNKNOWN = "und"
 
+#: What ``normal`` keeps, for Spark.
+LETTER = r"[\p{L}\p{Nl}\p{No}]"
+
 _other = re.compile(r"[\W\d_]+").sub
 
 
@@ -39,18 +42,20 @@ def normal(text: str | None) -> str:
 def training_text(docs: DataFrame) -> dict[str, bytes]:
     """A dictionary's bytes for each language, from a bounded sample of the rows that may be learned from.
 
-    Texts are drawn by their hash: the same texts whatever the partitioning. The share drawn of each
-    language follows from its number of rows. However many copies a text has, it is gathered once.
+    Texts are drawn by their hash: the same texts whatever the partitioning. Copies of a text count once
+    and texts without a letter don't count, both for the share drawn of each language and in what is drawn.
     """
     rows = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    rows = rows.select("lang", "text", F.xxhash64(text_of("text")).alias("drawn"))
-    counts = rows.groupBy("lang").count().collect()  # one row per language
+    rows = rows.select("lang", "text", F.xxhash64(text_of("text")).alias("drawn")).where(F.col("text").rlike(LETTER))
+    counts = rows.select("lang", "drawn").distinct().groupBy("lang").count().collect()  # one row per language
     if not counts:
         return {}
     share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, 2 * SAMPLE_ROWS / r["count"]))))
     low = (F.col("drawn").cast("double") / 2.0**64 + 0.5) <= share[F.col("lang")]
     middle = F.substring(F.col("text"), F.greatest(F.lit(1), F.length("text") / 2 - SAMPLE_CHARS / 2).cast("int"), F.lit(SAMPLE_CHARS))
-    sample = rows.where(low).groupBy("lang", "drawn").agg(F.min(middle).alias("text")).collect()
+    first = F.regexp_extract("text", f"(?s){LETTER}.{{0,{SAMPLE_CHARS - 1}}}", 0)  # the middle may have no letter
+    passage = F.when(middle.rlike(LETTER), middle).otherwise(first)
+    sample = rows.where(low).groupBy("lang", "drawn").agg(F.min(passage).alias("text")).collect()
     texts: dict[str, list[str]] = {r["lang"]: [] for r in counts}
     for lang, _, text in sorted(sample, key=lambda r: (r[0], r[1], r[2] or "")):
         if len(texts[lang]) < SAMPLE_ROWS and (text := normal(text)):
