@@ -47,6 +47,14 @@ def test_very_odd_markup_is_quick():
         main_text(source, NO_TEMPLATE)
 
 
+@pytest.mark.parametrize("tag", ["div", "span", "font"])
+def test_depth_is_no_limit(tag):
+    deep, out = f"<{tag}>" * 300, f"</{tag}>" * 300
+    assert main_text(f"{deep}<nav>no</nav><article><p>yes</p></article><footer>no</footer>", NO_TEMPLATE) == "yes"
+    assert main_text(f"<div><article><p>one</p>{deep}two{out}<p>three</p></article></div>", NO_TEMPLATE) == "one two three"
+    assert main_text(f"<article>{deep}a<aside>no</aside>b</article>no", {**NO_TEMPLATE, "articles": ["article"]}) == "a b"
+
+
 def test_template_from_classes(spark):
     """Without an article, fixed texts and link lists of a host go; what varies stays."""
     links = "".join(f"<li><a href='/{i}'>Section {i}</a></li>" for i in range(5))

@@ -30,7 +30,7 @@ from tidemark.llm.urls import host_and_path
 SUPPORT, TEXT_PAGES = 0.5, 3
 #: A slot with at least this share of its text in links, and so many links a page, is a menu.
 LINK_SHARE, LINKS = 0.8, 3
-#: Nesting deeper than this is read as if it were not.
+#: Paths are spelled out to this depth; a deeper one is the hash of the path above and the last label.
 DEPTH = 200
 
 # Elements of HTML and names that pages give to what isn't the article.
@@ -70,6 +70,8 @@ class Node:
 
     tag: str
     path: str
+    parent: Node | None
+    depth: int
     dropped: bool
     article: bool
     link: bool
@@ -77,24 +79,34 @@ class Node:
 
 @dataclass
 class Text:
-    """A text node: its element's path, whether it is in an article, boilerplate by name, or a link; ``block`` starts a new block."""
+    """A text node: its element, whether it is in an article, boilerplate by name, or a link; ``block`` starts a new block."""
 
-    path: str
+    node: Node
     text: str
     dropped: bool
     article: bool
     link: bool
     block: bool
 
+    @property
+    def path(self) -> str:
+        return self.node.path
+
 
 @dataclass
 class Page:
     tags: dict[str, int] = field(default_factory=dict)
+    #: Elements in page order, so that each comes after the one around it.
+    nodes: list[Node] = field(default_factory=list)
     texts: list[Text] = field(default_factory=list)
     #: Whether it has an article, be it empty.
     article: bool = False
 
 
+def path_hash(path: str) -> str:
+    return f"#{xxhash.xxh64_hexdigest(path)}"
+
+
 def element(parent: Node | None, tag: str, attributes: str) -> Node:
     names: set[str] = set()
     label = tag
@@ -107,9 +119,13 @@ def element(parent: Node | None, tag: str, attributes: str) -> Node:
                 label = f"{tag}.{'-'.join(words)}"
     dropped = parent.dropped if parent else False
     own = tag in PLAIN or bool(names & NAMES)
+    depth = parent.depth + 1 if parent else 1
+    above = "" if not parent else f"{parent.path}/" if depth <= DEPTH else f"{path_hash(parent.path)}/"
     return Node(
         tag,
-        f"{parent.path}/{label}" if parent else label,
+        above + label,
+        parent,
+        depth,
         dropped or own,
         bool(parent and parent.article) or (tag in ("article", "main") or "main" in names and tag != "body" or "articlebody" in "".join(sorted(names))) and not own,
         tag == "a" or bool(parent and parent.link),
@@ -118,15 +134,15 @@ def element(parent: Node | None, tag: str, attributes: str) -> Node:
 
 def read(source: str) -> Page:
     """The tags, by path, and the text nodes of a page. Unclosed and stray tags are taken as browsers do."""
-    page, stack, at, block = Page(), [], 0, True
-    top = Node("", "", False, False, False)
+    page, stack, at, block = Page(), Stack(), 0, True
+    top = Node("", "", None, 0, False, False, False)
 
     def text(raw: str) -> None:
         nonlocal block
-        inside = stack[-1] if stack else top
+        inside = stack.nodes[-1] if stack.nodes else top
         found = entities.unescape(raw) if "&" in raw else raw
         if found:
-            page.texts.append(Text(inside.path, found, inside.dropped, inside.article, inside.link, block))
+            page.texts.append(Text(inside, found, inside.dropped, inside.article, inside.link, block))
             block = False
 
     for m in MARKUP.finditer(source):
@@ -142,37 +158,61 @@ def read(source: str) -> Page:
         if tag in BLOCK:
             block = True
         if m[2]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == tag:
-                    if any(n.tag in BLOCK for n in stack[i:]):
-                        block = True
-                    del stack[i:]
-                    break
+            block |= stack.close(tag)
             continue
         if tag in CLOSES_P:
-            close(stack, "p", ALONE["p"])
+            stack.close("p", ALONE["p"])
         if tag in ALONE:
-            close(stack, tag, ALONE[tag])
-        if len(stack) >= DEPTH:
-            continue
-        node = element(stack[-1] if stack else None, tag, m[4])
+            stack.close(tag, ALONE[tag])
+        node = element(stack.nodes[-1] if stack.nodes else None, tag, m[4])
+        page.nodes.append(node)
         page.tags[node.path] = page.tags.get(node.path, 0) + 1
         page.article |= node.article and not node.dropped
         if tag not in VOID and not m[4].endswith("/"):
-            stack.append(node)
+            stack.push(node)
     if at < len(source):
         text(source[at:])
     return page
 
 
-def close(stack: list[Node], tag: str, within: list[str]) -> None:
-    """Close an open element of this tag, unless one that may hold another stands in between."""
-    for i in range(len(stack) - 1, -1, -1):
-        if stack[i].tag == tag:
-            del stack[i:]
-            return
-        if stack[i].tag in within:
-            return
+class Stack:
+    """The open elements, and where those of each tag are."""
+
+    def __init__(self) -> None:
+        self.nodes: list[Node] = []
+        self.at: dict[str, list[int]] = {}
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, tag: str, within: list[str] = ()) -> bool:
+        """Close the last open element of this tag, unless one that may hold another stands in between.
+
+        Whether a block ended.
+        """
+        if not self.at.get(tag):
+            return False
+        last = self.at[tag][-1]
+        if any(self.at.get(w) and self.at[w][-1] > last for w in within):
+            return False
+        ended = False
+        while len(self.nodes) > last:
+            gone = self.nodes.pop().tag
+            self.at[gone].pop()
+            ended |= gone in BLOCK
+        return ended
+
+
+def below(node: Node | None, paths: set[str], known: dict[int, bool]) -> bool:
+    """Whether an element is, or is in, one of these paths. ``known`` keeps what was found for a page's elements."""
+    seen = []
+    while node and node.path and id(node) not in known and node.path not in paths:
+        seen.append(id(node))
+        node = node.parent
+    found = bool(node and (known[id(node)] if id(node) in known else node.path in paths))
+    known.update(dict.fromkeys(seen, found))
+    return found
 
 
 def text_key(text: Text) -> str:
@@ -201,20 +241,27 @@ def page_tokens(batch: pa.RecordBatch) -> dict:
     for page_id, host, source in zip(*(batch.column(i).to_pylist() for i in range(3))):
         page = read(source)
         seed = xxhash.xxh64_intdigest(f"{page_id} {source}")
-        slots: dict[str, list[int]] = {}
         texts: dict[str, int] = {}
+        sums = {id(n): [0, 0, 0] for n in page.nodes}
         for t in page.texts:
             size = len(t.text.strip())
-            slot = slots.setdefault(t.path, [0, 0, 0])
-            slot[0] += size
-            if t.link:
-                slot[1] += size
-                slot[2] += 1
+            if slot := sums.get(id(t.node)):
+                slot[0] += size
+                if t.link:
+                    slot[1] += size
+                    slot[2] += 1
             if size and not t.article:
                 key = text_key(t)
                 texts[key] = texts.get(key, 0) + 1
+        slots: dict[str, list[int]] = {}
+        for node in reversed(page.nodes):  # with what is in them
+            own, slot, above = sums[id(node)], slots.setdefault(node.path, [0, 0, 0]), sums.get(id(node.parent))
+            for i, value in enumerate(own):
+                slot[i] += value
+                if above:
+                    above[i] += value
         for path, count in page.tags.items():
-            add((host, path, TAG), seed, count, *slots.get(path, (0, 0, 0)))
+            add((host, path, TAG), seed, count, *slots[path])
         for key, count in texts.items():
             add((host, key, TEXT), seed, count)
         add((host, "", PAGE), seed, 1)
@@ -233,19 +280,19 @@ def deduce(pages: int, varied: bool, tokens: list[dict]) -> dict:
     classes: dict[tuple, list[dict]] = {}
     for token in tokens:
         classes.setdefault((token["pages"], token["total"], token["vector"]), []).append(token)
-    template: set[str] = set()
     paths = {t["token"]: t for t in tokens if t["kind"] == TAG}
-    for members in sorted(classes.values(), key=lambda c: min(t["token"].count("/") for t in c)):
-        for path in sorted((t["token"] for t in members if t["kind"] == TAG), key=lambda p: p.count("/")):
-            above = path.rpartition("/")[0]
-            if not above or above in template:
-                template.add(path)
+    inside: dict[str, list[str]] = {}
+    for path in paths:
+        inside.setdefault(path.rpartition("/")[0], []).append(path)
+    template, found = set(), inside.get("", [])
+    while found:
+        template.update(found)
+        found = [p for above in found for key in (above, path_hash(above)) for p in inside.get(key, ())]
     every_page = {key for key, members in classes.items() if key[:2] == (pages, pages) and any(t["kind"] == TAG for t in members)}
     fixed = [t["token"] for key in every_page for t in classes[key] if t["kind"] == TEXT] if pages >= TEXT_PAGES and varied else []
     menus = []
     for path in template:
-        below = [t for p, t in paths.items() if p == path or p.startswith(f"{path}/")]
-        chars, linked, links = (sum(t[k] for t in below) for k in ("chars", "linked", "links"))
+        chars, linked, links = (paths[path][k] for k in ("chars", "linked", "links"))
         if links >= LINKS * pages and linked >= LINK_SHARE * chars > 0 and not path.endswith("body") and "/" in path:
             menus.append(path)
     return {
@@ -289,28 +336,26 @@ def templates(pages: DataFrame) -> DataFrame:
 # -- extraction
 
 
-def slots(page: Page, template: dict) -> Iterator[Text]:
-    """The text nodes that the template leaves for the article, in page order."""
-    articles = tuple(f"{p}/" for p in template["articles"])
-    kept = [bool(articles) and f"{t.path}/".startswith(articles) and not t.dropped for t in page.texts]
+def slots(page: Page, template: dict) -> Iterator[tuple[Text, bool]]:
+    """The text nodes in page order, and whether the template leaves them for the article."""
+    articles, menus, fixed = (set(template[k]) for k in ("articles", "menus", "fixed"))
+    known: dict[int, bool] = {}
+    kept = [not t.dropped and below(t.node, articles, known) for t in page.texts]
     if not any(kept):  # not a page of the template
         kept = [t.article and not t.dropped for t in page.texts]
     if not any(kept) and not page.article:
-        menus, fixed = tuple(f"{p}/" for p in template["menus"]), set(template["fixed"])
-        kept = [
-            not (t.dropped or menus and f"{t.path}/".startswith(menus) or fixed and text_key(t) in fixed) for t in page.texts
-        ]
-    for t, keep in zip(page.texts, kept):
-        yield Text(t.path, t.text, not keep, t.article, t.link, t.block)
+        known = {}
+        kept = [not (t.dropped or below(t.node, menus, known) or fixed and text_key(t) in fixed) for t in page.texts]
+    yield from zip(page.texts, kept)
 
 
 def main_text(source: str, template: dict) -> str:
     """Blocks joined by one blank; white space inside a block is one blank."""
     out: list[str] = []
     block = True
-    for t in slots(read(source), template):
+    for t, keep in slots(read(source), template):
         block |= t.block
-        if t.dropped:
+        if not keep:
             block = True
             continue
         if block or not out:
