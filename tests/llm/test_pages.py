@@ -63,6 +63,24 @@ def test_template_from_classes(spark):
     assert found == {i: f"Story {i} is here" for i in range(6)}
 
 
+def texts_of(spark, sources):
+    rows = [(i, "http://h.com/", s) for i, s in enumerate(sources)]
+    found = {r.page_id: r.text for r in extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    return [found[i] for i in range(len(rows))]
+
+
+def test_one_odd_page_leaves_fixed_texts_fixed(spark):
+    """Nor do notices that stand twice on a page, or on most pages, or pages that are copies."""
+    def page(i, notice="<div>Shared notice</div>"):
+        return f"<html><body><div>Welcome to all</div><p>Twice</p>{notice}<div><b>Story {i} is</b> here {i}</div><p>Twice</p></body></html>"
+
+    pages = [page(i) for i in range(20)]
+    odd = [None, "", "<html><bo", page(20, ""), "<html><body><div>Welcome to all"]
+    assert texts_of(spark, pages + odd) == [f"Story {i} is here {i}" for i in range(20)] + ["", "", "", "Story 20 is here 20", ""]
+    copies = ["<html><body><ol>Copied text</ol></body></html>"] * 30
+    assert texts_of(spark, pages[:10] + copies)[10:] == ["Copied text"] * 30
+
+
 def test_classes_nest_from_the_root():
     def tag(path, vector, pages=4):
         return {"token": path, "kind": 0, "pages": pages, "total": pages, "vector": vector, "chars": 0, "linked": 0, "links": 0}

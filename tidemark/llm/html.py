@@ -87,6 +87,8 @@ class Text:
     article: bool
     link: bool
     block: bool
+    #: Whether the next text starts a new block too.
+    whole: bool = False
 
     @property
     def path(self) -> str:
@@ -172,6 +174,10 @@ def read(source: str) -> Page:
             stack.push(node)
     if at < len(source):
         text(source[at:])
+    for t, following in zip(page.texts, page.texts[1:]):
+        t.whole = t.block and following.block
+    if page.texts:
+        page.texts[-1].whole = page.texts[-1].block
     return page
 
 
@@ -215,13 +221,17 @@ def below(node: Node | None, paths: set[str], known: dict[int, bool]) -> bool:
     return found
 
 
+#: Before the key of a text that is a block of its own, outside an article.
+WHOLE = "="
+
+
 def text_key(text: Text) -> str:
-    return f"{text.path} {xxhash.xxh64_hexdigest(' '.join(text.text.split()))}"
+    return f"{WHOLE if text.whole and not text.article else ''}{text.path} {xxhash.xxh64_hexdigest(' '.join(text.text.split()))}"
 
 
 # -- templates
 
-TOKEN = "host string, token string, kind int, pages long, total long, vector long, chars long, linked long, links long"
+TOKEN = "host string, token string, kind int, pages long, total long, vector long, chars long, linked long, links long, sources long"
 TAG, TEXT, PAGE = 0, 1, 2
 
 
@@ -230,17 +240,19 @@ def page_tokens(batch: pa.RecordBatch) -> dict:
     found: dict[tuple, list[int]] = {}
 
     def add(key: tuple, seed: int, count: int, chars: int = 0, linked: int = 0, links: int = 0) -> None:
-        entry = found.setdefault(key, [0, 0, 0, 0, 0, 0])
+        entry = found.setdefault(key, [0, 0, 0, 0, 0, 0, 0])
         entry[0] += 1
         entry[1] += count
         entry[2] ^= xxhash.xxh64_intdigest(count.to_bytes(8, "little"), seed)
         entry[3] += chars
         entry[4] += linked
         entry[5] += links
+        entry[6] |= source_bit
 
     for page_id, host, source in zip(*(batch.column(i).to_pylist() for i in range(3))):
         page = read(source)
         seed = xxhash.xxh64_intdigest(f"{page_id} {source}")
+        source_bit = 1 << xxhash.xxh64_intdigest(source) % 64
         texts: dict[str, int] = {}
         sums = {id(n): [0, 0, 0] for n in page.nodes}
         for t in page.texts:
@@ -264,10 +276,14 @@ def page_tokens(batch: pa.RecordBatch) -> dict:
             add((host, path, TAG), seed, count, *slots[path])
         for key, count in texts.items():
             add((host, key, TEXT), seed, count)
-        add((host, "", PAGE), seed, 1)
+        if page.tags or texts:
+            add((host, "", PAGE), seed, 1)
+    if not found:
+        return {f.split()[0]: [] for f in TOKEN.split(", ")}
     rows = [(*key, *values) for key, values in found.items()]
     columns = list(zip(*rows))
-    columns[5] = [v - (1 << 64) if v >> 63 else v for v in columns[5]]
+    for i in (5, 9):
+        columns[i] = [v - (1 << 64) if v >> 63 else v for v in columns[i]]
     return dict(zip((f.split()[0] for f in TOKEN.split(", ")), columns))
 
 
@@ -275,7 +291,8 @@ def deduce(pages: int, varied: bool, tokens: list[dict]) -> dict:
     """A host's template: the paths of its article, its menus, and its fixed texts.
 
     ``tokens`` are those on at least SUPPORT of the pages. Classes nest from the root: a tag's class
-    belongs to the template if the path above the tag does.
+    belongs to the template if the path above the tag does. A text is fixed if it is of the class of such
+    a tag, however often that stands on a page; outside an article also if it is a block of its own.
     """
     classes: dict[tuple, list[dict]] = {}
     for token in tokens:
@@ -288,8 +305,10 @@ def deduce(pages: int, varied: bool, tokens: list[dict]) -> dict:
     while found:
         template.update(found)
         found = [p for above in found for key in (above, path_hash(above)) for p in inside.get(key, ())]
-    every_page = {key for key, members in classes.items() if key[:2] == (pages, pages) and any(t["kind"] == TAG for t in members)}
-    fixed = [t["token"] for key in every_page for t in classes[key] if t["kind"] == TEXT] if pages >= TEXT_PAGES and varied else []
+    fixed = []
+    for members in classes.values() if pages >= TEXT_PAGES and varied else ():
+        of_template = any(t["kind"] == TAG and t["token"] in template for t in members)
+        fixed += [t["token"] for t in members if t["kind"] == TEXT and (of_template or t["token"].startswith(WHOLE))]
     menus = []
     for path in template:
         chars, linked, links = (paths[path][k] for k in ("chars", "linked", "links"))
@@ -316,10 +335,13 @@ def templates(pages: DataFrame) -> DataFrame:
         F.sum("chars").alias("chars"),
         F.sum("linked").alias("linked"),
         F.sum("links").alias("links"),
+        F.bit_or("sources").alias("sources"),
     )
     sums = cut(sums.where((F.col("kind") != TEXT) | (F.col("pages") >= TEXT_PAGES)))
-    counts = sums.where(F.col("kind") == PAGE).select("host", F.col("pages").alias("all_pages"))
+    counts = sums.where(F.col("kind") == PAGE).select("host", F.col("pages").alias("all_pages"), F.bit_count("sources").alias("all_sources"))
     often = sums.where(F.col("kind") != PAGE).join(counts, "host").where(F.col("pages") >= F.col("all_pages") * SUPPORT)
+    # A text of one page and its copies isn't shared, however many they are.
+    often = often.where((F.col("kind") != TEXT) | (F.bit_count("sources") >= F.greatest(F.lit(2), F.col("all_sources") * SUPPORT)))
     names = ("token", "kind", "pages", "total", "vector", "chars", "linked", "links")
     variety = pages.groupBy("host").agg((F.min(F.xxhash64("html")) != F.max(F.xxhash64("html"))).alias("varied"))
     grouped = often.groupBy("host", "all_pages").agg(F.to_json(F.collect_list(F.struct(*names))).alias("tokens"))
