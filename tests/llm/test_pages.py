@@ -81,6 +81,21 @@ def test_one_odd_page_leaves_fixed_texts_fixed(spark):
     assert texts_of(spark, pages[:10] + copies)[10:] == ["Copied text"] * 30
 
 
+def test_shared_passage_in_articles_goes(spark):
+    pages = [f"<html><body><article><h1>Title {i}</h1><p>Story {i} and more</p><div>Write to us</div></article></body></html>" for i in range(8)]
+    assert texts_of(spark, pages) == [f"Title {i} Story {i} and more" for i in range(8)]
+
+
+def test_plain_slot_is_the_article(spark):
+    """Teasers in articles, and a side column that varies, aren't what most of the varying text is in."""
+    def page(i):
+        story = f"<p>Story {i} is {'very ' * 40}long.</p><ul><li>Point {i}</li></ul>"
+        side = f"<div class=left><p>Tip {i}</p></div>"
+        return f"<html><body><h1>Title {i}</h1>{side}<div class=text>{story}</div><article><a href=/>Teaser {i}</a></article></body></html>"
+
+    assert texts_of(spark, map(page, range(8))) == [f"Title {i} Story {i} is {'very ' * 40}long. Point {i}" for i in range(8)]
+
+
 def test_classes_nest_from_the_root():
     def tag(path, vector, pages=4):
         return {"token": path, "kind": 0, "pages": pages, "total": pages, "vector": vector, "chars": 0, "linked": 0, "links": 0}

@@ -1,10 +1,10 @@
 """Main text of web pages by templates deduced from equivalence classes.
 
-A page's tokens are its tags, told apart by their path, and its text nodes outside the article. Over the
+A page's tokens are its tags, told apart by their path, and its text nodes. Over the
 pages of a host every token has an occurrence vector: how often it stands on each page. Tokens of one
 vector form a class. Classes that enough pages have, and that nest in one another from the root on, are
-the host's template; what is left between them are slots. The text of the slots of the article is the
-result; without an article, that of all slots but menus and notices.
+the host's template; what is left between them are slots. The varying text of the slots of the article is
+the result; without an article, that of all slots but menus and notices.
 
 An occurrence vector is kept as its number of pages, its sum and the XOR of the hashes of (page, count):
 these can be summed up anywhere, so that the pages of a host are never brought together.
@@ -30,6 +30,10 @@ from tidemark.llm.urls import host_and_path
 SUPPORT, TEXT_PAGES = 0.5, 3
 #: A slot with at least this share of its text in links, and so many links a page, is a menu.
 LINK_SHARE, LINKS = 0.8, 3
+#: An element that isn't an article by its tag is the article's slot with this share of the text that varies
+#: and isn't linked, where articles by tag have less than TAGGED_SHARE of it.
+SLOT_SHARE, TAGGED_SHARE = 0.9, 0.5
+HOLDERS = set("div section td center table tbody tr dl".split())
 #: Paths are spelled out to this depth; a deeper one is the hash of the path above and the last label.
 DEPTH = 200
 
@@ -61,6 +65,7 @@ MARKUP = re.compile(
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+HEADING = re.compile(r"(^|/)h1(\.|/|$)")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -253,18 +258,19 @@ def page_tokens(batch: pa.RecordBatch) -> dict:
         page = read(source)
         seed = xxhash.xxh64_intdigest(f"{page_id} {source}")
         source_bit = 1 << xxhash.xxh64_intdigest(source) % 64
-        texts: dict[str, int] = {}
+        texts: dict[str, list[int]] = {}
         sums = {id(n): [0, 0, 0] for n in page.nodes}
         for t in page.texts:
             size = len(t.text.strip())
-            if slot := sums.get(id(t.node)):
+            if (slot := sums.get(id(t.node))) and not t.dropped:
                 slot[0] += size
                 if t.link:
                     slot[1] += size
                     slot[2] += 1
-            if size and not t.article:
-                key = text_key(t)
-                texts[key] = texts.get(key, 0) + 1
+            if size and not t.dropped:
+                text = texts.setdefault(text_key(t), [0, 0])
+                text[0] += 1
+                text[1] += 0 if t.link else size
         slots: dict[str, list[int]] = {}
         for node in reversed(page.nodes):  # with what is in them
             own, slot, above = sums[id(node)], slots.setdefault(node.path, [0, 0, 0]), sums.get(id(node.parent))
@@ -274,8 +280,8 @@ def page_tokens(batch: pa.RecordBatch) -> dict:
                     above[i] += value
         for path, count in page.tags.items():
             add((host, path, TAG), seed, count, *slots[path])
-        for key, count in texts.items():
-            add((host, key, TEXT), seed, count)
+        for key, (count, chars) in texts.items():
+            add((host, key, TEXT), seed, count, chars)
         if page.tags or texts:
             add((host, "", PAGE), seed, 1)
     if not found:
@@ -299,28 +305,58 @@ def deduce(pages: int, varied: bool, tokens: list[dict]) -> dict:
         classes.setdefault((token["pages"], token["total"], token["vector"]), []).append(token)
     paths = {t["token"]: t for t in tokens if t["kind"] == TAG}
     inside: dict[str, list[str]] = {}
+    above: dict[str, str] = {}
     for path in paths:
         inside.setdefault(path.rpartition("/")[0], []).append(path)
     template, found = set(), inside.get("", [])
     while found:
         template.update(found)
-        found = [p for above in found for key in (above, path_hash(above)) for p in inside.get(key, ())]
+        for path in found:
+            above.update((p, path) for key in (path, path_hash(path)) for p in inside.get(key, ()))
+        found = [p for path in found for key in (path, path_hash(path)) for p in inside.get(key, ())]
     fixed = []
     for members in classes.values() if pages >= TEXT_PAGES and varied else ():
         of_template = any(t["kind"] == TAG and t["token"] in template for t in members)
-        fixed += [t["token"] for t in members if t["kind"] == TEXT and (of_template or t["token"].startswith(WHOLE))]
+        fixed += [t for t in members if t["kind"] == TEXT and (of_template or t["token"].startswith(WHOLE))]
+    fixed_chars: dict[str, int] = {}
+    for text in fixed:
+        path = text["token"].removeprefix(WHOLE).rpartition(" ")[0]
+        while path:
+            fixed_chars[path] = fixed_chars.get(path, 0) + text["chars"]
+            path = above.get(path, "")
+    named = [p for p in template if re.match(r"(article|main)(\.|$)", p.rpartition("/")[2])]
+    content = content_slot(template, above, paths, fixed_chars, named) if pages >= TEXT_PAGES and varied else []
     menus = []
     for path in template:
         chars, linked, links = (paths[path][k] for k in ("chars", "linked", "links"))
         if links >= LINKS * pages and linked >= LINK_SHARE * chars > 0 and not path.endswith("body") and "/" in path:
             menus.append(path)
     return {
-        "articles": sorted(p for p in template if re.match(r"(article|main)(\.|$)", p.rpartition("/")[2])),
+        "articles": [] if content else sorted(named),
+        "content": content,
         "menus": sorted(menus),
-        "fixed": sorted(fixed),
+        "fixed": sorted(t["token"] for t in fixed),
     }
 
 
+def content_slot(template: set[str], above: dict[str, str], paths: dict[str, dict], fixed_chars: dict[str, int], named: list[str]) -> list[str]:
+    """The path of the innermost element with nearly all text that varies, unless articles by tag have it."""
+
+    def around(path: str) -> Iterator[str]:
+        while path := above.get(path, ""):
+            yield path
+
+    free = {p: paths[p]["chars"] - paths[p]["linked"] - fixed_chars.get(p, 0) for p in template}
+    whole = sum(free[p] for p in template if p not in above)
+    outer = set(named)
+    tagged = sum(free[p] for p in named if not any(a in outer for a in around(p)))
+    if whole <= 0 or named and tagged >= TAGGED_SHARE * whole:
+        return []
+    holders = {p for p in template if p.rpartition("/")[2].split(".")[0] in HOLDERS and free[p] >= SLOT_SHARE * whole}
+    holders -= {a for p in named for a in around(p)}
+    return sorted(holders, key=lambda p: (sum(1 for _ in around(p)), p))[-1:]
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(host, template) of each host in rows (page_id, host, html); a template is JSON.
 
@@ -360,14 +396,26 @@ def templates(pages: DataFrame) -> DataFrame:
 
 def slots(page: Page, template: dict) -> Iterator[tuple[Text, bool]]:
     """The text nodes in page order, and whether the template leaves them for the article."""
-    articles, menus, fixed = (set(template[k]) for k in ("articles", "menus", "fixed"))
+    articles, content, menus, fixed = (set(template.get(k, ())) for k in ("articles", "content", "menus", "fixed"))
+    varies = [not fixed or text_key(t) not in fixed for t in page.texts]
+    in_menu: dict[int, bool] = {}
     known: dict[int, bool] = {}
     kept = [not t.dropped and below(t.node, articles, known) for t in page.texts]
+    if content:
+        known = {}
+        kept = [not (t.dropped or below(t.node, menus, in_menu)) and below(t.node, content, known) for t in page.texts]
+        if any(k and v and t.text.strip() for k, v, t in zip(kept, varies, page.texts)):  # the heading belongs to it
+            kept = [k or HEADING.search(t.path) is not None and not t.dropped for k, t in zip(kept, page.texts)]
+        else:
+            kept = [False] * len(kept)
     if not any(kept):  # not a page of the template
         kept = [t.article and not t.dropped for t in page.texts]
-    if not any(kept) and not page.article:
-        known = {}
-        kept = [not (t.dropped or below(t.node, menus, known) or fixed and text_key(t) in fixed) for t in page.texts]
+    if any(kept):
+        left = [k and v for k, v in zip(kept, varies)]
+        if any(k and t.text.strip() for k, t in zip(left, page.texts)):  # else nothing tells the article from notices
+            kept = left
+    elif not page.article:
+        kept = [v and not (t.dropped or below(t.node, menus, in_menu)) for v, t in zip(varies, page.texts)]
     yield from zip(page.texts, kept)
 
 
