@@ -81,6 +81,35 @@ def test_one_odd_page_leaves_fixed_texts_fixed(spark):
     assert texts_of(spark, pages[:10] + copies)[10:] == ["Copied text"] * 30
 
 
+@pytest.mark.parametrize(
+    "source",
+    [
+        "<body class='has-sidebar'><article>yes</article></body>",
+        "<body class='sidebar'><article class='notice'>yes</article></body>",
+        "<div id='page' class='with-nav'><article class='post comments-open'>yes</article></div>",
+        "<div class='widget'><main class='comments-open'>yes</main></div><p>no</p>",
+        "<form id=page><article>yes</article></form><p>no</p>",
+        "<article><p class='notice'>yes</p><div class='comments'>no</div></article>",
+        "<article><div class='recipe-menu'>yes</div><div class='site-ads'>no</div></article>",
+        "<div class='menu'>yes</div>",
+    ],
+)
+def test_names_do_not_drop_the_article(source):
+    assert main_text(source, NO_TEMPLATE) == "yes"
+
+
+def test_the_host_confirms_names(spark):
+    def page(i):
+        return f"<html><body><article><p class=notice>Story {i} here</p><div class=banner><i>Read</i></div></article></body></html>"
+
+    assert texts_of(spark, map(page, range(8))) == [f"Story {i} here" for i in range(8)]
+
+    def plain(i):
+        return f"<html><body><div class=widget><p>Story {i} here</p></div><div class=sidebar><a href='/'>See {i}</a> now</div><p>End {i}</p></body></html>"
+
+    assert texts_of(spark, map(plain, range(8))) == [f"Story {i} here End {i}" for i in range(8)]
+
+
 def test_shared_passage_in_articles_goes(spark):
     pages = [f"<html><body><article><h1>Title {i}</h1><p>Story {i} and more</p><div>Write to us</div></article></body></html>" for i in range(8)]
     assert texts_of(spark, pages) == [f"Title {i} Story {i} and more" for i in range(8)]
@@ -91,7 +120,7 @@ def test_plain_slot_is_the_article(spark):
     def page(i):
         story = f"<p>Story {i} is {'very ' * 40}long.</p><ul><li>Point {i}</li></ul>"
         side = f"<div class=left><p>Tip {i}</p></div>"
-        return f"<html><body><h1>Title {i}</h1>{side}<div class=text>{story}</div><article><a href=/>Teaser {i}</a></article></body></html>"
+        return f"<html><body><h1>Title {i}</h1>{side}<div class=text>{story}</div><article><a href='/'>Teaser {i}</a></article></body></html>"
 
     assert texts_of(spark, map(page, range(8))) == [f"Title {i} Story {i} is {'very ' * 40}long. Point {i}" for i in range(8)]
 

@@ -57,6 +57,14 @@ NAMES = set(
     "promo promotion reply replies related respond share sharing sidebar signup social sponsor sponsored subscribe "
     "toolbar widget widgets complementary contentinfo search".split()
 )
+#: Of NAMES: what others say or sell, which varies from page to page. Other names are checked by the host's classes.
+FIRM_NAMES = set(
+    "ad ads advert advertisement adverts comment comments consent cookie cookies disqus newsletter popup related replies "
+    "reply respond share sharing social sponsor sponsored".split()
+)
+#: Words beside a name that don't change what it says.
+NEUTRAL = set("area bar bottom box container global inner left list main primary right secondary section site top wrap wrapper".split())
+NEVER = {"html", "body", "main", "article"}
 
 _raw = "|".join(RAW)
 MARKUP = re.compile(
@@ -69,22 +77,39 @@ HEADING = re.compile(r"(^|/)h1(\.|/|$)")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+#: By tag or name for certain; by a tag or name that may be around the article as well; by a name to be confirmed.
+FIRM, LOOSE, WEAK = 0, 1, 2
+
+
+@dataclass(eq=False)
+class Drop:
+    """An element that isn't the article by its tag or name, whether it is in an article, and whether it holds one."""
+
+    kind: int
+    path: str
+    inside: bool
+    holds: bool = False
+
+
 @dataclass
 class Node:
-    """An open element."""
+    """An open element and the drops it is in."""
 
     tag: str
     path: str
     parent: Node | None
     depth: int
-    dropped: bool
+    drops: tuple[Drop, ...]
     article: bool
     link: bool
 
 
 @dataclass
 class Text:
-    """A text node: its element, whether it is in an article, boilerplate by name, or a link; ``block`` starts a new block."""
+    """A text node: its element, whether it is boilerplate, in an article, or a link; ``block`` starts a new block.
+
+    ``weak`` are the drops by names that the template may confirm or refute.
+    """
 
     node: Node
     text: str
@@ -94,6 +119,7 @@ class Text:
     block: bool
     #: Whether the next text starts a new block too.
     whole: bool = False
+    weak: tuple[Drop, ...] = ()
 
     @property
     def path(self) -> str:
@@ -110,46 +136,59 @@ class Page:
     article: bool = False
 
 
+#: Ends the label of an element whose name is to be confirmed.
+CHECKED = "~"
+
+
 def path_hash(path: str) -> str:
     return f"#{xxhash.xxh64_hexdigest(path)}"
 
 
 def element(parent: Node | None, tag: str, attributes: str) -> Node:
-    names: set[str] = set()
+    names: list[list[str]] = []
     label = tag
+    kind = None if tag not in PLAIN else FIRM if tag in ("nav", "aside", "footer") else LOOSE
     if attributes and ("=" in attributes or "hidden" in attributes):
         for m in ATTRIBUTE.finditer(attributes):
             value = m[2] or m[3] or m[4] or ""
-            words = [w.lower() for w in NAME_PARTS.findall(value)]
-            names.update(words if m[1].lower() != "hidden" else ["popup"])
-            if m[1].lower() == "class" and words:
-                label = f"{tag}.{'-'.join(words)}"
-    dropped = parent.dropped if parent else False
-    own = tag in PLAIN or bool(names & NAMES)
+            if m[1].lower() == "hidden":
+                kind = FIRM
+                continue
+            values = [[w.lower() for w in NAME_PARTS.findall(v)] for v in value.split()]
+            names += values
+            if m[1].lower() == "class" and any(values):
+                label = f"{tag}.{'-'.join(w for words in values for w in words)}"
+    if kind is None:
+        for words in names:
+            if not NAMES.isdisjoint(words) and all(w in NAMES or w in NEUTRAL for w in words):
+                kind = FIRM if kind == FIRM or not FIRM_NAMES.isdisjoint(words) else WEAK
+    if tag in NEVER:
+        kind = None
+    if kind == WEAK:
+        label += CHECKED
     depth = parent.depth + 1 if parent else 1
     above = "" if not parent else f"{parent.path}/" if depth <= DEPTH else f"{path_hash(parent.path)}/"
-    return Node(
-        tag,
-        above + label,
-        parent,
-        depth,
-        dropped or own,
-        bool(parent and parent.article) or (tag in ("article", "main") or "main" in names and tag != "body" or "articlebody" in "".join(sorted(names))) and not own,
-        tag == "a" or bool(parent and parent.link),
-    )
+    path, within, drops = above + label, bool(parent and parent.article), parent.drops if parent else ()
+    article = tag in ("article", "main") or tag != "body" and kind is None and any(w == ["main"] or w == ["main", "content"] or "".join(w) == "articlebody" for w in names)
+    if article:
+        for drop in drops:
+            drop.holds |= not drop.inside
+    if kind is not None:
+        drops += (Drop(kind, path, within),)
+    return Node(tag, path, parent, depth, drops, within or article, tag == "a" or bool(parent and parent.link))
 
 
 def read(source: str) -> Page:
     """The tags, by path, and the text nodes of a page. Unclosed and stray tags are taken as browsers do."""
     page, stack, at, block = Page(), Stack(), 0, True
-    top = Node("", "", None, 0, False, False, False)
+    top = Node("", "", None, 0, (), False, False)
 
     def text(raw: str) -> None:
         nonlocal block
         inside = stack.nodes[-1] if stack.nodes else top
         found = entities.unescape(raw) if "&" in raw else raw
         if found:
-            page.texts.append(Text(inside, found, inside.dropped, inside.article, inside.link, block))
+            page.texts.append(Text(inside, found, False, inside.article, inside.link, block))
             block = False
 
     for m in MARKUP.finditer(source):
@@ -174,7 +213,6 @@ def read(source: str) -> Page:
         node = element(stack.nodes[-1] if stack.nodes else None, tag, m[4])
         page.nodes.append(node)
         page.tags[node.path] = page.tags.get(node.path, 0) + 1
-        page.article |= node.article and not node.dropped
         if tag not in VOID and not m[4].endswith("/"):
             stack.push(node)
     if at < len(source):
@@ -183,6 +221,13 @@ def read(source: str) -> Page:
         t.whole = t.block and following.block
     if page.texts:
         page.texts[-1].whole = page.texts[-1].block
+    # What holds all articles of a page isn't boilerplate; beside an article of its own, it holds others.
+    clear = any(n.article and not n.drops for n in page.nodes)
+    for t in page.texts:
+        drops = [d for d in t.node.drops if clear or d.kind == FIRM or not d.holds] if t.node.drops else ()
+        t.dropped = any(d.kind != WEAK for d in drops)
+        t.weak = tuple(d for d in drops if d.kind == WEAK)
+    page.article = clear or any(n.article and all(d.kind != FIRM and d.holds for d in n.drops) for n in page.nodes)
     return page
 
 
@@ -325,7 +370,14 @@ def deduce(pages: int, varied: bool, tokens: list[dict]) -> dict:
             fixed_chars[path] = fixed_chars.get(path, 0) + text["chars"]
             path = above.get(path, "")
     named = [p for p in template if re.match(r"(article|main)(\.|$)", p.rpartition("/")[2])]
-    content = content_slot(template, above, paths, fixed_chars, named) if pages >= TEXT_PAGES and varied else []
+    known = pages >= TEXT_PAGES and varied
+    content = content_slot(template, above, paths, fixed_chars, named) if known else []
+    # A name is confirmed by text that is fixed or linked for the most part.
+    checked = {
+        p: fixed_chars.get(p, 0) + paths[p]["linked"] >= SUPPORT * paths[p]["chars"]
+        for p in sorted(template)
+        if known and p.endswith(CHECKED) and paths[p]["chars"]
+    }
     menus = []
     for path in template:
         chars, linked, links = (paths[path][k] for k in ("chars", "linked", "links"))
@@ -335,6 +387,8 @@ def deduce(pages: int, varied: bool, tokens: list[dict]) -> dict:
         "articles": [] if content else sorted(named),
         "content": content,
         "menus": sorted(menus),
+        "confirmed": [p for p, sure in checked.items() if sure],
+        "refuted": [p for p, sure in checked.items() if not sure],
         "fixed": sorted(t["token"] for t in fixed),
     }
 
@@ -397,6 +451,11 @@ def templates(pages: DataFrame) -> DataFrame:
 def slots(page: Page, template: dict) -> Iterator[tuple[Text, bool]]:
     """The text nodes in page order, and whether the template leaves them for the article."""
     articles, content, menus, fixed = (set(template.get(k, ())) for k in ("articles", "content", "menus", "fixed"))
+    confirmed, refuted = set(template.get("confirmed", ())), set(template.get("refuted", ()))
+    sure = [any(d.path in confirmed for d in t.weak) for t in page.texts]
+    named = [t.dropped for t in page.texts]
+    for t, certain in zip(page.texts, sure):
+        t.dropped = t.dropped or certain or any(not d.inside and d.path not in refuted for d in t.weak)
     varies = [not fixed or text_key(t) not in fixed for t in page.texts]
     in_menu: dict[int, bool] = {}
     known: dict[int, bool] = {}
@@ -415,7 +474,10 @@ def slots(page: Page, template: dict) -> Iterator[tuple[Text, bool]]:
         if any(k and t.text.strip() for k, t in zip(left, page.texts)):  # else nothing tells the article from notices
             kept = left
     elif not page.article:
-        kept = [v and not (t.dropped or below(t.node, menus, in_menu)) for v, t in zip(varies, page.texts)]
+        free = [v and not below(t.node, menus, in_menu) for v, t in zip(varies, page.texts)]
+        kept = [f and not t.dropped for f, t in zip(free, page.texts)]
+        if not any(k and t.text.strip() for k, t in zip(kept, page.texts)):  # a name alone doesn't empty a page
+            kept = [f and not n and not c for f, n, c in zip(free, named, sure)]
     yield from zip(page.texts, kept)
 
 
