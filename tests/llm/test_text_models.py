@@ -170,6 +170,24 @@ def test_features_by_hand():
     assert improbable.features(ranks).tolist() == sorted(a for a, n in popular.items() if n >= improbable.POPULAR)
 
 
+def test_short_texts_have_features_over_their_length(spark):
+    draw = np.random.default_rng(6)
+    words = ["".join(map(chr, draw.integers(97, 123, int(n)))) for n in draw.integers(2, 9, 400)]
+    texts = [" ".join(draw.choice(words, 200))[:size] for size in (32, 40, 62, 80, 100, 200, 300, 400) for _ in range(20)]
+    maker = improbable.Fingerprinter(improbable.rarity(spark.createDataFrame([(t,) for t in texts], "text string")))
+
+    def chain(text):
+        return maker.chain(text.encode(), maker.windows(text.encode()))
+
+    assert min(int(chain(t).sizes.sum()) for t in texts) >= 3
+    for size in (32, 62, 80, 200, 400):
+        group = [t for t in texts if len(t) == size]
+        near = [improbable.likeness(chain(a), chain(a[: size - size // 2] + b[: size // 2])) for a, b in zip(group, group[1:])]
+        other = [improbable.likeness(chain(a), chain(b)) for a, b in zip(group, group[1:])]
+        assert 0.2 < np.mean(near) < 0.9
+        assert np.mean(near) > np.mean(other) + 0.15
+
+
 def test_improbable_query_against_plain_version(spark, sf):
     docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
     maker = improbable.Fingerprinter(improbable.rarity(spark.read.parquet(f"{sf}/documents.parquet")))

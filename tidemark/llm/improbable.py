@@ -21,6 +21,11 @@ from tidemark.llm.common import arrow_schema, by_batch, cut, slices, table, text
 
 #: Bytes of a window; neighbours it is compared with; how often of these it must be the rarest.
 WINDOW, NEIGHBOURS, POPULAR = 32, 64, 16
+#: Fewer windows have neighbours and popularity in proportion: this share of them, and a quarter of that.
+SHARE = 6
+#: Shorter windows of short texts, and from and to how many bytes; windows of WINDOW are for LONG bytes and more. They
+#: overlap, so that texts whose lengths differ by less than four times have features of one kind.
+SHORTER, LONG = ((4, 4, 64), (8, 16, 1024)), 256
 #: Bits of a filter, hashes of a feature, features of a filter.
 BITS, HASHES, FULL = 2048, 4, 128
 PAIRS = WINDOW * (WINDOW - 1) // 2 + 1
@@ -31,20 +36,24 @@ AT_ONCE = 1 << 20
 OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def equal_pairs(data: np.ndarray) -> np.ndarray:
+def most_pairs(window: int) -> int:
+    return window * (window - 1) // 2 + 1
+
+
+def equal_pairs(data: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """For each window, the number of its pairs of equal bytes."""
-    n = len(data) - WINDOW + 1
+    n = len(data) - window + 1
     if n <= 0:
         return np.zeros(0, dtype=np.int16)
     ahead, behind = np.zeros(len(data), dtype=np.uint8), np.zeros(len(data), dtype=np.uint8)
-    for lag in range(1, WINDOW):
+    for lag in range(1, window):
         same = (data[lag:] == data[:-lag]).view(np.uint8)
         ahead[:-lag] += same
         behind[lag:] += same
-    first = data[:WINDOW]
-    start = int((first[:, None] == first[None, :]).sum() - WINDOW) // 2
+    first = data[:window]
+    start = int((first[:, None] == first[None, :]).sum() - window) // 2
     # A step drops the pairs of the byte that leaves and adds those of the byte that enters.
-    change = behind[WINDOW:].astype(np.int16) - ahead[: n - 1]
+    change = behind[window:].astype(np.int16) - ahead[: n - 1]
     out = np.empty(n, dtype=np.int16)
     out[0] = start
     np.cumsum(change, dtype=np.int16, out=out[1:])
@@ -71,51 +80,61 @@ def measured(texts: list[bytes]) -> Iterator[np.ndarray]:
 def rarity(docs: DataFrame) -> np.ndarray:
     """The rank of each number of equal pairs: 0 for the one that the corpus has least often.
 
-    Numbers that no text has come first, in order. All windows of all documents count.
+    Numbers that no text has come first, in order. All windows of all documents count; shorter windows,
+    whose ranks follow, count in the texts that have them.
     """
+    starts = np.cumsum([0, PAIRS, *(most_pairs(w) for w, _, _ in SHORTER)])
 
     def run(batch: pa.RecordBatch) -> dict:
-        found = np.zeros(PAIRS, dtype=np.int64)
-        for pairs in measured([t.encode() for t in batch.column(0).to_pylist()]):
-            found += np.bincount(pairs, minlength=PAIRS)
+        found = np.zeros(starts[-1], dtype=np.int64)
+        texts = [t.encode() for t in batch.column(0).to_pylist()]
+        for pairs in measured(texts):
+            found[:PAIRS] += np.bincount(pairs, minlength=PAIRS)
+        for (window, least, most), start in zip(SHORTER, starts[1:]):
+            for text in texts:
+                if least <= len(text) <= most:
+                    pairs = equal_pairs(np.frombuffer(text, dtype=np.uint8), window)
+                    found[start : start + most_pairs(window)] += np.bincount(pairs, minlength=most_pairs(window))
         has = np.flatnonzero(found)
         return {"pairs": has, "n": found[has]}
 
     rows = by_batch(docs.select(text_of("text").alias("text")), run, "pairs long, n long").groupBy("pairs").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(PAIRS, dtype=object)  # PAIRS rows at most
+    counts = np.zeros(starts[-1], dtype=object)  # so many rows at most
     for row in rows:
         counts[row["pairs"]] = row["n"]
-    ranks = np.empty(PAIRS, dtype=np.int16)
-    ranks[sorted(range(PAIRS), key=lambda p: (counts[p], p))] = np.arange(PAIRS)
+    ranks = np.empty(starts[-1], dtype=np.int16)
+    for start, end in zip(starts, starts[1:]):
+        ranks[sorted(range(start, end), key=lambda p: (counts[p], p))] = np.arange(end - start)
     return ranks
 
 
 def features(ranks: np.ndarray) -> np.ndarray:
     """Positions of the windows that are the rarest, first from the left, of at least POPULAR runs of neighbours.
 
-    Fewer windows than NEIGHBOURS are one run. Where no window is popular enough the most popular is it.
+    Few windows have fewer neighbours and need fewer runs. Where no window is popular enough the most popular is it.
     """
     n = len(ranks)
     if not n:
         return np.zeros(0, dtype=np.int64)
     keys = ranks.astype(np.int64) << 40 | np.arange(n)
+    near = min(NEIGHBOURS, max(1, n // SHARE))
     width = 1
-    while width * 2 <= min(NEIGHBOURS, n):
+    while width * 2 <= near:
         keys = np.minimum(keys[:-width], keys[width:])
         width *= 2
-    rest = min(NEIGHBOURS, n) - width
+    rest = near - width
     if rest:
         keys = np.minimum(keys[:-rest], keys[rest:])
     rarest = keys & (1 << 40) - 1
     starts = np.flatnonzero(np.diff(rarest, prepend=-1))
     runs = np.diff(starts, append=len(rarest))
-    chosen = rarest[starts[runs >= POPULAR]]
+    chosen = rarest[starts[runs >= max(1, near * POPULAR // NEIGHBOURS)]]
     return chosen if len(chosen) else rarest[starts[[int(runs.argmax())]]]
 
 
-def feature_hashes(data: bytes, at: np.ndarray) -> np.ndarray:
+def feature_hashes(data: bytes, at: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """A 64-bit hash of each window that starts at a position."""
-    windows = np.frombuffer(data, dtype=np.uint8)[at[:, None] + np.arange(WINDOW)].copy().view("<u8")
+    windows = np.frombuffer(data, dtype=np.uint8)[at[:, None] + np.arange(window)].copy().view("<u8" if window % 8 == 0 else "<u4").astype(np.uint64)
     out = np.full(len(at), 0x9E3779B97F4A7C15, dtype=np.uint64)
     for k in range(windows.shape[1]):
         out = (out ^ windows[:, k]) * np.uint64(0xFF51AFD7ED558CCD)
@@ -169,15 +188,25 @@ def likeness(one: Chain, other: Chain) -> float:
 class Fingerprinter:
     def __init__(self, ranks: np.ndarray):
         self.ranks = ranks
+        self.shorter, start = [], PAIRS
+        for window, least, most in SHORTER:
+            self.shorter.append((window, least, most, ranks[start : start + most_pairs(window)]))
+            start += most_pairs(window)
 
     def windows(self, text: bytes) -> np.ndarray:
         return self.ranks[equal_pairs(np.frombuffer(text, dtype=np.uint8))]
 
     def chain(self, text: bytes, windows: np.ndarray) -> Chain:
-        if len(text) < WINDOW:  # a short text is one feature, an empty one has none
-            short = int.from_bytes(hashlib.sha256(text).digest()[:8], "little")
-            return Chain(np.array([short] if text else [], dtype=np.uint64))
-        return Chain(feature_hashes(text, features(windows)))
+        parts = [feature_hashes(text, features(windows))] if len(text) >= LONG else []
+        for window, least, most, ranks in self.shorter:
+            if least <= len(text) <= most:
+                hashes = feature_hashes(text, np.arange(len(text) - window + 1), window)
+                rare = ranks[equal_pairs(np.frombuffer(text, dtype=np.uint8), window)].astype(np.int64)
+                # Short windows are often equally rare: their hashes decide, as places differ in an edited text.
+                parts.append(hashes[features(rare << 16 | (hashes >> np.uint64(48)).astype(np.int64))])
+        if not parts and text:  # the shortest are one feature, an empty text has none
+            parts = [np.array([int.from_bytes(hashlib.sha256(text).digest()[:8], "little")], dtype=np.uint64)]
+        return Chain(np.concatenate(parts) if parts else np.array([], dtype=np.uint64))
 
     def edited(self, head: bytes, head_windows: np.ndarray, tail: bytes, tail_windows: np.ndarray) -> np.ndarray:
         """The windows of head + tail: those within either are known, those across the seam are measured."""
