@@ -16,7 +16,7 @@ def test_query_equals_sql(spark, sf, name):
     assert rows
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", [n for n in QUERIES if n != "op13_filter_audit"])  # which counts per source
 def test_odd_rows_give_a_row_each(spark, folder, name):
     table = "pages" if "page_id" in QUERIES[name](spark, folder).columns else "documents"
     key = "page_id" if table == "pages" else "doc_id"

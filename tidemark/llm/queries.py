@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, cuckoo_dedup, html, improbable, langid, mixing, quality, simhash, urls, warc
+from tidemark.llm import (
+    bpe,
+    cuckoo_dedup,
+    filter_audit,
+    html,
+    improbable,
+    langid,
+    mixing,
+    periodic_runs,
+    quality,
+    simhash,
+    urls,
+    warc,
+)
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -15,10 +28,13 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_language_id": langid.op10_language_id,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 ORACLE_SQL = {
     "op4_mixing": mixing.ORACLE,
     "op5_warc": warc.ORACLE,
     "op6_cuckoo_dedup": cuckoo_dedup.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }
