@@ -8,6 +8,7 @@ from tidemark.llm import (
     filter_audit,
     html,
     improbable,
+    jaccard_join,
     langid,
     mixing,
     periodic_runs,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_language_id": langid.op10_language_id,
+    "op11_jaccard_join": jaccard_join.op11_jaccard_join,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
