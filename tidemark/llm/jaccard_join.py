@@ -54,30 +54,19 @@ def scramble(x: np.ndarray, by: np.uint64) -> np.ndarray:
     return x
 
 
-class Grams:
-    """Sets of n-grams as sorted 64-bit hashes. Hashes of words are kept, up to a bound, for the next texts."""
-
-    MOST_WORDS = 200_000
-
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()  # of bytes: ASCII case and white space only
-        if not words:
-            return np.empty(0, dtype=np.uint64)
-        if len(self.known) > self.MOST_WORDS:
-            self.known.clear()
-        known, digest = self.known, xxhash.xxh64_intdigest
-        for word in set(words) - known.keys():
-            known[word] = digest(word)
-        hashes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-        k = min(SHINGLE_WORDS, len(words))
-        # A sequence shorter than a shingle differs from every shingle by its length.
-        grams = np.full(len(words) - k + 1, k, dtype=np.uint64)
-        for at in range(k):
-            grams = scramble(grams + hashes[at : at + len(grams)], MIX[at % 3])
-        return np.unique(scramble(grams, MIX[3]))
+def gram_set(text: str | None) -> np.ndarray:
+    """The distinct n-grams as sorted 64-bit hashes."""
+    words = (text or "").encode().lower().split()  # of bytes: ASCII case and white space only
+    if not words:
+        return np.empty(0, dtype=np.uint64)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+    k = min(SHINGLE_WORDS, len(words))
+    # A sequence shorter than a shingle differs from every shingle by its length.
+    grams = np.full(len(words) - k + 1, k, dtype=np.uint64)
+    for at in range(k):
+        grams = scramble(grams + hashes[at : at + len(grams)], MIX[at % 3])
+    grams = np.sort(scramble(grams, MIX[3]))
+    return grams[np.concatenate(([True], grams[1:] != grams[:-1]))]
 
 
 def slot(grams: np.ndarray) -> np.ndarray:
@@ -89,10 +78,10 @@ def slot_counts(docs: DataFrame) -> DataFrame:
     schema = arrow_schema("slot long, n long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, counts = Grams(), np.zeros(1 << SLOT_BITS, dtype=np.int64)
+        counts = np.zeros(1 << SLOT_BITS, dtype=np.int64)
         for batch in batches:
-            for part in slices(batch, 200):
-                found = [slot(grams(t)) for t in part.column("text").to_pylist()]
+            for part in slices(batch):
+                found = [slot(gram_set(t)) for t in part.column("text").to_pylist()]
                 counts += np.bincount(np.concatenate(found), minlength=len(counts))
         used = np.flatnonzero(counts)
         for at in range(0, len(used), 1 << 16):
@@ -150,14 +139,13 @@ def cells(grams: np.ndarray, band: np.ndarray) -> np.ndarray:
 def digests(docs: DataFrame, band_bytes: bytes) -> DataFrame:
     """Per row the size of its set, a digest of the set (null if empty) and its cells."""
     shared = docs.sparkSession.sparkContext.broadcast(band_bytes)
-    state: list = []
+    state: list[np.ndarray] = []
 
     def run(batch: pa.RecordBatch) -> dict:
         if not state:
-            state.extend((Grams(), np.frombuffer(shared.value, dtype=np.uint8)))
-        grams, band = state
-        sets = [grams(t) for t in batch.column("text").to_pylist()]
-        found = [cells(s, band) for s in sets]
+            state.append(np.frombuffer(shared.value, dtype=np.uint8))
+        sets = [gram_set(t) for t in batch.column("text").to_pylist()]
+        found = [cells(s, state[0]) for s in sets]
         offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
         return {
             "doc_id": batch.column("doc_id"),
@@ -175,14 +163,11 @@ def fragments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     ids = wanted.select(F.col("low").alias("wanted_id")).distinct()
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = found.join(small(cut(ids), WANTED_ROWS), F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
-    state: list[Grams] = []
 
     def run(batch: pa.RecordBatch) -> dict:
-        if not state:
-            state.append(Grams())
         keys, numbers, sizes, parts = [], [], [], []
         for text in batch.column("text").to_pylist():
-            grams = state[0](text)
+            grams = gram_set(text)
             if not len(grams):
                 continue
             key = hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
