@@ -84,3 +84,26 @@ def test_conform_takes_the_order_and_types_of_the_table(spark):
     assert df.dtypes == [("a", "bigint"), ("b", "decimal(18,2)")]
     with pytest.raises(ValueError, match="unknown .'c'"):
         merge.conform(spark.createDataFrame([(1.5, 1, 1)], "b double, a int, c int"), target.schema)
+
+
+def test_a_bitmap_of_keys_keeps_most_rows_out_of_the_shuffle(spark, tmp_path):
+    """Sizes as of a key set that is too large to broadcast."""
+    target = spark.range(200_000).withColumn("val", F.col("id") * 2)
+    target = target.unionByName(spark.range(50).select(F.lit(None).cast("bigint").alias("id"), F.col("id").alias("val")))
+    keys = spark.range(0, 400_000, 40).select("id").unionByName(spark.range(3).select(F.lit(None).cast("bigint").alias("id")))
+    clear, suspect = merge.split_by_bitmap(target, keys, "id", merge.bitmap_bits(10_000))
+    hits = spark.range(0, 200_000, 40).count()
+    assert hits <= suspect.count() < hits + 0.05 * 200_000
+    assert clear.count() + suspect.count() == target.count()
+    assert suspect.where("id IS NULL").count() == 0
+    left = merge.without_many_keys(target, keys, "id", 10_000)
+    assert sorted(left.collect(), key=repr) == sorted(target.join(keys, "id", "left_anti").collect(), key=repr)
+
+
+def test_a_bitmap_of_compound_and_text_keys(spark):
+    rows = [(i % 50, f"k{i}", i) for i in range(500)] + [(None, "k1", 0), (1, None, 0)]
+    target = spark.createDataFrame(rows, "a int, b string, v int")
+    keys = target.where("v % 7 = 0").select("a", "b")
+    left = merge.without_many_keys(target, keys, ["a", "b"], 72)
+    assert sorted(left.collect(), key=repr) == sorted(target.join(keys, ["a", "b"], "left_anti").collect(), key=repr)
+    assert merge.bitmap_bits(1 << 40) == merge.MOST_BITS and merge.bitmap_bits(0) == merge.LEAST_BITS

@@ -9,7 +9,7 @@ from tidemark.plans.lake import Lake
 from tidemark.plans.specs import parse_spec
 from tidemark.sinks.destinations import load
 from tidemark.sources.extract import extract, open_source
-from tidemark.sources.jdbc import jdbc_options, read_table
+from tidemark.sources.jdbc import jdbc_options, quantile_predicates, read_table, sql_literal
 
 ROWS = [(i, f"n{i}", float(i), f"2024-01-{i:02d}T00:00:00") for i in range(1, 21)]
 COLUMNS = "id int, name string, amount double, updated_at string"
@@ -202,3 +202,40 @@ def test_csv_malformed_lines_pass_the_high_water_mark(spark, tmp_path):
     source = {"type": "csv", "path": f"{tmp_path}/c.csv", "columns": "id int, at string"}
     rows = extract(spark, source, "at", "2024-01-02", mark_malformed=True).collect()
     assert sorted((r["id"] or 0, r["_malformed"] is None) for r in rows) in ([(0, False), (2, True)],)
+
+
+@pytest.mark.parametrize("kind", ["skewed", "text", "times"])
+def test_quantiles_balance_skewed_and_text_keys(spark, database, kind):
+    from datetime import datetime, timedelta
+
+    def key(i):
+        if kind == "skewed":
+            return i if i < 900 else 1_000_000 + i**3
+        if kind == "text":
+            return f"it's {i % 1000:04d}"
+        return datetime(2024, 1, 1) + timedelta(microseconds=i * i)
+
+    dtype = {"skewed": "bigint", "text": "string", "times": "timestamp"}[kind]
+    rows = [(key(i), f"n{i}") for i in range(1000)]
+    if kind != "text":  # Derby takes no null text from Spark
+        rows.append((None, "none"))
+    writer = spark.createDataFrame(rows, f"k {dtype}, name string").write.format("jdbc").options(**database)
+    writer.option("createTableColumnTypes", "name varchar(40)" + (", k varchar(40)" if kind == "text" else ""))
+    writer.option("dbtable", "APP.KEYS").mode("overwrite").save()
+    ranges = quantile_predicates(spark, database, "APP.KEYS", "K", 8)
+    assert len(ranges) == 8
+    df = read_table(spark, database, "APP.KEYS", partition_column="K", num_partitions=8, quantiles=True)
+    assert df.rdd.getNumPartitions() == 8
+    sizes = sorted(df.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect())
+    assert sum(sizes) == len(rows) and sizes[-1] <= 2 * sizes[4]
+    assert sorted(r[1] for r in df.collect()) == sorted(r[1] for r in rows)
+
+
+def test_quantiles_of_one_key_and_of_an_empty_table(spark, database):
+    put(spark, database, [(7, "a", 1.0, "x")] * 9)
+    assert quantile_predicates(spark, database, "APP.ITEMS", "ID", 4) == ['"id" < 7 OR "id" IS NULL', '"id" >= 7']
+    assert read_table(spark, database, "APP.ITEMS", partition_column="ID", quantiles=True).count() == 9
+    put(spark, database, [], mode="overwrite")
+    assert read_table(spark, database, "APP.ITEMS", partition_column="ID", quantiles=True).count() == 0
+    assert extract(spark, source(database, partition_column="ID", partition_by="quantiles")).count() == 0
+    assert sql_literal("it's") == "'it''s'"

@@ -13,6 +13,9 @@ Key = str | list[str] | tuple[str, ...]
 # Key sets up to this many rows, and bytes, are broadcast; counted before, never assumed.
 BROADCAST_KEYS, BROADCAST_BYTES = 2_000_000, 64 << 20
 
+# Bits of a bitmap of keys, as powers of two: from 128 kB to 64 MB.
+LEAST_BITS, MOST_BITS = 20, 29
+
 
 class DuplicateKeys(ValueError):
     """A batch holds a key twice and nothing tells which row is the newer one."""
@@ -32,30 +35,66 @@ def key_bytes(keys: DataFrame) -> Column:
     return F.sum(sum(sizes[1:], sizes[0]).cast("bigint"))
 
 
-def without_keys(
-    df: DataFrame, keys: DataFrame, key: Key, key_rows: int | None = None, tasks: int | None = None
-) -> DataFrame:
+def without_keys(df: DataFrame, keys: DataFrame, key: Key, key_rows: int | None = None, few: bool | None = None) -> DataFrame:
     """Rows of ``df`` whose key is not in ``keys``; a null key matches nothing and stays.
 
     Only the key columns of the right side take part. If its row count is known and small it is
-    broadcast and ``df`` is not shuffled; otherwise Spark decides by its own size estimates, and
-    AQE splits a key that holds many rows of ``df``. With ``tasks`` both sides are shuffled into that
-    many tasks by the hash of the key, each of which looks its rows up in a table of its keys; rows
-    without a key are not shuffled.
+    broadcast and ``df`` is not shuffled; if it is known and large, a bitmap of the keys keeps most of
+    ``df`` out of the shuffle; otherwise Spark decides by its own size estimates, and AQE splits a
+    key that holds many rows of ``df``. ``few`` says that the keys were found small, in bytes too.
     """
     names = key_list(key)
     keys = keys.select(*names)
-    if key_rows is not None and key_rows <= BROADCAST_KEYS:
+    if few is None and key_rows is not None:
+        few = key_rows <= BROADCAST_KEYS
+    if few:
         keys = F.broadcast(keys)
-    elif tasks:
-        keyed = F.lit(True)
-        for name in names:
-            keyed = keyed & F.col(name).isNotNull()
-        some, keys = df.where(keyed).repartition(tasks, *names), keys.dropna(subset=names).repartition(tasks, *names)
-        return some.join(keys.hint("shuffle_hash"), names, "left_anti").unionByName(df.where(~keyed))
+    elif few is not None:
+        return without_many_keys(df, keys, key, key_rows)
     return df.join(keys, names, "left_anti")
 
 
+def without_many_keys(df: DataFrame, keys: DataFrame, key: Key, key_rows: int) -> DataFrame:
+    """The same for a key set too large to broadcast: only rows that a bitmap of the keys' hashes can't
+    clear are shuffled to meet the keys.
+    """
+    clear, suspect = split_by_bitmap(df, keys, key, bitmap_bits(key_rows))
+    names = key_list(key)
+    return clear.unionByName(suspect.join(keys.select(*names), names, "left_anti"))
+
+
+def bitmap_bits(key_rows: int) -> int:
+    """Width of the hash: 32 bits of the bitmap a key, which lets one row in 32 pass for nothing, up to 64 MB."""
+    return min(max((32 * max(key_rows, 1) - 1).bit_length(), LEAST_BITS), MOST_BITS)
+
+
+def split_by_bitmap(df: DataFrame, keys: DataFrame, key: Key, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose key is surely none of ``keys`` (or null), and the rows that have to be looked up.
+
+    The bitmap is built by Spark's own aggregate, 4 kB for every 32,768 hashes, and broadcast: its size
+    follows from ``bits``, whatever the number of keys.
+    """
+    names = key_list(key)
+
+    def hashed() -> Column:
+        return F.pmod(F.xxhash64(*names), F.lit(1 << bits))
+
+    built = keys.dropna(subset=names).select(hashed().alias("_hash"))
+    built = built.groupBy(F.bitmap_bucket_number("_hash").alias("_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_hash")).alias("_bitmap")
+    )
+    keyed = F.lit(True)
+    for name in names:
+        keyed = keyed & F.col(name).isNotNull()
+    own = df.withColumn("_own", F.when(keyed, hashed()))
+    marked = own.join(F.broadcast(built), F.bitmap_bucket_number("_own") == F.col("_part"), "left")
+    position = F.bitmap_bit_position("_own")
+    byte = F.substring("_bitmap", (F.floor(position / 8) + 1).cast("int"), F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(value, (position % 8).cast("int")) == 1, F.lit(False))
+    return tuple(marked.where(rule).select(*(f"`{c}`" for c in df.columns)) for rule in (~hit, hit))
+
+
 def conform(batch: DataFrame, schema: T.StructType) -> DataFrame:
     """Bring a batch to the columns, order and types of the table it goes into."""
     known = {f.name.lower() for f in schema.fields}
@@ -77,7 +116,7 @@ def change_parts(
     dead: DataFrame,
     key: Key,
     key_rows: int | None = None,
-    tasks: int | None = None,
+    few: bool | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Upsert ``batch`` and delete the keys of ``dead``: rows that stay, and rows that come in.
 
@@ -85,8 +124,8 @@ def change_parts(
     """
     names = key_list(key)
     gone = batch.select(*names).unionByName(dead.select(*names))
-    kept = without_keys(target, gone, key, key_rows, tasks)
-    return kept, conform(without_keys(batch, dead, key, key_rows, tasks), target.schema)
+    kept = without_keys(target, gone, key, key_rows, few)
+    return kept, conform(without_keys(batch, dead, key, key_rows, few), target.schema)
 
 
 def apply_changes(

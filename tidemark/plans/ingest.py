@@ -1,8 +1,8 @@
-"""The ingest cycle: source rows become a new version of a silver table.
+"""The ingest cycle: source rows become rows of a silver table.
 
 Order of the steps: read from the high-water mark, transform, set soft-deleted rows apart, gate
-the rest, upsert what passed, delete what was flagged. Upsert and delete are one version, so a key
-that is both ends up deleted and no reader sees the state in between.
+the rest, upsert what passed, delete what was flagged. Upsert and delete are one write, so a key
+that is both ends up deleted.
 """
 
 from __future__ import annotations
@@ -161,9 +161,8 @@ def batch_facts(batch: DataFrame, soft_delete_column: str | None, cursor: str |
 def run_ingest(lake: Lake, spec: Ingest) -> int:
     """Run one ingest and return the number of rows that passed the gate.
 
-    The batch is read from its source once. Where the batch can become the table's content as it
-    is, it is written straight below the table, gated there, and made live by publishing it;
-    otherwise it lands in the shared scratch folder first.
+    The batch is read from its source once: it lands in the shared scratch folder, so that the gate
+    and the write see the same rows even if the source changes or an executor is lost.
     """
     spark, table, load_id = lake.spark, lake.silver_of(spec), str(uuid.uuid4())
     watermark = None
@@ -171,17 +170,9 @@ def run_ingest(lake: Lake, spec: Ingest) -> int:
         watermark = apply_lag(table.max_cursor(spec.cursor), spec.lag_seconds)
     batch = transforms.apply(spec.transforms, extract(spark, spec.source, spec.cursor, watermark, mark_malformed=True))
     batch = cast_lossless_money(batch, spec.money_columns)
-    replaces = spec.write_mode == "overwrite"
-    fresh = replaces or not table.exists()
+    fresh = spec.write_mode == "overwrite" or not table.exists()
     with ExitStack() as stack:
-        staged = None
-        as_read = money_is_exact(batch, spec.money_columns) and not has_column(batch, MALFORMED)
-        if (fresh or spec.write_mode == "append") and as_read:
-            staged = table.stage_new(batch) if fresh else table.stage(batch)
-            stack.callback(table.discard, staged)  # unless it was published
-            batch = staged.df
-        else:
-            batch = stack.enter_context(landed(batch, spec.name))
+        batch = stack.enter_context(landed(batch, spec.name))
         cursor = cursor_in(batch, spec.cursor)
         total, deleted, reached = batch_facts(batch, spec.soft_delete_column, cursor)
         if total == 0:
@@ -196,11 +187,8 @@ def run_ingest(lake: Lake, spec: Ingest) -> int:
             good = one_row_per_key(parts.good, spec.primary_key, cursor)
             if good is not parts.good:
                 good = stack.enter_context(landed(good, spec.name))
-        if staged is not None and not rejected and not deleted and good is parts.good:
-            table.overwrite(staged, create=not replaces) if fresh else table.append(staged)
-        else:
-            store(table, cast_money(good, spec.money_columns), parts.dead, spec, fresh, written, deleted)
-        if rejected:  # after the version: a load that lost a race leaves no rejects behind
+        store(table, cast_money(good, spec.money_columns), parts.dead, spec, fresh, written, deleted)
+        if rejected:  # after the table: a load that fails leaves no rejects behind
             parts.rejects.write.parquet(f"{lake.rejects_path(spec.table)}/_load_id={load_id}")
         lake.loads().record(load_id, spec.table, "loaded", written, rejected, deleted, reached)
         log.info("[%s] %d rows, %d rejected, %d deleted", spec.name, written, rejected, deleted)
@@ -210,12 +198,12 @@ def run_ingest(lake: Lake, spec: Ingest) -> int:
 def store(
     table: Table, good: DataFrame, dead: DataFrame | None, spec: Ingest, fresh: bool, written: int, deleted: int
 ) -> None:
-    """Publish a gated batch, with its deletes in the same version."""
+    """Write a gated batch, with its deletes in the same write."""
     key = spec.primary_key
     if fresh:
         if written:
             rows = without_keys(good, dead, key, deleted) if deleted else good
-            table.overwrite(rows, create=spec.write_mode != "overwrite")
+            table.overwrite(rows)
         elif deleted and table.exists():
             table.delete(dead, key)
     elif spec.write_mode == "append":

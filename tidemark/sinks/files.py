@@ -1,21 +1,10 @@
-"""The few file-system calls that publishing a table needs."""
+"""The few file-system calls that Spark's readers and writers don't cover."""
 
 from __future__ import annotations
 
-import time
-import uuid
-
 from pyspark.sql import SparkSession
 
 
-#: Where a rename is one step that only one of two writers can do. On object stores it is a copy.
-ATOMIC_RENAME = {"file", "hdfs", "viewfs", "abfs", "abfss"}
-
-
-class UnsafeFileSystem(ValueError):
-    """Two loads could both publish the same version there."""
-
-
 class Files:
     def __init__(self, spark: SparkSession):
         self._path = spark._jvm.org.apache.hadoop.fs.Path
@@ -25,34 +14,10 @@ class Files:
         p = self._path(path)
         return p.getFileSystem(self._conf), p
 
-    def names(self, folder: str, min_age_seconds: float = 0) -> list[str]:
-        """Entries of a folder, those not changed lately if an age is given; none if it is missing."""
+    def names(self, folder: str) -> list[str]:
+        """Entries of a folder; none if it is missing."""
         fs, p = self._open(folder)
-        newest = (time.time() - min_age_seconds) * 1000
-        found = fs.listStatus(p) if fs.exists(p) else []
-        return [s.getPath().getName() for s in found if not min_age_seconds or s.getModificationTime() <= newest]
-
-    def read(self, path: str) -> str:
-        fs, p = self._open(path)
-        stream = fs.open(p)
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-
-    def create(self, path: str, text: str) -> bool:
-        """Publish a file under a name that is free, whole or not at all; False if it is taken."""
-        fs, p = self._open(path)
-        if (scheme := fs.getUri().getScheme()) not in ATOMIC_RENAME:
-            raise UnsafeFileSystem(f"{path}: tables need a file system with atomic renames, which {scheme} has not")
-        draft = self._path(f"{p.getParent().toString()}/.{p.getName()}.{uuid.uuid4().hex}")
-        out = fs.create(draft, True)
-        out.write(text.encode())
-        out.close()
-        if fs.exists(p) or not fs.rename(draft, p):
-            fs.delete(draft, False)
-            return False
-        return True
+        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
     def remove(self, path: str) -> None:
         fs, p = self._open(path)

@@ -1,35 +1,33 @@
-"""Tables as immutable Parquet folders plus a small version file that says which of them are live.
+"""Tables as Parquet, partitioned by a bucket of the primary key and written by Spark's own writer.
 
-``<path>/data/_gen=<load>/_bucket=<n>/*.parquet`` and ``<path>/versions/v<number>.json``.
+``<path>/_bucket=<n>/*.parquet``, and ``<path>/_layout``: one row that says how the rows are grouped.
 
-A load only ever writes a new ``_gen`` folder and then publishes the next version file, so readers
-see the old rows or the new ones, and a failed job leaves the table as it was. Overwriting in place
-would delete the files the same job still reads.
+An upsert reads the buckets its keys fall into and replaces those partitions by dynamic partition
+overwrite; Spark stages the new files and moves them at the end, so a job that fails leaves the table as
+it was. ``buckets`` hashes the key; ``width`` cuts whole number keys into ranges, which lets a load of
+recent keys touch the newest buckets only. A table without a key has one bucket and is replaced as a whole.
 
-Rows are grouped by a bucket of the primary key. An upsert reads and rewrites the buckets its keys
-fall into and carries all others over untouched. ``buckets`` hashes the key; ``width`` cuts whole
-number keys into ranges, which lets a load of recent keys touch the newest buckets only.
+The writer moves one partition after the other: a reader may see some of them new and others old, and one
+load at a time may write a table. An upsert that is run again gives the same rows.
 
-The version file also holds the rows of every live bucket and the highest cursor in it, taken from
-the files just written. Size and high-water mark of a table are then known without a scan.
+Rows written are counted by the writing job itself, which observes them after its last shuffle.
 """
 
 from __future__ import annotations
 
 import json
 import logging
-import re
-import uuid
-from collections.abc import Iterable, Mapping
+from collections import Counter
+from collections.abc import Iterable
 from contextlib import ExitStack
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import is_floating, literal
+from tidemark.functions.scalars import literal
 from tidemark.functions.transforms import cast_money, normalized_name
 from tidemark.operators.incremental import max_cursor
 from tidemark.operators.merge import (
@@ -47,18 +45,14 @@ from tidemark.sinks.files import Files
 
 log = logging.getLogger(__name__)
 
-GEN, BUCKET = "_gen", "_bucket"
-NO_KEY = "null"
+BUCKET = "_bucket"
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"
 
 # Buckets when a spec names none: by the bytes of the first load, within these bounds.
 BUCKET_BYTES = 4 << 30
 LEAST_BUCKETS, MOST_BUCKETS = 8, 8192
 
 
-class ConcurrentWrite(RuntimeError):
-    """Another load published a version first; nothing was changed, run the load again."""
-
-
 class TooManyBuckets(ValueError):
     """The ranges of the key are too narrow for its span; nothing was changed, choose a larger width."""
 
@@ -70,74 +64,20 @@ class Layout:
     key: tuple[str, ...] = ()
     buckets: int | None = None
     width: int | None = None
+    schema: T.StructType | None = None
 
     def column(self) -> Column:
         """The bucket of a row; null for a row without a key, which no upsert can match."""
+        if not self.key:
+            return F.lit(0).cast("bigint")
         if self.width:
             return F.floor(F.col(self.key[0]) / F.lit(self.width)).cast("bigint")
         keyed = F.lit(True)
         for name in self.key:
             keyed = keyed & F.col(name).isNotNull()
-        # The hash by which Spark itself distributes rows in a shuffle, see ``Table._replace``.
         return F.when(keyed, F.pmod(F.hash(*self.key), F.lit(self.buckets)).cast("bigint"))
 
 
-@dataclass(frozen=True)
-class Part:
-    """One live bucket of one folder. ``cursor`` names the column whose highest value is ``mark``."""
-
-    rows: int
-    cursor: str | None = None
-    mark: str | None = None
-
-
-Parts = Mapping[str, Part]
-
-
-@dataclass(frozen=True)
-class Version:
-    number: int
-    schema: T.StructType
-    layout: Layout
-    live: Mapping[str, Parts]  # folder -> bucket -> part
-    whole: frozenset[str] = frozenset()  # folders all of whose buckets are live
-
-    def parts(self) -> list[Part]:
-        return [part for parts in self.live.values() for part in parts.values()]
-
-    def rows(self) -> int:
-        return sum(part.rows for part in self.parts())
-
-    def without(self, buckets: set[str]) -> dict[str, Parts]:
-        return {g: {b: p for b, p in parts.items() if b not in buckets} for g, parts in self.live.items()}
-
-    def to_json(self) -> str:
-        layout = {"key": list(self.layout.key), "buckets": self.layout.buckets, "width": self.layout.width}
-        live = {g: {b: [p.rows, p.cursor, p.mark] for b, p in parts.items()} for g, parts in self.live.items()}
-        whole = sorted(self.whole)
-        return json.dumps({"schema": self.schema.jsonValue(), "layout": layout, "live": live, "whole": whole})
-
-    @classmethod
-    def from_json(cls, number: int, text: str) -> Version:
-        doc = json.loads(text)
-        layout = Layout(tuple(doc["layout"]["key"]), doc["layout"]["buckets"], doc["layout"]["width"])
-        live = {g: {b: Part(*p) for b, p in parts.items()} for g, parts in doc["live"].items()}
-        return cls(number, T.StructType.fromJson(doc["schema"]), layout, live, frozenset(doc.get("whole", ())))
-
-
-@dataclass(frozen=True)
-class Staged:
-    """A batch written below the table but not live yet."""
-
-    folder: str
-    layout: Layout
-    parts: Parts
-    df: DataFrame
-
-    def rows(self) -> int:
-        return sum(part.rows for part in self.parts.values())
-
-
 class Table:
     def __init__(
         self,
@@ -146,9 +86,8 @@ class Table:
         key: str | list[str] | None = None,
         buckets: int | None = None,
         width: int | None = None,
-        cursor: str | None = None,
     ):
-        self.spark, self.path, self.cursor = spark, path.rstrip("/"), cursor
+        self.spark, self.path = spark, path.rstrip("/")
         names = tuple(key_list(key)) if key else ()
         if width and len(names) != 1:
             raise ValueError("bucket ranges need exactly one whole-number key column")
@@ -157,322 +96,209 @@ class Table:
 
     # -- reading ---------------------------------------------------------------------------------
 
-    def _versions(self) -> list[int]:
-        found = (re.fullmatch(r"v(\d+)\.json", n) for n in self._files.names(f"{self.path}/versions"))
-        return sorted(int(m.group(1)) for m in found if m)
-
-    def version(self) -> Version | None:
-        numbers = self._versions()
-        if not numbers:
+    def layout(self) -> Layout | None:
+        """How the table is stored; none if there is no table."""
+        if not self.exists():
             return None
-        return Version.from_json(numbers[-1], self._files.read(self._version_file(numbers[-1])))
+        found = self.spark.read.schema("layout string").parquet(f"{self.path}/_layout").first()[0]
+        doc = json.loads(found)
+        return Layout(tuple(doc["key"]), doc["buckets"], doc["width"], T.StructType.fromJson(doc["schema"]))
 
-    def _version_file(self, number: int) -> str:
-        return f"{self.path}/versions/v{number:010d}.json"
+    def _keep(self, layout: Layout) -> None:
+        doc = {"key": layout.key, "buckets": layout.buckets, "width": layout.width, "schema": layout.schema.jsonValue()}
+        one_row(self.spark, layout=F.lit(json.dumps(doc))).write.mode("overwrite").parquet(f"{self.path}/_layout")
 
     def exists(self) -> bool:
-        return bool(self._versions())
+        return any(n.endswith(".parquet") for n in self._files.names(f"{self.path}/_layout"))
 
-    def read(self) -> DataFrame:
-        version = self.version()
-        if version is None:
+    def _needed(self) -> Layout:
+        layout = self.layout()
+        if layout is None:
             raise FileNotFoundError(f"no table at {self.path}")
-        return self._scan(version)
-
-    def _scan(self, version: Version, only: set[str] | None = None) -> DataFrame:
-        """The live rows, or those of some buckets, read with the known schema: no inference.
+        return layout
 
-        A folder that is live as a whole is one path, however many buckets it has.
-        """
-        folders = []
-        for gen, buckets in version.live.items():
-            wanted = [b for b in buckets if only is None or b in only]
-            if gen in version.whole and len(wanted) == len(buckets):
-                folders.append(self._folder(gen, ""))
-            else:
-                folders += [self._folder(gen, b) for b in wanted]
-        return self._read_folders(folders, version.schema, version.layout)
-
-    def _folder(self, gen: str, bucket: str) -> str:
-        base = f"{self.path}/data/{GEN}={gen}"
-        if bucket == "":
-            return base
-        return f"{base}/{BUCKET}={'__HIVE_DEFAULT_PARTITION__' if bucket == NO_KEY else bucket}"
-
-    def _read_folders(self, folders: list[str], schema: T.StructType, layout: Layout) -> DataFrame:
-        if not folders:
-            return _no_rows(self.spark, schema)
-        full = T.StructType(list(schema.fields)).add(GEN, T.StringType())
-        if layout.key:
-            full = full.add(BUCKET, T.LongType())
-        reader = self.spark.read.schema(full).option("basePath", f"{self.path}/data")
-        return reader.parquet(*folders).select(*(F.col(f"`{f.name}`") for f in schema.fields))
+    def read(self) -> DataFrame:
+        return self._scan(self._needed())
+
+    def _scan(self, layout: Layout, only: set[str] | None = None) -> DataFrame:
+        """All rows, or those of some buckets, read with the known schema: no inference."""
+        rows = self.spark.read.schema(T.StructType([*layout.schema.fields, T.StructField(BUCKET, T.LongType())]))
+        rows = rows.parquet(self.path)
+        if only is not None:
+            numbers = [int(b) for b in only if b != NO_KEY]
+            chosen = F.col(BUCKET).isin(numbers) if numbers else F.lit(False)
+            rows = rows.where(chosen | F.col(BUCKET).isNull() if NO_KEY in only else chosen)
+        return rows.select(*(F.col(f"`{f.name}`") for f in layout.schema.fields))
+
+    def _buckets(self) -> set[str]:
+        found = self._files.names(self.path) if self.exists() else []
+        return {n.removeprefix(f"{BUCKET}=") for n in found if n.startswith(f"{BUCKET}=")}
 
     def lookup(self, **key) -> DataFrame:
         """Rows with one key value: one bucket is opened, whose files are sorted by key."""
-        version = self.version()
-        if version is None:
-            raise FileNotFoundError(f"no table at {self.path}")
-        values = {n: literal(v, version.schema[n].dataType) for n, v in key.items()}
+        layout = self._needed()
+        values = {n: literal(v, layout.schema[n].dataType) for n, v in key.items()}
         only = None
-        if version.layout.key and set(version.layout.key) <= set(values):
-            probe = one_row(self.spark, **values).select(version.layout.column())
-            only = {_bucket_name(probe.first()[0])}
-        rows = self._scan(version, only)
+        if layout.key and set(layout.key) <= set(values):
+            only = {_name(one_row(self.spark, **values).select(layout.column()).first()[0])}
+        rows = self._scan(layout, only)
         for name, value in values.items():
             rows = rows.where(F.col(name) == value)
         return rows
 
     def row_count(self) -> int:
-        """Rows of the table, from the version file; zero if there is no table."""
-        version = self.version()
-        return version.rows() if version else 0
+        """Rows of the table, from the footers of its files; zero if there is no table."""
+        return self.read().count() if self.exists() else 0
 
     def max_cursor(self, cursor: str):
-        """The high-water mark held in the table itself, from the version file where it is noted,
-        else by reading that one column.
+        """The high-water mark held in the table itself: reads that one column.
 
         The cursor may be named as the source spells it, before column names were normalised.
         """
-        version = self.version()
-        stored = _stored_name(version.schema, cursor) if version else None
-        if stored is None:
-            return None
-        parts = version.parts()
-        if any(part.cursor != stored for part in parts):
-            return max_cursor(self._scan(version), stored)
-        noted = F.from_json(F.lit(json.dumps([p.mark for p in parts])), "array<string>")
-        marks = F.transform(noted, lambda mark: _from_text(mark, version.schema[stored].dataType))
-        return one_row(self.spark, mark=F.array_max(marks)).first()[0]
+        layout = self.layout()
+        stored = _stored_name(layout.schema, cursor) if layout else None
+        return max_cursor(self._scan(layout), stored) if stored else None
 
     # -- writing ---------------------------------------------------------------------------------
 
-    def _write(self, df: DataFrame | None, layout: Layout, settled: DataFrame | None = None) -> Staged:
-        """Write a new folder, not live yet, and count what was written from the file footers.
+    def _write(
+        self, layout: Layout, df: DataFrame | None, settled: DataFrame | None = None, replaced: set[str] | None = None
+    ) -> int:
+        """Write rows and return their number; with ``replaced`` those buckets hold no others afterwards.
 
         ``df`` is brought together by bucket: AQE lets small buckets share a task and splits a large
         one over many. ``settled`` holds rows that lie together by bucket already and stays in place.
-        Counting the files, rather than the rows on their way, stays exact when tasks are retried.
         """
-        gen = uuid.uuid4().hex
-        folder = f"{self.path}/data/{GEN}={gen}"
-        given = [d for d in (settled, df) if d is not None]
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in given[0].schema.fields])
-        if layout.key:
-            given = [d.withColumn(BUCKET, layout.column()) for d in given]
-            if df is not None:
-                given[-1] = given[-1].hint("rebalance", self._spread(df, layout), F.col(BUCKET))
-        rows = reduce(DataFrame.unionByName, given)
-        if layout.key:
-            # The write sorts by bucket anyway; with the key as well, file statistics serve lookups.
-            rows.sortWithinPartitions(BUCKET, *layout.key).write.partitionBy(BUCKET).parquet(folder)
+        given = [d.withColumn(BUCKET, layout.column()) for d in (settled, df) if d is not None]
+        if df is not None and layout.key:
+            given[-1] = given[-1].hint("rebalance", self._spread(layout), F.col(BUCKET))
+        rows, written = reduce(DataFrame.unionByName, given), Observation()
+        # Behind the last shuffle, where the rows of a task that runs again count once.
+        rows = rows.observe(
+            written,
+            F.count(F.lit(1)).alias("rows"),
+            F.collect_set(F.coalesce(F.col(BUCKET).cast("string"), F.lit(NO_KEY))).alias("buckets"),
+        )
+        # The write sorts by bucket anyway; with the key as well, file statistics serve lookups.
+        writer = rows.sortWithinPartitions(BUCKET, *layout.key).write.partitionBy(BUCKET)
+        if replaced is None:
+            writer.mode("append").parquet(self.path)
         else:
-            rows.write.parquet(folder)
-        try:
-            parts = self._measure(folder, layout, schema)
-        except TooManyBuckets:
-            self._files.remove(folder)
-            raise
-        folders = [self._folder(gen, b) for b in parts]
-        return Staged(gen, layout, parts, self._read_folders(folders, schema, layout))
-
-    def _spread(self, df: DataFrame, layout: Layout) -> int:
+            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path)
+            for bucket in replaced - set(written.get["buckets"]):
+                self._files.remove(f"{self.path}/{BUCKET}={bucket}")
+        return written.get["rows"]
+
+    def _spread(self, layout: Layout) -> int:
         """Shuffle partitions that bring rows together by bucket.
 
         Twice the buckets, so that few share a partition: when AQE splits a large partition, each
         piece writes a file for every bucket in it. Small partitions are merged again.
         """
         usual = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return max(usual, 2 * (layout.buckets or _bucket_count(_scanned_bytes(df) or 0)))
-
-    def _measure(self, folder: str, layout: Layout, schema: T.StructType) -> dict[str, Part]:
-        """Rows and highest cursor per bucket: reads no column but the cursor."""
-        cursor = _stored_name(schema, self.cursor) if self.cursor else None
-        wanted, mark = T.StructType(), F.lit(None).cast("string")
-        if cursor:
-            wanted = wanted.add(schema[cursor])
-            mark = _to_text(F.col(cursor), schema[cursor].dataType)
-        if layout.key:
-            wanted = wanted.add(BUCKET, T.LongType())
-        rows = self.spark.read.schema(wanted).parquet(folder)
-        counts = (rows.groupBy(BUCKET) if layout.key else rows.groupBy()).agg(
-            F.count(F.lit(1)).alias("rows"), mark.alias("mark")
-        )
-        return {
-            _bucket_name(r[BUCKET]) if layout.key else "": Part(r["rows"], cursor, r["mark"])
-            for r in _per_bucket(counts)
-        }
-
-    def stage(self, df: DataFrame) -> Staged:
-        """Write a batch where it can go live beside the present rows without being written again."""
-        version = self.version()
-        if version is None:
-            return self.stage_new(df)
-        return self._write(conform(df, version.schema), version.layout)
-
-    def stage_new(self, df: DataFrame) -> Staged:
-        """Write a batch where it can become the whole table; its schema may differ.
-
-        Where the number of buckets isn't given it follows from the bytes of files: of those the batch
-        is read from, else of the batch itself, which is landed for that.
-        """
-        layout = self._wanted
-        if not layout.key or layout.width or layout.buckets:
-            return self._write(df, layout)
-        size = _scanned_bytes(df)
-        if size is not None:
-            return self._write(df, replace(layout, buckets=_bucket_count(size)))
-        with landed(df, "sized") as rows:
-            return self._write(rows, replace(layout, buckets=_bucket_count(_scanned_bytes(rows) or 0)))
-
-    def discard(self, staged: Staged) -> None:
-        """Remove what was staged and has not been published."""
-        version = self.version()
-        if version is None or staged.folder not in version.live:
-            self._files.remove(f"{self.path}/data/{GEN}={staged.folder}")
-
-    def _publish(self, base: Version | None, schema: T.StructType, layout: Layout, live: Mapping) -> None:
-        number = base.number + 1 if base else 1
-        live = {g: parts for g, parts in live.items() if parts}
-        old = base.live if base else {}
-        whole = frozenset(g for g in live if g not in old or g in base.whole and set(live[g]) == set(old[g]))
-        version = Version(number, schema, layout, live, whole)
-        if not self._files.create(self._version_file(number), version.to_json()):
-            raise ConcurrentWrite(f"version {number} of {self.path} was published by another load")
-
-    def overwrite(self, df: DataFrame | Staged, create: bool = False) -> int:
-        """Replace all rows; the schema may change. The rows may come from this very table.
-
-        With ``create`` it is an error if the table came into being in the meantime.
-        """
-        base = None if create else self.version()
-        staged = df if isinstance(df, Staged) else self.stage_new(df)
-        self._publish(base, staged.df.schema, staged.layout, {staged.folder: staged.parts})
-        return staged.rows()
-
-    def append(self, df: DataFrame | Staged) -> int:
-        base = self.version()
-        if base is None:
-            return self.overwrite(df)
-        staged = df if isinstance(df, Staged) else self.stage(df)
-        self._publish(base, base.schema, base.layout, {**base.live, staged.folder: staged.parts})
-        return staged.rows()
+        return max(usual, 2 * (layout.buckets or LEAST_BUCKETS))
+
+    def _new_layout(self, df: DataFrame) -> Layout:
+        """Where the number of buckets isn't given it follows from the bytes of the rows."""
+        layout = replace(self._wanted, schema=T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]))
+        if layout.width:
+            counts_by_bucket(df, layout)
+        elif layout.key and not layout.buckets:
+            layout = replace(layout, buckets=_bucket_count(df.agg(row_bytes(df)).first()[0] or 0))
+        return layout
+
+    def overwrite(self, df: DataFrame) -> int:
+        """Replace all rows; the schema may change. The rows may come from this very table."""
+        layout = self._new_layout(df)
+        rows = self._write(layout, df, replaced=self._buckets())
+        self._keep(layout)
+        return rows
+
+    def append(self, df: DataFrame) -> int:
+        layout = self.layout()
+        return self._write(layout, conform(df, layout.schema)) if layout else self.overwrite(df)
 
     def append_and_delete(self, batch: DataFrame, dead: DataFrame | None, key: str | list[str]) -> None:
-        """Add rows without looking at their keys, then delete the keys of ``dead``, as one version."""
-        if dead is None or not self.exists():
-            self.append(batch if dead is None else without_keys(batch, dead, key))
-            return
-        base, names = self.version(), key_list(key)
-        staged = self.stage(without_keys(batch, dead, names))
-        none = _no_rows(self.spark, base.schema)
-        self._replace(base, names, none, _fit_keys(dead, names, base.schema), beside=staged)
+        """Delete the keys of ``dead``, then add the other rows without looking at their keys."""
+        if dead is not None:
+            self.delete(dead, key)
+            batch = without_keys(batch, dead, key)
+        self.append(batch)
 
     def merge(self, batch: DataFrame, dead: DataFrame | None = None, key: str | list[str] | None = None) -> None:
-        """Upsert a batch with unique keys and delete the keys of ``dead``, as one new version.
+        """Upsert a batch with unique keys and delete the keys of ``dead``, in one write.
 
         Only the buckets these keys fall into are read and written. The batch is read more than
-        once and must be the same each time, see ``landed``.
+        once and must be the same each time, see ``landed``. Rows without a key are added.
         """
-        base = self.version()
-        names = key_list(key or list((base.layout if base else self._wanted).key))
+        layout = self.layout()
+        names = key_list(key or list((layout or self._wanted).key))
         if not names:
             raise ValueError("an upsert needs a primary key")
-        if base is None:
-            self.overwrite(batch if dead is None else without_keys(batch, dead, names), create=True)
+        if layout is None:
+            self.overwrite(batch if dead is None else without_keys(batch, dead, names))
             return
-        batch = conform(batch, base.schema)
-        dead = batch.select(*names).limit(0) if dead is None else _fit_keys(dead, names, base.schema)
-        self._replace(base, names, batch, dead)
+        batch = conform(batch, layout.schema)
+        dead = batch.select(*names).limit(0) if dead is None else _fit_keys(dead, names, layout.schema)
+        self._replace(layout, names, batch, dead)
 
     def delete(self, keys: DataFrame, key: str | list[str] | None = None) -> None:
         """Delete the rows with these keys; nothing happens if there is no table."""
-        base = self.version()
-        if base is None:
+        layout = self.layout()
+        if layout is None:
             return
-        names = key_list(key or list(base.layout.key))
-        none = _no_rows(self.spark, base.schema)
-        self._replace(base, names, none, _fit_keys(keys, names, base.schema))
+        names = key_list(key or list(layout.key))
+        self._replace(layout, names, _no_rows(self.spark, layout.schema), _fit_keys(keys, names, layout.schema))
 
-    def _replace(
-        self,
-        base: Version,
-        names: list[str],
-        batch: DataFrame,
-        dead: DataFrame,
-        beside: Staged | None = None,
-    ) -> None:
-        bucketed = [k.lower() for k in base.layout.key] == [n.lower() for n in names]
-        keys = batch.select(*names).unionByName(dead)
-        if bucketed:
-            where = keys.groupBy(base.layout.column().alias(BUCKET)).agg(
-                F.count(F.lit(1)).alias("n"), key_bytes(keys).alias("bytes")
-            )
-            counts = {_bucket_name(r[BUCKET]): (r["n"], r["bytes"]) for r in _per_bucket(where)}
-            touched = set(counts) - {NO_KEY}
+    def _replace(self, layout: Layout, names: list[str], batch: DataFrame, dead: DataFrame) -> None:
+        keys, added = batch.select(*names).unionByName(dead), None
+        if [k.lower() for k in layout.key] == [n.lower() for n in names]:
+            counts = counts_by_bucket(keys, layout, key_bytes(keys))
             key_rows, size = (sum(c[i] for c in counts.values()) for i in (0, 1))
+            touched = set(counts) - {NO_KEY}
+            if NO_KEY in counts:
+                keyed = layout.column().isNotNull()
+                batch, added = batch.where(keyed), batch.where(~keyed)
         else:
             key_rows, size = keys.agg(F.count(F.lit(1)), F.coalesce(key_bytes(keys), F.lit(0))).first()
-            touched = {b for buckets in base.live.values() for b in buckets}
-        affected = self._scan(base, touched)
-        few, tasks = key_rows <= BROADCAST_KEYS and size <= BROADCAST_BYTES, None
-        if not few and bucketed and base.layout.buckets:
-            # Buckets use the hash of a shuffle. With a multiple of their number as tasks, a task
-            # of the join holds rows of one bucket, and the write needs no second shuffle.
-            usual = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            tasks = base.layout.buckets * -(-usual // base.layout.buckets)
-        stay, fresh = change_parts(affected, batch, dead, names, key_rows if few else None, tasks)
-        if tasks:
-            staged = self._write(None, base.layout, settled=stay.unionByName(fresh))
-        elif few:
-            # The table's rows were not shuffled: each task still holds one bucket or a few.
-            staged = self._write(fresh, base.layout, settled=stay)
-        else:
-            staged = self._write(stay.unionByName(fresh), base.layout)
-        added = {s.folder: s.parts for s in (staged, beside) if s}
-        self._publish(base, base.schema, base.layout, {**base.without(touched), **added})
-        log.info("%s: %d keys, %d buckets rewritten", self.path, key_rows, len(touched))
-
-    def compact(self, most: int = 100) -> int:
-        """Bring a table of more than ``most`` folders, as many appends leave it, down to half of that.
-
-        The folders with the fewest rows are written as one; returns how many these were.
-        """
-        base = self.version()
-        if base is None or len(base.live) <= most:
-            return 0
-        by_rows = sorted(base.live, key=lambda g: sum(p.rows for p in base.live[g].values()))
-        small = set(by_rows[: len(by_rows) - most // 2 + 1])
-        staged = self._write(self._scan(replace(base, live={g: base.live[g] for g in small})), base.layout)
-        kept = {g: parts for g, parts in base.live.items() if g not in small}
-        self._publish(base, base.schema, base.layout, {**kept, staged.folder: staged.parts})
-        return len(small)
-
-    def prune(self, keep: int = 2, min_age_hours: float = 24) -> int:
-        """Delete version files and folders that none of the newest ``keep`` versions uses.
-
-        Never done by a load: a reader may still be on an older version. Young folders stay, as they
-        may belong to a load that is still running.
-        """
-        numbers = self._versions()
-        used: set[str] = set()
-        for number in numbers[-keep:]:
-            used |= set(Version.from_json(number, self._files.read(self._version_file(number))).live)
-        for number in numbers[:-keep]:
-            self._files.remove(self._version_file(number))
-        old = self._files.names(f"{self.path}/data", min_age_hours * 3600)
-        stale = [n for n in old if n.removeprefix(f"{GEN}=") not in used]
-        for name in stale:
-            self._files.remove(f"{self.path}/data/{name}")
-        return len(stale)
-
-
-def _scanned_bytes(df: DataFrame) -> int | None:
-    """Bytes of the files a frame is read from; None if it is anything else than one scan of files."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    if leaves.size() != 1 or not df.inputFiles():
-        return None
-    return int(str(leaves.apply(0).stats().sizeInBytes()))
+            touched = self._buckets()
+        few = key_rows <= BROADCAST_KEYS and size <= BROADCAST_BYTES
+        stay, fresh = change_parts(self._scan(layout, touched), batch, dead, names, key_rows, few)
+        # The rows that stay are where their bucket is: they aren't shuffled, or only a few of them are.
+        rows = self._write(layout, fresh, settled=stay, replaced=touched) if touched else 0
+        if added is not None:
+            rows += self._write(layout, added)
+        log.info("%s: %d keys, %d buckets with %d rows written", self.path, key_rows, len(touched), rows)
+
+    def compact(self, most: int = 16) -> int:
+        """Bring the buckets of more than ``most`` files, as many appends leave them, together; how many these were."""
+        layout = self._needed()
+        folders = Counter(f.rsplit("/", 2)[-2].removeprefix(f"{BUCKET}=") for f in self._scan(layout).inputFiles())
+        many = {bucket for bucket, files in folders.items() if files > most}
+        if many:
+            self._write(layout, self._scan(layout, many), replaced=many)
+        return len(many)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of all rows, before they are compressed: what texts hold, and a word for every other column."""
+    texts = (T.StringType, T.BinaryType)
+    sizes = [
+        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) if isinstance(f.dataType, texts) else F.lit(8)
+        for f in df.schema.fields
+    ]
+    return F.sum(sum(sizes[1:], sizes[0]).cast("bigint"))
+
+
+def counts_by_bucket(df: DataFrame, layout: Layout, measure: Column | None = None) -> dict[str, tuple]:
+    """Rows, and a measure, per bucket. Hashes are bounded by their number; ranges follow from the keys
+    and are bounded here.
+    """
+    counts = df.groupBy(layout.column().alias(BUCKET)).agg(F.count(F.lit(1)), measure if measure is not None else F.lit(0))
+    rows = counts.limit(MOST_BUCKETS + 2).collect()
+    if len(rows) > MOST_BUCKETS + 1:
+        raise TooManyBuckets(f"rows fall into more than {MOST_BUCKETS} buckets")
+    return {_name(r[0]): (r[1], r[2]) for r in rows}
 
 
 def _bucket_count(size: int) -> int:
@@ -480,35 +306,13 @@ def _bucket_count(size: int) -> int:
     return min(max(-(-size // BUCKET_BYTES), LEAST_BUCKETS), MOST_BUCKETS)
 
 
-def _per_bucket(counts: DataFrame) -> list:
-    """One row per bucket. Hashes are bounded by their number; ranges follow from the keys and are bounded here."""
-    rows = counts.limit(MOST_BUCKETS + 2).collect()
-    if len(rows) > MOST_BUCKETS + 1:
-        raise TooManyBuckets(f"rows fall into more than {MOST_BUCKETS} buckets")
-    return rows
-
-
 def _stored_name(schema: T.StructType, column: str) -> str | None:
     """The table's spelling of a column: as it is, without regard to case, or normalised."""
     names = {f.name.lower(): f.name for f in schema.fields}
     return names.get(column.lower()) or names.get(normalized_name(column))
 
 
-def _to_text(column: Column, dtype: T.DataType) -> Column:
-    """The highest value as text that reads back to the same value in any time zone."""
-    if is_floating(dtype):
-        column = F.when(~F.isnan(column), column)
-    highest = F.max(column)
-    return (F.unix_micros(highest) if isinstance(dtype, T.TimestampType) else highest).cast("string")
-
-
-def _from_text(column: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.TimestampType):
-        return F.timestamp_micros(column.cast("bigint"))
-    return column.cast(dtype)
-
-
-def _bucket_name(bucket: int | None) -> str:
+def _name(bucket: int | None) -> str:
     return NO_KEY if bucket is None else str(bucket)
 
 

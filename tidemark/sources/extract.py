@@ -40,6 +40,7 @@ def open_source(
             partition_column=source.get("partition_column"),
             num_partitions=source.get("num_partitions"),
             narrow=narrow,
+            quantiles=source.get("partition_by") == "quantiles",
         )
     if kind == "csv":
         path = source.get("path") or from_env(source["path_env"], "path")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import date, datetime
 from urllib.parse import parse_qs, unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,18 +74,24 @@ def read_table(
     num_partitions: int | None = None,
     bounds: tuple | None = None,
     narrow: Callable[[DataFrame], DataFrame] | None = None,
+    quantiles: bool = False,
 ) -> DataFrame:
     """A lazy scan of a table; filters and column choices made on it run in the database.
 
     With a partition column the table is read by ``num_partitions`` connections, each taking one
     range. The ranges only divide the work: rows outside the bounds and nulls are read too. Bounds
     not given are asked from the database, one row. ``narrow`` is the filter that will be put on the
-    rows: the ranges then divide what it leaves, not the whole table.
+    rows: the ranges then divide what it leaves, not the whole table. With ``quantiles`` each range has as
+    many rows as any other, also of a skewed key or of text; the database is asked for its bounds.
     """
     reader = spark.read.format("jdbc").options(**{"fetchsize": str(FETCH_SIZE), **options})
     whole = reader.option("dbtable", table)
     if not partition_column:
         return whole.load()
+    if quantiles:
+        ranges = quantile_predicates(spark, options, table, partition_column, num_partitions or CONNECTIONS)
+        properties = {"fetchsize": str(FETCH_SIZE), **{k: v for k, v in options.items() if k != "url"}}
+        return spark.read.jdbc(options["url"], table, predicates=ranges, properties=properties)
     if bounds is None:
         rows = whole.load()
         bounds = key_bounds(narrow(rows) if narrow else rows, partition_column)
@@ -104,3 +111,42 @@ def key_bounds(table: DataFrame, column: str) -> tuple:
     if isinstance(field_type(table, column), T.NumericType) and low is not None:
         return int(low), int(high) + 1
     return low, high
+
+
+def quantile_predicates(spark: SparkSession, options: Mapping[str, str], table: str, column: str, parts: int) -> list[str]:
+    """Conditions that divide a table into ranges of about as many rows each. Rows without a key are in the first.
+
+    The database counts the rows and picks one key for each bound, from an index if it has one, so only
+    the bounds leave it. A key that fills more than one range is one range.
+    """
+
+    def ask(query: str):
+        row = spark.read.format("jdbc").options(**options).option("query", query).load().first()
+        return None if row is None else row[0]
+
+    stored = spark.read.format("jdbc").options(**options).option("dbtable", table).load().schema.names
+    quote = "`" if ":mysql:" in options["url"] else '"'
+    column = quote + next(name for name in stored if name.lower() == column.lower()) + quote
+    known = f"FROM {table} WHERE {column} IS NOT NULL"
+    rows = ask(f"SELECT COUNT(*) AS n {known}")
+    bounds = []
+    for at in sorted({rows * k // parts for k in range(1, parts)} - {0}):
+        page = f"LIMIT 1 OFFSET {at}" if ":mysql:" in options["url"] else f"OFFSET {at} ROWS FETCH NEXT 1 ROWS ONLY"
+        bound = sql_literal(ask(f"SELECT {column} AS bound {known} ORDER BY {column} {page}"))
+        if bound not in bounds:
+            bounds.append(bound)
+    if not bounds:
+        return ["1 = 1"]
+    between = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(bounds, bounds[1:])]
+    return [f"{column} < {bounds[0]} OR {column} IS NULL", *between, f"{column} >= {bounds[-1]}"]
+
+
+def sql_literal(value) -> str:
+    """A value as text of a condition; times in the escapes that every JDBC driver translates."""
+    if isinstance(value, datetime):
+        return f"{{ts '{value.isoformat(sep=' ')}'}}"
+    if isinstance(value, date):
+        return f"{{d '{value.isoformat()}'}}"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)

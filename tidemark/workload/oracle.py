@@ -141,6 +141,41 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL
         SELECT -1 - doc_id, 'cut off', NULL, 'malformed' FROM documents WHERE doc_id % 7 = 0
     """,
+    "stream_dedup": "SELECT * FROM events",
+    "stream_replay": f"""
+        SELECT CAST(1 AS BIGINT) AS batch, count(*) AS rows, 'rejects' AS kind FROM events
+        WHERE ts < TIMESTAMP '2024-01-05' AND ts < {WATERMARK} - INTERVAL 604800 SECOND
+        UNION ALL
+        SELECT NULL, count(*), 'table' FROM events
+    """,
+    "bucketed_upsert": f"""
+        SELECT * FROM ({UPSERT})
+        WHERE event_id NOT IN (SELECT event_id FROM events WHERE event_type = 'error')
+    """,
+    "soft_delete_many": "SELECT * FROM events WHERE event_type <> 'error' OR event_type IS NULL",
+    "written_counts": f"""
+        SELECT count(*) FILTER (ts < {SPLIT}) AS first, count(*) FILTER (ts >= {SPLIT}) AS added, count(*) AS stored
+        FROM events
+    """,
+    "footer_scalars": "SELECT count(*) AS row_count, max(event_id) AS max_cursor FROM events",
+    "describe_columns": """
+        SELECT * FROM (VALUES (1, 'txn_id', 'bigint'), (2, 'txn_date', 'date'), (3, 'customer_id', 'bigint'),
+            (4, 'customer_name', 'string'), (5, 'region', 'string'), (6, 'product_sku', 'bigint'),
+            (7, 'product_name', 'string'), (8, 'category', 'string'), (9, 'quantity', 'bigint'),
+            (10, 'revenue', 'decimal(18,2)'), (11, 'cost', 'decimal(18,2)'), (12, 'gross_margin', 'decimal(18,2)'))
+            AS t(position, column_name, data_type)
+    """,
+    "gate_aborts": "SELECT *, CAST(1 AS BIGINT) AS loads FROM customer WHERE c_acctbal > 0",
+    "stateful_cursor": """
+        WITH o AS (SELECT o_orderdate AS d FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'),
+             runs(run, until, prior) AS (VALUES (1, TIMESTAMP '2000-07-01', TIMESTAMP '2000-01-01'),
+                 (2, TIMESTAMP '2000-07-01', TIMESTAMP '2000-07-01'), (3, TIMESTAMP '2001-02-01', TIMESTAMP '2000-07-01'),
+                 (4, TIMESTAMP '2100-01-01', TIMESTAMP '2001-02-01'))
+        SELECT run, (SELECT count(*) FROM o WHERE d < until AND (run = 1 OR d >= (SELECT max(d) FROM o WHERE d < prior))) AS candidates,
+               (SELECT count(*) FROM o WHERE d < until) AS stored,
+               (SELECT strftime(max(d), '%Y-%m-%dT%H:%M:%S') FROM o WHERE d < until) AS cursor_value
+        FROM runs
+    """,
     "normalize_columns": """
         SELECT c_custkey AS cust_key, c_name AS name, c_nationkey AS nation_key, c_acctbal AS acct_bal,
                c_mktsegment AS mkt_segment FROM customer

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timezone
@@ -14,14 +15,18 @@ from tidemark.operators import incremental as inc
 from tidemark.operators import merge, quality, reports
 from tidemark.operators.orders_gate import orders_gate as gate_of_orders
 from tidemark.plans import ingest, mart, orders
+from tidemark.plans.catalog import create_as_select, list_columns
 from tidemark.plans.lake import Lake
 from tidemark.plans.model import model_frame, query
 from tidemark.plans.run import run_all
 from tidemark.plans.specs import Ingest, Model, Specs
 from tidemark.session import broadcast_if_small, scratch_path
+from tidemark.sinks.bucketed import BucketedTable
 from tidemark.sinks.exports import export_csv, export_parquet
 from tidemark.sinks.tables import Table
-from tidemark.streaming.files import into_table, run_available, stream_files
+from tidemark.sources.footers import footer_facts
+from tidemark.streaming.files import append_to, dedup_within, into_table, land_batch, run_available, stream_files, streaming_session
+from tidemark.streaming.ledger import Entry, Ledger
 from tidemark.workload import roles
 from tidemark.workload.roles import events, table
 
@@ -292,9 +297,9 @@ def orders_gate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def table_merge(spark: SparkSession, folder: str) -> DataFrame:
-    """Overwrite, then upsert and delete as one version of a table on disk."""
+    """Overwrite, then upsert and delete in one write of a table on disk."""
     target, batch = upsert_sides(spark, folder)
-    stored = Table(spark, scratch_path(spark, "merge"), "event_id", cursor="ts")
+    stored = Table(spark, scratch_path(spark, "merge"), "event_id")
     stored.overwrite(target)
     dead = events(spark, folder).where(F.col("event_type") == "error")
     stored.merge(batch, dead)
@@ -389,7 +394,7 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Two drops of files as a stream into a table; the second updates keys inside the lag window."""
     drops, home = scratch_path(spark, "drops"), scratch_path(spark, "stream")
     target, changed = upsert_sides(spark, folder)
-    stored = Table(spark, f"{home}/table", "event_id", cursor="ts")
+    stored = Table(spark, f"{home}/table", "event_id")
     for drop in (target, changed):
         drop.write.mode("append").parquet(drops)
         files = stream_files(spark, drops, roles.SCHEMAS["events"])
@@ -400,7 +405,7 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 def table_append(spark: SparkSession, folder: str) -> DataFrame:
     """A table that is appended to, with a lookup by key in the end."""
     rows = events(spark, folder)
-    stored = Table(spark, scratch_path(spark, "append"), "event_id", cursor="ts")
+    stored = Table(spark, scratch_path(spark, "append"), "event_id")
     stored.overwrite(rows.where(f"ts < {EARLIER}"))
     stored.append(rows.where(f"ts >= {EARLIER}"))
     stored.append(stored.lookup(event_id=42))
@@ -408,8 +413,8 @@ def table_append(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def table_facts(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows and high-water mark as a stored table notes them."""
-    stored = Table(spark, scratch_path(spark, "facts"), "event_id", cursor="ts")
+    """Rows and high-water mark of a stored table."""
+    stored = Table(spark, scratch_path(spark, "facts"), "event_id")
     stored.overwrite(events(spark, folder))
     facts = [(stored.row_count(), stored.max_cursor("ts"))]
     return spark.createDataFrame(facts, "row_count bigint, max_cursor timestamp_ntz")
@@ -421,9 +426,9 @@ def csv_with_bad_lines(spark: SparkSession, folder: str) -> DataFrame:
     path, lake = scratch_path(spark, "texts"), Lake(spark, scratch_path(spark, "lake"))
     docs.write.options(header=True, escape='"', quoteAll=True).csv(path)
     short = docs.where("doc_id % 7 = 0").select((-1 - F.col("doc_id")).alias("doc_id"), F.lit("cut off").alias("text"))
-    lines = short.select(F.concat_ws(",", "doc_id", "text").alias("value"))
-    lines = spark.sql("SELECT 0 AS at, 'doc_id,text,source' AS value").unionByName(lines.select(F.lit(1).alias("at"), "value"))
-    lines.coalesce(1).sortWithinPartitions("at").select("value").write.mode("append").text(path)
+    # One column of whole lines, named like the header: every file has it, from every task.
+    lines = short.select(F.concat_ws(",", "doc_id", "text").alias("doc_id,text,source"))
+    lines.write.mode("append").options(header=True, sep="\t").csv(path)
     source = {"type": "csv", "path": path, "columns": "doc_id bigint, text string, source string"}
     rules = quality.Rules(on_fail="quarantine")
     ingest.run_ingest(lake, Ingest(name="texts", source=source, table="texts", primary_key="doc_id", quality=rules))
@@ -433,6 +438,141 @@ def csv_with_bad_lines(spark: SparkSession, folder: str) -> DataFrame:
     return good.unionByName(rejects)
 
 
+def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Three drops as a stream that holds the keys of its window: the second repeats keys of the first, and the
+    third has new keys far behind the watermark, which are left out.
+    """
+    drops, home = scratch_path(spark, "drops"), scratch_path(spark, "dedup")
+    rows = events(spark, folder)
+    late = rows.where("ts < timestamp_ntz'2024-01-05'").withColumn("event_id", -1 - F.col("event_id"))
+    for drop in (rows.where(f"ts < {SPLIT}"), rows.where(f"ts >= {EARLIER}"), late):
+        drop.write.mode("append").parquet(drops)
+        files = stream_files(streaming_session(spark), drops, roles.SCHEMAS["events"])
+        run_available(append_to(dedup_within(files, "event_id", "ts", 7 * LAG), f"{home}/rows"), f"{home}/state")
+    return spark.read.parquet(f"{home}/rows")
+
+
+def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch that is cut short after the table has changed, then runs again, then once more: rejects per batch
+    and the rows of the table.
+    """
+    home = scratch_path(spark, "replay")
+    stored, ledger = Table(spark, f"{home}/table", "event_id"), Ledger(spark, f"{home}/batches", "replay")
+    rows = events(spark, folder)
+    drops = (rows.where(f"ts < {SPLIT}"), rows.where(f"ts >= {EARLIER} OR ts < timestamp_ntz'2024-01-05'"))
+
+    def land(batch_id: int, log: Ledger) -> None:
+        land_batch(drops[batch_id], batch_id, stored, "event_id", "ts", 7 * LAG, f"{home}/rejects", log)
+
+    land(0, ledger)
+    try:
+        land(1, CutShort(spark, ledger.path, ledger.query))
+    except InterruptedError:
+        pass
+    land(1, ledger)
+    land(1, ledger)
+    rejects = spark.read.parquet(f"{home}/rejects").groupBy(F.col("_batch_id").cast("bigint").alias("batch"))
+    counts = rejects.agg(F.count(F.lit(1)).alias("rows")).withColumn("kind", F.lit("rejects"))
+    total = stored.read().agg(F.lit(None).cast("bigint").alias("batch"), F.count(F.lit(1)).alias("rows"), F.lit("table").alias("kind"))
+    return counts.unionByName(total)
+
+
+class CutShort(Ledger):
+    """A ledger whose batches stop when the table has changed and before that is noted."""
+
+    def entry(self, batch_id: int) -> Entry:
+        class Stopped(Entry):
+            def note(self, step: str, mark: str | None = None) -> None:
+                if step == "done":
+                    raise InterruptedError("lost before the batch was done")
+                super().note(step, mark)
+
+        return Stopped(self.spark, super().entry(batch_id).path)
+
+
+def bucketed_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """An upsert and deletes between catalog tables that are bucketed alike."""
+    target, batch = upsert_sides(spark, folder)
+    stored = BucketedTable(spark, f"events_{uuid.uuid4().hex}", "event_id", 8, scratch_path(spark, "bucketed"))
+    stored.upsert(target)
+    stored.upsert(batch, events(spark, folder).where(F.col("event_type") == "error"))
+    return stored.read()
+
+
+def soft_delete_many(spark: SparkSession, folder: str) -> DataFrame:
+    """Deletes by a key set that is taken as too large to broadcast: a bitmap clears the rows that stay."""
+    rows = events(spark, folder)
+    dead = rows.where(F.col("event_type") == "error").select("event_id")
+    return merge.without_many_keys(rows, dead, "event_id", dead.count())
+
+
+def written_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that writes report of themselves, beside what the table then holds."""
+    rows = events(spark, folder)
+    stored = Table(spark, scratch_path(spark, "counted"), "event_id")
+    first = stored.overwrite(rows.where(f"ts < {SPLIT}"))
+    added = stored.append(rows.where(f"ts >= {SPLIT}"))
+    return stored.read().agg(
+        F.lit(first).cast("bigint").alias("first"), F.lit(added).cast("bigint").alias("added"), F.count(F.lit(1)).alias("stored")
+    )
+
+
+def footer_scalars(spark: SparkSession, folder: str) -> DataFrame:
+    """Row count and highest key of a stored table, from footers."""
+    return footer_facts(spark, f"{folder}/events.parquet", "event_id")
+
+
+def describe_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """The columns of the mart as a table of the catalog, made from its query."""
+    name = f"sales_mart_{uuid.uuid4().hex}"
+    create_as_select(spark, name, gold_mart(spark, folder), scratch_path(spark, "catalog"))
+    try:
+        return list_columns(spark, name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def gate_aborts(spark: SparkSession, folder: str) -> DataFrame:
+    """A load that is aborted by its gate leaves the table and its log as they were."""
+    lake, people = Lake(spark, scratch_path(spark, "lake")), table(spark, folder, "customer")
+    spec = Ingest(name="customer", source={}, table="customer", primary_key="c_custkey", quality=replace(BALANCE_RULES, on_fail="abort"))
+    for df in (people.where("c_acctbal > 0"), people.withColumn("c_name", F.lit("changed"))):
+        path = scratch_path(spark, "customer")
+        df.write.option("header", True).csv(path)
+        try:
+            ingest.run_ingest(lake, replace(spec, source={"type": "csv", "path": path, "columns": roles.SCHEMAS["customer"]}))
+        except quality.QualityError:
+            pass
+    return lake.silver("customer").read().withColumn("loads", F.lit(lake.loads().read().count()).cast("bigint"))
+
+
+ORDER_RUNS = ("2000-07-01", "2000-07-01", "2001-02-01", "2100-01-01")
+
+
+def stateful_cursor(spark: SparkSession, folder: str) -> DataFrame:
+    """Four incremental loads, of a source that doesn't change before the second and grows before the third and
+    the fourth: candidates read, rows stored and the cursor kept after each.
+    """
+    lake, runs = Lake(spark, scratch_path(spark, "lake")), []
+    rows = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.col("o_orderpriority").alias("product"),
+        F.col("o_orderstatus").alias("category"),
+        F.lit("all").alias("region"),
+        F.lit(1).cast("bigint").alias("quantity"),
+        F.col("o_totalprice").alias("unit_price"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("updated_at"),
+    )
+    for run, until in enumerate(ORDER_RUNS, 1):
+        path = scratch_path(spark, "orders")
+        rows.where(F.col("order_date") < until).write.option("header", True).csv(path)
+        read = orders.run_incremental(lake, path)
+        runs.append((run, read, orders.orders_table(lake).row_count(), orders.current_watermark(lake)))
+    return spark.createDataFrame(runs, "run int, candidates bigint, stored bigint, cursor_value string")
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
@@ -481,5 +621,14 @@ QUERIES: dict[str, Query] = {
         table_append,
         table_facts,
         csv_with_bad_lines,
+        stream_dedup,
+        stream_replay,
+        bucketed_upsert,
+        soft_delete_many,
+        written_counts,
+        footer_scalars,
+        describe_columns,
+        gate_aborts,
+        stateful_cursor,
     )
 }
