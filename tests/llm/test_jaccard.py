@@ -138,3 +138,17 @@ def test_linked_sets_share_a_cell():
             continue
         band = draw.integers(0, 3, 1 << jaccard_join.SLOT_BITS).astype(np.uint8)
         assert np.array_equal(base, other) or set(jaccard_join.cells(base, band).tolist()) & set(jaccard_join.cells(other, band).tolist())
+
+
+def test_sizes_bound_the_difference():
+    """Of sets of any sizes, also where the sizes of parts are cut off."""
+    draw = np.random.default_rng(7)
+    for _ in range(300):
+        base = np.unique(draw.integers(0, 2**63, int(draw.integers(1, 3000))).astype(np.uint64))
+        other = np.unique(np.concatenate((base[int(draw.integers(0, len(base))) :], draw.integers(0, 2**63, int(draw.integers(0, 500))).astype(np.uint64))))
+        if not len(other):
+            continue
+        x, y = jaccard_join.part_sizes(base), jaccard_join.part_sizes(other)
+        parts = min(len(x), len(y))
+        bound = np.abs(jaccard_join.folded(x, parts) - jaccard_join.folded(y, parts)).sum()
+        assert bound <= len(np.setxor1d(base, other))

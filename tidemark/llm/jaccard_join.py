@@ -6,13 +6,16 @@ sets that are similar enough differ in at most D elements, hence in at most D ce
 cells that hold anything, in the global order, each such pair has one in common whose content is equal.
 These cells come from the rare end of the order, where only similar documents agree.
 
-Documents with equal sets are one representative. Pairs of representatives are counted fragment by
-fragment: each of ``FRAGMENTS`` parts of the order gives a partial overlap, and the parts are summed per pair.
+Documents with equal sets are one representative. A pair of representatives is first judged by the sizes
+of its fragments: the smaller of two fragments bounds their overlap, and the sum of the bounds rules out most
+pairs. The others are counted: each of ``FRAGMENTS`` parts of the order gives a partial overlap, and the
+parts are summed per pair.
 
 No group is expanded into all its pairs. Where a cell joins two representatives, that pair is counted;
 where it joins more, each is paired with the smallest. Only if that leaves the members of such a cell in
-several components are they compared in full, in blocks of bounded size, fragment after fragment, and a
-block returns no more links than it takes to join its members. So every component is exact.
+several components are they compared with each other, in blocks of bounded size: first by sizes, then those
+that may have a partner in full, fragment after fragment. A block returns no more links than it takes to
+join its members. So every component is exact.
 """
 
 from __future__ import annotations
@@ -38,13 +41,15 @@ SLOT_BITS = 20
 CELLS_PER_DIFFERENCE, LEAST_CELL_BITS = 4, 4
 #: Parts of the order in which overlaps are counted separately.
 FRAGMENTS = 8
+#: A set has about one part for every so many elements whose sizes are noted, and at least 2 ^ LEAST_SIZE_BITS parts.
+ELEMENTS_PER_SIZE, LEAST_SIZE_BITS = 2, 6
 #: Blocks of a group that is compared in full: n-grams and members that one holds about.
 BLOCK_GRAMS, BLOCK_MEMBERS = 1 << 20, 1024
 #: Ids of rows whose n-grams are wanted again, as far as they are sent to the tasks that read the texts.
 WANTED_ROWS = 2_000_000
 
 MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
-DIGESTS = "doc_id long, n long, set_key binary, cells array<long>"
+DIGESTS = "doc_id long, n long, set_key binary, sizes binary, cells array<long>"
 LINK = "a long, b long"
 
 
@@ -136,8 +141,26 @@ def cells(grams: np.ndarray, band: np.ndarray) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
+def part_sizes(grams: np.ndarray) -> bytes:
+    """How many elements fall into each of a power of two of parts, up to 255; twice as many parts are these cut in two."""
+    bits = max(LEAST_SIZE_BITS, (len(grams) // ELEMENTS_PER_SIZE).bit_length())
+    part = (scramble(grams, MIX[0]) >> np.uint64(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(part, minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def folded(sizes: bytes, parts: int) -> np.ndarray:
+    """Sizes as if there were only so many parts."""
+    found = np.frombuffer(sizes, dtype=np.uint8).astype(np.int16)
+    return np.minimum(found.reshape(parts, -1).sum(axis=1), 255).astype(np.int16)
+
+
+def may_link(difference: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Sets that differ in at least so many elements can't be linked where this is false."""
+    return difference * (100 + PERCENT) <= (n_a + n_b) * (100 - PERCENT)
+
+
 def digests(docs: DataFrame, band_bytes: bytes) -> DataFrame:
-    """Per row the size of its set, a digest of the set (null if empty) and its cells."""
+    """Per row the size of its set, a digest of the set and the sizes of its parts (null if empty), and its cells."""
     shared = docs.sparkSession.sparkContext.broadcast(band_bytes)
     state: list[np.ndarray] = []
 
@@ -151,6 +174,7 @@ def digests(docs: DataFrame, band_bytes: bytes) -> DataFrame:
             "doc_id": batch.column("doc_id"),
             "n": [len(s) for s in sets],
             "set_key": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
+            "sizes": [part_sizes(s) if len(s) else None for s in sets],
             "cells": pa.ListArray.from_arrays(offsets, np.concatenate([*found, np.empty(0, dtype=np.int64)])),
         }
 
@@ -182,8 +206,27 @@ def fragments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         return {"set_key": keys, "fragment": numbers, "n": sizes, "grams": pa.ListArray.from_arrays(offsets, flat)}
 
     rows = by_batch(found.select("text"), run, schema, 200)
-    keys = wanted.select("rep", "set_key")
-    return cut(rows.join(keys, "set_key").dropDuplicates(["rep", "fragment"]).drop("set_key"))
+    keys = small(cut(wanted.select("rep", "set_key")), WANTED_ROWS)
+    # Rows that repeat an id may give a set twice. The joins that follow are by the same key.
+    return cut(rows.join(keys, "set_key").drop("set_key").repartition("rep").dropDuplicates(["rep", "fragment"]))
+
+
+def possible_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the sizes of their parts don't rule out."""
+    left = reps.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("sizes").alias("sizes_a"))
+    right = reps.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("sizes").alias("sizes_b"))
+    sized = pairs.join(left, "a").join(right, "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT)
+
+    def run(batch: pa.RecordBatch) -> dict:
+        n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+        difference = np.empty(batch.num_rows, dtype=np.int64)
+        for i, (x, y) in enumerate(zip(batch.column("sizes_a").to_pylist(), batch.column("sizes_b").to_pylist())):
+            parts = min(len(x), len(y))
+            difference[i] = np.abs(folded(x, parts) - folded(y, parts)).sum(dtype=np.int64)
+        near = may_link(difference, n_a, n_b)
+        return {c: pa.array(batch.column(c).to_numpy()[near]) for c in ("a", "b")}
+
+    return by_batch(sized.select("a", "b", "n_a", "n_b", "sizes_a", "sizes_b"), run, LINK)
 
 
 def linked(overlap: Column, n_a: Column, n_b: Column) -> Column:
@@ -194,14 +237,7 @@ def count_pairs(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """The pairs (a, b) that are linked: partial overlaps per fragment, summed per pair."""
     left = parts.select(F.col("rep").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("grams").alias("grams_a"))
     right = parts.select(F.col("rep").alias("b"), "fragment", F.col("n").alias("n_b"), F.col("grams").alias("grams_b"))
-    sizes = parts.where("fragment = 0").select("rep", "n")
-    sized = (
-        pairs.join(sizes.select(F.col("rep").alias("a"), F.col("n").alias("n_a")), "a")
-        .join(sizes.select(F.col("rep").alias("b"), F.col("n").alias("n_b")), "b")
-        .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT)
-        .select("a", "b")
-    )
-    partial = sized.join(left, "a").join(right, ["b", "fragment"])
+    partial = pairs.join(left, "a").join(right, ["b", "fragment"])
     partial = partial.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"))
     summed = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("overlap").alias("overlap"))
     return summed.where(linked(F.col("overlap"), F.col("n_a"), F.col("n_b"))).select("a", "b")
@@ -250,14 +286,27 @@ def compare_block(reps: np.ndarray, roots: np.ndarray, sets: list[list[np.ndarra
     return found
 
 
-def compare_groups(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """Links between members (cell, rep, root) of the same cell that are in different components.
+def near_some_other(sizes: list[bytes], n: np.ndarray, roots: np.ndarray) -> np.ndarray:
+    """Which members of a block may be linked with a member of another component, by the sizes of their parts."""
+    parts = min(map(len, sizes))
+    table = np.stack([folded(s, parts) for s in sizes])
+    found = np.zeros(len(sizes), dtype=bool)
+    for i in range(len(sizes) - 1):
+        difference = np.abs(table[i + 1 :] - table[i]).sum(axis=1, dtype=np.int64)
+        near = may_link(difference, n[i], n[i + 1 :]) & (roots[i + 1 :] != roots[i])
+        if near.any():
+            found[i] = True
+            found[i + 1 :] |= near
+    return found
+
+
+def open_blocks(members: DataFrame, reps: DataFrame) -> DataFrame:
+    """(cell, i, j, rep, root) of the members (cell, rep, root) that may have a partner in another component.
 
     A cell's members are dealt to blocks by hash, so many that one block is small, and every two blocks of
     a cell meet once. Cells with the same members are compared once.
     """
-    sizes = parts.where("fragment = 0").select("rep", "n")
-    members = cut(members.join(sizes, "rep"))
+    members = cut(members.join(reps.select("rep", "n"), "rep"))
     groups = members.groupBy("cell").agg(
         F.count(F.lit(1)).alias("k"),
         F.sum("n").alias("grams"),
@@ -266,9 +315,8 @@ def compare_groups(members: DataFrame, parts: DataFrame) -> DataFrame:
         F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("members"),
         F.sum(F.xxhash64("rep", F.lit(1)).cast("decimal(38,0)")).alias("members_again"),
     )
-    open_groups = groups.where("low <> high").groupBy("k", "members", "members_again").agg(
-        F.min(F.struct("cell", F.greatest(F.ceil(F.col("grams") / BLOCK_GRAMS), F.ceil(F.col("k") / BLOCK_MEMBERS)).alias("blocks"))).alias("g")
-    )
+    blocks = F.greatest(F.ceil(F.col("grams") / BLOCK_GRAMS), F.ceil(F.col("k") / BLOCK_MEMBERS)).alias("blocks")
+    open_groups = groups.where("low <> high").groupBy("k", "members", "members_again").agg(F.min(F.struct("cell", blocks)).alias("g"))
     dealt = members.join(open_groups.select("g.cell", "g.blocks"), "cell").withColumn(
         "block", F.pmod(F.xxhash64("rep", F.lit(2)), F.col("blocks"))
     )
@@ -276,6 +324,18 @@ def compare_groups(members: DataFrame, parts: DataFrame) -> DataFrame:
     rows = dealt.select("cell", "rep", "root", "block", other).select(
         "cell", "rep", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
+    schema = "cell long, i long, j long, rep long, root long"
+
+    def compare(group: pa.Table) -> pa.Table:
+        n, roots = (group.column(c).to_numpy() for c in ("n", "root"))
+        near = near_some_other(group.column("sizes").to_pylist(), n, roots)
+        return group.filter(pa.array(near)).select([f.split()[0] for f in schema.split(", ")])
+
+    return cut(rows.join(reps.select("rep", "n", "sizes"), "rep").groupBy("cell", "i", "j").applyInArrow(compare, schema))
+
+
+def compare_blocks(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Links between members of a block (cell, i, j) that are in different components."""
     whole = parts.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("fragment", "grams"))).alias("sets"))
     rows = rows.join(whole.select("rep", F.col("sets.grams").alias("sets")), "rep")
 
@@ -302,7 +362,9 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     length. Rows repeated are repeated in the result. An empty table gives no rows; further columns are ignored.
     """
     rows = cut(digests(docs, bands(docs)))
-    sets = rows.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("low"), F.any_value("cells").alias("cells"))
+    sets = rows.where("n > 0").groupBy("set_key").agg(
+        F.min("doc_id").alias("low"), *(F.any_value(c).alias(c) for c in ("n", "sizes", "cells"))
+    )
     reps = cut(sets.withColumn("rep", F.monotonically_increasing_id()))
     found = reps.select(F.explode("cells").alias("cell"), "rep")
     groups = cut(
@@ -312,16 +374,21 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     )
     larger = groups.where("k > 2").select("cell", "first")
     members = cut(found.join(small(larger, WANTED_ROWS), "cell"))
-    pairs = cut(
+    pairs = (
         groups.where("k = 2").select(F.col("first").alias("a"), F.col("last").alias("b"))
         .unionByName(members.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")))
         .distinct()
     )
+    pairs = cut(possible_pairs(pairs, reps))
     wanted = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    parts = fragments(docs, cut(reps.select("rep", "set_key", "low").join(wanted, "rep", "left_semi")))
-    edges = cut(count_pairs(pairs, parts))
+
+    def fragments_of(wanted: DataFrame) -> DataFrame:
+        return fragments(docs, cut(reps.select("rep", "set_key", "low").join(wanted, "rep", "left_semi")))
+
+    edges = cut(count_pairs(pairs, fragments_of(wanted)))
     roots = cut(rooted(reps.select("rep"), edges))
-    more = compare_groups(members.select("cell", "rep").join(roots, "rep"), parts)
+    blocks = open_blocks(members.select("cell", "rep").join(roots, "rep"), reps)
+    more = compare_blocks(blocks, fragments_of(blocks.select("rep").distinct()))
     roots = rooted(reps.select("rep"), edges.unionByName(cut(more)))
     named = cut(reps.select("rep", "set_key", "low").join(roots, "rep"))
     lows = named.groupBy("root").agg(F.min("low").alias("component_id"))
