@@ -208,3 +208,13 @@ def test_improbable_query_against_plain_version(spark, sf):
         assert row.near_next == improbable.likeness(chain(text), chain(following))
     long = [r for (_, t), r in ((d, rows[d[0]]) for d in docs) if len(t) > 1000]
     assert np.mean([r.near_edited for r in long]) > np.mean([r.near_next for r in long]) + 0.3
+
+
+def test_numerals_are_no_letters(spark):
+    rows = [(i, f"der die das und {i} haus" if i % 2 else f"the and of to {i} house", "de" if i % 2 else "en") for i in range(60)]
+    rows += [(100, "²½", "en"), (101, "Ⅻ ①", "de"), (102, "12 34", "en"), (103, "ª", None), (104, "é", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in langid.predictions(docs, langid.training_text(docs), reject=False).collect()}
+    assert [found[i] for i in (100, 101, 102)] == ["und"] * 3
+    assert found[103] != "und" and found[104] != "und"
+    assert langid.normal("a²b Ⅻ c1d") == "a b c d"

@@ -8,9 +8,9 @@ dictionary makes it smallest is chosen. Where the runner-up is nearly as small,
 from __future__ import annotations
 
 import math
-import re
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +29,9 @@ SHARPNESS = 40.0
 UNKNOWN = "und"
 
 #: What ``normal`` keeps, for Spark.
-LETTER = r"[\p{L}\p{Nl}\p{No}]"
+LETTER = r"\p{L}"
 
-_other = re.compile(r"[\W\d_]+").sub
+_other = regex.compile(r"\P{L}+").sub
 
 
 def normal(text: str | None) -> str:
