@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_schema, cut, table, text_of, to_batch
+from tidemark.llm.common import arrow_schema, cut, small, table, text_of, to_batch
 
 #: Fixed values of the format: frame magics, version line, revisit profile.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -28,6 +28,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = "urn:tidemark:page:"
 #: Payloads of fewer bytes are always stored in full.
 LEAST_SHARED_BYTES = 1000
+#: Digests of repeated payloads that may be copied to every executor, of 40 bytes each.
+SHARED_ROWS = 400_000
 ARCHIVE_BYTES = 16 << 20
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
@@ -139,6 +141,8 @@ def frames(archive: bytes) -> Iterator[bytes]:
         magic = int.from_bytes(data[at : at + 4], "little")
         if magic >> 4 == 0x184D2A5:
             at += 8 + int.from_bytes(data[at + 4 : at + 8], "little")
+            if at > len(data):
+                raise BadArchive("a skippable frame ends early")
             continue
         if magic != FRAME_MAGIC:
             raise BadArchive(f"no frame at byte {at}")
@@ -231,16 +235,19 @@ def read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def record_plan(pages: DataFrame) -> DataFrame:
     """The records to write: page_id, url, html, payload_digest, record_type, refers_to.
 
-    Only payloads that occur more than once are looked up, by digest; a digest's pages may be any share
-    of all, and AQE splits them.
+    Payloads that occur more than once are found by their digests alone. A table of them that is counted to
+    be small is copied to the tasks that read the pages, so that no html is shuffled; a larger one meets the
+    pages by a shuffle, where a digest's pages may be any share of all, and AQE splits them.
     """
-    rows = pages.select("page_id", "url", text_of("html").alias("html")).withColumn("payload_digest", F.sha1(F.encode("html", "UTF-8")))
+    text = text_of("html")
+    rows = pages.select("page_id", "url", text.alias("html")).withColumn("payload_digest", F.sha1(F.encode("html", "UTF-8")))
     shared = (
         rows.where(F.octet_length("html") >= LEAST_SHARED_BYTES)
         .groupBy(F.col("payload_digest").alias("shared"))
         .agg(F.max("page_id").alias("last"), F.count("*").alias("n"))
         .where("n > 1 AND last IS NOT NULL")
     )
+    shared = small(cut(shared), SHARED_ROWS)
     revisit = F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))
     return rows.join(shared, F.col("payload_digest") == F.col("shared"), "left").select(
         "page_id",
