@@ -54,7 +54,7 @@ def test_an_index_that_starts_anew_loses_no_row(spark, monkeypatch):
 def test_no_weights_fill_one_bucket(spark):
     weight = "CASE WHEN id % 3 = 0 THEN 0.001D WHEN id % 3 = 1 THEN 0.5D ELSE 1D END"
     keys = spark.range(300_000).select("id", mixing.F.expr(weight).alias("w"))
-    key = mixing.sampling_key(mixing.F.col("id"), mixing.F.col("w"))
+    key = mixing.sampling_key(mixing.F.col("id"), mixing.F.lit("d"), mixing.F.lit(0), mixing.F.col("w"))
     largest = keys.groupBy(mixing.key_bucket(key, mixing.F.lit(300))).count().agg({"count": "max"}).first()[0]
     assert largest < 1.3 * mixing.ROWS_PER_BUCKET
 
@@ -100,3 +100,41 @@ def test_running_sum_over_many_buckets(spark, monkeypatch):
         for _, _, _, doc_id, size in sorted((r for r in rows if r[0] == p), key=lambda r: (r[2], r[3])):
             assert found[p, doc_id] == total
             total += size
+
+
+def test_one_id_on_many_rows_spreads_over_the_buckets(spark):
+    """Rows that share an id, have none, or are full copies of one row."""
+    F = mixing.F
+    docs = spark.range(12_000).select(
+        F.when(F.col("id") < 4000, 7).when(F.col("id") < 8000, None).otherwise(9).cast("long").alias("doc_id"),
+        F.when(F.col("id") < 8000, F.concat(F.lit("text "), F.col("id"))).otherwise("the same text").alias("text"),
+        F.lit("s").alias("source"),
+    )
+    copies = mixing.numbered_copies(mixing.sized(docs))
+    assert copies.count() == 12_000
+    key = mixing.sampling_key(F.col("doc_id"), F.col("digest"), F.col("copy"), F.col("weight"))
+    assert copies.select(key).distinct().count() == 12_000
+    buckets = copies.groupBy("doc_id", mixing.key_bucket(key, F.lit(12)).alias("b")).count().groupBy("doc_id").agg({"count": "max"})
+    assert max(r[1] for r in buckets.collect()) < 1500
+
+
+def test_copies_are_numbered_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES_PER_BLOCK", 7)
+    rows = [(1, "a", "x", 1, 1.0, 20), (2, "a", "y", 1, 1.0, 1), (None, None, "z", 1, 1.0, 7)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, digest string, size long, weight double, rows long")
+    found = [(r.doc_id, r.copy) for r in mixing.numbered_copies(frame).collect()]
+    assert sorted(found, key=str) == sorted([(1, i) for i in range(20)] + [(2, 0)] + [(None, i) for i in range(7)], key=str)
+
+
+def test_stage_takes_what_the_mix_takes(spark):
+    """Rows without an id, rows that repeat an id, and repeated rows: the stage gives the words that are drawn."""
+    rows = [(None, f"one two three {i % 50}", "a") for i in range(300)] + [(5, "word " * (i % 7), "b") for i in range(200)]
+    rows += [(6, "same row", "b")] * 90 + [(None, None, None), (7, "", "a"), (8, "x y", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken, given = Counter(), Counter()
+    for r in mixing.mixture(docs).collect():
+        taken[r.doc_id] += r.taken
+    for r in mixing.repeat_rows(docs).collect():
+        given[r.doc_id] += len((r.text or "").split())
+    assert {k: v for k, v in taken.items() if v} == {k: v for k, v in given.items() if v}
+    assert sum(taken.values()) > 1000

@@ -1,13 +1,14 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling.
 
-A document's key is -ln(u) / w: u is uniform and follows from the id, w is the quality weight of the
-text. Within its source, documents are taken in the order of their keys until the word budget is met.
+A document's key is -ln(u) / w: u is uniform and follows from the id, the text and, of rows that agree in
+both, the number of the copy; w is the quality weight of the text. Within its source, documents are taken in the order of their keys until the word budget is met.
 Whole epochs over a source precede the part that is drawn by key.
 
 The order within a source is never made in one task: keys are cut into buckets of about a thousand
 rows, and running sums are built of rows within a bucket, of buckets within a run of buckets, and of
 those runs within the source. Buckets are equal steps of the key's logarithm: a weight only shifts that
-logarithm, and its density is nowhere above 1/e, so no mix of weights can fill one bucket.
+logarithm, and its density is nowhere above 1/e, so no mix of weights can fill one bucket. Nor can an id
+that many rows have, or none, as every row has a key of its own.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ TOTAL, MOST_EPOCHS = 1.5, 2
 ROWS_PER_BUCKET, BUCKETS_PER_RUN = 1000, 1000
 #: Highest density of the logarithm of an exponential variable, 1/e.
 DENSITY = 0.368
+#: Copies of a row that one task numbers at a time.
+COPIES_PER_BLOCK = 100_000
 
 
 def size_of(text: Column) -> Column:
@@ -39,8 +42,9 @@ def quality_weight(text: Column) -> Column:
     return (chars - odd + 1).cast("double") / (chars + 1).cast("double")
 
 
-def sampling_key(doc_id: Column, weight: Column) -> Column:
-    drawn = F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 12), 16, 10).cast("double")
+def sampling_key(doc_id: Column, digest: Column, copy: Column, weight: Column) -> Column:
+    name = F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), digest, copy.cast("string"))
+    drawn = F.conv(F.substring(F.md5(name), 1, 12), 16, 10).cast("double")
     return -F.log((drawn + 0.5) / float(2**48)) / weight
 
 
@@ -92,13 +96,22 @@ def running_sum(rows: DataFrame) -> DataFrame:
     return rows.join(buckets, ["part", "bucket"]).withColumn("before", F.col("bucket_before") + within)
 
 
-def mix(rows: DataFrame) -> DataFrame:
-    """Add target, source_size and ``copies`` to rows (doc_id, source, size, weight, ...).
+def numbered_copies(entities: DataFrame) -> DataFrame:
+    """A row per copy of each entity, numbered from 0. Very many copies are dealt to several tasks by blocks."""
+    last = F.floor((F.col("rows") - 1) / COPIES_PER_BLOCK).cast("long")
+    blocks = entities.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last))).repartition("doc_id", "digest", "block")
+    start = F.col("block") * COPIES_PER_BLOCK
+    return blocks.withColumn("copy", F.explode(F.sequence(start, F.least(start + COPIES_PER_BLOCK, F.col("rows")) - 1))).drop("block")
+
+
+def mix(entities: DataFrame) -> DataFrame:
+    """Target, source_size and ``copies`` of each row of ``entities``, see ``sized``: one row per row of the documents.
 
     A source's copies come as near to its target as whole documents allow. Sources are few (their names
-    are ordered in one task); rows are not. Rows that agree in id, key and size may change places.
+    are ordered in one task); rows are not.
     """
-    sizes = cut(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows")))
+    words = F.sum(F.col("size") * F.col("rows")).alias("source_size")
+    sizes = cut(entities.groupBy("source").agg(words, F.sum("rows").alias("n_rows")))
     per_source = cut(
         source_targets(sizes).select(
             F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())).alias("part"),
@@ -108,8 +121,8 @@ def mix(rows: DataFrame) -> DataFrame:
             F.ceil(F.col("n_rows") / ROWS_PER_BUCKET).cast("long").alias("n_buckets"),
         )
     )
-    keyed = rows.join(small(per_source), F.col("source").eqNullSafe(F.col("mixed"))).withColumn(
-        "key", sampling_key(F.col("doc_id"), F.col("weight"))
+    keyed = numbered_copies(entities).join(small(per_source), F.col("source").eqNullSafe(F.col("mixed"))).withColumn(
+        "key", sampling_key(F.col("doc_id"), F.col("digest"), F.col("copy"), F.col("weight"))
     )
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     budget = F.col("target") - F.col("epochs") * F.col("source_size")
@@ -121,16 +134,23 @@ def mix(rows: DataFrame) -> DataFrame:
     )
 
 
+def text_digest() -> Column:
+    return F.sha2(text_of("text"), 256)
+
+
 def sized(docs: DataFrame) -> DataFrame:
+    """Entities: rows that agree in id, source and text count once, with their number ``rows``."""
     text = text_of("text")
-    return docs.select("doc_id", "source", size_of(text).alias("size"), quality_weight(text).alias("weight"))
+    narrow = docs.select("doc_id", "source", text_digest().alias("digest"), size_of(text).alias("size"), quality_weight(text).alias("weight"))
+    return narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def mixture(docs: DataFrame) -> DataFrame:
     """How many words of every row of ``docs`` (doc_id, text, source) the mix takes.
 
     A null text has no words and takes none; rows without a source are a source of their own, the last.
-    An empty table, or one without words, gives targets of zero. Further columns are ignored.
+    Repeated rows, and rows that share an id or have none, are drawn each for itself. Texts are read whole,
+    of any length. An empty table, or one without words, gives targets of zero. Further columns are ignored.
     """
     return mix(cut(sized(docs))).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
@@ -138,18 +158,34 @@ def mixture(docs: DataFrame) -> DataFrame:
 
 
 def repeat_rows(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in the mix, each as often as it is taken, with all their columns."""
-    at = fresh(docs, "row")[0]
-    copies = mix(cut(sized(docs))).where("copies > 0").groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
-    left, right = docs.withColumn(at, size_of(text_of("text"))).alias("d"), copies.alias("c")
+    """The rows of ``docs`` in the mix, each as often as it is taken, with all their columns.
+
+    Of rows that agree in id, source and text together as many are given as are drawn for them: each the
+    same number, and what is left over by one of them. Nulls, empty texts, repeated rows and empty tables are
+    as in ``mixture``.
+    """
+    digest, each, rest = fresh(docs, "digest", "each", "rest")
+    drawn = mix(cut(sized(docs))).groupBy("doc_id", "source", "digest").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    share = F.floor(F.col("copies") / F.col("rows"))
+    shares = cut(
+        drawn.where("copies > 0").select(
+            F.col("doc_id").alias("c_id"), F.col("source").alias("c_source"), F.col("digest").alias("c_digest"),
+            share.cast("int").alias("c_each"), (F.col("copies") - share * F.col("rows")).cast("int").alias("c_rest"),
+        )
+    )
+    left, right = docs.withColumn(digest, text_digest()).alias("d"), shares.alias("c")
     same = (
-        F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))
-        & F.col("d.source").eqNullSafe(F.col("c.source"))
-        & (F.col(f"d.{at}") == F.col("c.size"))
+        (F.col(f"d.{digest}") == F.col("c.c_digest"))
+        & F.col("d.doc_id").eqNullSafe(F.col("c.c_id"))
+        & F.col("d.source").eqNullSafe(F.col("c.c_source"))
     )
-    # Rows that agree in id, source and size share what was drawn for them.
-    each = F.ceil(F.col("c.copies") / F.col("c.rows")).cast("int")
-    return left.join(right, same).withColumn(at, F.explode(F.array_repeat(F.lit(1), each))).select(*(F.col(f"d.`{c}`") for c in docs.columns))
+    taken = left.join(right, same).select("d.*", F.col("c.c_each").alias(each), F.col("c.c_rest").alias(rest))
+
+    def times(rows: DataFrame, column: str) -> DataFrame:
+        return rows.withColumn(column, F.explode(F.array_repeat(F.lit(1), F.col(column)))).select(*docs.columns)
+
+    left_over = taken.where(F.col(rest) > 0)
+    return times(taken, each).unionByName(times(left_over.dropDuplicates(["doc_id", "source", digest]), rest))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +198,8 @@ WITH d AS (
 ), e AS (
   SELECT doc_id, source, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS size,
          CAST(length(regexp_replace(t, '[^\p{L}\x20\x09-\x0D]', '', 'g')) + 1 AS DOUBLE) / CAST(length(t) + 1 AS DOUBLE) AS w,
-         CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) AS DOUBLE) AS x
+         CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || sha256(t) || ':'
+              || (row_number() OVER (PARTITION BY doc_id, source, t) - 1)), 1, 12) AS BIGINT) AS DOUBLE) AS x
   FROM d
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM e GROUP BY source
