@@ -219,3 +219,48 @@ def test_revisits_of_odd_pages(spark, folder):
     rows = {(r.page_id, r.record_type, r.refers_to, r.payload_bytes > 1000) for r in warc.op5_warc(spark, folder).collect()}
     assert {(1, "revisit", 2, True), (2, "response", None, True), (None, "revisit", 2, True)} <= rows
     assert (7, "response", None, True) in rows
+
+
+def test_cut_later_skippable_frames_are_refused():
+    archive = warc.archive_bytes([warc.record_bytes(*RECORD)])
+    later = (0x184D2A51).to_bytes(4, "little") + (100).to_bytes(4, "little") + b"x" * 100
+    assert len(list(warc.frames(archive + later + archive[archive.index(b"\x28\xb5\x2f\xfd", 8) :]))) == 2
+    for size in (1, 6, 50, 107):
+        with pytest.raises(warc.BadArchive):
+            list(warc.frames(archive + later[:size]))
+
+
+def test_no_html_is_shuffled_for_revisits(spark, folder, monkeypatch):
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    plan = warc.record_plan(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    few = sorted(map(str, warc.record_plan(pages).drop("html").collect()))
+    monkeypatch.setattr(warc, "SHARED_ROWS", 0)
+    assert sorted(map(str, warc.record_plan(pages).drop("html").collect())) == few
+
+
+@pytest.mark.parametrize("tag", ["svg", "iframe", "math", "canvas", "video", "object"])
+@pytest.mark.parametrize("form", ['<{0} class="i"/>', '<{0} src="x"/>', '<{0} src="x">', "<{0}>no</{0}>", "<{0}><{0}/>no</{0}>"])
+def test_text_after_raw_elements_stays(tag, form):
+    source = f"<article><p>one</p>{form.format(tag)}<p>two</p></article><p>other</p>"
+    assert main_text(source, {}) == "one two"
+
+
+@pytest.mark.parametrize("tag", ["script", "style", "textarea"])
+def test_unclosed_code_ends_with_its_parent(tag):
+    assert main_text(f"<article><p>one</p><div><{tag}>code = 1</div><p>two</p></article>", {}) == "one two"
+    assert main_text(f"<article><p>one</p><{tag}>code <b>1</b></{tag}><p>two</p></article>", {}) == "one two"
+    assert main_text(f"<article><p>one</p></article><{tag}>code = 1", {}) == "one"
+
+
+@pytest.mark.parametrize("opening", ["<nav>", "<article>", "<nav><article>", '<div class="menu">', '<div class="comments">', "<svg>", "<script>", "<iframe>"])
+def test_nested_drops_take_linear_time(opening):
+    import time
+
+    times = []
+    for n in (25_000, 100_000):
+        source = "<article><p>text</p></article>" + f"{opening}a" * n
+        start = time.perf_counter()
+        main_text(source, {"confirmed": ["x"], "refuted": ["y"]})
+        times.append(time.perf_counter() - start)
+    assert times[1] < 30 and times[1] < 10 * times[0] + 1

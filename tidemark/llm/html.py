@@ -15,7 +15,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -66,12 +66,15 @@ FIRM_NAMES = set(
 NEUTRAL = set("area bar bottom box container global inner left list main primary right secondary section site top wrap wrapper".split())
 NEVER = {"html", "body", "main", "article"}
 
-_raw = "|".join(RAW)
 MARKUP = re.compile(
-    rf"<!--.*?(?:--\s*>|\Z)|<({_raw})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:--\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>\"'<]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|</?[a-zA-Z][^<>]*>|<[!?][^>]*>|<[a-zA-Z/!?][^>]*\Z",
     re.S | re.I,
 )
+#: Where an element ends whose content is no markup of the page.
+RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
+#: Of these: what has no text of the page if it isn't closed; the text after it belongs to the page.
+RAW_VOID = set("svg math iframe object canvas audio video noscript".split())
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 HEADING = re.compile(r"(^|/)h1(\.|/|$)")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -83,23 +86,53 @@ FIRM, LOOSE, WEAK = 0, 1, 2
 
 @dataclass(eq=False)
 class Drop:
-    """An element that isn't the article by its tag or name, whether it is in an article, and whether it holds one."""
+    """An element that isn't the article by its tag or name, the next one around it, whether it is in an article,
+    and whether it holds one.
+    """
 
     kind: int
     path: str
     inside: bool
+    above: Drop | None
     holds: bool = False
+    #: Whether an article in it has been noted here and above.
+    noted: bool = False
+    #: Found when the page is read: whether what is in it is boilerplate, whether an article in it isn't one of the
+    #: page, and the nearest element from here on whose name is to be confirmed, with the next of that kind.
+    out: bool = False
+    hides: bool = False
+    weak: Drop | None = None
+    next_weak: Drop | None = None
+
+
+def chain(weak: Drop | None, test: Callable[[Drop], bool], known: dict[int, bool]) -> bool:
+    """Whether the test holds for an element whose name is to be confirmed or one of that kind around it.
+
+    ``known`` keeps what was found, so that a page of nested elements takes one step for each.
+    """
+    seen, found = [], False
+    while weak is not None:
+        if id(weak) in known:
+            found = known[id(weak)]
+            break
+        seen.append(id(weak))
+        if test(weak):
+            found = True
+            break
+        weak = weak.next_weak
+    known.update(dict.fromkeys(seen, found))
+    return found
 
 
 @dataclass
 class Node:
-    """An open element and the drops it is in."""
+    """An open element and the nearest drop it is in or is itself."""
 
     tag: str
     path: str
     parent: Node | None
     depth: int
-    drops: tuple[Drop, ...]
+    drop: Drop | None
     article: bool
     link: bool
 
@@ -108,7 +141,7 @@ class Node:
 class Text:
     """A text node: its element, whether it is boilerplate, in an article, or a link; ``block`` starts a new block.
 
-    ``weak`` are the drops by names that the template may confirm or refute.
+    ``weak`` is the nearest drop by a name that the template may confirm or refute.
     """
 
     node: Node
@@ -119,7 +152,7 @@ class Text:
     block: bool
     #: Whether the next text starts a new block too.
     whole: bool = False
-    weak: tuple[Drop, ...] = ()
+    weak: Drop | None = None
 
     @property
     def path(self) -> str:
@@ -132,6 +165,8 @@ class Page:
     #: Elements in page order, so that each comes after the one around it.
     nodes: list[Node] = field(default_factory=list)
     texts: list[Text] = field(default_factory=list)
+    #: Each after those around it.
+    drops: list[Drop] = field(default_factory=list)
     #: Whether it has an article, be it empty.
     article: bool = False
 
@@ -168,20 +203,28 @@ def element(parent: Node | None, tag: str, attributes: str) -> Node:
         label += CHECKED
     depth = parent.depth + 1 if parent else 1
     above = "" if not parent else f"{parent.path}/" if depth <= DEPTH else f"{path_hash(parent.path)}/"
-    path, within, drops = above + label, bool(parent and parent.article), parent.drops if parent else ()
+    path, within, drop = above + label, bool(parent and parent.article), parent.drop if parent else None
     article = tag in ("article", "main") or tag != "body" and kind is None and any(w == ["main"] or w == ["main", "content"] or "".join(w) == "articlebody" for w in names)
-    if article:
-        for drop in drops:
-            drop.holds |= not drop.inside
+    outer = drop if article else None
+    while outer is not None and not outer.noted:
+        outer.holds, outer.noted = not outer.inside, True
+        outer = outer.above
     if kind is not None:
-        drops += (Drop(kind, path, within),)
-    return Node(tag, path, parent, depth, drops, within or article, tag == "a" or bool(parent and parent.link))
+        drop = Drop(kind, path, within, drop)
+    return Node(tag, path, parent, depth, drop, within or article, tag == "a" or bool(parent and parent.link))
 
 
 def read(source: str) -> Page:
     """The tags, by path, and the text nodes of a page. Unclosed and stray tags are taken as browsers do."""
     page, stack, at, block = Page(), Stack(), 0, True
-    top = Node("", "", None, 0, (), False, False)
+    top = Node("", "", None, 0, None, False, False)
+    last_end: dict[str, int] = {}
+
+    def raw_end(tag: str, start: int) -> int | None:
+        """Where an element ends whose content is skipped; none if it isn't closed."""
+        if tag not in last_end:
+            last_end[tag] = max((m.start() for m in RAW_END[tag].finditer(source)), default=-1)
+        return RAW_END[tag].search(source, start).end() if last_end[tag] >= start else None
 
     def text(raw: str) -> None:
         nonlocal block
@@ -191,29 +234,37 @@ def read(source: str) -> Page:
             page.texts.append(Text(inside, found, False, inside.article, inside.link, block))
             block = False
 
-    for m in MARKUP.finditer(source):
+    while m := MARKUP.search(source, at):
         if m.start() > at:
             text(source[at : m.start()])
         at = m.end()
-        tag = m[3]
-        if not tag:
-            if m[1]:
-                block = True
+        if not m[2]:
             continue
-        tag = tag.lower()
+        tag, attributes = m[2].lower(), m[3]
+        closed = attributes.endswith("/")
+        if tag in RAW_END and not m[1] and not closed:
+            if end := raw_end(tag, at):
+                block, at = True, end
+                continue
+            closed = tag in RAW_VOID
         if tag in BLOCK:
             block = True
-        if m[2]:
+        if m[1]:
             block |= stack.close(tag)
             continue
         if tag in CLOSES_P:
             stack.close("p", ALONE["p"])
         if tag in ALONE:
             stack.close(tag, ALONE[tag])
-        node = element(stack.nodes[-1] if stack.nodes else None, tag, m[4])
+        above = stack.nodes[-1] if stack.nodes else None
+        node = element(above, tag, attributes)
+        if tag in RAW_END and not closed and node.drop is (above.drop if above else None):  # up to the end of its parent
+            node.drop = Drop(FIRM, node.path, bool(above and above.article), node.drop)
+        if node.drop is not (above.drop if above else None):
+            page.drops.append(node.drop)
         page.nodes.append(node)
         page.tags[node.path] = page.tags.get(node.path, 0) + 1
-        if tag not in VOID and not m[4].endswith("/"):
+        if tag not in VOID and not closed:
             stack.push(node)
     if at < len(source):
         text(source[at:])
@@ -222,12 +273,17 @@ def read(source: str) -> Page:
     if page.texts:
         page.texts[-1].whole = page.texts[-1].block
     # What holds all articles of a page isn't boilerplate; beside an article of its own, it holds others.
-    clear = any(n.article and not n.drops for n in page.nodes)
+    clear = any(n.article and n.drop is None for n in page.nodes)
+    for d in page.drops:
+        counts = clear or d.kind == FIRM or not d.holds
+        d.out = counts and d.kind != WEAK or d.above is not None and d.above.out
+        d.hides = d.kind == FIRM or not d.holds or d.above is not None and d.above.hides
+        around = d.above.weak if d.above else None
+        d.weak, d.next_weak = (d, around) if counts and d.kind == WEAK else (around, None)
     for t in page.texts:
-        drops = [d for d in t.node.drops if clear or d.kind == FIRM or not d.holds] if t.node.drops else ()
-        t.dropped = any(d.kind != WEAK for d in drops)
-        t.weak = tuple(d for d in drops if d.kind == WEAK)
-    page.article = clear or any(n.article and all(d.kind != FIRM and d.holds for d in n.drops) for n in page.nodes)
+        if t.node.drop is not None:
+            t.dropped, t.weak = t.node.drop.out, t.node.drop.weak
+    page.article = clear or any(n.article and not n.drop.hides for n in page.nodes)
     return page
 
 
@@ -452,10 +508,12 @@ def slots(page: Page, template: dict) -> Iterator[tuple[Text, bool]]:
     """The text nodes in page order, and whether the template leaves them for the article."""
     articles, content, menus, fixed = (set(template.get(k, ())) for k in ("articles", "content", "menus", "fixed"))
     confirmed, refuted = set(template.get("confirmed", ())), set(template.get("refuted", ()))
-    sure = [any(d.path in confirmed for d in t.weak) for t in page.texts]
+    known_sure: dict[int, bool] = {}
+    known_named: dict[int, bool] = {}
+    sure = [chain(t.weak, lambda d: d.path in confirmed, known_sure) for t in page.texts]
     named = [t.dropped for t in page.texts]
     for t, certain in zip(page.texts, sure):
-        t.dropped = t.dropped or certain or any(not d.inside and d.path not in refuted for d in t.weak)
+        t.dropped = t.dropped or certain or chain(t.weak, lambda d: not d.inside and d.path not in refuted, known_named)
     varies = [not fixed or text_key(t) not in fixed for t in page.texts]
     in_menu: dict[int, bool] = {}
     known: dict[int, bool] = {}
