@@ -85,9 +85,12 @@ def test_families_equal_all_pairs(spark, tmp_path, seed):
     assert sum(i != c for i, _, c in expected) > 20
 
 
-def test_blocks_equal_all_pairs(spark, tmp_path, monkeypatch):
-    """A hot family whose members are linked in chains, compared in several small blocks."""
+@pytest.mark.parametrize(("few", "per_member"), [(16, 8), (2, 8), (2, 0)])
+def test_blocks_equal_all_pairs(spark, tmp_path, monkeypatch, few, per_member):
+    """A hot family whose members are linked in chains: by pairs, by pairs of several small blocks, and in full."""
     monkeypatch.setattr(jaccard_join, "BLOCK_MEMBERS", 7)
+    monkeypatch.setattr(jaccard_join, "FEW", few)
+    monkeypatch.setattr(jaccard_join, "PAIRS_PER_MEMBER", per_member)
     draw = random.Random(9)
     base = [f"b{i}" for i in range(100)]
     rows = []

@@ -13,9 +13,10 @@ parts are summed per pair.
 
 No group is expanded into all its pairs. Where a cell joins two representatives, that pair is counted;
 where it joins more, each is paired with the smallest. Only if that leaves the members of such a cell in
-several components are they compared with each other, in blocks of bounded size: first by sizes, then those
-that may have a partner in full, fragment after fragment. A block returns no more links than it takes to
-join its members. So every component is exact.
+several components are they compared with each other. Up to ``FEW`` members give the pairs that cross components,
+once for all cells that have them. More are compared by sizes in blocks of bounded size; a block gives the
+pairs that are left if these are few for its members, else its members, which are then compared in full,
+fragment after fragment, for no more links than it takes to join them. So every component is exact.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ FRAGMENTS = 8
 ELEMENTS_PER_SIZE, LEAST_SIZE_BITS = 2, 6
 #: Blocks of a group that is compared in full: n-grams and members that one holds about.
 BLOCK_GRAMS, BLOCK_MEMBERS = 1 << 20, 1024
+#: Members of a cell that are paired one by one, and pairs for each member that a block gives at most.
+FEW, PAIRS_PER_MEMBER = 16, 8
 #: Ids of rows whose n-grams are wanted again, as far as they are sent to the tasks that read the texts.
 WANTED_ROWS = 2_000_000
 
@@ -213,8 +216,9 @@ def fragments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def possible_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs (a, b) that the sizes of their parts don't rule out."""
-    left = reps.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("sizes").alias("sizes_a"))
-    right = reps.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("sizes").alias("sizes_b"))
+    ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+    known = reps.select("rep", "n", "sizes").join(small(cut(ids), WANTED_ROWS), "rep", "left_semi")
+    left, right = (known.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("sizes").alias(f"sizes_{x}")) for x in "ab")
     sized = pairs.join(left, "a").join(right, "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT)
 
     def run(batch: pa.RecordBatch) -> dict:
@@ -286,52 +290,76 @@ def compare_block(reps: np.ndarray, roots: np.ndarray, sets: list[list[np.ndarra
     return found
 
 
-def near_some_other(sizes: list[bytes], n: np.ndarray, roots: np.ndarray) -> np.ndarray:
+def near_pairs(sizes: list[bytes], n: np.ndarray, roots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which members of a block may be linked with a member of another component, by the sizes of their parts."""
     parts = min(map(len, sizes))
     table = np.stack([folded(s, parts) for s in sizes])
-    found = np.zeros(len(sizes), dtype=bool)
+    first, second = [], []
     for i in range(len(sizes) - 1):
         difference = np.abs(table[i + 1 :] - table[i]).sum(axis=1, dtype=np.int64)
-        near = may_link(difference, n[i], n[i + 1 :]) & (roots[i + 1 :] != roots[i])
-        if near.any():
-            found[i] = True
-            found[i + 1 :] |= near
-    return found
+        near = i + 1 + np.flatnonzero(may_link(difference, n[i], n[i + 1 :]) & (roots[i + 1 :] != roots[i]))
+        first.append(np.full(len(near), i))
+        second.append(near)
+    none = np.empty(0, dtype=np.int64)
+    return np.concatenate([none, *first]), np.concatenate([none, *second])
 
 
-def open_blocks(members: DataFrame, reps: DataFrame) -> DataFrame:
-    """(cell, i, j, rep, root) of the members (cell, rep, root) that may have a partner in another component.
+def open_cells(members: DataFrame) -> DataFrame:
+    """(cell, rep, root, k) of the members (cell, rep, root) of cells that are in several components.
 
-    A cell's members are dealt to blocks by hash, so many that one block is small, and every two blocks of
-    a cell meet once. Cells with the same members are compared once.
+    Cells with the same members are one.
     """
-    members = cut(members.join(reps.select("rep", "n"), "rep"))
     groups = members.groupBy("cell").agg(
         F.count(F.lit(1)).alias("k"),
-        F.sum("n").alias("grams"),
         F.min("root").alias("low"),
         F.max("root").alias("high"),
         F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("members"),
         F.sum(F.xxhash64("rep", F.lit(1)).cast("decimal(38,0)")).alias("members_again"),
     )
-    blocks = F.greatest(F.ceil(F.col("grams") / BLOCK_GRAMS), F.ceil(F.col("k") / BLOCK_MEMBERS)).alias("blocks")
-    open_groups = groups.where("low <> high").groupBy("k", "members", "members_again").agg(F.min(F.struct("cell", blocks)).alias("g"))
-    dealt = members.join(open_groups.select("g.cell", "g.blocks"), "cell").withColumn(
+    chosen = groups.where("low <> high").groupBy("k", "members", "members_again").agg(F.min("cell").alias("cell"))
+    return cut(members.join(chosen.select("cell", "k"), "cell"))
+
+
+def few_pairs(members: DataFrame) -> DataFrame:
+    """The pairs (a, b) of members of small cells that are in different components."""
+    cells = members.where(F.col("k") <= FEW).groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("rep", "root"))).alias("m"))
+    crossing = F.expr(
+        "flatten(transform(m, (x, i) -> transform(filter(m, y -> y.rep > x.rep AND y.root <> x.root), "
+        "y -> named_struct('a', x.rep, 'b', y.rep))))"
+    )
+    return cells.select(F.inline(crossing)).distinct()
+
+
+def open_blocks(members: DataFrame, reps: DataFrame) -> DataFrame:
+    """(cell, i, j, rep, root, other) of larger cells: of a block (i, j) the members that may have a partner in
+    another component, or if there are few the pairs (rep, other).
+
+    A cell's members are dealt to blocks by hash, so many that one block is small, and every two blocks of
+    a cell meet once.
+    """
+    members = cut(members.where(F.col("k") > FEW).join(reps.select("rep", "n"), "rep"))
+    blocks = F.greatest(F.ceil(F.sum("n") / BLOCK_GRAMS), F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS)).alias("blocks")
+    dealt = members.join(members.groupBy("cell").agg(blocks), "cell").withColumn(
         "block", F.pmod(F.xxhash64("rep", F.lit(2)), F.col("blocks"))
     )
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     rows = dealt.select("cell", "rep", "root", "block", other).select(
         "cell", "rep", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
-    schema = "cell long, i long, j long, rep long, root long"
+    known = reps.select("rep", "n", "sizes").join(small(cut(members.select("rep").distinct()), WANTED_ROWS), "rep", "left_semi")
+    schema = "cell long, i long, j long, rep long, root long, other long"
 
     def compare(group: pa.Table) -> pa.Table:
-        n, roots = (group.column(c).to_numpy() for c in ("n", "root"))
-        near = near_some_other(group.column("sizes").to_pylist(), n, roots)
-        return group.filter(pa.array(near)).select([f.split()[0] for f in schema.split(", ")])
+        n, roots, reps = (group.column(c).to_numpy() for c in ("n", "root", "rep"))
+        first, second = near_pairs(group.column("sizes").to_pylist(), n, roots)
+        if len(first) > PAIRS_PER_MEMBER * len(reps):
+            chosen, others = np.unique(np.concatenate((first, second))), None
+        else:
+            chosen, others = first, pa.array(reps[second])
+        out = group.select(["cell", "i", "j", "rep", "root"]).take(pa.array(chosen))
+        return out.append_column("other", pa.nulls(len(chosen), pa.int64()) if others is None else others)
 
-    return cut(rows.join(reps.select("rep", "n", "sizes"), "rep").groupBy("cell", "i", "j").applyInArrow(compare, schema))
+    return cut(rows.join(known, "rep").groupBy("cell", "i", "j").applyInArrow(compare, schema))
 
 
 def compare_blocks(rows: DataFrame, parts: DataFrame) -> DataFrame:
@@ -379,7 +407,8 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
         .unionByName(members.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")))
         .distinct()
     )
-    pairs = cut(possible_pairs(pairs, reps))
+    judged = cut(pairs)
+    pairs = cut(possible_pairs(judged, reps))
     wanted = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
 
     def fragments_of(wanted: DataFrame) -> DataFrame:
@@ -387,8 +416,16 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
 
     edges = cut(count_pairs(pairs, fragments_of(wanted)))
     roots = cut(rooted(reps.select("rep"), edges))
-    blocks = open_blocks(members.select("cell", "rep").join(roots, "rep"), reps)
-    more = compare_blocks(blocks, fragments_of(blocks.select("rep").distinct()))
+    members = open_cells(members.select("cell", "rep").join(roots, "rep"))
+    blocks = open_blocks(members, reps)
+    again = possible_pairs(cut(few_pairs(members).join(judged, ["a", "b"], "left_anti")), reps)
+    again = again.unionByName(
+        blocks.where("other IS NOT NULL").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+    )
+    again, dense = cut(again.distinct()), blocks.where("other IS NULL")
+    ids = [again.select(F.col(c).alias("rep")) for c in "ab"]
+    parts = fragments_of(dense.select("rep").unionByName(ids[0]).unionByName(ids[1]).distinct())
+    more = count_pairs(again, parts).unionByName(compare_blocks(dense.drop("other"), parts))
     roots = rooted(reps.select("rep"), edges.unionByName(cut(more)))
     named = cut(reps.select("rep", "set_key", "low").join(roots, "rep"))
     lows = named.groupBy("root").agg(F.min("low").alias("component_id"))
