@@ -38,8 +38,8 @@ SHINGLE_WORDS = 3
 PERCENT = 90
 #: N-grams are counted in so many slots by their hash; the order needs no more than a rough frequency.
 SLOT_BITS = 20
-#: A document of which D elements may differ meets about this many cells per element.
-CELLS_PER_DIFFERENCE, LEAST_CELL_BITS = 4, 4
+#: The order has at least so many cells for each element in which a linked set may differ: larger cells agree by chance less often.
+CELLS_PER_DIFFERENCE, LEAST_CELL_BITS = 2, 4
 #: Parts of the order in which overlaps are counted separately.
 FRAGMENTS = 8
 #: A set has about one part for every so many elements whose sizes are noted, and at least 2 ^ LEAST_SIZE_BITS parts.
