@@ -188,6 +188,52 @@ def test_short_texts_have_features_over_their_length(spark):
         assert np.mean(near) > np.mean(other) + 0.15
 
 
+def test_short_passages_are_found_in_texts_of_any_length(spark):
+    draw = np.random.default_rng(16)
+    words = ["".join(map(chr, draw.integers(97, 123, int(n)))) for n in draw.integers(2, 9, 2000)]
+    texts = [" ".join(draw.choice(words, 2000)) for _ in range(20)]
+    maker = improbable.Fingerprinter(improbable.rarity(spark.createDataFrame([(t,) for t in texts], "text string")))
+
+    def alike(one, other):
+        return improbable.likeness(*(maker.chain(t.encode(), maker.windows(t.encode())) for t in (one, other)))
+
+    for size in (500, 1000, 1023, 1024, 1025, 1100, 2000, 5000):
+        found = [alike(t[:255], t[:size]) for t in texts]
+        other = [alike(t[:255], u[:size]) for t, u in zip(texts, texts[1:])]
+        assert np.mean(found) > 0.3 and np.mean(found) > np.mean(other) + 0.25, size
+
+
+def test_windows_across_a_seam(spark):
+    maker = improbable.Fingerprinter({w: np.arange(improbable.most_pairs(w)) for w, _, _ in improbable.KINDS})
+    text = np.random.default_rng(17).integers(97, 105, 500).astype(np.uint8).tobytes()
+    for cut in (0, 2, 8, 30, 31, 32, 250, 490, 500):
+        head, tail = text[:cut], text[cut:]
+        found = maker.edited(head, maker.windows(head), tail, maker.windows(tail))
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(found, maker.windows(text)))
+    assert [[w.tolist() for w in x] for x in maker.of_all([text[:7], b"", text])] == [[w.tolist() for w in maker.windows(t)] for t in (text[:7], b"", text)]
+
+
+@pytest.mark.parametrize("size", [1, 1 << 20])
+def test_documents_without_an_id_and_repeated_ones(spark, monkeypatch, size):
+    """The order is by id, then by the hash of the text; rows without an id are the last. No range holds them all."""
+    monkeypatch.setattr(improbable, "RANGE_BYTES", size)
+    monkeypatch.setattr(improbable, "RANGE_SQUARE", 0)
+    rows = [(None, f"none {i % 40} {'x' * i}") for i in range(60)] + [(7, f"seven {i}") for i in range(60)]
+    rows += [(-3, "copy")] * 5 + [(None, "copy")] * 50 + [(None, None), (1, None), (1, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hashed = {r.text: r.h for r in docs.selectExpr("coalesce(text, '') text", "xxhash64(coalesce(text, '')) h").distinct().collect()}
+    plain = sorted((doc_id is None, doc_id if doc_id is not None else hashed[text or ""], hashed[text or ""], text or "") for doc_id, text in rows)
+    expected = []
+    for (unknown, doc_id, _, text), (_, _, _, following) in zip(plain, plain[1:] + plain[:1]):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        expected.append((-99 if unknown else doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    found = [(-99 if r.doc_id is None else r.doc_id, r.n_chars, r.edited_sha256) for r in improbable.fingerprints(docs).collect()]
+    assert sorted(found) == sorted(expected)
+    spans = {r.span: r["count"] for r in improbable.neighbours(docs).where("at_end = 0").groupBy("span").count().collect()}
+    assert size > 1 or max(spans.values()) == 1
+
+
 def test_improbable_query_against_plain_version(spark, sf):
     docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
     maker = improbable.Fingerprinter(improbable.rarity(spark.read.parquet(f"{sf}/documents.parquet")))

@@ -9,31 +9,37 @@ filters have in common beyond chance.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_schema, by_batch, cut, slices, table, text_of, to_batch
+from tidemark.llm.common import arrow_schema, by_batch, cut, slices, small, table, text_of, to_batch
 
 #: Bytes of a window; neighbours it is compared with; how often of these it must be the rarest.
 WINDOW, NEIGHBOURS, POPULAR = 32, 64, 16
 #: Fewer windows have neighbours and popularity in proportion: this share of them, and a quarter of that.
 SHARE = 6
-#: Shorter windows of short texts, and from and to how many bytes; windows of WINDOW are for LONG bytes and more. They
-#: overlap, so that texts whose lengths differ by less than four times have features of one kind.
-SHORTER, LONG = ((4, 4, 64), (8, 16, 1024)), 256
+#: Windows, and from and to how many bytes a text has features of them. All texts of 16 bytes and more share one kind,
+#: so a short text is found in a text of any length.
+KINDS = ((WINDOW, 256, None), (8, 16, None), (4, 4, 64))
 #: Bits of a filter, hashes of a feature, features of a filter.
 BITS, HASHES, FULL = 2048, 4, 128
-PAIRS = WINDOW * (WINDOW - 1) // 2 + 1
-#: Documents of one range of ids, whose texts are sorted in one task; and ranges at most.
-RANGE_ROWS, MOST_RANGES = 1000, 20_000
+#: Bytes of a range of documents, at least, and its square by the bytes of all: 100 TB have 1.6 million ranges of 63 MB.
+RANGE_BYTES, RANGE_SQUARE = 1 << 20, 40
+#: Keys that one task sorts to find the ranges, and tasks for that at most; bytes of texts of one task.
+KEY_ROWS, KEY_TASKS, TASK_BYTES = 10_000, 20_000, 32 << 20
+#: What a row counts beside its text.
+ROW_BYTES = 64
 #: Bytes measured at once.
 AT_ONCE = 1 << 20
+#: What documents are in the order of: those without an id come last, by the hash of their text.
+KEY = ("unknown", "ord", "h")
 OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+COUNTED = f"{OUT}, times long"
 
 
 def most_pairs(window: int) -> int:
@@ -61,40 +67,42 @@ def equal_pairs(data: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return out
 
 
-def measured(texts: list[bytes]) -> Iterator[np.ndarray]:
-    """``equal_pairs`` of each text, measured for many texts at a time."""
+def measured(texts: list[bytes], measure: Callable[[bytes], np.ndarray], window: int) -> Iterator[np.ndarray]:
+    """What ``measure`` gives for each window of each text, measured for many texts at a time."""
     at = 0
     while at < len(texts):
         stop, held = at, 0
         while stop < len(texts) and (stop == at or held < AT_ONCE):
             held += len(texts[stop])
             stop += 1
-        pairs = equal_pairs(np.frombuffer(b"".join(texts[at:stop]), dtype=np.uint8))
+        values = measure(b"".join(texts[at:stop]))
         start = 0
         for text in texts[at:stop]:
-            yield pairs[start : max(start, start + len(text) - WINDOW + 1)]
+            yield values[start : max(start, start + len(text) - window + 1)]
             start += len(text)
         at = stop
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
-    """The rank of each number of equal pairs: 0 for the one that the corpus has least often.
+def in_kind(text: bytes, least: int, most: int | None) -> bool:
+    return least <= len(text) and (most is None or len(text) <= most)
 
-    Numbers that no text has come first, in order. All windows of all documents count; shorter windows,
-    whose ranks follow, count in the texts that have them.
+
+def rarity(docs: DataFrame) -> dict[int, np.ndarray]:
+    """By window, the rank of each number of equal pairs: 0 for the one that the corpus has least often.
+
+    Numbers that no text has come first, in order. All windows of WINDOW bytes of all documents count; shorter windows
+    count in the texts that have features of them.
     """
-    starts = np.cumsum([0, PAIRS, *(most_pairs(w) for w, _, _ in SHORTER)])
+    starts = np.cumsum([0, *(most_pairs(w) for w, _, _ in KINDS)])
 
     def run(batch: pa.RecordBatch) -> dict:
         found = np.zeros(starts[-1], dtype=np.int64)
         texts = [t.encode() for t in batch.column(0).to_pylist()]
-        for pairs in measured(texts):
-            found[:PAIRS] += np.bincount(pairs, minlength=PAIRS)
-        for (window, least, most), start in zip(SHORTER, starts[1:]):
-            for text in texts:
-                if least <= len(text) <= most:
-                    pairs = equal_pairs(np.frombuffer(text, dtype=np.uint8), window)
-                    found[start : start + most_pairs(window)] += np.bincount(pairs, minlength=most_pairs(window))
+        for (window, least, most), start in zip(KINDS, starts):
+            size = most_pairs(window)
+            some = texts if window == WINDOW else [t for t in texts if in_kind(t, least, most)]
+            for pairs in measured(some, lambda data: equal_pairs(np.frombuffer(data, dtype=np.uint8), window), window):
+                found[start : start + size] += np.bincount(pairs, minlength=size)
         has = np.flatnonzero(found)
         return {"pairs": has, "n": found[has]}
 
@@ -102,10 +110,12 @@ def rarity(docs: DataFrame) -> np.ndarray:
     counts = np.zeros(starts[-1], dtype=object)  # so many rows at most
     for row in rows:
         counts[row["pairs"]] = row["n"]
-    ranks = np.empty(starts[-1], dtype=np.int16)
-    for start, end in zip(starts, starts[1:]):
-        ranks[sorted(range(start, end), key=lambda p: (counts[p], p))] = np.arange(end - start)
-    return ranks
+    out = {}
+    for (window, _, _), start in zip(KINDS, starts):
+        ranks = np.empty(most_pairs(window), dtype=np.int64)
+        ranks[sorted(range(len(ranks)), key=lambda p: (counts[start + p], p))] = np.arange(len(ranks))
+        out[window] = ranks
+    return out
 
 
 def features(ranks: np.ndarray) -> np.ndarray:
@@ -186,35 +196,53 @@ def likeness(one: Chain, other: Chain) -> float:
 
 
 class Fingerprinter:
-    def __init__(self, ranks: np.ndarray):
+    """Chains of texts, by the ranks of ``rarity``."""
+
+    def __init__(self, ranks: dict[int, np.ndarray]):
         self.ranks = ranks
-        self.shorter, start = [], PAIRS
-        for window, least, most in SHORTER:
-            self.shorter.append((window, least, most, ranks[start : start + most_pairs(window)]))
-            start += most_pairs(window)
-
-    def windows(self, text: bytes) -> np.ndarray:
-        return self.ranks[equal_pairs(np.frombuffer(text, dtype=np.uint8))]
-
-    def chain(self, text: bytes, windows: np.ndarray) -> Chain:
-        parts = [feature_hashes(text, features(windows))] if len(text) >= LONG else []
-        for window, least, most, ranks in self.shorter:
-            if least <= len(text) <= most:
-                hashes = feature_hashes(text, np.arange(len(text) - window + 1), window)
-                rare = ranks[equal_pairs(np.frombuffer(text, dtype=np.uint8), window)].astype(np.int64)
-                # Short windows are often equally rare: their hashes decide, as places differ in an edited text.
-                parts.append(hashes[features(rare << 16 | (hashes >> np.uint64(48)).astype(np.int64))])
+
+    def rare(self, data: bytes, window: int) -> np.ndarray:
+        """The rank of each window. Short windows are often equally rare: bits of a hash decide between them, as
+        places differ in an edited text."""
+        if len(data) < window:
+            return np.zeros(0, dtype=np.int64)
+        ranks = self.ranks[window][equal_pairs(np.frombuffer(data, dtype=np.uint8), window)]
+        if window == WINDOW:
+            return ranks
+        words = np.ndarray(len(data) - window + 1, f"<u{window}", data, strides=(1,)).astype(np.uint64)
+        words *= np.uint64(0x9E3779B97F4A7C15)
+        words ^= words >> np.uint64(29)
+        words *= np.uint64(0xBF58476D1CE4E5B9)
+        return ranks << 16 | (words >> np.uint64(48)).astype(np.int64)
+
+    def windows(self, text: bytes) -> list[np.ndarray]:
+        """The ranks of a text's windows by kind."""
+        return [self.rare(text, window) for window, _, _ in KINDS]
+
+    def of_all(self, texts: list[bytes]) -> list[list[np.ndarray]]:
+        return [list(x) for x in zip(*(measured(texts, lambda data, w=w: self.rare(data, w), w) for w, _, _ in KINDS))]
+
+    def chain(self, text: bytes, windows: list[np.ndarray]) -> Chain:
+        parts = [
+            feature_hashes(text, features(rare), window)
+            for (window, least, most), rare in zip(KINDS, windows)
+            if in_kind(text, least, most)
+        ]
         if not parts and text:  # the shortest are one feature, an empty text has none
             parts = [np.array([int.from_bytes(hashlib.sha256(text).digest()[:8], "little")], dtype=np.uint64)]
         return Chain(np.concatenate(parts) if parts else np.array([], dtype=np.uint64))
 
-    def edited(self, head: bytes, head_windows: np.ndarray, tail: bytes, tail_windows: np.ndarray) -> np.ndarray:
+    def edited(self, head: bytes, head_windows: list[np.ndarray], tail: bytes, tail_windows: list[np.ndarray]) -> list[np.ndarray]:
         """The windows of head + tail: those within either are known, those across the seam are measured."""
-        reach = WINDOW - 1
-        if len(head) < reach or len(tail) < reach:
-            return self.windows(head + tail)
-        seam = self.windows(head[-reach:] + tail[:reach])
-        return np.concatenate((head_windows[: len(head) - reach], seam, tail_windows[: len(tail) - reach]))
+        out = []
+        for (window, _, _), one, other in zip(KINDS, head_windows, tail_windows):
+            reach = window - 1
+            if len(head) < reach or len(tail) < reach:
+                out.append(self.rare(head + tail, window))
+            else:
+                seam = self.rare(head[-reach:] + tail[:reach], window)
+                out.append(np.concatenate((one[: len(head) - reach], seam, other[: len(tail) - reach])))
+        return out
 
 
 def prefix_bytes(text: str, data: bytes, chars: int) -> int:
@@ -223,77 +251,122 @@ def prefix_bytes(text: str, data: bytes, chars: int) -> int:
 
 
 def compare(rows: list[tuple], maker: Fingerprinter) -> dict:
-    """From rows (doc_id, text) in order: all but the last with their edited text and likenesses."""
-    texts = [text for _, text in rows]
+    """From rows (doc_id, text, times) in order: all but the last with their edited text and likenesses.
+
+    Of rows that are there several times all but the last are followed by themselves.
+    """
+    texts = [text for _, text, _ in rows]
     data = [text.encode() for text in texts]
-    windows = [maker.ranks[p] for p in measured(data)]
+    windows = maker.of_all(data)
     chains = [maker.chain(*x) for x in zip(data, windows)]
-    out: dict[str, list] = {name: [] for name in arrow_schema(OUT).names}
+    out: dict[str, list] = {name: [] for name in arrow_schema(COUNTED).names}
     for i in range(len(rows) - 1):
+        doc_id, _, copies = rows[i]
         chars = len(texts[i])
         half = chars // 2
         head = data[i][: prefix_bytes(texts[i], data[i], chars - half)]
-        tail = data[i + 1][: prefix_bytes(texts[i + 1], data[i + 1], half)]
-        text = head + tail
-        chain = chains[i] if text == data[i] else maker.chain(text, maker.edited(head, windows[i], tail, windows[i + 1]))
-        values = rows[i][0], chars, hashlib.sha256(text).hexdigest(), str(chains[i]), str(chain), likeness(chains[i], chain), likeness(chains[i], chains[i + 1])
-        for name, value in zip(out, values):
-            out[name].append(value)
+        for then, times in ((i + 1, 1), (i, copies - 1)):
+            if not times:
+                continue
+            tail = data[then][: prefix_bytes(texts[then], data[then], half)]
+            text = head + tail
+            chain = chains[i] if text == data[i] else maker.chain(text, maker.edited(head, windows[i], tail, windows[then]))
+            values = doc_id, chars, hashlib.sha256(text).hexdigest(), str(chains[i]), str(chain), likeness(chains[i], chain), likeness(chains[i], chains[then]), times
+            for name, value in zip(out, values):
+                out[name].append(value)
     return out
 
 
-def bounds(docs: DataFrame) -> list[int]:
-    """The highest id of each range but the last. Only ids are shuffled; bounds are at most MOST_RANGES."""
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
-    count = min(MOST_RANGES, ids.count() // RANGE_ROWS)
-    if count < 2:
-        return []
-    tops = ids.repartitionByRange(count, "doc_id").groupBy(F.spark_partition_id()).agg(F.max("doc_id").alias("top"))
-    return sorted({row["top"] for row in tops.collect()})[:-1]
+def key_bytes(unknown: np.ndarray, ord: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Keys as bytes in the same order."""
+    out = np.empty((len(ord), 17), dtype=np.uint8)
+    out[:, 0] = unknown
+    for at, part in ((1, ord), (9, h)):
+        flipped = part.astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+        out[:, at : at + 8] = flipped.astype(">u8").view(np.uint8).reshape(-1, 8)
+    return out.view("S17").reshape(-1)
+
+
+def range_starts(keys: DataFrame) -> np.ndarray:
+    """The key that each range begins with, in order. ``keys`` has KEY and bytes, every key once.
+
+    The keys are sorted in parts; a part's first key begins a range, and so does the key after each so many bytes.
+    """
+    rows, size = keys.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    most = range_bytes(size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sizes = batch.column("bytes").to_numpy()
+            ranges = (np.cumsum(sizes) - sizes + (before[1] if before else 0)) // most
+            starts = np.flatnonzero(np.diff(ranges, prepend=before[0] if before else -1))
+            yield batch.select(list(KEY)).take(pa.array(starts))
+            before = ranges[-1], (before[1] if before else 0) + int(sizes.sum())
+
+    parts = keys.repartitionByRange(max(2, min(KEY_TASKS, rows // KEY_ROWS)), *KEY).sortWithinPartitions(*KEY)
+    found = parts.mapInArrow(run, "unknown boolean, ord long, h long").toArrow()
+    return np.array(sorted(key_bytes(*(found.column(c).to_numpy() for c in KEY)).tolist()), dtype="S17")
+
+
+def range_bytes(size: int) -> int:
+    """Bytes of a range: they grow with the root of all bytes, as the number of ranges does."""
+    return max(RANGE_BYTES, math.isqrt(RANGE_SQUARE * size))
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
-    """Rows (span, at_end, doc_id, ord, h, text): all documents by ranges of ids, and at the end of each range
-    the first document of the next. The first of all follows the last.
+    """Rows (span, at_end, unknown, ord, h, doc_id, text, times): all documents by ranges of their order, and at the end of
+    each range the first document of the next. The first of all follows the last.
 
-    Rows that repeat an id follow each other by the hash of their text; rows without an id are the last
-    range, in the order of that hash.
+    Rows that repeat an id follow each other by the hash of their text; rows without an id are the last, in the order of
+    that hash. Rows that repeat both are one row, with their number.
     """
     import pandas as pd
     from pyspark.sql.functions import pandas_udf
 
-    tops = np.array(bounds(docs), dtype=np.int64)
-
-    def place(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(tops, ids.to_numpy()), dtype="int64")
-
-    place.__annotations__ = {"ids": pd.Series, "return": pd.Series}
-    known = F.col("doc_id").isNotNull()
-    span = F.when(known, pandas_udf(place, "long")(F.coalesce("doc_id", F.lit(0)))).otherwise(len(tops) + 1)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("ord", F.coalesce("doc_id", "h"))
-    rows = rows.withColumn("span", span).withColumn("at_end", F.lit(0))
-    starts = cut(rows.groupBy("span").agg(F.min("ord").alias("ord")))  # a row per range
-    order = W.orderBy("span")
-    before = F.coalesce(F.lag("span").over(order), F.max("span").over(W.partitionBy()))
-    starts = F.broadcast(starts.withColumn("to", before))
-    first = F.row_number().over(W.partitionBy("span").orderBy("h"))
-    guests = rows.join(starts, ["span", "ord"]).withColumn("first", first).where("first = 1")
-    guests = guests.withColumn("span", F.col("to")).withColumn("at_end", F.lit(1)).select(*rows.columns)
-    return rows.unionByName(guests).repartition("span").sortWithinPartitions("span", "at_end", "ord", "h")
+    rows = rows.withColumn("unknown", F.col("doc_id").isNull()).withColumn("h", F.xxhash64("text"))
+    rows = rows.withColumn("ord", F.coalesce("doc_id", "h"))
+    keys = cut(rows.groupBy(*KEY).agg(F.count("*").alias("times"), (F.max(F.octet_length("text")) + ROW_BYTES).cast("long").alias("bytes")))
+    repeated = cut(keys.where("times > 1").select(*KEY, "times"))
+    if repeated.isEmpty():
+        rows = rows.withColumn("times", F.lit(1).cast("long"))
+    else:
+        rows = rows.join(small(repeated), list(KEY), "left")
+        copies = rows.where("times IS NOT NULL").groupBy(*KEY, "doc_id").agg(F.first("text").alias("text"), F.first("times").alias("times"))
+        rows = rows.where("times IS NULL").withColumn("times", F.lit(1).cast("long")).unionByName(copies)
+    starts = range_starts(keys)
+
+    def place(unknown: pd.Series, ord: pd.Series, h: pd.Series) -> pd.Series:
+        keys = key_bytes(unknown.to_numpy(dtype=np.uint8), ord.to_numpy(), h.to_numpy())
+        at = np.searchsorted(starts, keys, side="right") - 1
+        return pd.Series(at * 2 + (starts[at] == keys), dtype="int64")
+
+    place.__annotations__ = {"unknown": pd.Series, "ord": pd.Series, "h": pd.Series, "return": pd.Series}
+    # Twice the range, and one more for the row that begins it: that one is the guest of the range before, too.
+    rows = rows.withColumn("place", pandas_udf(place, "long")(*KEY))
+    own, first, count = F.expr("place DIV 2"), F.col("place") % 2 == 1, max(1, len(starts))
+    guest = F.struct(F.pmod(own - 1, F.lit(count)).alias("span"), F.lit(1).alias("at_end"))
+    spans = F.struct(own.alias("span"), F.lit(0).alias("at_end"))
+    rows = rows.select(F.inline(F.when(first, F.array(spans, guest)).otherwise(F.array(spans))), *KEY, "doc_id", "text", "times")
+    size = keys.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES)
+    return rows.repartition(tasks, "span").sortWithinPartitions("span", "at_end", *KEY)
 
 
 def follow(batches: Iterator[pa.RecordBatch], maker: Fingerprinter) -> Iterator[pa.RecordBatch]:
-    """From rows in the order of (span, at_end, doc_id): every row but the last of a span, with the next."""
-    schema, held, span = arrow_schema(OUT), [], None
+    """From rows in the order of a span: every row but the last of a span, with the next."""
+    schema, held, span = arrow_schema(COUNTED), [], None
     size = 0
     for batch in (part for whole in batches for part in slices(whole)):
-        for at, doc_id, text in zip(*(batch.column(n).to_pylist() for n in ("span", "doc_id", "text"))):
+        for at, doc_id, text, times in zip(*(batch.column(n).to_pylist() for n in ("span", "doc_id", "text", "times"))):
             if at != span:
                 if len(held) > 1:
                     yield to_batch(compare(held, maker), schema)
                 held, span, size = [], at, 0
-            held.append((doc_id, text))
+            held.append((doc_id, text, times))
             size += len(text)
             if size >= AT_ONCE and len(held) > 1:
                 yield to_batch(compare(held, maker), schema)
@@ -307,11 +380,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The second half of the edited text is replaced by the start of the next document. A null text counts
     as empty, and an empty text has no features. A single document is its own next. Rows repeated are
-    repeated; an empty table gives no rows; further columns are ignored.
+    repeated, and worked on once; rows without an id come last; an empty table gives no rows; further columns are ignored.
+    A very long text is a range of its own.
     """
     maker = Fingerprinter(rarity(docs))
-    rows = neighbours(docs).select("span", "doc_id", "text")
-    return rows.mapInArrow(lambda batches: follow(batches, maker), OUT)
+    rows = neighbours(docs).select("span", "doc_id", "text", "times")
+    found = rows.mapInArrow(lambda batches: follow(batches, maker), COUNTED)
+    return found.withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("times")
 
 
 def op7_improbable(spark: SparkSession, sf_dir: str) -> DataFrame:
