@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Sequence
 from string import ascii_lowercase, ascii_uppercase
 
 import pyarrow as pa
@@ -31,6 +32,8 @@ SEEDS = (
 ).split()
 #: A seed counts as this share of all words in the unigram model.
 SEED_SHARE = 1e-3
+#: Pages that a seed word in a host counts for on its own, and those that draw a token's share of block to that of all tokens.
+SEED_HITS, SMOOTHING = 1000, 5
 #: Letters of the longest word that a name is split into, and of the longest name that is split: a label
 #: of a host has no more. Longer names are one word.
 WORD_LETTERS, NAME_LETTERS = 24, 63
@@ -96,14 +99,14 @@ def split_name(name: str, counts: dict[str, int], total: int) -> list[str]:
     return words[::-1] or [name]
 
 
-def segmented(names: DataFrame, counts: DataFrame) -> DataFrame:
+def segmented(names: DataFrame, counts: DataFrame, seeds: Sequence[str] = SEEDS) -> DataFrame:
     """(name, word) for each word of each distinct name, repeats included.
 
     Only the parts of names are looked up among the counts, so the counts are never copied to executors.
     """
     total = max(1, counts.agg(F.sum("n")).first()[0] or 0)
-    seeds = counts.sparkSession.createDataFrame([(s, max(1, int(total * SEED_SHARE))) for s in SEEDS], "word string, n long")
-    counts = counts.unionByName(seeds).groupBy("word").agg(F.sum("n").alias("n"))
+    known_seeds = counts.sparkSession.createDataFrame([(s, max(1, int(total * SEED_SHARE))) for s in seeds], "word string, n long")
+    counts = counts.unionByName(known_seeds).groupBy("word").agg(F.sum("n").alias("n"))
     distinct = names.select("name").distinct()
     part = F.expr(
         f"flatten(transform(sequence(1, length(name)), i -> "
@@ -135,12 +138,21 @@ def path_words(urls: DataFrame, *keep: str) -> DataFrame:
     return urls.select(*keep, F.explode(words).alias("word")).where("word <> ''").withColumn("token", F.concat(F.lit("p:"), "word")).drop("word")
 
 
-def judged(pages: DataFrame, rules=RULES) -> DataFrame:
+def log_odds(blocked: Column, allowed: Column, share: float) -> Column:
+    """How much a token speaks for block, in millionths; nothing where it wasn't seen.
+
+    Its share of block is drawn to that of all tokens, so a token that was seen once says little.
+    """
+    rate = (blocked + SMOOTHING * share) / (allowed + SMOOTHING * (1 - share))
+    return F.round((F.log(rate) - math.log(share / (1 - share))) * UNIT).cast("long")
+
+
+def judged(pages: DataFrame, rules=RULES, seeds: Sequence[str] = SEEDS) -> DataFrame:
     """page_id, host, path, rule, verdict and score (log-odds of block) of every row of ``pages`` (page_id, url, html).
 
     A url that is null or has no ``://`` has an empty host and path, no tokens, and the score of the prior.
-    A score of exactly zero allows. Rows repeated are repeated; an empty table gives no rows; further
-    columns are ignored.
+    A score of exactly zero allows. Very long urls are read whole. Rows repeated are repeated; an empty table gives
+    no rows; further columns are ignored.
     """
     host, path = host_and_path(F.col("url"))
     title = F.regexp_extract(text_of("html"), r"(?is)<title[^>]*>([^<]*)", 1)
@@ -148,30 +160,35 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     urls = cut(rows.groupBy("host", "path").agg(F.count("*").alias("times")))
     hosts = urls.groupBy("host").agg(F.sum("times").alias("n"))
     names = names_of(hosts)
-    words = segmented(names, word_counts(rows.select("host", "path"), rows.select("title")))
-    host_words = cut(names.join(words, "name").select("host", F.concat(F.lit("h:"), "word").alias("token"), (F.col("word").isin(SEEDS) & ((F.length("word") > 3) | (F.col("word") == F.col("name")))).alias("seed")))
+    words = segmented(names, word_counts(rows.select("host", "path"), rows.select("title")), seeds)
+    seed = F.col("word").isin(*seeds) & ((F.length("word") > 3) | (F.col("word") == F.col("name")))
+    host_words = names.join(words, "name").select("host", F.concat(F.lit("h:"), "word").alias("token"), seed.alias("seed"))
+    host_words = cut(host_words.groupBy("host", "token").agg(F.max("seed").alias("seed"), F.count("*").alias("times")))
 
     bad = F.coalesce(F.col("bad"), F.lit(False))
     hosts = cut(hosts.join(host_words.groupBy("host").agg(F.max("seed").alias("bad")), "host", "left").select("host", "n", bad.alias("bad")))
     host_side = small(hosts)
-    seen = (
-        host_words.join(host_side, "host").select("token", "n", "bad")
-        .unionAll(path_words(urls, "host", "times").join(host_side, "host").select("token", "times", "bad"))
-    )
+    own = host_words.join(host_side, "host").withColumn("own", F.col("n") * F.col("times"))
+    seen = own.select("token", "own", "bad").unionAll(
+        path_words(urls, "host", "times").join(host_side, "host").select("token", "times", "bad")
+    )
 
-    def count(where: Column, n: str = "n") -> Column:
+    def count(where: Column, n: str) -> Column:
         return F.coalesce(F.sum(F.when(where, F.col(n))), F.lit(0))
 
-    tokens = cut(seen.groupBy("token").agg(count(F.col("bad")).alias("blocked"), count(~F.col("bad")).alias("allowed")))
-    sums = tokens.agg(count(F.lit(True), "blocked").alias("b"), count(F.lit(True), "allowed").alias("a"), F.count("*").alias("v")).first()
-    pages_of = hosts.agg(count(F.col("bad")).alias("b"), count(~F.col("bad")).alias("a")).first()
-    prior = round(UNIT * math.log((pages_of["b"] + 1) / (pages_of["a"] + 1)))
-    base = math.log((sums["a"] + sums["v"] + 1) / (sums["b"] + sums["v"] + 1))
-    odds = F.round((F.log((F.col("blocked") + 1) / (F.col("allowed") + 1)) + base) * UNIT).cast("long")
-    odds = small(cut(tokens.select("token", odds.alias("odds"))))
-
-    host_odds = host_words.join(odds, "token").groupBy("host").agg(F.sum("odds").alias("host_odds"))
-    path_odds = path_words(urls, "host", "path").join(odds, "token").groupBy("host", "path").agg(F.sum("odds").alias("path_odds"))
+    tokens = cut(seen.groupBy("token").agg(count(F.col("bad"), "own").alias("blocked"), count(~F.col("bad"), "own").alias("allowed")))
+    sums = tokens.agg(F.coalesce(F.sum("blocked"), F.lit(0)), F.coalesce(F.sum("allowed"), F.lit(0))).first()
+    share = (sums[0] + 1) / (sums[0] + sums[1] + 2)
+    pages_of = hosts.agg(count(F.col("bad"), "n"), count(~F.col("bad"), "n")).first()
+    prior = round(UNIT * math.log((pages_of[0] + 1) / (pages_of[1] + 1)))
+
+    by_seed = F.when(F.col("seed"), F.lit(SEED_HITS)).otherwise(0)
+    by_others = F.col("allowed") - F.when(F.col("bad"), 0).otherwise(F.col("own"))
+    weight = F.col("times") * log_odds(F.col("blocked") + by_seed, by_others, share)
+    host_odds = own.join(small(tokens.where(F.col("token").startswith("h:"))), "token").groupBy("host").agg(F.sum(weight).alias("host_odds"))
+    path_weights = tokens.where(F.col("token").startswith("p:")).select("token", log_odds(F.col("blocked"), F.col("allowed"), share).alias("odds"))
+    path_weights = small(cut(path_weights))
+    path_odds = path_words(urls, "host", "path").join(path_weights, "token").groupBy("host", "path").agg(F.sum("odds").alias("path_odds"))
     total = F.coalesce("path_odds", F.lit(0)) + F.coalesce("host_odds", F.lit(0)) + prior
     scores = urls.join(path_odds, ["host", "path"], "left").join(small(cut(host_odds)), "host", "left").select("host", "path", total.alias("odds"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
