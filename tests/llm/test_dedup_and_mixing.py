@@ -4,7 +4,10 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
-from tidemark.llm import cuckoo_dedup, mixing
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import cuckoo_dedup, mixing, simhash
 
 
 def test_cuckoo_index_is_a_dictionary():
@@ -138,3 +141,25 @@ def test_stage_takes_what_the_mix_takes(spark):
         given[r.doc_id] += len((r.text or "").split())
     assert {k: v for k, v in taken.items() if v} == {k: v for k, v in given.items() if v}
     assert sum(taken.values()) > 1000
+
+
+@pytest.mark.parametrize("drop", [cuckoo_dedup.drop_copies, simhash.drop_near_copies])
+def test_unclear_ids_are_judged_by_content(spark, drop):
+    """Rows that share an id with another text, or have none, beside rows with ids of their own; the same if ids are too many to send."""
+    rows = [(i, f"text number {i % 40} of many words here") for i in range(120)]
+    rows += [(7, "another text under the same id"), (None, "text number 3 of many words here"), (None, "a text that only a row without id has")]
+    rows += [(None, "a text that only a row without id has"), (500, "twice the same row"), (500, "twice the same row")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("strange_id", F.lit("clash"))
+    kept = sorted(((r.doc_id, r.text) for r in drop(frame).collect()), key=str)
+    expected = [(i, f"text number {i} of many words here") for i in range(40)]
+    expected += [(7, "another text under the same id"), (None, "a text that only a row without id has"), (500, "twice the same row")]
+    assert kept == sorted(expected, key=str)
+
+
+def test_texts_are_not_shuffled_to_drop_few(spark):
+    frame = spark.range(2000).selectExpr("id AS doc_id", "concat_ws(' ', sha2(string(id), 256), sha2(string(-id), 256)) AS text")
+    for drop in (cuckoo_dedup.drop_copies, simhash.drop_near_copies):
+        kept = drop(frame)
+        assert kept.count() == 2000
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan

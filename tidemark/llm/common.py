@@ -17,6 +17,8 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a table that may be copied to every executor, and bytes of their texts; more are joined by a shuffle.
 BROADCAST_ROWS, BROADCAST_BYTES = 20_000, 16 << 20
+#: The same for a table of ids alone.
+BROADCAST_IDS = 1_000_000
 #: The setting, and Spark's default for it.
 BATCH_BYTES, DEFAULT_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
@@ -61,6 +63,24 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if found[0] <= rows and sum(found[1:]) <= BROADCAST_BYTES else df
 
 
+def keep_marked(docs: DataFrame, marks: DataFrame, by_content: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows of ``docs`` that stay by ``marks`` (doc_id, stays), which has a row for each of them.
+
+    The texts aren't shuffled while the ids that go are few. Ids that are null or repeated don't tell rows
+    apart: rows that have such an id, if there are any, are judged by ``by_content``.
+    """
+    ids = cut(marks.groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("stays").alias("stays")))
+    unclear = F.col("doc_id").isNull() | (F.col("rows") > 1)
+    apart = ids.where(F.col("doc_id").isNotNull() & (unclear | ~F.col("stays"))).select("doc_id")
+    clear = docs.where(F.col("doc_id").isNotNull()).join(small(apart, BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
+    strange = ids.where(unclear).select("doc_id")
+    if strange.isEmpty():
+        return clear
+    (name,) = fresh(docs, "strange_id")
+    strange = small(strange.toDF(name), BROADCAST_IDS)
+    return clear.unionByName(by_content(docs.join(strange, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")))
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like these that the frame doesn't have yet, in any case."""
     taken = {c.lower() for c in df.columns}

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, arrow_schema, cut, fresh, table, text_of, to_batch
+from tidemark.llm.common import SPACE, arrow_schema, cut, fresh, keep_marked, table, text_of, to_batch
 
 SLOTS = 4
 #: Moves of one insertion before the filter counts as full.
@@ -186,15 +186,27 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without exact copies: one row of each group stays, with all its columns."""
-    digest, n, best, best_id, size, ties = fresh(docs, "digest", "n", "keep_n", "keep_id", "group_size", "ties")
-    rows = docs.withColumn(digest, normal_digest("text")).withColumn(n, F.length(text_of("text")).cast("long"))
-    narrow = rows.select(F.col(digest).alias("digest"), F.col(n).alias("n"), "doc_id")
-    groups = duplicate_groups(narrow).toDF(digest, best, best_id, size, ties)
-    kept = rows.join(cut(groups), digest).where(F.col("doc_id").eqNullSafe(F.col(best_id)) & (F.col(n) == F.col(best)))
-    # Only rows repeated with the same id need a further step.
-    alone, repeated = kept.where(F.col(ties) == 1), kept.where(F.col(ties) > 1).dropDuplicates([digest])
-    return alone.unionByName(repeated).select(*docs.columns)
+    """The rows of ``docs`` without exact copies: one row of each group stays, with all its columns.
+
+    Null and empty texts are one group; very long texts are compared whole. Of rows repeated with the same id and length
+    one stays. An empty table gives no rows; further columns are kept, whatever their names.
+    """
+    n = F.length(text_of("text")).cast("long")
+    rows = cut(docs.select("doc_id", normal_digest("text").alias("digest"), n.alias("n")))
+    groups = cut(duplicate_groups(rows).withColumnRenamed("n", "keep_n"))
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("keep_n"))
+    marks = rows.join(groups, "digest").select("doc_id", stays.alias("stays"))
+    digest, best, best_id, size, ties = fresh(docs, "digest", "keep_n", "keep_id", "group_size", "ties")
+
+    def by_content(some: DataFrame) -> DataFrame:
+        best_row = F.col("doc_id").eqNullSafe(F.col(best_id)) & (n == F.col(best))
+        named = groups.select("digest", "keep_n", "keep_id", "group_size", "ties").toDF(digest, best, best_id, size, ties)
+        kept = some.withColumn(digest, normal_digest("text")).join(named, digest).where(best_row)
+        # Only rows repeated with the same id need a further step.
+        alone, repeated = kept.where(F.col(ties) == 1), kept.where(F.col(ties) > 1).dropDuplicates([digest])
+        return alone.unionByName(repeated).select(*docs.columns)
+
+    return keep_marked(docs, marks, by_content)
 
 
 def op6_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_schema, by_batch, cut, fresh, table, text_of, to_batch
+from tidemark.llm.common import arrow_schema, by_batch, cut, fresh, keep_marked, table, text_of, to_batch
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -153,18 +153,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the row with the smallest id, all columns.
 
-    Where that id is repeated, or the component has no id, one of its rows stays.
+    Where that id is repeated, or the component has no id, one of its rows stays. Texts that are null or have no word
+    have the fingerprint zero; very long ones are read whole. An empty table gives no rows.
     """
     fp, root, lowest, rows = fresh(docs, "fp", "root", "component_id", "rows")
-    printed = docs.withColumn(fp, print_column(F.col("text")))
-    prints = cut(printed.select("doc_id", F.col(fp).alias("fp")))
-    found = roots(prints)
-    marks = prints.join(found.withColumnRenamed("fp", "print"), F.col("fp") == F.col("print"))
-    ties = marks.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.count("*").alias("rows"))
-    marks = cut(found.join(ties, "root").select("fp", "root", "component_id", "rows").toDF(fp, root, lowest, rows))
-    kept = printed.join(marks, fp).where(F.col("doc_id").eqNullSafe(F.col(lowest)))
-    alone, repeated = kept.where(F.col(rows) == 1), kept.where(F.col(rows) > 1).dropDuplicates([root])
-    return alone.unionByName(repeated).select(*docs.columns)
+    prints = cut(fingerprints(docs))
+    found = cut(roots(prints).withColumnRenamed("fp", "print"))
+    marks = prints.join(found, F.col("fp") == F.col("print"))
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+
+    def by_content(some: DataFrame) -> DataFrame:
+        ties = marks.where(stays).groupBy("root").agg(F.count("*").alias("rows"))
+        named = cut(found.join(ties, "root").select("print", "root", "component_id", "rows").toDF(fp, root, lowest, rows))
+        kept = some.withColumn(fp, print_column(F.col("text"))).join(named, fp).where(F.col("doc_id").eqNullSafe(F.col(lowest)))
+        alone, repeated = kept.where(F.col(rows) == 1), kept.where(F.col(rows) > 1).dropDuplicates([root])
+        return alone.unionByName(repeated).select(*docs.columns)
+
+    return keep_marked(docs, marks.select("doc_id", stays.alias("stays")), by_content)
 
 
 def print_column(text: Column) -> Column:
